@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import decontaminate, minhash, packing, quality, substrings
+from lexloom.llm import decontaminate, minhash, packing, pii, quality, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op7_best_fit_packing, op8_kneser_ney_quality, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op5_pii, op7_best_fit_packing, op8_kneser_ney_quality, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
