@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import decontaminate, minhash, packing, pii, quality, substrings
+from lexloom.llm import decontaminate, licenses, minhash, packing, pii, quality, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +22,19 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -39,8 +48,15 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op5_pii, op7_best_fit_packing, op8_kneser_ney_quality, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_warc": """
+            with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+            f as (select payload_digest, min(page_id) as rep from p where payload_bytes >= 100 group by 1)
+            select page_id, payload_bytes, p.payload_digest, case when rep is not null and page_id <> rep then 'revisit' else 'response' end as record_type,
+                case when page_id <> rep then rep end as refers_to
+            from p left join f on p.payload_digest = f.payload_digest and p.payload_bytes >= 100""",
+    }
