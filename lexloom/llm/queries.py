@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import decontaminate, licenses, minhash, packing, pii, quality, substrings, warc
+from lexloom.llm import decontaminate, htmltext, licenses, minhash, neighbours, packing, pii, quality, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
@@ -43,12 +47,16 @@ def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op4_html_main_text, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op9_nearest_neighbours, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
