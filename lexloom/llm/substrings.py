@@ -26,7 +26,7 @@ LENGTH = 400
 GRAM = 64
 WINDOW = LENGTH - GRAM + 1
 #: Distinct segments of an anchor that are aligned in one task; those of more frequent anchors are compared by their strings.
-CAP = 2000
+CAP = 16_000
 #: Bytes of segments in one alignment.
 ALIGNED = 8 << 20
 
