@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
+_WORDS = re.compile(r"\w+")
+
 
 def dot(a: Column | str, b: Column | str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -31,9 +39,37 @@ def argmax(v: Column | str) -> Column:
     return F.array_position(v, F.array_max(v)).cast("int") - 1
 
 
-def hashed_embedding(text: Column, dim: int = 64) -> Column:
+def hashed_embedding(texts: list[str], dim: int = 64) -> np.ndarray:
     """A deterministic stand-in for a sentence model: words counted in buckets of their hash, brought to length 1."""
-    words = F.filter(F.split(F.lower(text), r"\W+"), lambda w: w != "")
-    bucket = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(dim)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(bucket, lambda b: b == i)).cast("double"))
-    return unit(counts)
+    out = np.zeros((len(texts), dim))
+    for i, text in enumerate(texts):
+        for word in _WORDS.findall(text.lower()):
+            out[i, zlib.crc32(word.encode()) % dim] += 1
+    norms = np.linalg.norm(out, axis=1, keepdims=True)
+    return out / np.where(norms > 0, norms, 1)
+
+
+def adjacent_similarity(embed: Callable[[list[str]], np.ndarray]):
+    """A vectorised function from an array of sentences to the cosines of neighbours."""
+
+    @F.pandas_udf("array<double>")
+    def similarity(sentences: pd.Series) -> pd.Series:
+        own = [list(s) for s in sentences]
+        v = embed([x for s in own for x in s])
+        out, at = [], 0
+        for s in own:
+            out.append((v[at : at + len(s) - 1] * v[at + 1 : at + len(s)]).sum(axis=1) if len(s) > 1 else np.zeros(0))
+            at += len(s)
+        return pd.Series(out)
+
+    return similarity
+
+
+def similarity_to(embed: Callable[[list[str]], np.ndarray]):
+    """A vectorised function from texts and arrays of their parts to the parts' cosines with the text."""
+
+    @F.pandas_udf("array<double>")
+    def similarity(text: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([embed(list(p)) @ embed([t])[0] if len(p) else np.zeros(0) for t, p in zip(text, parts, strict=True)])
+
+    return similarity

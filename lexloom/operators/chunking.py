@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.functions.text import clean, sentences
-from lexloom.functions.vectors import cosine, hashed_embedding
+from lexloom.functions.vectors import adjacent_similarity, hashed_embedding, similarity_to
 
 
 def group_lengths(sims: str, threshold: float, least: int, most: int, roles: str | None = None) -> Column:
@@ -45,18 +45,17 @@ def offsets(text: str, chunks: str) -> Column:
 def semantic_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5, least: int = 2, most: int = 10, min_chars: int = 100, embed=hashed_embedding) -> DataFrame:
     """(doc_id, chunk_id, text, num_sentences, avg_similarity, doc_similarity, start_char, end_char): the chunks of documents.
 
-    embed: a Column function from a sentence to an array of doubles. Documents without sentences have no chunks; chunks of
+    embed: a function from a list of sentences to a matrix of unit vectors, called on batches. Documents without sentences have no chunks; chunks of
     fewer than min_chars characters are dropped and the rest numbered from 1. No shuffle.
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), clean(F.col(text)).alias("cleaned"))
     d = d.withColumn("s", sentences(F.col("cleaned"))).where(F.size("s") > 0)
-    d = d.withColumn("e", F.transform("s", embed)).withColumn("whole", embed(F.col("cleaned")))
-    sims = F.transform(F.sequence(F.lit(1), F.size("s")), lambda i: F.when(i > 1, cosine(F.try_element_at("e", i), F.try_element_at("e", F.greatest(i - 1, F.lit(1))))).otherwise(1.0))
-    d = d.withColumn("sims", F.slice(sims, 2, F.size("s"))).withColumn("len", group_lengths("sims", threshold, least, most)).withColumn("g", groups("len"))
+    d = d.withColumn("sims", adjacent_similarity(embed)("s")).withColumn("len", group_lengths("sims", threshold, least, most)).withColumn("g", groups("len"))
     parts = F.expr("transform(g, x -> named_struct('t', array_join(slice(s, x.first, x.n), ' '), 'f', element_at(s, x.first), 'n', x.n, 'avg', if(x.n = 1, 1.0D, aggregate(slice(sims, x.first, x.n - 1), 0.0D, (q, y) -> q + y) / (x.n - 1))))")
     d = d.withColumn("c", F.filter(parts, lambda c: F.length(c["t"]) >= min_chars)).withColumn("o", offsets("cleaned", "c"))
-    out = d.select("doc_id", "whole", F.posexplode(F.arrays_zip("c", "o")).alias("i", "x"))
-    return out.select("doc_id", (F.col("i") + 1).alias("chunk_id"), F.col("x.c.t").alias("text"), F.col("x.c.n").alias("num_sentences"), F.round("x.c.avg", 4).alias("avg_similarity"), F.round(cosine("whole", embed(F.col("x.c.t"))), 4).alias("doc_similarity"), F.col("x.o").alias("start_char"), (F.col("x.o") + F.length("x.c.t")).alias("end_char"))
+    d = d.withColumn("sim", similarity_to(embed)("cleaned", F.transform("c", lambda c: c["t"])))
+    out = d.select("doc_id", F.posexplode(F.arrays_zip("c", "o", "sim")).alias("i", "x"))
+    return out.select("doc_id", (F.col("i") + 1).alias("chunk_id"), F.col("x.c.t").alias("text"), F.col("x.c.n").alias("num_sentences"), F.round("x.c.avg", 4).alias("avg_similarity"), F.round("x.sim", 4).alias("doc_similarity"), F.col("x.o").alias("start_char"), (F.col("x.o") + F.length("x.c.t")).alias("end_char"))
 
 
 def translation_segments(text: str, most: int = 120) -> Column:
