@@ -25,6 +25,8 @@ AGREE = 0.56
 CAP = 48
 #: Signatures of a large bucket that are compared with as many others at once.
 SLAB = 256
+#: What the stars left apart is compared in one of so many large buckets first, so that few rows are left for all of them.
+PARTS = (8, 1)
 
 _draw = np.random.default_rng(20250102)
 _LINE = _draw.integers(0, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,9 +135,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     stars = met.where((F.col("n") > CAP) & (F.col("doc_id") > F.col("lead"))).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
     links = _linked(pairs.unionByName(stars).distinct(), minima, source)
     found = keep(connected_components(links), "components")
-    rest = _outside(met.where(F.col("n") > CAP).select("key", "doc_id"), found, minima)
-    if not rest.isEmpty():
-        found = keep(connected_components(links.unionByName(_linked(rest.distinct(), None, source))), "components")
+    for part in PARTS:
+        large = met.where((F.col("n") > CAP) & (F.pmod("key", F.lit(part)) == 0)).select("key", "doc_id")
+        rest = keep(_outside(large, found, minima).distinct(), "rest")
+        if not rest.isEmpty():
+            links = links.unionByName(_linked(rest, None, source))
+            found = keep(connected_components(links), "components")
     of = classes.select("digest", F.col("doc_id").alias("node")).join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     out = some.select("doc_id", "n_shingles", "digest").join(of, "digest")
     none = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -149,7 +154,8 @@ def _linked(pairs: DataFrame, minima: DataFrame | None, source: DataFrame) -> Da
         pairs = both.mapInArrow(_agree, "a long, b long")
     pairs = keep(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = keep(source.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+    # As many ids as documents at worst: never broadcast.
+    sets = keep(source.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t")), "b")
     common = F.size(F.array_intersect("s", "t"))
     return keep(both.where(100 * common >= PERCENT * (F.size("s") + F.size("t") - common)).select("a", "b").distinct(), "links")
