@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
@@ -21,8 +22,8 @@ ROOM = 2048
 SLACK = 16
 #: Bins that one task of a merging round takes.
 FAN_IN = 60_000
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words of text, and their pieces, whose ids a worker remembers.
+REMEMBERED = 200_000
 #: Characters that are tokenized at once, and pieces that are packed at once.
 CHARS, ITEMS = 1 << 20, 100_000
 
@@ -30,44 +31,60 @@ CHARS, ITEMS = 1 << 20, 100_000
 _WIDE = 0x250
 _letters = "".join(chr(c) for c in range(_WIDE) if unicodedata.category(chr(c))[0] == "L")
 _digits = "".join(chr(c) for c in range(_WIDE) if unicodedata.category(chr(c))[0] == "N")
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_letters}]+|[{_digits}]|[^\\s{_letters}{_digits}]+")
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_letters}]+|[{_digits}]|[^\t-\r\x20{_letters}{_digits}]+")
 #: Characters for which Python and the tokenizer might not agree: the tokenizer gets such texts whole.
-_ODD = re.compile(f"[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u024f]|<\\|(?:start|end)oftext\\|>")
+_ODD = re.compile("[^\x00-\x7f\xa1-\u012f\u0131-\u024f]")
 
 
 class Tokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit integers. Pieces of the tokenizer's pattern are tokenized once
-    and remembered; a text with characters beyond U+024F is tokenized as it is."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers. No piece of the tokenizer's pattern spans a space, so
+    that words are tokenized once, by their pieces, and remembered; a text with characters beyond U+024F, or with the
+    string of a special token, is tokenized as it is."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer as Whole
 
         self.whole = Whole.from_file(path)
+        self.ends = np.zeros(self.whole.get_vocab_size(), dtype=bool)
+        self.ends[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
         self.ids: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece: they are tokenized as one text, in which just the last token of a piece ends a word."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), 5000):
+            ids = self._encode("\n".join(pieces[at : at + 5000]))
+            end = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *end[:-1]], end, strict=True)]
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        odd = [i for i, t in enumerate(texts) if _ODD.search(t)]
-        for i, ids in zip(odd, self._encode([texts[i] for i in odd]), strict=True):
-            out[i] = ids
+    def _learn(self, words: set[str]) -> None:
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
-        pieces = {i: _PIECE.findall(t.lower()) for i, t in enumerate(texts) if out[i] is None}
-        new = set().union(*pieces.values()).difference(self.ids) if pieces else set()
-        if new:
-            listed = list(new)
-            self.ids.update(zip(listed, self._encode(listed), strict=True))
+        pieces = {w: _PIECE.findall(w) for w in words}
+        new = list(set().union(*pieces.values()).difference(self.ids))
+        self.ids.update(zip(new, self._encode_pieces(new), strict=True))
         get = self.ids.__getitem__
-        for i, own in pieces.items():
-            out[i] = b"".join(map(get, own))
-        return out
+        self.words.update((w, b"".join(map(get, own))) for w, own in pieces.items())
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        own = [None if "<|" in t or not t.isascii() and _ODD.search(t) else t.lower().replace("\n", " ").split(" ") for t in texts]
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if new := set().union(*(w for w in own if w is not None)).difference(self.words):
+            self._learn(new)
+        get = self.words.__getitem__
+        return [self._encode(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, own, strict=True)]
 
 
 def _pieces(path: str | None, name: str):
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         at = path
         if at is None:
             import public_tokenizers
@@ -193,7 +210,6 @@ def pack(pieces: DataFrame) -> DataFrame:
     moves 16 bytes a bin, and bins that are full enough stay where they are.
     """
     spark = pieces.sparkSession
-    # The pieces come from a written table, so that a task that is run again makes the same bins.
     packed = keep(pieces.mapInArrow(_pack_local, pieces.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ") + ", bin long, offset long, fill long"), "packed")
     under = packed.where(F.col("fill") < ROOM - SLACK).groupBy("bin").agg(F.max("fill").alias("fill"))
     under = keep(under, "under")
@@ -219,4 +235,5 @@ def pack(pieces: DataFrame) -> DataFrame:
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """tokenize() and pack(). A null or empty text is the one id 0; rows of null or repeated ids are packed like others;
     other columns are left out; an empty table gives an empty result."""
-    return pack(tokenize(docs, doc_id, text, tokenizer))
+    # A written table between the two: their workers' memory isn't needed at once, and a task that is run again makes the same bins.
+    return pack(keep(tokenize(docs, doc_id, text, tokenizer), "pieces"))
