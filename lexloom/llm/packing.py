@@ -22,8 +22,8 @@ ROOM = 2048
 SLACK = 16
 #: Bins that one task of a merging round takes.
 FAN_IN = 60_000
-#: Words of text, and their pieces, whose ids a worker remembers.
-REMEMBERED = 200_000
+#: Words in each of two generations, and pieces of words, whose ids a worker remembers.
+REMEMBERED = 500_000
 #: Characters that are tokenized at once, and pieces that are packed at once.
 CHARS, ITEMS = 1 << 20, 100_000
 
@@ -48,6 +48,7 @@ class Tokenizer:
         self.ends = np.zeros(self.whole.get_vocab_size(), dtype=bool)
         self.ends[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
         self.ids: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
@@ -64,9 +65,12 @@ class Tokenizer:
         return out
 
     def _learn(self, words: set[str]) -> None:
+        """Ids of new words: from the last generation, from their pieces, or from the tokenizer."""
+        known = words.intersection(self.last)
+        self.words.update((w, self.last[w]) for w in known)
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
-        pieces = {w: _PIECE.findall(w) for w in words}
+        pieces = {w: _PIECE.findall(w) for w in words.difference(known)}
         new = list(set().union(*pieces.values()).difference(self.ids))
         self.ids.update(zip(new, self._encode_pieces(new), strict=True))
         get = self.ids.__getitem__
@@ -75,7 +79,7 @@ class Tokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         own = [None if "<|" in t or not t.isascii() and _ODD.search(t) else t.lower().replace("\n", " ").split(" ") for t in texts]
         if len(self.words) > REMEMBERED:
-            self.words.clear()
+            self.last, self.words = self.words, {}
         if new := set().union(*(w for w in own if w is not None)).difference(self.words):
             self._learn(new)
         get = self.words.__getitem__
