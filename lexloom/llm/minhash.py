@@ -24,7 +24,7 @@ AGREE = 0.56
 #: Buckets of up to this many distinct sets are compared in pairs; larger ones by stars and then exactly, see near_duplicates().
 CAP = 48
 #: Signatures of a large bucket that are compared with as many others at once.
-SLAB = 256
+SLAB = 1024
 #: What the stars left apart is compared in one of so many large buckets first, so that few rows are left for all of them.
 PARTS = (8, 1)
 
