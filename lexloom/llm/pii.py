@@ -30,8 +30,8 @@ VALID = {
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 #: Words on either side of an entity that count as near it, within so many characters.
 NEAR, REACH = 6, 120
-#: A term reveals an entity if it stands near it in so many different contexts, in at least this share of the documents
-#: that hold the term, and if they meet so many bits more often than by chance.
+#: A term reveals an entity if it stands near it in so many different contexts, in at least this share of the distinct
+#: texts that hold the term, and if they meet so many bits more often than by chance.
 CONTEXTS, DISCLOSURE, BITS = 3, 0.5, 6.0
 #: Bits of the filter through which the corpus' words pass before they are counted: of fixed size, it may let more pass.
 FILTER_BITS = 1 << 20
@@ -69,20 +69,21 @@ def _literal(pattern: str) -> str:
 
 def _terms_of(base: DataFrame, source: DataFrame) -> DataFrame:
     """(entity, terms): terms whose co-occurrence in the corpus reveals a protected entity."""
-    near = base.select("entity", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"), F.xxhash64("before", "after").alias("context"))
+    near = base.select("entity", "content", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"), F.xxhash64("before", "after").alias("context"))
     near = near.where("length(term) >= 3 and not term rlike '^[0-9]+$'")
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n")).where(F.col("n") >= CONTEXTS)
+    # Contexts only support a pair; n, df, ef and total all count distinct texts, so that copies change none of them.
+    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("content").alias("n")).where(F.col("contexts") >= CONTEXTS)
     pairs = keep(pairs, "terms")
     place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
     filter_ = pairs.select(place.alias("p")).distinct().groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
     # A map of FILTER_BITS / 64 numbers at most: the only thing that goes to all tasks.
     filter_ = keep(filter_.agg(F.map_from_entries(F.collect_list(F.struct("i", "w"))).alias("bits")), "filter")
-    words = source.select(F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower_ascii, r'{WORD}+', 0)"))).alias("term"))
+    words = source.select("content", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower_ascii, r'{WORD}+', 0)"))).alias("term"))
     bits = filter_.scalar()
     passed = words.where(F.bit_get(F.coalesce(F.try_element_at(bits, F.shiftright(place, 6)), F.lit(0).cast("long")), place.bitwiseAND(F.lit(63)).cast("int")) == 1)
-    docs_with = passed.groupBy("term").agg(F.count("*").alias("df"))
-    entity_docs = base.groupBy("entity").agg(F.count_distinct("k").alias("ef"))
-    total = source.agg(F.count("*").alias("total"))
+    docs_with = passed.groupBy("term").agg(F.count_distinct("content").alias("df"))
+    entity_docs = base.groupBy("entity").agg(F.count_distinct("content").alias("ef"))
+    total = source.agg(F.count_distinct("content").alias("total"))
     scored = pairs.join(docs_with, "term").join(entity_docs, "entity").withColumn("total", total.scalar())
     strong = scored.where((F.col("n") >= DISCLOSURE * F.col("df")) & (F.log2(F.col("n") * F.col("total") / (F.col("df") * F.col("ef"))) >= BITS))
     return strong.groupBy("entity").agg(F.array_sort(F.collect_set("term")).alias("terms"))
@@ -93,18 +94,19 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     Fixed kinds are those of PATTERNS, leftmost and non-overlapping within a kind; matches that fail VALID are dropped.
     Beside them, terms are found by what the corpus says about them: a term that stands near a protected entity (the
-    value of a fixed span) in CONTEXTS different contexts, in DISCLOSURE of all documents that hold the term, and with
+    value of a fixed span) in CONTEXTS different contexts, in DISCLOSURE of all distinct texts that hold the term, and with
     BITS of pointwise mutual information, reveals it; it is a span wherever it stands in a document that holds that
-    entity. Document counts of terms are taken over the whole corpus, of words that pass a filter of fixed size.
+    entity. Near is within NEAR words and REACH characters; terms that only stand further away are not found. All counts
+    are of distinct texts, over the whole corpus; those of terms are of words that pass a filter of fixed size.
 
     Kinds in spans are numbers in the order of KINDS. Null texts are empty and have no spans; rows of null or repeated ids
     are kept as they are; other columns are left out; an empty table gives an empty result.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("k", F.xxhash64("doc_id", "text"))
-    base = keep(source.select("doc_id", "k", base_spans().alias("b"), "text").select("doc_id", "k", "b", _contexts().alias("entities")), "base")
-    entities = base.select("k", F.explode("entities").alias("e")).select("k", "e.*")
-    lower = source.select(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("lower_ascii"))
+    base = keep(source.select("doc_id", "k", base_spans().alias("b"), "text").select("doc_id", "k", F.xxhash64("text").alias("content"), "b", _contexts().alias("entities")), "base")
+    entities = base.select("k", "content", F.explode("entities").alias("e")).select("k", "content", "e.*")
+    lower = source.select(F.xxhash64("text").alias("content"), F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("lower_ascii"))
     terms = keep(_terms_of(entities, lower), "revealing")
     # Few documents as a rule; a larger side than Spark's broadcast limit is joined by a shuffle.
     flagged = entities.join(terms, "entity").groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"))
