@@ -19,3 +19,14 @@ def test_terms_of_a_text_with_many_copies(spark):
     found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     marked = {r.doc_id for r in found if any(s.kind == len(pii.KINDS) - 1 for s in r.found)}
     assert marked == {r[0] for r in rows if r[0] >= 1000}
+
+
+def test_toxic_features_with_copied_labels(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("bcdfghjk") for _ in range(7))
+    text = lambda *more: " ".join([word() for _ in range(30)] + list(more))
+    toxic = [text("vilezzz") if i < 12 else text() for i in range(45)]
+    rows = [(i, toxic[i] if i < 45 else toxic[44]) for i in range(600)] + [(1000 + i, text()) for i in range(600)]
+    labels = spark.createDataFrame([(i, i < 1000) for i, _ in rows] + [(5000 + i, False) for i in range(900)], "doc_id long, toxic boolean")
+    bad = quality.toxic_features(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert tc.split([b"vilezzz"]).hashes()[0] in bad
