@@ -16,6 +16,7 @@ from lexloom.llm import textcore as tc
 BASE = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 # Label, SPDX identifier, keyword, pattern of the name, pattern of an address. Texts are in lower case; a space stands for any run of white space.
+# A keyword's words are in whatever the name's pattern matches; | parts alternatives.
 LICENSES = (
     ("mit", "mit", "mit", r"(?:the )?mit(?: |-)licen[sc]e|mit/x11", r"opensource\.org/licenses/mit"),
     ("mit-0", "mit-0", "attribution", r"mit no attribution", r"opensource\.org/licenses/mit-0"),
@@ -45,10 +46,10 @@ LICENSES = (
     ("bsl-1.0", "bsl-1.0", "boost", r"boost software licen[sc]e", r"boost\.org/license_1_0"),
     ("zlib", "zlib", "zlib", r"zlib(?:/libpng)? licen[sc]e", r"zlib\.net/zlib_license"),
     ("unlicense", "unlicense", "unlicense", r"the unlicense", r"unlicense\.org"),
-    ("wtfpl", "wtfpl", "wtfpl", r"do what the f\S+ you want to public licen[sc]e|wtfpl", r"wtfpl\.net"),
+    ("wtfpl", "wtfpl", "wtfpl|what want", r"do what the f\S+ you want to public licen[sc]e|wtfpl", r"wtfpl\.net"),
     ("artistic-1.0", "artistic-1.0", "artistic", r"artistic licen[sc]e,? (?:version |v)?1", r"opensource\.org/licenses/artistic-1"),
     ("artistic-2.0", "artistic-2.0", "artistic", r"artistic licen[sc]e,? (?:version |v)?2", r"opensource\.org/licenses/artistic-2"),
-    ("python-2.0", "python-2.0", "python", r"python software foundation licen[sc]e|psf licen[sc]e", r"docs\.python\.org/\S*license"),
+    ("python-2.0", "python-2.0", "python|psf", r"python software foundation licen[sc]e|psf licen[sc]e", r"docs\.python\.org/\S*license"),
     ("php-3.01", "php-3.01", "php", r"php licen[sc]e,? (?:version |v)?3\.01", r"php\.net/license"),
     ("ruby", "ruby", "ruby", r"ruby licen[sc]e", r"ruby-lang\.org/\S*license"),
     ("postgresql", "postgresql", "postgresql", r"postgresql licen[sc]e", r"postgresql\.org/about/licence"),
@@ -71,7 +72,7 @@ LICENSES = (
 _PARTS = {"by": "attribution", "nc": "non-?commercial", "nd": "no-?deriv(?:ative)?s?", "sa": "share-?alike"}
 #: Creative Commons: every licence of every version.
 CREATIVE = tuple(
-    (f"cc-{kind}-{v}", f"cc-{kind}-{v}", "cc" if short else "creative commons", name, rf"creativecommons\.org/licenses/{kind}/{re.escape(v)}")
+    (f"cc-{kind}-{v}", f"cc-{kind}-{v}", f"cc {v}" if short else f"creative commons {v}", name, rf"creativecommons\.org/licenses/{kind}/{re.escape(v)}")
     for kind in ("by", "by-nc", "by-nc-nd", "by-nc-sa", "by-nd", "by-sa")
     for v in ("1.0", "2.0", "2.5", "3.0", "4.0")
     for short, name in ((True, rf"cc[ -]{'[ -]'.join(kind.split('-'))}[ -]{re.escape(v)}"), (False, rf"creative commons {'[ -]'.join(_PARTS[x] for x in kind.split('-'))} {re.escape(v)}"))
@@ -83,8 +84,6 @@ KINDS = (
     ("notice", r"(?:licen[sc]ed|released|distributed|available|published|provided) (?:\w+ ){{0,3}}?(?:under|by) (?:\w+ ){{0,4}}?(?:{name})", 2, 0.9),
     ("name", r"(?<![\w-])(?:{name})(?!\w)", 1, 0.7),
 )
-#: A text without any of these is not searched by rules at all.
-GATES = ("licen", "spdx", "creativecommons", "creative commons", "cc", "public domain", "unlicense", "wtfpl", "mit/x11", "bsd")
 
 
 @dataclass(frozen=True)
@@ -97,13 +96,19 @@ class Rule:
     pattern: re.Pattern
 
 
+def literal(url: str) -> str:
+    """The plain beginning of an address's pattern, which every match holds."""
+    plain = re.match(r"(?:\\[^\w]|[\w/-])*", url)[0]
+    return plain.replace("\\", "")
+
+
 def rules() -> list[Rule]:
     """All rules in order: by priority, then as listed."""
     out: dict[tuple, Rule] = {}
     for kind, shape, priority, score in KINDS:
         for label, spdx, keyword, name, url in (*LICENSES, *CREATIVE):
             text = shape.format(id=re.escape(spdx), url=url, name=name).replace("[- ]", "(?:-| )").replace("[ -]", "(?: |-)").replace(" ", r"[\s*#/]+")
-            word = {"spdx": "spdx-license", "url": "/"}.get(kind, keyword)
+            word = {"spdx": "spdx-license", "url": literal(url)}.get(kind, keyword)
             out.setdefault((label, kind, text), Rule(label, kind, priority, score, word, re.compile(text)))
     return list(out.values())
 
@@ -121,9 +126,8 @@ def base_places(low: str) -> list[tuple[int, str]]:
 def detect(low: str, all_rules: list[Rule]) -> list[tuple[int, int, str, float]]:
     """Detections (start, end, label, score) that stand: rules in their order, each detection unless one of at least its
     priority holds its interval. Of equal intervals the first rule's stands."""
-    if not any(g in low for g in GATES):
-        return []
-    found = [(-r.priority, m.start() - m.end(), n, m.start(), m.end(), r) for n, r in enumerate(all_rules) if r.keyword in low for m in r.pattern.finditer(low)]
+    held = {k: any(all(w in low for w in part.split()) for part in k.split("|")) for k in {r.keyword for r in all_rules}}
+    found = [(-r.priority, m.start() - m.end(), n, m.start(), m.end(), r) for n, r in enumerate(all_rules) if held[r.keyword] for m in r.pattern.finditer(low)]
     kept: list[tuple[int, int, str, float]] = []
     starts = np.empty(0, dtype=np.int64)
     reach = np.empty(0, dtype=np.int64)  # the farthest end of kept detections that start up to each start
@@ -161,7 +165,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     Base: every place where the words of a phrase of BASE stand consecutively. Beside it, hundreds of rules (each licence
     of LICENSES and CREATIVE as an SPDX tag, an address, a notice and a name) are tried, each only on texts that hold
-    its keyword. score is the best detection's, 1 with a base phrase, 0 without any. Null and empty texts have no words and
+    its keyword, words that all its matches hold. score is the best detection's, 1 with a base phrase, 0 without any. Null and empty texts have no words and
     no labels; repeated rows and null ids are kept; other columns are left out. Nothing is shuffled.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -30,3 +30,11 @@ def test_toxic_features_with_copied_labels(spark):
     labels = spark.createDataFrame([(i, i < 1000) for i, _ in rows] + [(5000 + i, False) for i in range(900)], "doc_id long, toxic boolean")
     bad = quality.toxic_features(spark.createDataFrame(rows, "doc_id long, text string"), labels)
     assert tc.split([b"vilezzz"]).hashes()[0] in bad
+
+
+def test_licences_need_no_unrelated_word():
+    rules = licenses.rules()
+    named = {"distributed under apache 2.0 terms": "apache-2", "terms: https://mozilla.org/mpl/2.0/": "mpl-2.0", "see eclipse.org/legal/epl-v20": "epl-2.0", "eupl-1.2": "eupl-1.2", "scripts.sil.org/ofl": "ofl-1.1", "mariadb.com/bsl11": "busl-1.1", "mit no attribution": "mit-0", "the psf license": "python-2.0", "do what the fxxx you want to public license": "wtfpl", "open\nfont\nlicense": "ofl-1.1", "a creative\n commons attribution 4.0": "cc-by-4.0"}
+    for text, label in named.items():
+        assert label in {x[2] for x in licenses.detect(text, rules)}, text
+        assert all(licenses.detect(m[0], [r]) for r in rules for m in r.pattern.finditer(text))
