@@ -129,7 +129,7 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     are one class, of which the K + 1 smallest ids can be neighbours of a query, so that copies fill no bucket. TABLES
     tables of BITS projections each deal classes to cells; a query visits PROBES cells of a table in the order of
     estimated success. Classes of a cell are ranked in parts of PART at most by one product of matrices, and only K + 1
-    leave a part for a query. The scores that are returned are sums over the original vectors in double precision.
+    leave a part for a query. Queries for which this finds fewer than K are ranked against all classes, in such parts. The scores that are returned are sums over the original vectors in double precision.
 
     Null vectors, vectors of another length than the most frequent one, zero vectors and those with null or non-finite components
     take no part, nor do rows without an id. Rows that repeat an id count once, with one of its vectors.
@@ -163,6 +163,21 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     asked = visits.join(queries, "query_id").select("key", "part", "query_id", "v")
     held = bucket.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")).join(classes, "c").select("key", "part", "c", "v")
     found = asked.groupBy("key", "part").cogroup(held.select(*(F.col(x).alias(x) for x in held.columns)).groupBy("key", "part")).applyInArrow(_rank, "query_id long, c long, score double")
+    ranked = keep(_ranked(found, members, queries), "ranked")
+    full = ranked.where(F.col("rank") == K).select("query_id")
+    short = keep(queries.join(full, "query_id", "left_anti"), "short")
+    n_short = short.count()
+    if not n_short:
+        return ranked
+    shares, blocks = -(-n_short // PART), max(1, -(-classes.count() // PART))
+    asked = short.withColumn("key", F.pmod(F.xxhash64("query_id"), F.lit(shares))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    held = classes.withColumn("part", F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int")).withColumn("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    every_one = asked.select("key", "part", "query_id", "v").groupBy("key", "part").cogroup(held.select("key", "part", "c", "v").groupBy("key", "part")).applyInArrow(_rank, "query_id long, c long, score double")
+    return ranked.join(full, "query_id", "left_semi").unionByName(_ranked(every_one, members, short))
+
+
+def _ranked(found: DataFrame, members: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the K nearest members of the classes found."""
     near = found.groupBy("query_id", "c").agg(F.max("score").alias("score"))
     near = near.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "c"))).where(F.col("r") <= K + 8)
     pairs = near.select("query_id", "c").join(members.select("c", "vec_id", F.col("v").alias("y")), "c").where("vec_id <> query_id").join(queries.withColumnRenamed("v", "x"), "query_id")

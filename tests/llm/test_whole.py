@@ -38,3 +38,19 @@ def test_licences_need_no_unrelated_word():
     for text, label in named.items():
         assert label in {x[2] for x in licenses.detect(text, rules)}, text
         assert all(licenses.detect(m[0], [r]) for r in rules for m in r.pattern.finditer(text))
+
+
+@pytest.mark.parametrize("n, norms", [(15, "one"), (30, "one"), (3000, "outlier")])
+def test_neighbours_of_every_query(spark, n, norms):
+    x = np.random.default_rng(3).standard_normal((n, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[7] *= 30
+    got = defaultdict(set)
+    for r in neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].add((r.rank, r.vec_id))
+    size = min(20, n - 1)
+    assert {q: len(v) for q, v in got.items()} == {q: size for q in range(0, n, 20)}
+    assert all({r for r, _ in v} == set(range(1, size + 1)) and len({i for _, i in v}) == size for v in got.values())
+    if n <= 20:
+        assert [i for _, i in sorted(got[0])] == [i for i in np.lexsort((np.arange(n), -(x @ x[0]))).tolist() if i != 0]
