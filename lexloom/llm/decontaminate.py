@@ -174,21 +174,25 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     Each task builds FM-indexes of its shards. Words that no window holds, or that no window holds next to their neighbour,
     cannot belong to an occurrence, so that only the remaining runs are indexed. The benchmark is the query set: it is sent
     to the executors in blocks of up to BLOCK_BYTES (one item at least); only with more than one block do results meet in
-    a shuffle by document.
+    a shuffle by row, whose key is a hash of id and text.
 
-    Null texts have no words; null items and items of null id take no part; repeated rows come back repeated with one block,
-    and once with more. Without windows nothing is hit. Empty tables give an empty result.
+    Null texts have no words; null items and items of null id take no part; repeated rows come back repeated, and rows that
+    share an id, or have none, each have their own result. Without windows nothing is hit. Empty tables give an empty result.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     asked = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
     size = asked.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_BYTES))
+    searched, rows_of = source, None
+    if blocks > 1:
+        searched = source.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+        rows_of = keep(source.groupBy(F.xxhash64("doc_id", "text").alias("row"), "doc_id").agg(F.count("*").alias("copies")), "rows")
     found = []
     for block in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block).collect()
         windows = compile_windows([(r.i, r.t) for r in rows]) or Windows(np.zeros(1, np.uint64), np.zeros(1 << 22, bool), np.zeros(1, np.int64), {}, {}, [], WINDOW)
-        found.append(source.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(windows)), _SCHEMA))
-    hits = found[0] if blocks == 1 else _merged(found)
+        found.append(searched.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(windows)), _SCHEMA))
+    hits = found[0] if blocks == 1 else _merged(found, rows_of)
     return (
         hits.withColumn("n_items", F.size("items").cast("long"))
         .withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
@@ -196,15 +200,18 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     )
 
 
-def _merged(found: list[DataFrame]) -> DataFrame:
-    """Results for several blocks of one benchmark as one: spans that overlap or touch are joined."""
-    all_ = found[0]
-    for more in found[1:]:
-        all_ = all_.unionByName(more)
-    met = keep(all_, "blocks").groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+def _merged(found: list[DataFrame], rows_of: DataFrame) -> DataFrame:
+    """Results for several blocks of one benchmark, by the keys of rows, as one for each row: spans that overlap or touch
+    are joined. rows_of: (row, doc_id, copies)."""
+    all_ = found[0].withColumn("block", F.lit(0))
+    for block, more in enumerate(found[1:], 1):
+        all_ = all_.unionByName(more.withColumn("block", F.lit(block)))
+    # Copies of a row have one result in a block.
+    each = keep(all_.withColumnRenamed("doc_id", "row"), "blocks").groupBy("row", "block").agg(*(F.first(c).alias(c) for c in ("n_words", "spans", "items")))
+    met = each.groupBy("row").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     joined = F.expr("""aggregate(s, cast(array() as array<struct<start:bigint,end:bigint>>), (a, x) ->
         if(size(a) > 0 and element_at(a, -1).end >= x.start,
            concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end)))),
            concat(a, array(named_struct('start', x.start, 'end', x.end)))))""")
-    out = met.withColumn("spans", joined)
+    out = met.withColumn("spans", joined).join(rows_of, "row").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     return out.select("doc_id", "n_words", F.expr("aggregate(spans, 0L, (a, x) -> a + x.end - x.start)").alias("n_hit"), "items", "spans")

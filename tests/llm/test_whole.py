@@ -54,3 +54,15 @@ def test_neighbours_of_every_query(spark, n, norms):
     assert all({r for r, _ in v} == set(range(1, size + 1)) and len({i for _, i in v}) == size for v in got.values())
     if n <= 20:
         assert [i for _, i in sorted(got[0])] == [i for i in np.lexsort((np.arange(n), -(x @ x[0]))).tolist() if i != 0]
+
+
+def test_decontamination_by_row_in_any_number_of_blocks(spark, monkeypatch):
+    bench = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(6)], "item_id long, text string")
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(15))
+    rows = [(1, text(0)), (1, text(0)), (1, "clean words only"), (1, text(3) + " more"), (None, text(1)), (None, "clean"), (None, None), (2, ""), (2, None), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for limit in (1 << 24, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", limit)
+        found.append(sorted(str((r.doc_id, r.n_words, r.n_hit, r["items"], r.spans, r.contaminated)) for r in decontaminate.benchmark_hits(docs, bench).collect()))
+    assert len(found[0]) == len(rows) and found[0] == found[1]
