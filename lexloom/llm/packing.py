@@ -210,7 +210,8 @@ def pack(pieces: DataFrame) -> DataFrame:
     """Pieces with sequence_id and offset: hierarchical best-fit packing into sequences of ROOM tokens.
 
     Each task packs its own pieces best-fit decreasing. Bins that lack more than SLACK tokens go on as items (bin, fill) to
-    a round of fewer tasks, FAN_IN bins for each, until one task's bins are left; the last round merges those. A round
+    a round of fewer tasks, FAN_IN bins for each, until one task's bins are left; the last round merges those. If a round
+    leaves more bins than that and merged less than a tenth, bins don't fit each other and it is the last. A round
     moves 16 bytes a bin, and bins that are full enough stay where they are.
     """
     spark = pieces.sparkSession
@@ -228,7 +229,9 @@ def pack(pieces: DataFrame) -> DataFrame:
             break
         under = merged.where("bin = into").select("bin", "fill").where(F.col("fill") < ROOM - SLACK)
         m = under.count()
-        n = m if m < 0.9 * n else min(m, FAN_IN)
+        if m > FAN_IN and m >= 0.9 * n:
+            break
+        n = m
     moved = packed.withColumn("base", F.lit(0).cast("long"))
     for merged in rounds:
         step = merged.select("bin", "into", F.col("base").alias("more")).where("bin <> into or more > 0")

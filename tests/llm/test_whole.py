@@ -66,3 +66,17 @@ def test_decontamination_by_row_in_any_number_of_blocks(spark, monkeypatch):
         monkeypatch.setattr(decontaminate, "BLOCK_BYTES", limit)
         found.append(sorted(str((r.doc_id, r.n_words, r.n_hit, r["items"], r.spans, r.contaminated)) for r in decontaminate.benchmark_hits(docs, bench).collect()))
     assert len(found[0]) == len(rows) and found[0] == found[1]
+
+
+def test_packing_rounds_keep_to_their_fan_in(spark, monkeypatch):
+    monkeypatch.setattr(packing, "FAN_IN", 50)
+    real = packing._merge
+
+    def bounded(frames):
+        own = list(frames)
+        assert sum(f.num_rows for f in own) <= 100
+        yield from real(iter(own))
+
+    monkeypatch.setattr(packing, "_merge", bounded)
+    pieces = spark.createDataFrame([(i, 0, 0, 1100 + i % 7, 0) for i in range(400)], "doc_id long, piece long, start long, length long, ids_crc32 long")
+    assert len({r.sequence_id for r in packing.pack(pieces).collect()}) == 400
