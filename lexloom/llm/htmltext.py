@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -11,84 +11,168 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 # Element names by what they mean for text.
-SKIPPED = frozenset("script style noscript template svg math iframe object select textarea button title".split())
+RAW = frozenset("script style iframe textarea title noembed noframes xmp".split())
+SKIPPED = frozenset("noscript template svg math object select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Parts that are not the article, by element and by words of class, id and role.
 ASIDE = frozenset("nav footer aside form header menu dialog".split())
-_BAD = re.compile(r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer\w*|header|masthead|comments?|reply|replies|disqus|respond|notice\w*|cookies?|consent|gdpr|alert|newsletter|subscribe\w*|signup|login|share|sharing|social|related|recommend\w*|popup|modal|widget\w*|toolbar|pagination|pager|copyright|legal|disclaimer|complementary|search|skip|tags?|outbrain|taboola)(?:$|[\s_-])")
+PROSE = frozenset("h1 h2 h3 p blockquote pre".split())
+#: Words of class, id and role: names of parts that are hardly ever an article's, names that are also used inside one, and names of the article.
+_STRONG = re.compile(r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer\w*|masthead|comments?|commentlist|replies|disqus|cookies?|consent|gdpr|newsletter|subscribe\w*|signup|login|share|sharing|related|recommend\w*|popup|modal|widget\w*|pagination|pager|complementary|contentinfo|outbrain|taboola)(?:$|[\s_-])")
+_WEAK = re.compile(r"(?:^|[\s_-])(?:header|reply|respond|notice\w*|alert|social|toolbar|copyright|legal|disclaimer|search|skip|tags?|privacy|byline|meta)(?:$|[\s_-])")
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article\w*|main\w*|content|post|entry|body|story|text)(?:$|[\s_-])")
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[^\s/>=][^\s/>=]*")
+_GAP = re.compile(r"[\s/]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
 _SPACE = re.compile(r"[\s\x00]+")
-_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in SKIPPED}
 
-#: Costs are whole numbers. NEAR ties neighbours in page order, TREE blocks of one parent.
-NEAR, TREE = 6, 4
-#: Blocks of a page that are cut as one graph; longer pages are cut in overlapping stretches of so many, whose middle counts.
-STRETCH, OVERLAP = 400, 60
+#: Open elements that are told apart; deeper ones belong to the last of them.
+DEPTH = 400
+#: The classifier: log-odds of content, in whole numbers, by feature of a block. None of them settles a block alone.
+ARTICLE, OUTSIDE, GOOD, HEADING = 16, -24, 14, 8
+ELEMENT, STRONG, WEAK, HIDDEN = -64, -64, -12, -64
+WORDS, MARK, LINKED, FEW = 20, 6, -30, -6
+#: What it costs to part two blocks: NEAR for neighbours in page order and TREE for the next block of the same parent, divided
+#: by the square of the steps between them in the document's tree (2 for siblings).
+NEAR, TREE = 48, 24
 
 
 class Block:
-    __slots__ = ("text", "words", "linked", "parent", "aside", "main", "path", "name")
+    """text; linked: characters of links; name of its element; path: numbers of its ancestors from the root; evidence: what its ancestors say."""
 
-    def __init__(self, text: str, linked: int, parent: int, aside: bool, main: bool, path: tuple, name: str) -> None:
-        self.text, self.linked, self.parent, self.aside, self.main, self.path, self.name = text, linked, parent, aside, main, path, name
-        self.words = text.count(" ") + 1
+    __slots__ = ("text", "linked", "name", "path", "evidence", "article")
+
+    def __init__(self, text: str, linked: int, name: str, path: tuple[int, ...], evidence: int, article: bool) -> None:
+        self.text, self.linked, self.name, self.path, self.evidence, self.article = text, linked, name, path, evidence, article
+
+
+class Scanner:
+    """Tags of a page, each character seen a bounded number of times."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.low, self.missing = page, page.lower() if page.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), page), set()
+
+    def find(self, what: str, at: int, low: bool = False) -> int:
+        """Where a string is from a place on, or -1; a string that was once not found further on is not sought again."""
+        if what in self.missing:
+            return -1
+        found = (self.low if low else self.page).find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def attributes(self, at: int) -> tuple[int, dict[str, str], bool]:
+        """What follows a tag's name: the place behind its >, or -1 if the page ends first, its attributes, and whether it closes itself."""
+        page, end, own = self.page, len(self.page), {}
+        while True:
+            gap = _GAP.match(page, at)
+            at = gap.end()
+            if at >= end:
+                return -1, own, False
+            if page[at] == ">":
+                return at + 1, own, gap[0].endswith("/")
+            name = _ATTRIBUTE.match(page, at)
+            if not name:  # a stray =
+                at += 1
+                continue
+            at = name.end()
+            value = ""
+            if (e := _EQUALS.match(page, at)) and e.end() < end:
+                at = e.end()
+                quote = page[at]
+                close = self.find(quote, at + 1) if quote in "\"'" else -1
+                if close >= 0:
+                    value, at = page[at + 1 : close], close + 1
+                else:
+                    m = _BARE.match(page, at)
+                    value, at = m[0], m.end()
+            own.setdefault(name[0].lower(), value)
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in its order, white space made one space, with what their ancestors say about them."""
+    """Text blocks of a page in its order, white space made one space, with what their ancestors say about them.
+
+    An element's class words say nothing if it holds an article, main or body element.
+    """
+    scan = Scanner(page)
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]  # name, number, aside, main, link
+    # Open elements: name, number, in a link, in an article, numbers of the ancestors.
+    stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = [("", 0, False, False, (0,))]
+    opened: Counter[str] = Counter()
+    said: dict[int, int] = {}  # evidence by number of the element
     parts: list[tuple[str, bool]] = []
     number = at = 0
     end = len(page)
 
     def close() -> None:
         if parts:
-            text = _SPACE.sub(" ", unescape("".join(p for p, _ in parts))).strip()
+            text = _SPACE.sub(" ", "".join(unescape(p) for p, _ in parts)).strip()
             if text:
                 linked = sum(len(p) for p, a in parts if a)
-                name, num, aside, main, _ = next((s for s in reversed(stack) if s[0] in BLOCKS), stack[0])
-                out.append(Block(text, linked, num, aside or stack[-1][2], main, tuple(s[1] for s in stack[-4:]), name))
+                i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCKS), 0)
+                out.append(Block(text, linked, stack[i][0], stack[-1][4], 0, stack[-1][3]))
             parts.clear()
 
     def pop_to(index: int) -> None:
+        opened.subtract(s[0] for s in stack[index:])
         del stack[index:]
 
     while at < end:
-        m = _TAG.search(page, at)
-        if not m:
-            parts.append((page[at:], stack[-1][4]))
+        tag = page.find("<", at)
+        if tag < 0:
+            tag = end
+        if tag > at:
+            parts.append((page[at:tag], stack[-1][2]))
+        if tag == end:
             break
-        if m.start() > at:
-            parts.append((page[at : m.start()], stack[-1][4]))
-        at = m.end()
-        name = (m[3] or "").lower()
-        if m[1] is not None:
-            parts.append((m[1], stack[-1][4]))
-        if not name:
+        at = tag + 1
+        after = page[at : at + 1]
+        if page.startswith("!--", at):
+            done = scan.find("-->", at)
+            at = done + 3 if done >= 0 else end
+            continue
+        if page.startswith("![CDATA[", at):
+            done = scan.find("]]>", at)
+            parts.append((page[at + 8 : done if done >= 0 else end], stack[-1][2]))
+            at = done + 3 if done >= 0 else end
+            continue
+        if after in ("!", "?"):
+            done = scan.find(">", at)
+            at = done + 1 if done >= 0 else end
+            continue
+        ending = after == "/"
+        m = _NAME.match(page, at + ending)
+        if not m:
+            parts.append(("<", stack[-1][2]))
             continue
-        if m[2]:
+        name = m[0].lower()
+        at, own, itself = scan.attributes(m.end())
+        if at < 0:
+            break  # the page ends in a tag
+        if ending:
             if name in BLOCKS:
                 close()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    pop_to(i)
-                    break
-                if stack[i][0] in ("article", "body", "td", "table") and name not in ("body", "html", "table", "article", "main"):
-                    break
+            if opened[name]:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] == name:
+                        pop_to(i)
+                        break
+                    if stack[i][0] in ("article", "body", "td", "table") and name not in ("body", "html", "table", "article", "main"):
+                        break
             continue
-        if name in SKIPPED:
-            done = _ENDS[name].search(page, at)
-            at = done.end() if done else end
-            if name in ("button", "select", "textarea"):
-                parts.append((" ", False))
+        if name in RAW or name in SKIPPED:
+            done = scan.find(f"</{name}", at, low=True)
+            if done >= 0:
+                done = scan.find(">", done)
+                at = done + 1 if done >= 0 else end
+            elif name in RAW:
+                at = end
+            parts.append((" ", False))
             continue
         if name == "br":
-            parts.append((" ", stack[-1][4]))
+            parts.append((" ", stack[-1][2]))
             continue
         if name in BLOCKS:
             close()
@@ -99,30 +183,66 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i][0] in BLOCKS:
                     break
-        if name in VOID or m[4].endswith("/"):
+        if name in VOID or itself or len(stack) >= DEPTH:
             continue
         number += 1
-        said = " ".join(x or y or z for x, y, z in _ATTR.findall(m[4])).lower() if m[4] else ""
-        _, _, aside, main, link = stack[-1]
-        is_main = name in ("article", "main") or bool(said and _GOOD.search(said))
-        bad = bool(said and _BAD.search(said)) and name not in ("html", "body", "article", "main") or name in ASIDE and not (name == "header" and main) or bool(m[4] and _HIDDEN.search(m[4]))
-        stack.append((name, number, aside or bad, main or is_main, link or name == "a"))
+        _, _, link, article, path = stack[-1]
+        words = " ".join(own[x] for x in ("class", "id", "role") if x in own).lower()
+        evidence = 0
+        if name in ("article", "main", "body", "html") or own.get("role", "").lower() in ("main", "article"):
+            if name in ("article", "main") or own.get("role"):
+                for n in path:  # what holds an article is no part beside it
+                    said.pop(n, None)
+                article = True
+        else:
+            if words:
+                evidence += STRONG * bool(_STRONG.search(words)) + WEAK * bool(_WEAK.search(words)) + GOOD * bool(_GOOD.search(words))
+            if name in ASIDE and not (name == "header" and article):
+                evidence += ELEMENT
+            if "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").lower().replace(" ", ""):
+                evidence += HIDDEN
+        if evidence:
+            said[number] = evidence
+        stack.append((name, number, link or name == "a", article, (*path, number)))
+        opened[name] += 1
     close()
+    for b in out:
+        all_ = [said[n] for n in b.path if n in said]
+        b.evidence = min(0, *all_) + max(0, *all_) if all_ else 0
     return out
 
 
-def costs(b: Block) -> tuple[int, int]:
-    """What it costs to call a block boilerplate, and to call it content: whole numbers from a few features."""
-    density = b.linked / max(1, len(b.text))
-    content = min(40, b.words) // 2 + (4 if b.text[-1:] in ".!?…:;\"»”" else 0)
-    boiler = int(24 * density) + (6 if b.words < 4 else 0)
-    if b.main:
-        content += 30
-    if b.name in ("h1", "h2", "h3", "p", "blockquote", "pre"):
-        content += 8
-    if b.aside:
-        boiler += 200
-    return content, boiler
+def scores(own: list[Block]) -> list[int]:
+    """Log-odds of content of each block from its features; those of an article's blocks only count where a page marks one."""
+    marked = any(b.article for b in own)
+    out = []
+    for b in own:
+        words = b.text.count(" ") + 1
+        s = b.evidence + min(2 * WORDS, words) // 2 + FEW * (words < 4) + MARK * (b.text[-1] in ".!?…:;\"»”") + HEADING * (b.name in PROSE)
+        s += int(LINKED * min(1.0, b.linked / len(b.text)))
+        out.append(s + (ARTICLE if b.article else OUTSIDE) * marked)
+    return out
+
+
+def edges(own: list[Block]) -> list[tuple[int, int, int]]:
+    """(a, b, capacity): neighbours in page order, and the next block of the same parent, tied by how near they are in the tree."""
+
+    def steps(a: tuple[int, ...], b: tuple[int, ...]) -> int:
+        same = 0
+        for x, y in zip(a, b):
+            if x != y:
+                break
+            same += 1
+        return len(a) + len(b) - 2 * same
+
+    out = [(i, i + 1, NEAR // max(1, steps(own[i].path, own[i + 1].path)) ** 2) for i in range(len(own) - 1)]
+    last: dict[int, int] = {}
+    for i, b in enumerate(own):
+        parent = b.path[-2] if len(b.path) > 1 else 0
+        if parent in last and last[parent] < i - 1:
+            out.append((last[parent], i, TREE // max(1, steps(own[last[parent]].path, b.path)) ** 2))
+        last[parent] = i
+    return [e for e in out if e[2]]
 
 
 def minimum_cut(n: int, terminal: list[tuple[int, int]], edges: list[tuple[int, int, int]]) -> list[bool]:
@@ -189,31 +309,15 @@ def minimum_cut(n: int, terminal: list[tuple[int, int]], edges: list[tuple[int,
                 break
 
 
-def _label(own: list[Block]) -> list[bool]:
-    edges = [(i, i + 1, NEAR) for i in range(len(own) - 1) if own[i].aside == own[i + 1].aside]
-    last: dict[int, int] = {}
-    for i, b in enumerate(own):
-        if b.parent in last and last[b.parent] < i - 1:
-            edges.append((last[b.parent], i, TREE))
-        last[b.parent] = i
-        up = b.path[-2] if len(b.path) > 1 else -1
-        if (near := last.get(-1 - up)) is not None and near < i - 1:
-            edges.append((near, i, TREE // 2))
-        last[-1 - up] = i
-    return minimum_cut(len(own), [costs(b) for b in own], edges)
+def labels(own: list[Block]) -> list[bool]:
+    """Which blocks are content: the whole page is one graph, whose minimum cut weighs the classifier against the edges."""
+    return minimum_cut(len(own), [(max(0, s), max(0, -s)) for s in scores(own)], edges(own))
 
 
 def extract(page: str) -> str:
-    """The main text of a page: its content blocks, joined by one space. Blocks of parts that are marked as something else,
-    or that are links for the most part, cost more as content; a maximum flow finds the labels of least cost."""
+    """The main text of a page: its content blocks, joined by one space."""
     own = blocks(page)
-    keep: list[bool] = []
-    while len(keep) < len(own):
-        a = max(0, len(keep) - OVERLAP)
-        labels = _label(own[a : a + STRETCH])
-        done = len(labels) if a + STRETCH >= len(own) else len(labels) - OVERLAP
-        keep += labels[len(keep) - a : done]
-    return " ".join(b.text for b, k in zip(own, keep, strict=True) if k)
+    return " ".join(b.text for b, k in zip(own, labels(own), strict=True) if k)
 
 
 def _extract(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +331,13 @@ def _extract(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per page: page_id, url, text (empty if there is none), n_chars (its code points).
 
+    A page's blocks are nodes. A linear classifier of their features (length, marks, share of links, element, what the elements
+    and the words of class, id and role around them say) gives their capacities from the source or to the sink; neighbours
+    in the page and in its tree are tied by edges; the blocks on the source's side of a minimum cut are the text.
+
     Null and empty pages have no text. Comments, scripts, styles and markup are no text; character references are decoded;
-    a `<` that begins no tag is text. Repeated rows and null ids are kept; other columns are left out. Nothing is shuffled.
+    a `<` that begins no tag is text; a tag in which the page ends is dropped. Repeated rows and null ids are kept; other
+    columns are left out, whatever their names. An empty table gives an empty result. Nothing is shuffled.
     """
     source = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
     return source.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

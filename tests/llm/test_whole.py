@@ -1,12 +1,13 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
 
-from lexloom.llm import decontaminate, licenses, neighbours, packing, pii, quality
+from lexloom.llm import decontaminate, htmltext, licenses, neighbours, packing, pii, quality
 from lexloom.llm import textcore as tc
 
 
@@ -80,3 +81,30 @@ def test_packing_rounds_keep_to_their_fan_in(spark, monkeypatch):
     monkeypatch.setattr(packing, "_merge", bounded)
     pieces = spark.createDataFrame([(i, 0, 0, 1100 + i % 7, 0) for i in range(400)], "doc_id long, piece long, start long, length long, ids_crc32 long")
     assert len({r.sequence_id for r in packing.pack(pieces).collect()}) == 400
+
+
+def test_the_cut_decides_between_neighbours():
+    link = "<article><p>Some text stands here.</p><p><a href=x>link</a></p><p>And more text, as it is.</p></article>"
+    own = htmltext.blocks(link)
+    assert [s > 0 for s in htmltext.scores(own)] == [True, False, True] and htmltext.labels(own) == [True, True, True]
+    assert htmltext.extract("<nav>" + link[9:-10] + "</nav><article><p>A</p></article>") == "A"
+
+
+def test_class_words_settle_nothing_alone():
+    assert htmltext.extract('<div class="post social-history"><h1>A</h1><p>Some text here that is long.</p></div>') == "A Some text here that is long."
+    assert htmltext.extract('<article><p>Some text here.</p><p class="legal">Legal text is kept.</p></article>') == "Some text here. Legal text is kept."
+    assert htmltext.extract("<p class=it's>Hello there, this is a text.</p><p>More of it is here.</p>") == "Hello there, this is a text. More of it is here."
+    comments = '<section class="comments"><p>I like this article a lot, thank you so much for writing it, all the best.</p></section>'
+    assert htmltext.extract(f'<div class="social"><article><p>Text.</p><div class="ad">Buy this thing now.</div><aside><p>See also this.</p></aside>{comments}</article></div>') == "Text."
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a x="', "<!--", "<div>", "<b>", "<button>", "<p class='", "<td></p>", "<script>", "<p a=b", "<li>a<ul>", "<p>word here. ", "<a href=x>y</a> "])
+def test_any_page_takes_linear_time(part):
+    began = time.process_time()
+    htmltext.extract(part * (60_000 // len(part)) + "</i>" * 10_000)
+    assert time.process_time() - began < 1.5
+
+
+def test_whole_pages_in_one_graph():
+    page = "<article>" + "".join(f"<p>Word {i} here.</p>" for i in range(3000)) + "</article><footer>No.</footer>"
+    assert htmltext.extract(page) == " ".join(f"Word {i} here." for i in range(3000))
