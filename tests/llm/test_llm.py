@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexloom.llm import components, decontaminate, fmindex, htmltext, licenses, minhash, neighbours, packing, pii, quality, substrings, warc
 from lexloom.llm import textcore as tc
@@ -255,13 +256,119 @@ def test_tokenizer_odd_texts():
     assert [np.array(e.ids, "<u4").tobytes() for e in t.whole.encode_batch(odd, add_special_tokens=False)] == t.encode(odd)
 
 
-def test_kneser_ney_sums_to_one(spark):
-    rnd = np.random.default_rng(4)
-    code = rnd.integers(0, 5, (400, 4)) @ np.array([48**3, 48**2, 48, 1])
-    counts = Counter(code.tolist())
-    model = quality.fit(spark.createDataFrame([("x", int(c), int(n)) for c, n in counts.items()], "lang string, code long, n long"))
-    p = 2.0 ** quality._dense(quality._model(model.drop("lang").toArrow())).reshape(-1, 48)
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-3)
+TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def brute_tokens(text):
+    """(tokens, repetitions) by the definition: a token is its lower case and whether it is in capitals."""
+    out, repeats, last = [], 0, None
+    for w in re.findall(r"[^\x20\x09-\x0D]+", text):
+        if low(w) == last:
+            repeats += 1
+            continue
+        last = low(w)
+        out += [(low(t), not re.search("[a-z]", t) and len(re.findall("[A-Z]", t)) > 1) for t in TOKEN.findall(w)]
+    return out, repeats
+
+
+def brute_model(train, hash_of):
+    """Probability of a word after two others, from plain counts of n-grams by context."""
+    count = Counter(t for own, _ in train for t in own)
+    rank = {t: i for i, (t, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], hash_of(x[0])))) if i < quality.CONTEXTS}
+    hot = lambda t: rank.get(t, quality.HOT) < quality.HOT
+
+    def classes(a, b):
+        last = b if b in rank else None
+        return last, (a if hot(a) else None, b) if last is not None and hot(b) else None
+
+    three, two, one = Counter(), Counter(), Counter()
+    plain = Counter()
+    for own, _ in train:
+        for a, b, w in zip([None, None, *own], [None, *own], own):
+            last, pair = classes(a, b)
+            plain[last, w] += 1
+            if pair:
+                three[pair, w] += 1
+    for (pair, w) in three:
+        two[pair[1], w] += 1
+    for last, w in plain:
+        one[w] += 1
+
+    def discounts(values):
+        n = Counter(values)
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0
+        raw = [i - (i + 1) * y * n[i + 1] / n[i] if n[i] else 0 for i in (1, 2, 3)]
+        return [0, *(r if 0 < r < i else 0.5 * i for i, r in enumerate(raw, 1))]
+
+    single = {k: n for k, n in plain.items() if k[0] is None or not hot(k[0])}
+    d3, d2, d1, d4 = (discounts(x.values()) for x in (three, two, one, single))
+
+    def level(counts, d):
+        total, left = Counter(), Counter()
+        for (c, w), n in counts.items():
+            total[c] += n
+            left[c] += d[min(n, 3)]
+        return lambda c, w, lower: (counts.get((c, w), 0) - d[min(counts.get((c, w), 0), 3)]) / total[c] + left[c] / total[c] * lower if total[c] else lower
+
+    by3, by2, by4, by1 = level(three, d3), level(two, d2), level(single, d4), level({((), w): n for w, n in one.items()}, d1)
+
+    def p(a, b, w):
+        last, pair = classes(a, b)
+        q = by1((), w, 1 / (len(count) + 1))
+        q = by2(last, w, q) if pair else by4(last, w, q)
+        return by3(pair, w, q) if pair else q
+
+    return p, count
+
+
+def test_kneser_ney_by_definition(spark):
+    rnd = random.Random(4)
+    vocabulary = ["".join(rnd.choice("abcdefgéß") for _ in range(rnd.randint(2, 7))) for _ in range(14_000)]
+    weights = [1 / (i + 60) for i in range(len(vocabulary))]
+    rows = []
+    for i in range(260):
+        words = rnd.choices(vocabulary, weights, k=rnd.randint(1, 260))
+        words = [rnd.choice([w, w, w, w.title(), w + ".", w.upper() + "!!", f"{w} {w}"]) for w in words]
+        rows.append((i, "".join(w + rnd.choice(" \n") for w in words), rnd.choice(["en", "de"])))
+    rows += [(1000, "neverseen WORDS here, %%% at all", "en"), (1001, "x", "fr"), (1002, "a\x00b \x07", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(260)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    held = {r.doc_id for r in docs.selectExpr("doc_id", f"pmod(xxhash64(text), {quality.HELD}) = 0 h").where("h").collect()} & set(range(260))
+    own = {i: brute_tokens(t) for i, t, _ in rows}
+    train = [own[i] for i in range(260) if i not in held]
+
+    def hash_of(t):
+        return quality.tokens([(t[0].upper() if t[1] else t[0]).encode()])[0].view(np.int64)[0]
+
+    p, count = brute_model(train, hash_of)
+    assert len(count) > quality.CONTEXTS
+    for context in ((None, None), *list(zip(train[0][0], train[0][0][1:]))[:6]):
+        assert abs(sum(p(*context, w) for w in [*count, "never"]) - 1) < 1e-9
+    repeats, total = sum(r for _, r in train), sum(count.values())
+    r, stay = np.log2((total + repeats + 2) / (repeats + 1)), np.log2((total + repeats + 2) / (total + 1))
+    bits = {i: len(o) * stay + n * r - sum(np.log2(p(a, b, w)) for a, b, w in zip([None, None, *o], [None, *o], o)) for i, (o, n) in own.items()}
+    low_ = lambda v, q: sorted(v)[max(0, int(np.ceil(q * len(v))) - 1)]
+    lang = {i: x for i, _, x in rows}
+    for use in ("en", "de", "fr"):
+        calibrated = [i for i in held if lang[i] == use] or list(held)
+        middle = low_([bits[i] / len(own[i][0]) for i in calibrated], 0.5)
+        s = lambda i: (bits[i] + quality.PRIOR * middle) / (len(own[i][0]) + quality.PRIOR)  # noqa: E731, B023
+        limit = low_([s(i) for i in calibrated], quality.UPPER) + quality.MARGIN
+        for i in (i for i in own if lang[i] == use):
+            assert abs(np.log2(got[i].perplexity) - s(i)) < 1e-3 and abs(np.log2(got[i].threshold) - limit) < 1e-3, (i, use)
+            assert got[i].n_words == len(own[i][0]) and got[i].kept == (s(i) <= limit)
+
+
+def test_quality_of_odd_tables(spark, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
+    rows = [(1, "Good words are here, all of them. " * 5 + str(i), "en", "x") for i in range(9)] + [(None, "Good words here.", None, "x"), (3, None, "en", "x"), (3, None, "en", "x"), (4, "   ", "de", "x"), (5, "w " * 200_000 + "z" * 300_000, "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, word string").withColumn("held", F.lit("y")).withColumn("kind", F.lit(3))
+    got = quality.quality(docs, labels).collect()
+    assert len(got) == len(rows) and sorted(r.kept for r in got if r.doc_id in (3, 4)) == [False] * 3
+    assert all(r.kept for r in got if r.doc_id in (1, None)) and [r.n_words for r in got if r.doc_id == 5] == [2]
+    assert quality.quality(empty, labels).count() == 0
+    assert quality.quality(docs.where("false"), labels.where("false")).count() == 0
 
 
 def test_quality(spark):
