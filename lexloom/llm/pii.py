@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexloom.llm.store import keep
+from lexloom.llm.store import keep, row_key
 
-#: Kinds in their order; `term` is the kind of the spans that co-occurrence adds.
-KINDS = ("email", "ip", "card", "phone", "term")
+#: Kinds in their order. The method's own are secrets, which carry much information in themselves, and terms, which
+#: co-occurrence shows to reveal protected entities.
+KINDS = ("email", "ip", "card", "phone", "secret", "term")
 #: What a document must hold for its kind's pattern to be tried, and the pattern. Runs are taken whole and never given
 #: back, and an attempt starts at a run's beginning or where the last match ended, so that long runs take linear time.
 PATTERNS = {
@@ -15,6 +16,7 @@ PATTERNS = {
     "ip": (r"{t} rlike r'[0-9]\.[0-9]'", r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"),
     "card": (r"{t} rlike r'[0-9](?:[\x20-]?[0-9]){{13}}'", r"[0-9](?:[\x20-]?[0-9]){13,}+"),
     "phone": (r"{t} rlike r'\+[0-9]'", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    "secret": (r"{t} rlike r'[A-Za-z0-9_]{{24}}'", r"(?:(?<![A-Za-z0-9_])|\G)[A-Za-z0-9_]{24,}+"),
 }
 _DIGITS = "regexp_replace(m, '[^0-9]', '')"
 #: When a match m counts.
@@ -26,27 +28,48 @@ VALID = {
              when substr({_DIGITS}, -i, 1) > '4' then 2 * cast(substr({_DIGITS}, -i, 1) as int) - 9
              else 2 * cast(substr({_DIGITS}, -i, 1) as int) end) % 10 = 0 else false end""",
     "phone": f"length({_DIGITS}) between 10 and 15",
+    # Letters and digits, and at least three bits a character by the string's own frequencies.
+    "secret": f"""length({_DIGITS}) >= 4 and length(m) - length({_DIGITS}) >= 4 and aggregate(array_distinct(split(m, '')), 0.0D,
+        (a, c) -> a - (length(m) - length(replace(m, c, ''))) * log2((length(m) - length(replace(m, c, ''))) / length(m)) / length(m)) >= 3.0""",
 }
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-#: Words on either side of an entity that count as near it, within so many characters.
-NEAR, REACH = 6, 120
+#: Words on either side of an entity that count as near it, up to the next entity of its kind and within so many characters; a word
+#: that this cuts is left out.
+NEAR, REACH = 6, 240
 #: A term reveals an entity if it stands near it in so many different contexts, in at least this share of the distinct
-#: texts that hold the term, and if they meet so many bits more often than by chance.
-CONTEXTS, DISCLOSURE, BITS = 3, 0.5, 6.0
+#: texts that hold the term (so that it tells all but one bit of what the entity itself tells), and if they meet so many bits
+#: more often than by chance.
+CONTEXTS, DISCLOSURE, BITS = 3, 0.5, 3.0
 #: Bits of the filter through which the corpus' words pass before they are counted: of fixed size, it may let more pass.
 FILTER_BITS = 1 << 20
+#: Items that are summed up together: sums over an array are made of sums of so many.
+STEP = 128
 
 _SPAN = "struct<start:int,kind:int,end:int>"
+_FOUND = "struct<start:int,kind:int,end:int,m:string,before:string,after:string>"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for body with a name for value, which is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _running(lengths: str) -> str:
+    """SQL for the sums of all items before each item of an array that has a name."""
+    steps = f"transform(sequence(0, cast(greatest(0, size({lengths}) - 1) div {STEP} as int)), c -> aggregate(slice({lengths}, c * {STEP} + 1, {STEP}), 0, (a, y) -> a + y))"
+    blocks = _let("totals", steps, "transform(totals, (y, c) -> named_struct('c', c, 'off', aggregate(slice(totals, 1, c), 0, (a, z) -> a + z)))")
+    return f"flatten(transform({blocks}, b -> transform(slice({lengths}, b.c * {STEP} + 1, {STEP}), (y, j) -> b.off + aggregate(slice({lengths}, b.c * {STEP} + 1, j), 0, (a, z) -> a + z))))"
 
 
 def _spans(text: str, pattern: str, kind: int, valid: str = "true") -> str:
-    """SQL for the spans of a pattern: lengths of what stands between matches, and of the matches, are summed up."""
-    return f"""filter(aggregate(
-        arrays_zip(transform(split({text}, {pattern}, -1), p -> length(p)), regexp_extract_all({text}, {pattern}, 0)),
-        named_struct('at', 0, 'out', cast(array() as array<struct<start:int,kind:int,end:int,m:string>>)),
-        (a, x) -> named_struct('at', a.at + x['0'] + coalesce(length(x['1']), 0), 'out', if(x['1'] is null, a.out,
-            concat(a.out, array(named_struct('start', a.at + x['0'], 'kind', {kind}, 'end', a.at + x['0'] + length(x['1']), 'm', x['1']))))),
-        a -> a.out), s -> {valid.replace("(m", "(s.m") if valid != "true" else "true"})"""
+    """SQL for the valid matches of a pattern, with the text on either side up to the next match: places are running sums of the
+    lengths of what stands between matches, and of the matches."""
+    made = f"""transform(sequence(1, size(p.m)), i -> named_struct('start', element_at(at, 2 * i), 'kind', {kind}, 'end', element_at(at, 2 * i + 1),
+        'm', element_at(p.m, i), 'before', element_at(p.g, i), 'after', element_at(p.g, i + 1)))"""
+    lengths = "transform(sequence(0, 2 * size(p.m)), i -> length(if(i % 2 = 0, element_at(p.g, shiftright(i, 1) + 1), element_at(p.m, shiftright(i + 1, 1)))))"
+    placed = _let("n", lengths, _let("at", _running("n"), made))
+    found = _let("p", f"named_struct('g', split({text}, {pattern}, -1), 'm', regexp_extract_all({text}, {pattern}, 0))", f"if(size(p.m) = 0, cast(array() as array<{_FOUND}>), {placed})")
+    return f"filter({found}, s -> {_let('m', 's.m', valid)})"
 
 
 def _text(items: Column) -> Column:
@@ -55,11 +78,10 @@ def _text(items: Column) -> Column:
 
 
 def base_spans(text: str = "text") -> Column:
-    """Array of (start, kind, end, m) of the four fixed kinds: code points, end exclusive; m is what was matched."""
+    """Array of (start, kind, end, m, before, after) of the kinds of PATTERNS: code points, end exclusive; m is what was matched."""
     parts = []
     for number, (kind, (when, pattern)) in enumerate(PATTERNS.items()):
-        none = "cast(array() as array<struct<start:int,kind:int,end:int,m:string>>)"
-        parts.append(f"if({when.format(t=text)}, {_spans(text, _literal(pattern), number, VALID[kind])}, {none})")
+        parts.append(f"if({when.format(t=text)}, {_spans(text, _literal(pattern), number, VALID[kind])}, cast(array() as array<{_FOUND}>))")
     return F.expr(f"concat({', '.join(parts)})")
 
 
@@ -67,64 +89,71 @@ def _literal(pattern: str) -> str:
     return "r'" + pattern + "'"
 
 
-def _terms_of(base: DataFrame, source: DataFrame) -> DataFrame:
-    """(entity, terms): terms whose co-occurrence in the corpus reveals a protected entity."""
-    near = base.select("entity", "content", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"), F.xxhash64("before", "after").alias("context"))
+def _terms_of(entities: DataFrame, source: DataFrame) -> DataFrame:
+    """(entity, term): terms whose co-occurrence in the corpus reveals a protected entity."""
+    near = entities.select("entity", "content", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"), F.xxhash64("before", "after").alias("context"))
     near = near.where("length(term) >= 3 and not term rlike '^[0-9]+$'")
     # Contexts only support a pair; n, df, ef and total all count distinct texts, so that copies change none of them.
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("content").alias("n")).where(F.col("contexts") >= CONTEXTS)
     pairs = keep(pairs, "terms")
     place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
-    filter_ = pairs.select(place.alias("p")).distinct().groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
-    # A map of FILTER_BITS / 64 numbers at most: the only thing that goes to all tasks.
-    filter_ = keep(filter_.agg(F.map_from_entries(F.collect_list(F.struct("i", "w"))).alias("bits")), "filter")
+    some = pairs.select(place.alias("p")).distinct().groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
+    # An array of FILTER_BITS / 64 numbers: the only thing that goes to all tasks.
+    whole = source.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "i").join(some, "i", "left")
+    filter_ = keep(whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))), lambda x: x["w"]).alias("bits")), "filter")
     words = source.select("content", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower_ascii, r'{WORD}+', 0)"))).alias("term"))
-    bits = filter_.scalar()
-    passed = words.where(F.bit_get(F.coalesce(F.try_element_at(bits, F.shiftright(place, 6)), F.lit(0).cast("long")), place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    bit = F.element_at(filter_.scalar(), F.shiftright(place, 6).cast("int") + 1)
+    passed = words.where(F.bit_get(bit, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
     docs_with = passed.groupBy("term").agg(F.count_distinct("content").alias("df"))
-    entity_docs = base.groupBy("entity").agg(F.count_distinct("content").alias("ef"))
+    entity_docs = entities.groupBy("entity").agg(F.count_distinct("content").alias("ef"))
     total = source.agg(F.count_distinct("content").alias("total"))
     scored = pairs.join(docs_with, "term").join(entity_docs, "entity").withColumn("total", total.scalar())
     strong = scored.where((F.col("n") >= DISCLOSURE * F.col("df")) & (F.log2(F.col("n") * F.col("total") / (F.col("df") * F.col("ef"))) >= BITS))
-    return strong.groupBy("entity").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    return strong.select("entity", "term")
 
 
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, k (a hash of id and text), base (spans of fixed kinds: start, kind, end), found (these and terms).
+    """Per document: doc_id, k (row_key() of id and text), base (spans of fixed kinds: start, kind, end), found (these and the method's).
 
-    Fixed kinds are those of PATTERNS, leftmost and non-overlapping within a kind; matches that fail VALID are dropped.
-    Beside them, terms are found by what the corpus says about them: a term that stands near a protected entity (the
-    value of a fixed span) in CONTEXTS different contexts, in DISCLOSURE of all distinct texts that hold the term, and with
-    BITS of pointwise mutual information, reveals it; it is a span wherever it stands in a document that holds that
-    entity. Near is within NEAR words and REACH characters; terms that only stand further away are not found. All counts
-    are of distinct texts, over the whole corpus; those of terms are of words that pass a filter of fixed size.
+    Fixed kinds are the first four of PATTERNS, leftmost and non-overlapping within a kind; matches that fail VALID are dropped.
+    The method adds secrets, by the information in the string itself, and terms, by what the corpus says about them. Protected
+    entities are the values of all these spans, and their kinds. A term that stands near an entity in CONTEXTS different contexts, in
+    DISCLOSURE of all distinct texts that hold the term, and with BITS of pointwise mutual information, reveals it; it is a span
+    wherever it stands in a document in which it stands near that entity. Near is within NEAR words and REACH characters, and not beyond the next
+    entity of the kind; terms that only stand further away are not found. All counts are of distinct texts, over the whole
+    corpus; those of terms are of words that pass a filter of fixed size.
 
     Kinds in spans are numbers in the order of KINDS. Null texts are empty and have no spans; rows of null or repeated ids
-    are kept as they are; other columns are left out; an empty table gives an empty result.
+    are kept as they are; other columns are left out, whatever their names; an empty table gives an empty result.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    source = source.withColumn("k", F.xxhash64("doc_id", "text"))
-    base = keep(source.select("doc_id", "k", base_spans().alias("b"), "text").select("doc_id", "k", F.xxhash64("text").alias("content"), "b", _contexts().alias("entities")), "base")
+    source = source.withColumn("k", row_key("doc_id", "text"))
+    base = keep(source.select("doc_id", "k", base_spans().alias("b"), "text").select("doc_id", "k", F.when(F.size("b") > 0, F.unhex(F.md5(F.col("text").cast("binary")))).alias("content"), F.expr("transform(b, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))").alias("b"), _contexts().alias("entities")), "base")
     entities = base.select("k", "content", F.explode("entities").alias("e")).select("k", "content", "e.*")
-    lower = source.select(F.xxhash64("text").alias("content"), F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("lower_ascii"))
+    entities = entities.select("k", "content", F.explode(F.array("entity", "kind")).alias("entity"), "before", "after")
+    lower = source.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("content"), _lower("text").alias("lower_ascii"))
     terms = keep(_terms_of(entities, lower), "revealing")
-    # Few documents as a rule; a larger side than Spark's broadcast limit is joined by a shuffle.
-    flagged = entities.join(terms, "entity").groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"))
+    # Only the words near entities are sought among the terms; a larger side than Spark's broadcast limit is joined by a shuffle.
+    near = entities.select("k", "entity", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
+    flagged = near.join(terms, ["entity", "term"]).groupBy("k").agg(F.sort_array(F.collect_set("term")).alias("terms"))
     marked = source.join(keep(flagged, "flagged"), "k").withColumn("pattern", F.concat(F.lit(f"(?i)(?<!{WORD})(?:"), F.array_join(F.reverse("terms"), "|"), F.lit(f")(?!{WORD})")))
     added = marked.select("k", F.expr(f"transform({_spans('text', 'pattern', len(KINDS) - 1)}, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))").alias("t")).groupBy("k").agg(F.first("t").alias("t"))
     none = F.expr(f"cast(array() as array<{_SPAN}>)")
-    plain = F.expr("transform(b, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))")
-    out = base.join(keep(added, "added"), "k", "left").select("doc_id", "k", plain.alias("base"), "t")
-    return out.select("doc_id", "k", "base", F.array_sort(F.concat("base", F.coalesce("t", none))).alias("found"))
+    out = base.join(keep(added, "added"), "k", "left")
+    return out.select("doc_id", "k", F.filter("b", lambda s: s["kind"] < 4).alias("base"), F.array_sort(F.concat("b", F.coalesce("t", none))).alias("found"))
+
+
+def _lower(text: str) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def _contexts() -> Column:
-    """Entities of a document (entity, before, after) with the words near each."""
+    """Entities of a document (entity, kind, before, after) with the words near each."""
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = f"regexp_extract_all({lower}, r'{WORD}+', 0)"
-    before = words.format(f"substring(text, greatest(1, s.start + 1 - {REACH}), least({REACH}, s.start))")
-    after = words.format(f"substring(text, s.end + 1, {REACH})")
-    return F.expr(f"""transform(b, s -> named_struct('entity', concat(s.kind, ':', lower(s.m)),
+    before = words.format(f"if(length(s.before) > {REACH}, regexp_replace(right(s.before, {REACH}), r'^{WORD}+', ''), s.before)")
+    after = words.format(f"if(length(s.after) > {REACH}, regexp_replace(left(s.after, {REACH}), r'{WORD}+$', ''), s.after)")
+    return F.expr(f"""transform(b, s -> named_struct('entity', concat(s.kind, ':', lower(s.m)), 'kind', concat(s.kind, ''),
         'before', reverse(slice(reverse({before}), 1, {NEAR})), 'after', slice({after}, 1, {NEAR})))""")
 
 
@@ -135,9 +164,17 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def sanitised(text: str = "text", found: str = "found") -> Column:
-    """The text with each span replaced by its kind in brackets; spans that overlap are replaced as one, by the first's kind."""
+    """The text with each span replaced by its kind in brackets, the most general thing to say of it; spans that overlap are
+    replaced as one, by the first's kind. Spans must be in order, as found has them; they are replaced STEP at a time."""
     names = "array(" + ", ".join(f"'[{k.upper()}]'" for k in KINDS) + ")"
-    return F.expr(f"""if({text} is null or size({found}) = 0, {text}, aggregate(array_sort({found}), named_struct('at', 0, 'out', cast(array() as array<string>)),
+    # For each block: what its spans say, the end of all spans before it, and the text from there to where the block's last span ends.
+    blocks = f"transform(sequence(0, cast((size({found}) - 1) div {STEP} as int)), c -> named_struct('s', slice({found}, c * {STEP} + 1, {STEP}), 'c', c))"
+    ends = f"transform({blocks}, b -> aggregate(b.s, 0, (a, s) -> greatest(a, s.end)))"
+    ahead = "transform(ends, (e, i) -> aggregate(slice(ends, 1, i), 0, (a, y) -> greatest(a, y)))"
+    inner = f"""concat_ws('', aggregate(b.s, named_struct('at', element_at(ahead, b.c + 1), 'out', cast(array() as array<string>)),
         (a, s) -> if(s.start < a.at, named_struct('at', greatest(a.at, s.end), 'out', a.out),
-            named_struct('at', s.end, 'out', concat(a.out, array(substring({text}, a.at + 1, s.start - a.at), element_at({names}, s.kind + 1))))),
-        a -> concat(array_join(a.out, ''), substring({text}, a.at + 1))))""")
+            named_struct('at', s.end, 'out', concat(a.out, array(substring(part, a.at - element_at(ahead, b.c + 1) + 1, s.start - a.at), element_at({names}, s.kind + 1))))),
+        a -> a.out))"""
+    part = f"substring({text}, element_at(ahead, b.c + 1) + 1, greatest(0, element_at(ends, b.c + 1) - element_at(ahead, b.c + 1)))"
+    body = f"concat(array_join(transform({blocks}, b -> {_let('part', part, inner)}), ''), substring({text}, array_max(ends) + 1))"
+    return F.expr(f"if({text} is null or size({found}) = 0, {text}, {_let('ends', ends, _let('ahead', ahead, body))})")

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _own: list[str] = []
 
@@ -45,3 +45,9 @@ def drop(spark: SparkSession, df: DataFrame) -> None:
     for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = hadoop.Path(at)
         path.getFileSystem(conf).delete(path, True)
+
+
+def row_key(doc_id: str, text: str) -> Column:
+    """128 bits that stand for a row's id and text; a null text is as an empty one."""
+    said = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    return F.unhex(F.md5(F.concat_ws(":", F.col(doc_id).cast("long").cast("string"), said).cast("binary")))

@@ -1,8 +1,9 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+import re
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -108,3 +109,89 @@ def test_any_page_takes_linear_time(part):
 def test_whole_pages_in_one_graph():
     page = "<article>" + "".join(f"<p>Word {i} here.</p>" for i in range(3000)) + "</article><footer>No.</footer>"
     assert htmltext.extract(page) == " ".join(f"Word {i} here." for i in range(3000))
+
+
+def low(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t)
+
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SECRET = re.compile(r"[A-Za-z0-9_]{24,}")
+
+
+def information(m):
+    return -sum(n / len(m) * np.log2(n / len(m)) for n in Counter(m).values())
+
+
+def brute_entities(text):
+    """(kind, start, end, value, words before, words after) by the definition, of mails, addresses and secrets."""
+    kinds = ((0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", lambda m: True), (1, r"[0-9]+(?:\.[0-9]+){3}", lambda m: all(int(x) < 256 for x in m.split("."))), (4, SECRET.pattern, lambda m: sum(c.isdigit() for c in m) >= 4 and sum(not c.isdigit() for c in m) >= 4 and information(m) >= 3))
+    out = []
+    for kind, pattern, ok in kinds:
+        found = [m.span() for m in re.finditer(pattern, text)]
+        edges = [(None, 0), *found, (len(text), None)]
+        for (_, a), (b, c), (d, _) in zip(edges, edges[1:], edges[2:]):
+            before, after = low(text[a:b]), low(text[c:d])
+            if len(before) > pii.REACH:
+                before = re.sub(rf"^{WORDS.pattern}", "", before[-pii.REACH :])
+            if len(after) > pii.REACH:
+                after = re.sub(rf"{WORDS.pattern}$", "", after[: pii.REACH])
+            if ok(text[b:c]):
+                out.append((kind, b, c, f"{kind}:{text[b:c].lower()}", tuple(WORDS.findall(before)[-pii.NEAR :]), tuple(WORDS.findall(after)[: pii.NEAR])))
+    return out
+
+
+def brute_terms(texts):
+    """Spans of terms of each text, from plain counts."""
+    distinct = set(texts)
+    contexts, n, ef, df = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
+    for t in distinct:
+        for w in set(WORDS.findall(low(t))):
+            df[w].add(t)
+        for kind, _, _, value, before, after in brute_entities(t):
+            for e in (value, str(kind)):
+                ef[e].add(t)
+                for w in {*before, *after}:
+                    if len(w) >= 3 and not w.isdigit():
+                        contexts[e, w].add((before, after))
+                        n[e, w].add(t)
+    strong = {(e, w) for (e, w), c in contexts.items() if len(c) >= pii.CONTEXTS and len(n[e, w]) >= pii.DISCLOSURE * len(df[w]) and np.log2(len(n[e, w]) * len(distinct) / (len(df[w]) * len(ef[e]))) >= pii.BITS}
+    out = []
+    for t in texts:
+        own = {w for kind, _, _, value, before, after in brute_entities(t) for e in (value, str(kind)) for w in {*before, *after} if (e, w) in strong}
+        out.append(sorted((m.start(), m.end()) for m in WORDS.finditer(low(t)) if m[0] in own))
+    return out
+
+
+def test_terms_by_definition(spark):
+    rnd = random.Random(12)
+    common = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6))) for _ in range(300)]
+    owners = ["Zorbanax", "quillfeather", "Überdorf"]
+    texts = []
+    for i in range(400):
+        words = [rnd.choice(common) for _ in range(rnd.randint(3, 90))]
+        if i % 3 == 0:
+            who = rnd.randrange(3)
+            at = rnd.randrange(len(words))
+            words[at:at] = rnd.choice([[owners[who], f"q{who}.x@site.org"], [f"q{who}.x@site.org", "or", owners[who]], ["x" * 150, "write", f"q{who}.x@site.org", "y" * 150, owners[who]], [f"10.1.2.{who}", "host"], [f"10.1.2.{i % 250}", "host"]])
+        if i % 20 == 0:
+            words += ["token", "=", '"' + "".join(rnd.choice("0123456789abcdef") for _ in range(40)) + '"', "token"]
+        if i % 50 == 0:
+            words += ["token", "a" * 30, "1234" * 9]
+        texts.append(" ".join(words))
+    texts += texts[:40] + ["", "token"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: sorted((s.start, s.end) for s in r.found if s.kind == len(pii.KINDS) - 1) for r in pii.personal_data(docs).collect()}
+    want = brute_terms(texts)
+    assert sum(map(len, want)) > 100 and any(t[a:b] == "token" for t, own in zip(texts, want) for a, b in own) and any(t[a:b] == "Zorbanax" for t, own in zip(texts, want) for a, b in own)
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_spans_and_replacements_of_many_matches(spark):
+    text = " ".join(f"u{i}@mail{i % 7}.org é {i}" for i in range(3000))
+    docs = spark.createDataFrame([(1, text, 5)], "doc_id long, text string, k int").unionByName(spark.createDataFrame([(None, None, 1)], "doc_id long, text string, k int"))
+    rows = pii.personal_data(docs).collect()
+    found = next(r for r in rows if r.doc_id == 1).found
+    assert [(s.start, s.end) for s in found if s.kind == 0] == [m.span() for m in re.finditer(r"\S+@\S+", text)]
+    plain = spark.createDataFrame([(text, [(s.start, s.kind, s.end) for s in found if s.kind == 0]), ("abcdef", [(1, 0, 3), (2, 1, 5)])], "text string, found array<struct<start:int,kind:int,end:int>>")
+    assert [r.t for r in plain.select(pii.sanitised().alias("t")).collect()] == [re.sub(r"\S+@\S+", "[EMAIL]", text), "a[EMAIL]f"]
