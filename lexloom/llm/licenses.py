@@ -129,15 +129,21 @@ def detect(low: str, all_rules: list[Rule]) -> list[tuple[int, int, str, float]]
     held = {k: any(all(w in low for w in part.split()) for part in k.split("|")) for k in {r.keyword for r in all_rules}}
     found = [(-r.priority, m.start() - m.end(), n, m.start(), m.end(), r) for n, r in enumerate(all_rules) if held[r.keyword] for m in r.pattern.finditer(low)]
     kept: list[tuple[int, int, str, float]] = []
-    starts = np.empty(0, dtype=np.int64)
-    reach = np.empty(0, dtype=np.int64)  # the farthest end of kept detections that start up to each start
+    number = {a: i for i, a in enumerate(sorted({f[3] for f in found}), 1)}
+    # A Fenwick tree over the starts: the farthest end of kept detections that start up to each of them.
+    reach = [0] * (len(number) + 1)
     for _, _, _, a, b, r in sorted(found, key=lambda x: x[:3]):
-        at = int(np.searchsorted(starts, a, side="right")) - 1
-        if at >= 0 and reach[at] >= b:
+        i, far = number[a], 0
+        while i:
+            far = max(far, reach[i])
+            i &= i - 1
+        if far >= b:
             continue
         kept.append((a, b, r.label, r.score))
-        order = sorted((x[0], x[1]) for x in kept)
-        starts, reach = np.array([x[0] for x in order]), np.maximum.accumulate([x[1] for x in order])
+        i = number[a]
+        while i < len(reach):
+            reach[i] = max(reach[i], b)
+            i += i & -i
     return sorted(kept)
 
 
@@ -166,7 +172,8 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     Base: every place where the words of a phrase of BASE stand consecutively. Beside it, hundreds of rules (each licence
     of LICENSES and CREATIVE as an SPDX tag, an address, a notice and a name) are tried, each only on texts that hold
     its keyword, words that all its matches hold. score is the best detection's, 1 with a base phrase, 0 without any. Null and empty texts have no words and
-    no labels; repeated rows and null ids are kept; other columns are left out. Nothing is shuffled.
+    no labels; repeated rows and null ids are kept; other columns are left out, whatever their names; an empty table gives an
+    empty result. Nothing is shuffled.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return source.mapInArrow(_scan, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, detections array<struct<start:long,end:long,label:string,score:double>>")
