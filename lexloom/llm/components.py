@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm.store import drop, keep
 
+#: Shares of a node's links.
+SHARES = 32
+
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of a link reaches, by alternating large-star and small-star.
 
-    Each round's edges are written to the shared folder; the driver sees only their count and checksum. The minimum of a
-    node's neighbours is a combined aggregate, so that a node with very many links is no single task's work. Links with a
+    Each round's edges are written to the shared folder; the driver sees only their count and checksum. A node's links are
+    dealt to shares, so that a node with very many is no single task's work. Links with a
     null end are left out, as are links of a node with itself; no links give an empty table.
     """
     ends = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
@@ -37,11 +40,17 @@ def _sum(edges: DataFrame) -> tuple:
 
 def _star(edges: DataFrame, *, large: bool) -> DataFrame:
     """edges: from u to v. large: each neighbour above u is tied to the least of u and all its neighbours; else, where v is
-    always below u, u and each v to the least v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    always below u, u and each v to the least v.
+
+    A node's edges are dealt to SHARES shares, which meet for their least alone, so that no task gets all edges of a hub.
+    """
+    shared = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SHARES)))
+    part = shared.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = part.groupBy("u").agg(F.min("m").alias("m"))
     if large:
         least = least.select("u", F.least("u", "m").alias("m"))
-    joined = edges.join(least, "u")
+    of = part.select("u", "s").join(least.hint("merge"), "u")
+    joined = shared.join(of.hint("merge"), ["u", "s"])
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
