@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,30 +11,30 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm import textcore as tc
 from lexloom.llm.fmindex import FMIndex
-from lexloom.llm.store import keep
+from lexloom.llm.store import keep, row_key
 
 #: Words of a window.
 WINDOW = 13
-#: Bytes of benchmark text that are sent to the executors at once; a larger benchmark is searched in blocks.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text that are sent to the executors at once, as windows of some ten times that; a larger one is searched in blocks.
+BLOCK_BYTES = 4 << 20
 #: A shard ends when so many bytes of text were read, or so many words are to be indexed.
 SHARD_BYTES, SHARD_WORDS = 48 << 20, 2_000_000
 #: A document is contaminated from this share of hit words: one in so many.
 ONE_IN = 20
 
-_SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
+_SCHEMA = "doc_id {}, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
 @dataclass
 class Windows:
     """The windows of a block of a benchmark. vocabulary: sorted hashes of its words; symbols are their numbers from 1.
-    patterns: by length, a matrix of symbols. items: by length, for each pattern the items that hold it."""
+    patterns: by length, a matrix of symbols. items: by length, where each pattern's items begin (then the count), and those items."""
 
     vocabulary: np.ndarray
     bitmap: np.ndarray
     bigrams: np.ndarray
     patterns: dict[int, np.ndarray]
-    items: dict[int, list[list[int]]]
+    items: dict[int, tuple[np.ndarray, np.ndarray]]
     names: list[str]
     shortest: int
 
@@ -48,22 +46,28 @@ def compile_windows(rows: list[tuple[int, str]]) -> Windows | None:
     vocabulary, symbol = np.unique(words.hashes(), return_inverse=True)
     if not len(vocabulary):
         return None
-    symbol = symbol.astype(np.int64) + 1
+    symbol = symbol.astype(np.int32) + 1
     names = sorted({str(i) for i, _ in rows})
     number = {x: k for k, x in enumerate(names)}
-    holds: dict[tuple, set[int]] = defaultdict(set)
-    for k, (i, _) in enumerate(rows):
-        own = symbol[words.first[k] : words.first[k + 1]].tolist()
-        for at in range(max(1, len(own) - WINDOW + 1) if own else 0):
-            holds[tuple(own[at : at + WINDOW])].add(number[str(i)])
-    by_length: dict[int, list[tuple]] = defaultdict(list)
-    for w in holds:
-        by_length[len(w)].append(w)
+    item = np.array([number[str(i)] for i, _ in rows], dtype=np.int64)
+    size = np.diff(words.first)
+    patterns, items, pairs = {}, {}, []
+    base = len(vocabulary) + 1
+    for n in np.unique(np.minimum(size[size > 0], WINDOW)).tolist():
+        # Where windows of n words start, and the item of each.
+        count = np.where(size >= WINDOW, size - WINDOW + 1, 0) if n == WINDOW else (size == n).astype(np.int64)
+        owner = np.repeat(np.arange(len(size)), count)
+        start = np.arange(count.sum()) + np.repeat(words.first[:-1] - np.cumsum(count) + count, count)
+        found = np.lib.stride_tricks.sliding_window_view(symbol, n)[start]
+        patterns[n], which = np.unique(found, axis=0, return_inverse=True)
+        held = np.unique(which.ravel() * len(names) + item[owner])
+        first = np.searchsorted(held, np.arange(len(patterns[n]) + 1) * len(names))
+        items[n] = (first, (held % len(names)).astype(np.int32))
+        pairs += [np.unique(patterns[n][:, k].astype(np.int64) * base + patterns[n][:, k + 1]) for k in range(n - 1)]
     bitmap = np.zeros(1 << 22, dtype=bool)
     bitmap[(vocabulary & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-    base = len(vocabulary) + 1
-    bigrams = np.unique(np.array([a * base + b for w in holds for a, b in zip(w, w[1:])] or [0], dtype=np.int64))
-    return Windows(vocabulary, bitmap, bigrams, {n: np.array(ws, dtype=np.int64) for n, ws in by_length.items()}, {n: [sorted(holds[w]) for w in ws] for n, ws in by_length.items()}, names, min(by_length))
+    bigrams = np.unique(np.concatenate(pairs)) if pairs else np.zeros(1, dtype=np.int64)
+    return Windows(vocabulary, bitmap, bigrams, patterns, items, names, min(patterns))
 
 
 def _member(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +132,10 @@ class Shard:
                 np.add.at(hit, at + n, -1)
                 seen = np.unique(owner[at] * len(patterns) + which)  # each window once for a document
                 of, w = seen // len(patterns), seen % len(patterns)
-                holds = self.w.items[n]
-                pairs.append(np.repeat(of, [len(holds[i]) for i in w]) * base + np.array([x for i in w for x in holds[i]], dtype=np.int64))
+                first, holds = self.w.items[n]
+                size = first[w + 1] - first[w]
+                inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                pairs.append(np.repeat(of, size) * base + holds[np.repeat(first[w], size) + inside])
         hit = (np.cumsum(hit)[:-1] > 0) & (owner >= 0) if len(text) else np.zeros(0, dtype=bool)
         items: list[list[str]] = [[] for _ in self.docs]
         for p in np.unique(np.concatenate(pairs)).tolist():
@@ -144,7 +150,7 @@ class Shard:
             for d, a, b in zip(owner[where[first]].tolist(), place[where[first]].tolist(), place[where[last]].tolist(), strict=True):
                 spans[d].append({"start": a, "end": b + 1})
         return pa.record_batch(
-            [pa.array([d[0] for d in self.docs], pa.int64()), pa.array([d[1] for d in self.docs], pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+            [pa.array([d[0] for d in self.docs], pa.binary() if any(isinstance(d[0], bytes) for d in self.docs) else pa.int64()), pa.array([d[1] for d in self.docs], pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
             ["doc_id", "n_words", "n_hit", "items", "spans"],
         )
 
@@ -174,7 +180,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     Each task builds FM-indexes of its shards. Words that no window holds, or that no window holds next to their neighbour,
     cannot belong to an occurrence, so that only the remaining runs are indexed. The benchmark is the query set: it is sent
     to the executors in blocks of up to BLOCK_BYTES (one item at least); only with more than one block do results meet in
-    a shuffle by row, whose key is a hash of id and text.
+    a shuffle by row, whose key is 128 bits of id and text.
 
     Null texts have no words; null items and items of null id take no part; repeated rows come back repeated, and rows that
     share an id, or have none, each have their own result. Without windows nothing is hit. Empty tables give an empty result.
@@ -185,13 +191,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     blocks = max(1, -(-size // BLOCK_BYTES))
     searched, rows_of = source, None
     if blocks > 1:
-        searched = source.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
-        rows_of = keep(source.groupBy(F.xxhash64("doc_id", "text").alias("row"), "doc_id").agg(F.count("*").alias("copies")), "rows")
+        key = row_key("doc_id", "text")
+        searched = source.select(key.alias("doc_id"), "text")
+        rows_of = keep(source.groupBy(key.alias("row"), "doc_id").agg(F.count("*").alias("copies")), "rows")
     found = []
     for block in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block).collect()
         windows = compile_windows([(r.i, r.t) for r in rows]) or Windows(np.zeros(1, np.uint64), np.zeros(1 << 22, bool), np.zeros(1, np.int64), {}, {}, [], WINDOW)
-        found.append(searched.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(windows)), _SCHEMA))
+        found.append(searched.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(windows)), _SCHEMA.format("long" if blocks == 1 else "binary")))
     hits = found[0] if blocks == 1 else _merged(found, rows_of)
     return (
         hits.withColumn("n_items", F.size("items").cast("long"))
