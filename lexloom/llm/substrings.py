@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm import textcore as tc
-from lexloom.llm.store import keep
+from lexloom.llm.store import keep, row_key
 
 #: Bytes of the strings.
 LENGTH = 400
@@ -27,6 +27,8 @@ GRAM = 64
 WINDOW = LENGTH - GRAM + 1
 #: Distinct segments of an anchor that are aligned in one task; those of more frequent anchors are compared by their strings.
 CAP = 16_000
+#: Bytes of a text in which strings' starts are worked on at once.
+SLICE = 1 << 20
 #: Bytes of segments in one alignment.
 ALIGNED = 8 << 20
 
@@ -67,17 +69,39 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return owner, h[p], own, (p - at[owner]) << 20 | left << 10 | right
 
 
-_READ = "doc_id long, key long, n_bytes long, sha string, anchors array<struct<h:long,s:long,geo:long>>"
+_READ = "doc_id long, key binary, n_bytes long, sha string, anchors array<struct<h:long,s:long,geo:long>>"
 _ANCHOR = pa.struct([("h", pa.int64()), ("s", pa.int64()), ("geo", pa.int64())])
 
 
+def sliced(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """As anchors(), with bounded memory: longer texts are cut into slices in which each string starts in one of them. A segment may be
+    cut in two, whose strings start at different places before the same anchor."""
+    parts, of, shift = [], [], []
+    for i, t in enumerate(texts):
+        for at in range(0, max(1, len(t) - LENGTH + 1), SLICE):
+            parts.append(t[at : at + SLICE + LENGTH - 1])
+            of.append(i)
+            shift.append(at)
+    found: list[tuple] = []
+    a = 0
+    while a < len(parts):
+        b, size = a + 1, len(parts[a])
+        while b < len(parts) and size + len(parts[b]) <= 2 * SLICE:
+            size += len(parts[b])
+            b += 1
+        owner, h, s, geo = anchors(parts[a:b])
+        found.append((np.array(of[a:b], dtype=np.int64)[owner], h, s, geo + (np.array(shift[a:b], dtype=np.int64)[owner] << 20)))
+        a = b
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def _read(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (ids, keys), texts in tc.batches(frames, "doc_id", "key"):
-        owner, h, s, geo = anchors(texts)
+        owner, h, s, geo = sliced(texts)
         structs = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(s.view(np.int64)), pa.array(geo)], fields=list(_ANCHOR))
         first = np.searchsorted(owner, np.arange(len(ids) + 1))
         yield pa.record_batch(
-            [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.ListArray.from_arrays(pa.array(first, pa.int32()), structs)],
+            [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.ListArray.from_arrays(pa.array(first, pa.int32()), structs)],
             ["doc_id", "key", "n_bytes", "sha", "anchors"],
         )
 
@@ -213,7 +237,7 @@ def _merge(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     spans.append([a, b])
             out.append((key, [{"start": a, "end": b} for a, b in spans], sum(b - a for a, b in spans)))
         c = list(zip(*out, strict=True)) or [[], [], []]
-        yield pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(c[2], pa.int64())], ["key", "spans", "n_removed"])
+        yield pa.record_batch([pa.array(c[0], pa.binary()), pa.array(c[1], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(c[2], pa.int64())], ["key", "spans", "n_removed"])
 
 
 def _kept(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +249,7 @@ def _kept(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(text[at : s["start"]])
                 at = s["end"]
             out.append(b"".join([*parts, text[at:]]))
-        yield pa.record_batch([pa.array(keys, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out]), pa.array(out, pa.binary())], ["key", "kept_sha", "kept"])
+        yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in out]), pa.array(out, pa.binary())], ["key", "kept_sha", "kept"])
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, with_kept: bool = False) -> DataFrame:
@@ -237,13 +261,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     read, and of equal segments one. Anchors with more than CAP distinct segments are compared by digests of their
     strings, in a combined aggregate, so that no task gets all segments of a very common passage.
 
-    Null texts are empty; texts shorter than LENGTH lose nothing. Rows that repeat an id must repeat its text; all of them
-    get the same result and count as documents of their own. A null id is a document like others. Other columns are left
-    out. An empty table gives an empty result.
+    Null texts are empty; texts shorter than LENGTH lose nothing. Rows are told apart by 128 bits of id and text: rows that
+    share an id, or have none, have results of their own, and repeated rows count as documents of their own and get the same result.
+    Other columns are left out, whatever their names. An empty table gives an empty result.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    # Rows of null id are told apart by their text.
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(value)).alias("key"), value.alias("text"))
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), value.alias("text"))
     read = keep(source.mapInArrow(_read, _READ), "read")
     occ = read.select("key", F.explode("anchors").alias("o")).select("key", "o.*")
     seg = occ.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(F.struct("key", "geo")).alias("one"))
@@ -264,10 +287,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     again = occ.join(seg.where("n > 1").select("h", "s"), ["h", "s"], "left_semi").select("key", "geo", F.shiftright("geo", 10).bitwiseAND(F.lit(1023)).cast("int").alias("first"), F.col("geo").bitwiseAND(F.lit(1023)).cast("int").alias("last"))
     place = F.shiftright("geo", 20)
     marks = once.unionByName(again).select("key", F.struct((place - F.col("first")).alias("a"), (place - F.col("last")).alias("b")).alias("r"))
-    spans = keep(marks.groupBy("key").agg(F.collect_set("r").alias("runs")).mapInArrow(_merge, "key long, spans array<struct<start:long,end:long>>, n_removed long"), "spans")
+    spans = keep(marks.groupBy("key").agg(F.collect_set("r").alias("runs")).mapInArrow(_merge, "key binary, spans array<struct<start:long,end:long>>, n_removed long"), "spans")
     facts = read.select("doc_id", "key", "n_bytes", "sha").join(spans, "key", "left")
     part = spans.join(read.select("key", "n_bytes").distinct(), "key").where("n_removed < n_bytes").select("key", "spans")
-    rest = texts.join(part.hint("merge"), "key").mapInArrow(_kept, "key long, kept_sha string, kept binary")
+    rest = texts.join(part.hint("merge"), "key").mapInArrow(_kept, "key binary, kept_sha string, kept binary")
     rest = rest if with_kept else rest.drop("kept")
     rest = rest.groupBy("key").agg(*(F.first(c).alias(c) for c in rest.columns if c != "key"))
     out = facts.join(rest, "key", "left")

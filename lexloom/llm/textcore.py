@@ -53,6 +53,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _sum_long(data: np.ndarray) -> np.uint64:
+    """The sum that hashes() makes for one very long word, a part at a time."""
+    up, total = powers(BLOCK)[0], 0
+    for at in range(0, len(data), BLOCK):
+        part = data[at : at + BLOCK]
+        total += int((_CODE[part] * up[: len(part)]).sum(dtype=np.uint64)) * pow(int(_BASE), at, 2**64)
+    return np.uint64(total % 2**64)
+
+
 @dataclass
 class Words:
     """The words of a block of texts.
@@ -70,10 +79,23 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes of the words."""
-        up, down = powers(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_CODE[self.data] * up[: len(self.data)], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        out = np.empty(len(self.start), dtype=np.uint64)
+        i = 0
+        while i < len(out):
+            # As many words as stand in BLOCK bytes, one at least: sums relative to the first give the same hashes.
+            low = int(self.start[i])
+            j = max(i + 1, int(np.searchsorted(self.end, low + BLOCK, side="right")))
+            size = int(self.end[j - 1]) - low
+            if size > 2 * BLOCK:
+                out[i] = _sum_long(self.data[low : low + size])
+            else:
+                start, end = self.start[i:j] - low, self.end[i:j] - low
+                up, down = powers(size + 1)
+                sums = np.zeros(size + 1, dtype=np.uint64)
+                np.cumsum(_CODE[self.data[low : low + size]] * up[:size], out=sums[1:])
+                out[i:j] = (sums[end] - sums[start]) * down[start]
+            i = j
+        return mix(out + (self.end - self.start).astype(np.uint64))
 
     def owner(self) -> np.ndarray:
         """The text of each word."""
