@@ -36,8 +36,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 #: Words on either side of an entity that count as near it, up to the next entity of its kind and within so many characters; a word
 #: that this cuts is left out.
 NEAR, REACH = 6, 240
-#: A term reveals an entity if it stands near it in so many different contexts, in at least this share of the distinct
-#: texts that hold the term (so that it tells all but one bit of what the entity itself tells), and if they meet so many bits
+#: A term reveals an entity if it stands near it in so many different contexts, in at least this share of the documents
+#: that hold the term (so that it tells all but one bit of what the entity itself tells), and if they meet so many bits
 #: more often than by chance.
 CONTEXTS, DISCLOSURE, BITS = 3, 0.5, 3.0
 #: Bits of the filter through which the corpus' words pass before they are counted: of fixed size, it may let more pass.
@@ -89,53 +89,57 @@ def _literal(pattern: str) -> str:
     return "r'" + pattern + "'"
 
 
-def _terms_of(entities: DataFrame, source: DataFrame) -> DataFrame:
+def _terms_of(base: DataFrame, source: DataFrame) -> DataFrame:
     """(entity, term): terms whose co-occurrence in the corpus reveals a protected entity."""
-    near = entities.select("entity", "content", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"), F.xxhash64("before", "after").alias("context"))
-    near = near.where("length(term) >= 3 and not term rlike '^[0-9]+$'")
-    # Contexts only support a pair; n, df, ef and total all count distinct texts, so that copies change none of them.
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("content").alias("n")).where(F.col("contexts") >= CONTEXTS)
+    # All counts are of documents, each of which counts once for a pair; contexts only support it.
+    named = base.select(_pairs("concat_ws('\u0001', n, t, e.context)").alias("met")).select(F.explode("met").alias("x")).distinct()
+    contexts = named.select(F.substring_index("x", "\u0001", 2).alias("pair")).groupBy("pair").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= CONTEXTS)
+    together = base.select(_pairs("concat_ws('\u0001', n, t)").alias("met")).select(F.explode("met").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    pairs = together.join(contexts.select("pair"), "pair").select(F.substring_index("pair", "\u0001", 1).alias("entity"), F.substring_index("pair", "\u0001", -1).alias("term"), "n")
     pairs = keep(pairs, "terms")
     place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
     some = pairs.select(place.alias("p")).distinct().groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
     # An array of FILTER_BITS / 64 numbers: the only thing that goes to all tasks.
     whole = source.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "i").join(some, "i", "left")
     filter_ = keep(whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))), lambda x: x["w"]).alias("bits")), "filter")
-    words = source.select("content", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower_ascii, r'{WORD}+', 0)"))).alias("term"))
+    words = source.select(F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower_ascii, r'{WORD}+', 0)"))).alias("term"))
     bit = F.element_at(filter_.scalar(), F.shiftright(place, 6).cast("int") + 1)
-    passed = words.where(F.bit_get(bit, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
-    docs_with = passed.groupBy("term").agg(F.count_distinct("content").alias("df"))
-    entity_docs = entities.groupBy("entity").agg(F.count_distinct("content").alias("ef"))
-    total = source.agg(F.count_distinct("content").alias("total"))
+    # Each document has a word once, so that plain counts are summed up in each task before the shuffle.
+    docs_with = words.where(F.bit_get(bit, place.bitwiseAND(F.lit(63)).cast("int")) == 1).groupBy("term").agg(F.count("*").alias("df"))
+    entity_docs = base.select(F.explode(F.expr("array_distinct(flatten(transform(entities, e -> array(e.entity, e.kind))))")).alias("entity")).groupBy("entity").agg(F.count("*").alias("ef"))
+    total = source.agg(F.count("*").alias("total"))
     scored = pairs.join(docs_with, "term").join(entity_docs, "entity").withColumn("total", total.scalar())
     strong = scored.where((F.col("n") >= DISCLOSURE * F.col("df")) & (F.log2(F.col("n") * F.col("total") / (F.col("df") * F.col("ef"))) >= BITS))
     return strong.select("entity", "term")
 
 
+def _pairs(said: str) -> Column:
+    """Distinct strings for each entity n (a value or its kind) and word t near it of a document; said: SQL of n, t and e."""
+    near = "filter(array_distinct(concat(e.before, e.after)), t -> length(t) >= 3 and not t rlike '^[0-9]+$')"
+    return F.expr(f"array_distinct(flatten(transform(entities, e -> flatten(transform(array(e.entity, e.kind), n -> transform({near}, t -> {said}))))))")
+
+
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, k (row_key() of id and text), base (spans of fixed kinds: start, kind, end), found (these and the method's).
 
     Fixed kinds are the first four of PATTERNS, leftmost and non-overlapping within a kind; matches that fail VALID are dropped.
     The method adds secrets, by the information in the string itself, and terms, by what the corpus says about them. Protected
     entities are the values of all these spans, and their kinds. A term that stands near an entity in CONTEXTS different contexts, in
-    DISCLOSURE of all distinct texts that hold the term, and with BITS of pointwise mutual information, reveals it; it is a span
+    DISCLOSURE of all documents that hold the term, and with BITS of pointwise mutual information, reveals it; it is a span
     wherever it stands in a document in which it stands near that entity. Near is within NEAR words and REACH characters, and not beyond the next
-    entity of the kind; terms that only stand further away are not found. All counts are of distinct texts, over the whole
-    corpus; those of terms are of words that pass a filter of fixed size.
+    entity of the kind; terms that only stand further away are not found. All counts are of documents, over the whole
+    corpus, so that copies count alike for terms and entities; those of terms are of words that pass a filter of fixed size.
 
     Kinds in spans are numbers in the order of KINDS. Null texts are empty and have no spans; rows of null or repeated ids
     are kept as they are; other columns are left out, whatever their names; an empty table gives an empty result.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("k", row_key("doc_id", "text"))
-    base = keep(source.select("doc_id", "k", base_spans().alias("b"), "text").select("doc_id", "k", F.when(F.size("b") > 0, F.unhex(F.md5(F.col("text").cast("binary")))).alias("content"), F.expr("transform(b, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))").alias("b"), _contexts().alias("entities")), "base")
-    entities = base.select("k", "content", F.explode("entities").alias("e")).select("k", "content", "e.*")
-    entities = entities.select("k", "content", F.explode(F.array("entity", "kind")).alias("entity"), "before", "after")
-    lower = source.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("content"), _lower("text").alias("lower_ascii"))
-    terms = keep(_terms_of(entities, lower), "revealing")
+    base = keep(source.select("doc_id", "k", base_spans().alias("b")).select("doc_id", "k", F.expr("transform(b, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))").alias("b"), _contexts().alias("entities")), "base")
+    terms = keep(_terms_of(base.where("size(entities) > 0"), source.select(_lower("text").alias("lower_ascii"))), "revealing")
     # Only the words near entities are sought among the terms; a larger side than Spark's broadcast limit is joined by a shuffle.
-    near = entities.select("k", "entity", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
-    flagged = near.join(terms, ["entity", "term"]).groupBy("k").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    near = base.select("k", F.explode(_pairs("concat_ws('\u0001', n, t)")).alias("pair")).join(terms.select(F.concat_ws("\u0001", "entity", "term").alias("pair")), "pair")
+    flagged = near.groupBy("k").agg(F.sort_array(F.collect_set(F.substring_index("pair", "\u0001", -1))).alias("terms"))
     marked = source.join(keep(flagged, "flagged"), "k").withColumn("pattern", F.concat(F.lit(f"(?i)(?<!{WORD})(?:"), F.array_join(F.reverse("terms"), "|"), F.lit(f")(?!{WORD})")))
     added = marked.select("k", F.expr(f"transform({_spans('text', 'pattern', len(KINDS) - 1)}, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))").alias("t")).groupBy("k").agg(F.first("t").alias("t"))
     none = F.expr(f"cast(array() as array<{_SPAN}>)")
@@ -148,13 +152,14 @@ def _lower(text: str) -> Column:
 
 
 def _contexts() -> Column:
-    """Entities of a document (entity, kind, before, after) with the words near each."""
+    """Entities of a document (entity, kind, before, after, context) with the words near each, and a hash of these."""
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = f"regexp_extract_all({lower}, r'{WORD}+', 0)"
     before = words.format(f"if(length(s.before) > {REACH}, regexp_replace(right(s.before, {REACH}), r'^{WORD}+', ''), s.before)")
     after = words.format(f"if(length(s.after) > {REACH}, regexp_replace(left(s.after, {REACH}), r'{WORD}+$', ''), s.after)")
-    return F.expr(f"""transform(b, s -> named_struct('entity', concat(s.kind, ':', lower(s.m)), 'kind', concat(s.kind, ''),
-        'before', reverse(slice(reverse({before}), 1, {NEAR})), 'after', slice({after}, 1, {NEAR})))""")
+    found = f"""transform(b, s -> named_struct('entity', concat(s.kind, ':', lower(s.m)), 'kind', concat(s.kind, ''),
+        'before', reverse(slice(reverse({before}), 1, {NEAR})), 'after', slice({after}, 1, {NEAR})))"""
+    return F.expr(f"transform({found}, e -> named_struct('entity', e.entity, 'kind', e.kind, 'before', e.before, 'after', e.after, 'context', hex(xxhash64(e.before, e.after))))")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -143,19 +143,18 @@ def brute_entities(text):
 
 def brute_terms(texts):
     """Spans of terms of each text, from plain counts."""
-    distinct = set(texts)
     contexts, n, ef, df = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
-    for t in distinct:
+    for i, t in enumerate(texts):
         for w in set(WORDS.findall(low(t))):
-            df[w].add(t)
+            df[w].add(i)
         for kind, _, _, value, before, after in brute_entities(t):
             for e in (value, str(kind)):
-                ef[e].add(t)
+                ef[e].add(i)
                 for w in {*before, *after}:
                     if len(w) >= 3 and not w.isdigit():
                         contexts[e, w].add((before, after))
-                        n[e, w].add(t)
-    strong = {(e, w) for (e, w), c in contexts.items() if len(c) >= pii.CONTEXTS and len(n[e, w]) >= pii.DISCLOSURE * len(df[w]) and np.log2(len(n[e, w]) * len(distinct) / (len(df[w]) * len(ef[e]))) >= pii.BITS}
+                        n[e, w].add(i)
+    strong = {(e, w) for (e, w), c in contexts.items() if len(c) >= pii.CONTEXTS and len(n[e, w]) >= pii.DISCLOSURE * len(df[w]) and np.log2(len(n[e, w]) * len(texts) / (len(df[w]) * len(ef[e]))) >= pii.BITS}
     out = []
     for t in texts:
         own = {w for kind, _, _, value, before, after in brute_entities(t) for e in (value, str(kind)) for w in {*before, *after} if (e, w) in strong}
