@@ -87,6 +87,7 @@ def year(*texts: Column) -> Column:
 
 
 def to_bool(value: Column) -> Column:
+    """Whether a text says true, in any case."""
     return F.lower(F.trim(value)) == "true"
 
 
@@ -98,3 +99,50 @@ def first_filled(*values: Column) -> Column:
 def finite(value: Column) -> Column:
     """0 for NaN and infinities."""
     return F.when(F.isnan(value) | (F.abs(value) == float("inf")), F.lit(0.0)).otherwise(value)
+
+
+def normalise_ocr(text: Column) -> Column:
+    """Recognised text whose characters are all kept: words joined over line ends, runs squeezed, trimmed."""
+    return F.regexp_replace(_replaced(text, OCR[1:]), r"^\s+|\s+$", "")
+
+
+def marker_file(path: Column, index: int = 0, base: str = "processed") -> Column:
+    """Where the marker of a processed raw file is stored."""
+    return F.regexp_replace(chunk_file(path, base), r"_all_chunks\.json$", f"_done_{index}.json")
+
+
+def document_key(marker: Column, index: int = 0, base: str = "processed") -> Column:
+    """The document's key in a marker's path: without the base folder and the marker's ending."""
+    return F.regexp_replace(F.regexp_replace(marker, rf"^{base}/", ""), rf"_done_{index}\.json$", "")
+
+
+def chunk_name(name: Column) -> Column:
+    """The name of a raw file's chunk file."""
+    return F.regexp_replace(name, r"\.json$", "_all_chunks.json")
+
+
+def state_slug(handle: Column, state: Column) -> Column:
+    """A handle `a/b` as SA_state_b; other handles with _ for /."""
+    parts = F.split(handle, "/")
+    return F.concat_ws("_", F.lit("SA"), state, F.when(F.size(parts) == 2, F.try_element_at(parts, F.lit(2))).otherwise(F.translate(handle, "/", "_")))
+
+
+def iso_timestamp(time: Column) -> Column:
+    """A time in UTC, to the second."""
+    return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def year_folder(year: Column) -> Column:
+    """A year as the name of a folder: unknown if it is missing or 0."""
+    return F.coalesce(F.nullif(year.cast("int"), F.lit(0)).cast("string"), F.lit("unknown"))
+
+
+def int_or_same(value: Column) -> Column:
+    """A whole number as text without what surrounds it; any other text as it is."""
+    return F.coalesce(F.trim(value).try_cast("int").cast("string"), value)
+
+
+def act_year(*labelled: Column, number: Column, title: Column) -> Column:
+    """The year in the first of the labelled values that says anything, else in the number, else in the title."""
+    first = F.coalesce(*(F.nullif(F.trim(v), F.lit("")) for v in labelled))
+    return F.coalesce(year(first), year(number), year(title))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _WORDS = re.compile(r"\w+")
 
@@ -39,37 +40,44 @@ def argmax(v: Column | str) -> Column:
     return F.array_position(v, F.array_max(v)).cast("int") - 1
 
 
+_buckets: dict[str, int] = {}
+
+
 def hashed_embedding(texts: list[str], dim: int = 64) -> np.ndarray:
     """A deterministic stand-in for a sentence model: words counted in buckets of their hash, brought to length 1."""
-    out = np.zeros((len(texts), dim))
-    for i, text in enumerate(texts):
-        for word in _WORDS.findall(text.lower()):
-            out[i, zlib.crc32(word.encode()) % dim] += 1
+    own = [_WORDS.findall(t.lower()) for t in texts]
+    flat = list(chain.from_iterable(own))
+    if len(_buckets) > 1_000_000:
+        _buckets.clear()
+    _buckets.update((w, zlib.crc32(w.encode())) for w in set(flat).difference(_buckets))
+    place = np.fromiter(map(_buckets.__getitem__, flat), dtype=np.int64, count=len(flat)) % dim
+    of = np.repeat(np.arange(len(texts)), [len(w) for w in own])
+    out = np.bincount(of * dim + place, minlength=len(texts) * dim).reshape(len(texts), dim).astype(np.float64)
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norms > 0, norms, 1)
 
 
-def adjacent_similarity(embed: Callable[[list[str]], np.ndarray]):
-    """A vectorised function from an array of sentences to the cosines of neighbours."""
+#: Embedding providers by name: functions from a list of texts to a matrix of vectors.
+PROVIDERS: dict[str, Callable[[list[str]], np.ndarray]] = {"hashed": hashed_embedding}
+
+
+def provider(embed: str | Callable[[list[str]], np.ndarray]) -> Callable[[list[str]], np.ndarray]:
+    return PROVIDERS[embed] if isinstance(embed, str) else embed
 
-    @F.pandas_udf("array<double>")
-    def similarity(sentences: pd.Series) -> pd.Series:
-        own = [list(s) for s in sentences]
-        v = embed([x for s in own for x in s])
-        out, at = [], 0
-        for s in own:
-            out.append((v[at : at + len(s) - 1] * v[at + 1 : at + len(s)]).sum(axis=1) if len(s) > 1 else np.zeros(0))
-            at += len(s)
-        return pd.Series(out)
 
-    return similarity
+def encoded(rows: DataFrame, text: str = "text", name: str = "embedding", embed: str | Callable = "hashed", normalise: bool = False) -> DataFrame:
+    """Rows with the vector of their text (null texts as empty), encoded in batches; brought to length 1 if asked."""
+    model = provider(embed)
 
+    @F.pandas_udf("array<float>")
+    def encode(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(np.asarray(model(texts.fillna("").tolist()), dtype=np.float32)))
 
-def similarity_to(embed: Callable[[list[str]], np.ndarray]):
-    """A vectorised function from texts and arrays of their parts to the parts' cosines with the text."""
+    v = encode(F.col(text))
+    return rows.withColumn(name, F.transform(unit(F.transform(v, lambda x: x.cast("double"))), lambda x: x.cast("float")) if normalise else v)
 
-    @F.pandas_udf("array<double>")
-    def similarity(text: pd.Series, parts: pd.Series) -> pd.Series:
-        return pd.Series([embed(list(p)) @ embed([t])[0] if len(p) else np.zeros(0) for t, p in zip(text, parts, strict=True)])
 
-    return similarity
+def row_cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of two matrices, 0 where either is zero."""
+    norms = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+    return np.where(norms > 0, (a * b).sum(axis=1) / np.where(norms > 0, norms, 1), 0.0)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import time
+
+from pyspark.sql import DataFrame, Observation, Window, functions as F
+
+from lexloom.functions.text import chunk_name, stem
 
 
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -10,6 +14,52 @@ def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return items.join(done.select(key).distinct(), key, "left_anti")
 
 
+def without_chunks(raw: DataFrame, chunked: DataFrame, name: str = "name") -> DataFrame:
+    """Raw files whose chunk file is not among the chunked ones (the first delta)."""
+    return raw.join(chunked.select(F.col(name).alias("_done")).distinct(), chunk_name(F.col(name)) == F.col("_done"), "left_anti")
+
+
+def not_indexed(chunked: DataFrame, index: DataFrame, name: str = "name", key: str = "doc_id") -> DataFrame:
+    """Chunk files whose document is not in the index (the second delta)."""
+    return chunked.join(index.select(F.col(key).alias("_done")).distinct(), stem(F.concat(F.lit("/"), F.col(name))) == F.col("_done"), "left_anti")
+
+
+def unmarked(items: DataFrame, markers: DataFrame, marker, path: str = "path") -> DataFrame:
+    """Items whose marker file, a column of items, is not listed among the markers."""
+    return items.join(markers.select(F.col(path).alias("_done")).distinct(), marker == F.col("_done"), "left_anti")
+
+
+def difference(items: DataFrame, done: DataFrame) -> DataFrame:
+    """The set of rows that are not among the done ones."""
+    return items.subtract(done)
+
+
+def summary(inventories: DataFrame, by: str = "year", files: str = "file_count") -> DataFrame:
+    """How many partitions there are, how many files, and which partitions, in their order."""
+    return inventories.agg(F.count("*").alias("years"), F.sum(files).alias("files"), F.sort_array(F.collect_set(by)).alias("listed"))
+
+
+def run_statistics(rows: DataFrame, by: list[str], ok) -> DataFrame:
+    """(total, ok, rate) of rows by group: rate is the share of those for which ok holds, in percent."""
+    out = rows.groupBy(*by).agg(F.count("*").alias("total"), F.count(F.when(ok, 1)).alias("ok"))
+    return out.withColumn("rate", success_rate("ok", "total"))
+
+
+class Meter:
+    """Counts rows as an action of its own frame passes them, without a job more: docs and docs_per_sec once that is done."""
+
+    def __init__(self) -> None:
+        self.seen, self.began = Observation(), time.time()
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        self.began = time.time()
+        return rows.observe(self.seen, F.count(F.lit(1)).alias("docs"))
+
+    def result(self) -> dict:
+        docs = self.seen.get["docs"]
+        return {"docs": docs, "docs_per_sec": docs / max(time.time() - self.began, 1.0)}
+
+
 def present(items: DataFrame, index: DataFrame, key: str) -> DataFrame:
     return items.join(index.select(key).distinct(), key, "left_semi")
 

@@ -36,8 +36,24 @@ def parents(chunks: DataFrame, doc: str, order: str, fields: list[str], metadata
     return out.withColumn("chunks", F.transform("_c", lambda c: F.struct(*(c[f].alias(f) for f in fields)))).drop("_c")
 
 
-def search_documents(chunks: DataFrame, id_: str = "id") -> DataFrame:
-    """Flat rows for a search index: / and space in ids become _, null texts empty, null numbers 0."""
+def search_documents(chunks: DataFrame, id_: str = "id", collection: str | None = None) -> DataFrame:
+    """Flat rows for a search index: / and space in ids become _, null texts empty, null numbers 0. With a kind of collection (sc, hc),
+    exactly its columns, in their order and types: missing ones have these values, an id is by default the chunk's, and source_file
+    is the original path."""
     fill = {"string": F.lit(""), "double": F.lit(0.0), "float": F.lit(0.0), "int": F.lit(0), "bigint": F.lit(0)}
+    if collection:
+        from lexloom.sources.sinks import search_schema
+
+        names = chunks.columns
+        source = lambda f: "original_source_path" if f == "source_file" else f
+        out = []
+        for f in search_schema(collection).fields:
+            kind = f.dataType.simpleString()
+            empty = fill[kind].cast(kind) if kind in fill else F.expr(f"cast(array() as {kind})")
+            value = F.col(source(f.name)).cast(kind) if source(f.name) in names else F.lit(None).cast(kind)
+            if f.name == "id":
+                value = first_filled(value, F.col("chunk_id").cast("string") if "chunk_id" in names else F.lit("unknown"))
+            out.append(F.coalesce(value, empty).alias(f.name))
+        return chunks.select(*out).withColumn(id_, F.translate(id_, "/ ", "__"))
     columns = [F.coalesce(F.col(c), fill[t]).cast(t).alias(c) if t in fill else F.col(c) for c, t in chunks.dtypes]
     return chunks.select(*columns).withColumn(id_, F.translate(id_, "/ ", "__"))

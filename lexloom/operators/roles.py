@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexloom.functions.vectors import cosine
 
@@ -49,3 +49,45 @@ def label_codes(rows: DataFrame, label: str) -> DataFrame:
     """Distinct labels with numbers from 0 in their order."""
     sorted_ = F.array_sort(F.collect_set(label))
     return rows.agg(sorted_.alias("a")).select(F.posexplode("a").alias("code", label))
+
+
+def accuracy(rows: DataFrame, truth: str = "role", predicted: str = "predicted_role") -> DataFrame:
+    """(n, accuracy): the share of rows whose prediction is the truth; rows without a truth don't count, and of nothing it is null."""
+    known = rows.where(F.col(truth).isNotNull())
+    return known.agg(F.count("*").alias("n"), F.avg(F.coalesce(F.col(truth) == F.col(predicted), F.lit(False)).cast("double")).alias("accuracy"))
+
+
+def classify_chunks(model: PipelineModel, chunks: DataFrame, name: str = "role_prediction") -> DataFrame:
+    """chunks with a struct of their role and its confidence."""
+    out = predict(model, chunks)
+    return out.withColumn(name, F.struct(F.col("predicted_role").alias("role"), "confidence")).drop("predicted_role", "confidence")
+
+
+def training_rows(chunks: DataFrame, text: str = "text", role: str = "role", names: list[str] | None = None) -> DataFrame:
+    """(text, role, label) of annotated chunks: label is the role's place among the names, by default all roles in their order; rows of other
+    roles, or without text, are left out."""
+    rows = chunks.select(F.col(text).alias("text"), F.col(role).alias("role")).where("text is not null and role is not null")
+    if names is not None:
+        return rows.where(F.col("role").isin(*names)).withColumn("label", (F.array_position(F.array(*(F.lit(x) for x in names)), F.col("role")) - 1).cast("long"))
+    return rows.join(F.broadcast(label_codes(rows, "role")).select("role", F.col("code").cast("long").alias("label")), "role")  # a row for each role
+
+
+def save(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def from_config(spark: SparkSession, config: dict) -> PipelineModel | None:
+    """The model that a configuration names: none if roles are disabled; a saved one, which must exist; else one trained on its rows."""
+    if not config.get("enabled", True):
+        return None
+    if config.get("use_finetuned", True):
+        at = config.get("finetuned_model_path", "")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at or "missing")
+        if not at or not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            raise FileNotFoundError(f"no saved role model at {at!r}")
+        return load(at)
+    return train(config["rows"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lexloom.functions.vectors import cosine
+
 
 def top_k(chunks: DataFrame, k: int, doc: str, pos: str, score: str) -> DataFrame:
     """The k best of each document, ties by position; all other columns are kept."""
@@ -37,3 +39,15 @@ def same_role_ids(chunks: DataFrame, doc: str, role: str, pos: str, id_: str, na
     """With the ids of the document's other chunks of the same role, in order; no self-join."""
     w = Window.partitionBy(doc, role).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return chunks.withColumn(name, F.array_remove(F.collect_list(id_).over(w), F.col(id_)))
+
+
+def adjacent_cosines(rows: DataFrame, by: str, order: str, vector: str = "v", name: str = "cosine") -> DataFrame:
+    """Rows with the cosine of their vector and the last one's in their group; the first of a group is left out. One shuffle."""
+    w = Window.partitionBy(by).orderBy(order)
+    return rows.withColumn("_last", F.lag(vector).over(w)).where("_last is not null").withColumn(name, cosine("_last", vector)).drop("_last")
+
+
+def with_weights(rows: DataFrame, weights: dict[str, float], role: str = "role", default: float = 1.0, name: str = "weight") -> DataFrame:
+    """Rows with the weight of their role."""
+    known = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv))
+    return rows.withColumn(name, F.coalesce(F.try_element_at(known, F.col(role)), F.lit(default)))

@@ -7,8 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexloom.functions import text as T, vectors as V
-from lexloom.operators import chunking, incremental as I, pages as P, records as R, roles, select as S
+from lexloom import jobs
+from lexloom.functions import text as T, values, vectors as V
+from lexloom.operators import acts, chunking, incremental as I, language, pages as P, records as R, roles, select as S
+from lexloom.session import spread
+from lexloom.sources import files
 from lexloom.streaming import events as E
 
 WEIGHTS = {"user": 3.0, "assistant": 0.4, "system": 2.5}
@@ -16,8 +19,13 @@ SOME_ZERO = {"user": 3.0, "assistant": 0.0, "system": 2.5}
 HEADERS = ("", "THE SUPREME COURT REPORTS [2020] 1 S.C.R.) ", "(A. B. SINGH, C. D. RAO JJ.) SUPREME COURT REPORTS 12] ", "(2019) (2019 AIR SC 12) inter- national ")
 
 
+#: Tables of texts, whose rows take long.
+LARGE = ("documents", "pages")
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    table = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(table) if name in LARGE else table
 
 
 def _headed(spark: SparkSession, d: str) -> DataFrame:
@@ -33,6 +41,13 @@ _CLEAN = f"trim({_CLEAN})"
 _SENTENCES = f"list_filter(list_transform(string_split(regexp_replace(c, '([.!?])\\s+([A-Z])', '\\1‖\\2', 'g'), '‖'), lambda x: trim(x)), lambda x: x <> '')"
 
 
+_HITS = ", ".join(f"len(list_filter(l, lambda x: x in ({', '.join(repr(w) for w in own)}))) as {lang}" for lang, own in language.COMMON.items())
+_BEST = f"greatest({', '.join(language.COMMON)})"
+_LANG = rf"""with w as (select doc_id, string_split_regex(lower(text[:{language.HEAD}]), '[^\p{{L}}]+') as l from documents), s as (select doc_id, {_HITS} from w)
+        select doc_id, case when coalesce({_BEST}, 0) = 0 then 'unknown' {" ".join(f"when {x} = {_BEST} then '{x}'" for x in language.COMMON)} end as detected,
+            case when coalesce({_BEST}, 0) = 0 then 0.0 else round({_BEST} / ({" + ".join(language.COMMON)}), 4) end as prob from s"""
+
+
 def clean_text(spark, d):
     c = T.clean(F.col("text"))
     return _headed(spark, d).select("doc_id", F.md5(c.cast("binary")).alias("cleaned_md5"), F.length(c).cast("long").alias("n"), F.round(T.reduction_percent(F.col("text"), c), 4).alias("reduction"))
@@ -77,9 +92,9 @@ def role_distribution(spark, d):
 
 
 def per_conv_roles(spark, d):
-    c = _t(spark, d, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n"), F.min("turn").alias("first"))
-    best = F.max(F.struct("n", (-F.col("first")).alias("f"), "role"))
-    return c.groupBy("conv_id").agg(best.alias("b"), F.sum("n").alias("all")).select("conv_id", F.col("b.role").alias("dominant"), F.round(F.col("b.n") / F.col("all"), 6).alias("purity"))
+    shares = chunking.role_shares(_t(spark, d, "conversations"), ["conv_id"], "role", "turn")
+    counts = F.array_join(F.transform(F.array_sort(F.map_entries("role_distribution")), lambda x: F.concat_ws(":", x["key"], x["value"])), ",")
+    return shares.select("conv_id", F.col("dominant_role").alias("dominant"), F.round("role_purity", 6).alias("purity"), counts.alias("counts"))
 
 
 def same_role_ids(spark, d):
@@ -114,11 +129,8 @@ def _weighted_sql(weights, sim):
 
 
 def adjacent_cosine(spark, d):
-    from pyspark.sql import Window
-
     e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"), F.floor(F.col("vec_id") / 25).alias("doc"))
-    before = F.lag("v").over(Window.partitionBy("doc").orderBy("vec_id"))
-    return e.withColumn("b", before).where("b is not null").select("vec_id", F.round(V.cosine("b", "v"), 6).alias("cosine"))
+    return S.adjacent_cosines(e, "doc", "vec_id").select("vec_id", F.round("cosine", 6).alias("cosine"))
 
 
 def semantic_groups(spark, d):
@@ -153,12 +165,24 @@ def translation_segments(spark, d):
     return s.select("doc_id", "place", F.md5(F.col("segment").cast("binary")).alias("segment_md5"))
 
 
+def _raw_names(spark, d):
+    return _t(spark, d, "documents").select(F.concat(F.col("doc_id"), F.lit(".json")).alias("name"))
+
+
 def delta1(spark, d):
-    return I.pending(_t(spark, d, "orders").select("o_orderkey"), _t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+    return I.without_chunks(_raw_names(spark, d), _t(spark, d, "labels").select(T.chunk_name(F.concat(F.col("doc_id"), F.lit(".json"))).alias("name")))
 
 
 def delta2(spark, d):
-    return I.pending(_t(spark, d, "customer").select("c_custkey"), _t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+    chunked = _raw_names(spark, d).select(T.chunk_name(F.col("name")).alias("name"))
+    return I.not_indexed(chunked, _t(spark, d, "labels").select(F.col("doc_id").cast("string").alias("doc_id")))
+
+
+def marker_filter(spark, d):
+    path = lambda name: F.concat(F.lit("app/raw/"), F.col(name), F.lit(".json"))
+    items = _t(spark, d, "documents").select("doc_id", T.marker_file(path("doc_id")).alias("marker"))
+    left = I.unmarked(items, _t(spark, d, "labels").select(T.marker_file(path("doc_id")).alias("path")), F.col("marker"))
+    return left.select("doc_id", "marker", T.document_key(F.col("marker")).alias("key"))
 
 
 def progress_filter(spark, d):
@@ -184,7 +208,7 @@ def verify_missing(spark, d):
 
 def first_path_lookup(spark, d):
     docs = _t(spark, d, "documents").select(F.col("n_chars").alias("name"), F.concat_ws("/", "source", "doc_id").alias("path"))
-    wanted = spark.range(0, 4000, 1, 1).select(F.col("id").alias("name"))
+    wanted = docs.select("name").union(docs.select(F.col("name") + 1)).distinct()
     return I.lookup_path(wanted, docs.where("path like 'src1/%'"), docs).select("name", "path")
 
 
@@ -194,18 +218,18 @@ def inventory_build(spark, d):
 
 
 def inventory_merge(spark, d):
-    y = _years(spark, d)
-    return I.merged(y.where("o_orderkey % 3 = 0"), y.where("o_orderkey % 5 = 0")).groupBy("year").agg(F.count("*").alias("n"))
+    raw = _years(spark, d)
+    found = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.year("l_shipdate").cast("long").alias("year"))
+    return I.merged(raw, found.select("o_orderkey", "year")).groupBy("year").agg(F.count("*").alias("n"))
 
 
 def inventory_summary(spark, d):
-    y = _years(spark, d).groupBy("year").agg(F.count("*").alias("n"))
-    return y.agg(F.count("*").alias("years"), F.sum("n").alias("files"), F.array_join(F.sort_array(F.collect_set(F.col("year").cast("string"))), ",").alias("listed"))
+    out = I.summary(_years(spark, d).groupBy("year").agg(F.count("*").alias("file_count")))
+    return out.select("years", "files", F.array_join("listed", ",").alias("listed"))
 
 
 def set_diff_progress(spark, d):
-    e = _t(spark, d, "events")
-    return e.where("event_type = 'view'").select("user_id").subtract(e.where("event_type = 'error'").select("user_id"))
+    return I.difference(_t(spark, d, "documents").select("doc_id"), _t(spark, d, "labels").select("doc_id"))
 
 
 def progress_union(spark, d):
@@ -232,7 +256,7 @@ def bool_coerce(spark, d):
 
 def int_coerce(spark, d):
     v = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise(F.get_json_object("props", "$.k"))
-    return _t(spark, d, "events").select("event_id", v.try_cast("int").cast("long").alias("n"))
+    return _t(spark, d, "events").select("event_id", T.int_or_same(F.concat(F.lit(" "), v)).alias("n"))
 
 
 def coalesce_fields(spark, d):
@@ -259,13 +283,11 @@ def upsert_index(spark, d):
 
 
 def stats_rollup(spark, d):
-    e = _t(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("total"), F.count(F.when(F.col("value") > 5, 1)).alias("ok"))
-    return e.select("event_type", "total", "ok", F.round(I.success_rate("ok", "total"), 4).alias("rate"))
+    return I.run_statistics(_t(spark, d, "events"), ["event_type"], F.col("value") > 5).withColumn("rate", F.round("rate", 4))
 
 
 def role_weight_map(spark, d):
-    m = F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv])
-    return _t(spark, d, "conversations").select("conv_id", "turn", F.coalesce(F.try_element_at(m, F.col("role")), F.lit(1.0)).alias("weight"))
+    return S.with_weights(_t(spark, d, "conversations"), WEIGHTS).select("conv_id", "turn", "weight")
 
 
 def label_encode(spark, d):
@@ -277,15 +299,129 @@ def search_documents(spark, d):
     return R.search_documents(c)
 
 
-# Frequent words of each language.
-COMMON = {"de": ("der", "die", "und", "den", "das"), "en": ("the", "of", "and", "to", "is"), "es": ("que", "el", "los", "las", "y"), "fr": ("les", "des", "et", "une", "du")}
+def search_index_documents(spark, d):
+    c = _t(spark, d, "conversations").select(F.concat_ws("/ ", "conv_id", "turn").alias("chunk_id"), "role", F.length("text").alias("end_char"), F.col("turn").cast("string").alias("court"))
+    return R.search_documents(c, collection="hc").drop("embedding")
 
 
 def lang_detect(spark, d):
-    words = F.split(F.lower(F.col("text")), " ")
-    score = lambda ws: F.size(F.filter(words, lambda x: x.isin(*ws)))
-    best = F.array_max(F.array(*[F.struct(score(ws).alias("s"), F.lit(-i).alias("o"), F.lit(x).alias("lang")) for i, (x, ws) in enumerate(COMMON.items())]))
-    return _t(spark, d, "documents").select("doc_id", F.when(best["s"] > 0, best["lang"]).otherwise("unknown").alias("detected"))
+    found = language.by_words("text")
+    return _t(spark, d, "documents").select("doc_id", found["lang"].alias("detected"), found["prob"].alias("prob"))
+
+
+def language_model(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text", "lang")
+    return language.detect(language.train(docs), docs).select("doc_id", "lang", "language", "language_confidence")
+
+
+def ocr_normalise(spark, d):
+    page = F.concat(F.lit("a\t\tb  c-\nd\n\n\n\n"), F.col("text"))
+    return _t(spark, d, "documents").select("doc_id", F.md5(T.normalise_ocr(page).cast("binary")).alias("page_md5"))
+
+
+def act_pdf_match(spark, d):
+    part = _t(spark, d, "part")
+    acts_ = part.select(F.concat(F.lit("CA_"), "p_partkey").alias("doc_id"), F.concat_ws(": ", "p_name", "p_partkey").alias("act_name"))
+    title = part.where("p_size <= 20").select(F.concat(T.file_name(F.concat_ws(": ", "p_name", "p_partkey")), F.lit(".pdf")).alias("name"), F.col("p_size").alias("length"))
+    own = part.where("p_size between 15 and 35").select(F.concat(F.lit("CA_"), "p_partkey", F.lit(".pdf")).alias("name"), (F.col("p_size") + 100).alias("length"))
+    return acts.with_pdf(acts_, title.unionByName(own)).select("doc_id", "pdf_name", "pdf_exists", "pdf_file_size_bytes")
+
+
+def act_documents(spark, d):
+    c = _t(spark, d, "conversations").dropDuplicates(["conv_id", "turn"]).withColumn("doc_id", F.col("conv_id").cast("string"))
+    named = c.select("doc_id", F.lit(None).cast("string").alias("act_name"), F.lit(None).cast("int").alias("year")).distinct()
+    short = c.where("role <> 'system'").select("doc_id", F.col("turn").alias("chunk_id"), "text")
+    out = acts.processed(acts.record(named, "somewhere", "Nowhere"), short)
+    ids = F.array_join(F.transform("chunks", lambda x: x["chunk_id"]), ",")
+    return out.select("doc_id", "act_name", F.col("year").cast("long").alias("year"), T.year_folder(F.col("year")).alias("folder"), "total_chunks", ids.alias("chunk_ids"))
+
+
+def act_index_records(spark, d):
+    docs = _t(spark, d, "documents").select(F.when(F.col("n_chars") > 500, F.col("doc_id").cast("string")).otherwise("").alias("doc_id"), F.concat(F.lit("x/y."), "doc_id", F.lit(".json")).alias("path"), F.col("lang").alias("state"), F.concat(F.lit(" "), F.initcap((F.col("n_chars") > 900).cast("string"))).alias("pdf_exists"), F.struct(F.col("source").alias("service_type")).alias("subservice"), F.array(F.lit("c")).alias("chunks"))
+    lifted = acts.with_service_type(docs)
+    return acts.index_records(lifted, (*acts.ACT_FIELDS, "service_type")).select("doc_id", "state", "pdf_exists", "service_type", F.size("chunks").cast("long").alias("n"))
+
+
+def state_names(spark, d):
+    return _t(spark, d, "nation").select("n_nationkey", acts.state_name(F.lower(F.translate("n_name", " ", "_"))).alias("state"))
+
+
+def translation_gate(spark, d):
+    lang = F.element_at(F.create_map(*(F.lit(x) for x in ("de", "hi", "en", "en", "es", "unknown", "fr", "zz"))), F.col("lang"))
+    return _t(spark, d, "documents").select("doc_id", acts.needs_translation(lang).alias("translate"), acts.translator_code(lang).alias("code"))
+
+
+def jurisdictions(spark, d):
+    c = _t(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("turn") > 2, "").otherwise(F.col("role")).alias("jurisdiction"), F.nullif(F.col("role"), F.lit("user")).alias("court"), F.lit("b").alias("bench"))
+    return c.select("conv_id", "turn", acts.jurisdiction(c).alias("own"), acts.jurisdiction(c, "X").alias("fixed"))
+
+
+def iso_timestamps(spark, d):
+    return _t(spark, d, "events").select("event_id", T.iso_timestamp(F.col("ts")).alias("at"))
+
+
+def similarity_range(spark, d):
+    c = _t(spark, d, "conversations").withColumn("sim", F.length("text").cast("double"))
+    out = chunking.similarity_range(c, "conv_id", "sim")
+    return out.select("conv_id", F.round("mean", 4).alias("mean"), "least", "most")
+
+
+def role_accuracy(spark, d):
+    c = _t(spark, d, "conversations").withColumn("guess", F.when(F.length("text") < 300, "user").otherwise("assistant"))
+    return roles.accuracy(c, "role", "guess").select("n", F.round("accuracy", 6).alias("accuracy"))
+
+
+def training_rows(spark, d):
+    return roles.training_rows(_t(spark, d, "conversations")).groupBy("role", "label").agg(F.count("*").alias("n"))
+
+
+def json_nested(spark, d):
+    bad = F.transform(F.col("embedding"), lambda x: F.when(x > 0.2, F.lit(float("inf"))).when(x < -0.2, F.lit(float("nan"))).otherwise(x).cast("double"))
+    e = values.safe_rows(_t(spark, d, "embeddings").select("vec_id", F.struct(bad.alias("v"), F.encode(F.lit("é"), "UTF-8").alias("b")).alias("s")))
+    return e.select("vec_id", F.round(F.aggregate("s.v", F.lit(0.0), lambda a, x: a + x), 4).alias("total"), F.col("s.b").alias("text"))
+
+
+def html_details(spark, d):
+    out = P.detail_records(_t(spark, d, "pages"), "https://base.example/x/y")
+    return out.select("act_name", "handle_id", "act_number", F.col("year").cast("long").alias("year"), "pdf_url", "pdf_exists", "source_url")
+
+
+def html_lists(spark, d):
+    page = _t(spark, d, "pages").select(F.col("page_id").alias("offset"), F.regexp_replace("html", 'href="/', 'href="/handle/1?view_type=browse&offset=7&').alias("html"))
+    out = P.list_pages(page, "https://base.example/x/y")
+    return out.select("offset", F.array_join("links", "|").alias("links"), "has_next")
+
+
+def path_exclusions(spark, d):
+    names = _t(spark, d, "part").select("p_partkey", F.concat("p_partkey", F.when(F.col("p_size") > 30, "_inventory.json").when(F.col("p_size") > 20, "_done_0.json").otherwise(".json")).alias("path"))
+    return names.where(acts.not_bookkeeping(F.col("path")))
+
+
+def valid_reads(spark, d):
+    c = _t(spark, d, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.collect_list(F.when(F.col("role") == "system", F.col("turn"))).alias("chunks"))
+    kept = files.valid_documents(files.valid_chunk_files(c).withColumn("name", F.when(F.col("doc_id") > 10, F.col("doc_id").cast("string")).otherwise("")), "name")
+    return kept.select("doc_id", F.size("chunks").cast("long").alias("n"))
+
+
+ROLES = {"opening": ["the of and", "is to"], "middle": ["that with", "for by"], "end": ["this from", "as are"]}
+
+
+def role_chunks(spark, d):
+    out = chunking.semantic_chunks(_t(spark, d, "documents"), roles=ROLES)
+    counts = F.array_join(F.transform(F.array_sort(F.map_entries("role_distribution")), lambda x: F.concat_ws(":", x["key"], x["value"])), ",")
+    return out.select("doc_id", "chunk_id", "num_sentences", "start_char", "end_char", "dominant_role", "role_purity", counts.alias("counts"))
+
+
+def top_chunks(spark, d):
+    return chunking.best_chunks(_t(spark, d, "documents"), 3).select("doc_id", "chunk_id", "doc_similarity")
+
+
+def index_documents(spark, d):
+    c = _t(spark, d, "conversations").dropDuplicates(["conv_id", "turn"])
+    c = c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_id"), "role", "text", F.length("text").alias("doc_similarity"), F.lit("t").alias("title"))
+    out = jobs.index_documents(c, 3, WEIGHTS)
+    chunks = F.array_join(F.transform("chunks", lambda x: F.concat_ws(":", x["chunk_id"], x["role"], F.array_join(x["same_role_chunk_ids"], "/"))), ",")
+    return out.select("doc_id", "title", chunks.alias("chunks"))
 
 
 def role_classifier(spark, d):
@@ -322,9 +458,9 @@ ORACLE = {
     "centroid_roles": """with e as (select vec_id, embedding::double[] as v from embeddings), c as (select range as i from range(5)),
         s as (select vec_id, i, list_sum(list_transform(range(1, 65), lambda j: case when (j - 1) % 5 = i then v[j] else 0 end)) / sqrt(case when i < 4 then 13.0 else 12.0 end) as s from e cross join c)
         select vec_id, 'r' || i as role from (select *, row_number() over (partition by vec_id order by s desc, i) k from s) where k = 1""",
-    "lang_detect": "with w as (select doc_id, string_split(lower(text), ' ') as l from documents), s as (select doc_id, len(list_filter(l, lambda x: x in ('der', 'die', 'und', 'den', 'das'))) de, len(list_filter(l, lambda x: x in ('the', 'of', 'and', 'to', 'is'))) en, len(list_filter(l, lambda x: x in ('que', 'el', 'los', 'las', 'y'))) es, len(list_filter(l, lambda x: x in ('les', 'des', 'et', 'une', 'du'))) fr from w) select doc_id, case when greatest(de, en, es, fr) = 0 then 'unknown' when de = greatest(de, en, es, fr) then 'de' when en = greatest(de, en, es, fr) then 'en' when es = greatest(de, en, es, fr) then 'es' else 'fr' end as detected from s",
+    "lang_detect": _LANG,
     "role_distribution": "select role, count(*) as n from conversations group by 1",
-    "per_conv_roles": "with c as (select conv_id, role, count(*) n, min(turn) f from conversations group by 1, 2), r as (select *, row_number() over (partition by conv_id order by n desc, f, role desc) k, sum(n) over (partition by conv_id) t from c) select conv_id, role as dominant, round(n / t, 6) as purity from r where k = 1",
+    "per_conv_roles": """with c as (select conv_id, role, count(*) n, min(turn) f from conversations group by 1, 2), r as (select *, row_number() over (partition by conv_id order by n desc, f, role desc) k, sum(n) over (partition by conv_id) t from c), l as (select conv_id, string_agg(role || ':' || n, ',' order by role) counts from c group by 1) select r.conv_id, role as dominant, round(n / t, 6) as purity, counts from r join l on l.conv_id = r.conv_id where k = 1""",
     "same_role_ids": "with c as (select distinct conv_id, turn, role from conversations) select a.conv_id, a.turn, coalesce(string_agg(b.conv_id || '-' || b.turn, ',' order by b.turn), '') as others from c a left join c b on a.conv_id = b.conv_id and a.role = b.role and a.turn <> b.turn group by 1, 2",
     "topk_by_similarity": "select conv_id, turn, sim from (select conv_id, turn, length(text) // 200 as sim, row_number() over (partition by conv_id order by length(text) // 200 desc, turn) r from conversations) where r <= 3",
     "weighted_topk": _weighted_sql(WEIGHTS, "length(text) // 200"),
@@ -332,23 +468,23 @@ ORACLE = {
     "adjacent_cosine": "with e as (select vec_id, embedding::double[] as v, vec_id // 25 as doc from embeddings), p as (select b.vec_id, a.v as a, b.v as b from e a join e b on a.doc = b.doc and b.vec_id = a.vec_id + 1) select vec_id, round(list_cosine_similarity(a, b), 6) as cosine from p",
     "softmax_argmax": "with e as (select vec_id, embedding::double[] as v from embeddings) select vec_id, (list_position(v, list_max(v)) - 1)::bigint as best, round(1 / list_sum(list_transform(v, lambda x: exp(x - list_max(v)))), 6) as p from e",
     "unit_vectors": "with e as (select vec_id, list_transform(embedding::double[], lambda x: x * 3) as v from embeddings) select vec_id, round(v[1] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) as first from e",
-    "delta1": "select o_orderkey from orders o where not exists (select 1 from lineitem where l_orderkey = o_orderkey)",
-    "delta2": "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)",
+    "delta1": """select doc_id || '.json' as name from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
+    "delta2": """select doc_id || '_all_chunks.json' as name from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
     "progress_filter": "select c_custkey, c_name from customer where not exists (select 1 from events where user_id = c_custkey)",
     "index_prefilter": "select c_custkey, c_name from customer where exists (select 1 from orders where o_custkey = c_custkey)",
     "coverage_flag": "with o as (select year(o_orderdate)::bigint as year, exists (select 1 from lineitem where l_orderkey = o_orderkey) as hit from orders) select year, count(*) as total, count(*) filter (where hit) as found, round(count(*) filter (where hit) / count(*), 6) as ratio, count(*) filter (where hit) / count(*) >= 0.99 as uploaded from o group by 1",
     "verify_missing": "select year(o_orderdate)::bigint as year, count(*) as missing from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey) group by 1",
-    "first_path_lookup": "with d as (select n_chars as name, source || '/' || doc_id as path from documents), a as (select name, min(path) p from d where path like 'src1/%' group by 1), b as (select name, min(path) p from d group by 1) select w.name, coalesce(a.p, b.p) as path from (select range as name from range(4000)) w left join a on a.name = w.name left join b on b.name = w.name",
+    "first_path_lookup": """with d as (select n_chars as name, source || '/' || doc_id as path from documents), a as (select name, min(path) p from d where path like 'src1/%' group by 1), b as (select name, min(path) p from d group by 1) select w.name, coalesce(a.p, b.p) as path from (select name from d union select name + 1 from d) w left join a on a.name = w.name left join b on b.name = w.name""",
     "inventory_build": "select year(o_orderdate)::bigint as year, count(distinct o_orderkey) as file_count, md5(string_agg(distinct o_orderkey || '.json', ',' order by o_orderkey || '.json')) as files_md5 from orders group by 1",
-    "inventory_merge": "select year, count(*) as n from (select distinct year(o_orderdate)::bigint as year, o_orderkey from orders where o_orderkey % 3 = 0 or o_orderkey % 5 = 0) group by 1",
+    "inventory_merge": """select year, count(*) as n from (select year(o_orderdate)::bigint as year, o_orderkey from orders union select year(l_shipdate)::bigint, l_orderkey from lineitem) group by 1""",
     "inventory_summary": "with y as (select year(o_orderdate) as year, count(*) n from orders group by 1) select count(*) as years, sum(n)::bigint as files, string_agg(year::varchar, ',' order by year::varchar) as listed from y",
-    "set_diff_progress": "select user_id from events where event_type = 'view' except select user_id from events where event_type = 'error'",
+    "set_diff_progress": """select doc_id from documents except select doc_id from labels""",
     "progress_union": "select user_id as id from events union select o_custkey from orders",
     "dedup_first_seen": "select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts, event_id) r from events) where r = 1",
     "count_per_year": "select year(o_orderdate)::bigint as year, count(*) as docs from orders group by 1",
     "year_filter_limit": "select * from (select year(o_orderdate)::bigint as year, o_orderkey, row_number() over (partition by year(o_orderdate) order by o_orderkey) as place from orders where year(o_orderdate) between 1996 and 1998) where place <= 10",
     "bool_coerce": "select lower(trim(case l_linenumber when 1 then ' True ' when 2 then 'false' else l_returnflag end)) = 'true' as flag, count(*) as n from lineitem group by 1",
-    "int_coerce": "select event_id, try_cast(case when event_id % 3 = 0 then event_type else json_extract_string(props, '$.k') end as bigint) as n from events",
+    "int_coerce": """select event_id, coalesce(try_cast(trim(v) as int)::varchar, v) as n from (select event_id, ' ' || case when event_id % 3 = 0 then event_type else json_extract_string(props, '$.k') end as v from events)""",
     "coalesce_fields": "with l as (select doc_id, min(quality) as quality from labels group by 1) select d.doc_id, coalesce(nullif(case when d.doc_id % 2 = 0 then '' else source end, ''), nullif(quality::varchar, ''), lang) as date, coalesce(nullif(case when d.doc_id % 3 = 0 then '' else lang end, ''), source) as court from documents d left join l on l.doc_id = d.doc_id",
     "nested_parent_docs": "with c as (select distinct conv_id, turn, role, length(text) n from conversations) select conv_id, min_by(role, turn) as first_role, string_agg(role || ':' || n, ',' order by turn) as chunks from c group by 1",
     "json_sanitize": "select vec_id, round(case when vec_id % 7 = 0 or vec_id % 11 = 0 then 0.0 else embedding[1]::double end, 6) as x from embeddings",
@@ -357,6 +493,46 @@ ORACLE = {
     "role_weight_map": "select conv_id, turn, (case role when 'user' then 3.0 when 'assistant' then 0.4 when 'system' then 2.5 else 1.0 end)::double as weight from conversations",
     "label_encode": "select (row_number() over (order by lang) - 1)::bigint as code, lang from (select distinct lang from documents where lang is not null)",
     "search_documents": "select conv_id || '__' || turn as id, case when turn % 2 = 0 then role else '' end as role, turn as n from conversations",
+    "semantic_groups": """with recursive e as (select vec_id // 25 as doc, row_number() over (partition by vec_id // 25 order by vec_id) as i, embedding::double[] as v from embeddings),
+        s as (select b.doc, b.i, list_cosine_similarity(a.v, b.v) as x from e a join e b on a.doc = b.doc and b.i = a.i + 1),
+        f as (select doc, 1::bigint as i, []::bigint[] as done, 1::bigint as cur from e where i = 1
+            union all select f.doc, s.i, case when (x < 0.1 or cur >= 12) and cur >= 2 then list_append(done, cur) else done end, case when (x < 0.1 or cur >= 12) and cur >= 2 then 1 else cur + 1 end from f join s on s.doc = f.doc and s.i = f.i + 1),
+        l as (select *, row_number() over (partition by doc order by i desc) as k from f)
+        select doc, array_to_string(case when cur < 2 and len(done) > 0 then list_append(done[:-2], done[-1] + cur) else list_append(done, cur) end, ',') as lengths from l where k = 1""",
+    "translation_segments": r"""with recursive p as (select doc_id, generate_subscripts(l, 1) as para, unnest(l) as p, text from (select doc_id, text, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') as l from documents where text is not null)),
+        w as (select *, len(string_split_regex(p, '\s+')) as n from p),
+        s as (select doc_id, para, generate_subscripts(l, 1) as i, unnest(l) as s from (select doc_id, para, string_split(regexp_replace(p, '([।.!?])\s+', '\1‖', 'g'), '‖') as l from w where n > 120)),
+        t as (select *, len(string_split_regex(s, '\s+')) as n from s),
+        f as (select doc_id, para, i, 1::bigint as seg, n from t where i = 1
+            union all select t.doc_id, t.para, t.i, case when f.n > 0 and f.n + t.n > 120 then seg + 1 else seg end, case when f.n > 0 and f.n + t.n > 120 then t.n else f.n + t.n end from f join t on t.doc_id = f.doc_id and t.para = f.para and t.i = f.i + 1),
+        o as (select t.doc_id, t.para, seg, string_agg(s, ' ' order by t.i) as segment from t join f on t.doc_id = f.doc_id and t.para = f.para and t.i = f.i group by 1, 2, 3
+            union all select doc_id, para, 1, p from w where n <= 120
+            union all select doc_id, 1, 1, text[:500] from documents where text is not null and doc_id not in (select doc_id from p))
+        select doc_id, row_number() over (partition by doc_id order by para, seg) - 1 as place, md5(segment) as segment_md5 from o""",
+    "marker_filter": """select doc_id, 'processed/raw/' || doc_id || '_done_0.json' as marker, 'raw/' || doc_id as key from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
+    "search_index_documents": """select conv_id || '__' || turn as id, '' as doc_id, '' as jurisdiction, '' as date, 0 as start_char, length(text)::int as end_char, 0 as num_sentences, 0.0::double as avg_similarity, 0.0::double as doc_similarity, role, 0.0::double as confidence, '' as title, '' as text, '' as judge, '' as pdf_link, '' as cnr, turn::varchar as court, '' as all_chunks_path from conversations""",
+    "ocr_normalise": r"""with p as (select doc_id, chr(97) || chr(9) || chr(9) || 'b  c-' || chr(10) || 'd' || repeat(chr(10), 4) || text as t from documents)
+        select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '-\n(\w)', '\1', 'g'), '[ \t]{2,}', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) as page_md5 from p""",
+    "act_pdf_match": r"""with p as (select 'CA_' || p_partkey as doc_id, substring(trim(regexp_replace(regexp_replace(p_name || ': ' || p_partkey, '[<>:"/\\|?*]', '_', 'g'), '\s+', ' ', 'g')), 1, 200) || '.pdf' as title, p_size from part)
+        select doc_id, case when p_size <= 20 then title when p_size <= 35 then doc_id || '.pdf' end as pdf_name, p_size <= 35 as pdf_exists, (case when p_size <= 20 then p_size when p_size <= 35 then p_size + 100 else 0 end)::bigint as pdf_file_size_bytes from p""",
+    "act_documents": """with c as (select distinct conv_id, turn, role from conversations), o as (select conv_id, count(*) as n, string_agg(conv_id || '_' || turn, ',' order by turn) as ids from c where role <> 'system' group by 1) select a.conv_id::varchar as doc_id, 'Unknown' as act_name, 0::bigint as year, 'unknown' as folder, case when n >= 2 then n else 0 end as total_chunks, case when n >= 2 then ids else '' end as chunk_ids from (select distinct conv_id from c) a left join o on o.conv_id = a.conv_id""",
+    "act_index_records": """select case when n_chars > 500 then doc_id::varchar else 'y.' || doc_id end as doc_id, lang as state, n_chars > 900 as pdf_exists, source as service_type, 1::bigint as n from documents""",
+    "state_names": """select n_nationkey, array_to_string(list_transform(string_split(replace(lower(n_name), '_', ' '), ' '), lambda w: upper(w[1]) || w[2:]), ' ') as state from nation""",
+    "translation_gate": """select doc_id, coalesce(lang = 'de', false) as translate, case when lang = 'de' then 'hin_Deva' end as code from documents""",
+    "jurisdictions": """select conv_id, turn, coalesce(nullif(case when turn > 2 then '' else role end, ''), nullif(nullif(role, 'user'), ''), 'b') as own, 'X' as fixed from conversations""",
+    "iso_timestamps": """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as at from events""",
+    "similarity_range": """select conv_id, round(avg(length(text)), 4) as mean, min(length(text))::double as least, max(length(text))::double as most from conversations group by 1""",
+    "role_accuracy": """select count(*) as n, round(avg((coalesce(role = case when length(text) < 300 then 'user' else 'assistant' end, false))::int), 6) as accuracy from conversations where role is not null""",
+    "training_rows": """select role, dense_rank() over (order by role) - 1 as label, count(*) as n from conversations where role is not null and text is not null group by role""",
+    "json_nested": """select vec_id, round(list_sum(list_transform(embedding::double[], lambda x: case when x > 0.2 or x < -0.2 then 0.0 else x end)), 4) as total, 'é' as text from embeddings""",
+    "html_details": r"""with p as (select url, nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), '') as t from pages)
+        select t as act_name, regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '^/(handle/)?', '') as handle_id, '' as act_number, try_cast(nullif(regexp_extract(t, '\b(1[89][0-9]{2}|20[0-2][0-9])\b', 1), '') as bigint) as year, '' as pdf_url, false as pdf_exists, url as source_url from p where t is not null""",
+    "html_lists": r"""with p as (select page_id as offset_, regexp_extract_all(replace(html, 'href="/', 'href="/handle/1?view_type=browse&offset=7&'), '<a[^>]*href="([^"]*)"', 1) as l from pages),
+        u as (select offset_, u, min(i) as i from (select offset_, unnest(l) as u, generate_subscripts(l, 1) as i from p) where contains(u, 'view_type=browse') group by 1, 2),
+        o as (select offset_, string_agg('https://base.example' || u, '|' order by i) as links from u group by 1)
+        select p.offset_ as "offset", coalesce(links, '') as links, 7 > p.offset_ and links is not null as has_next from p left join o on o.offset_ = p.offset_""",
+    "path_exclusions": """select p_partkey, p_partkey || '.json' as path from part where p_size <= 20""",
+    "valid_reads": """select conv_id as doc_id, count(*) as n from conversations where role = 'system' and conv_id > 10 group by 1""",
     "stream_dedup_counts": "select user_id % 10 as bucket, count(distinct user_id) as n from events group by 1",
 }
 
@@ -367,7 +543,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_by_similarity, adjacent_cosine, semantic_groups, centroid_roles, softmax_argmax, unit_vectors, semantic_chunks, translation_segments, delta1, delta2, progress_filter,
         index_prefilter, coverage_flag, verify_missing, first_path_lookup, inventory_build, inventory_merge, inventory_summary, set_diff_progress, progress_union, dedup_first_seen,
         count_per_year, year_filter_limit, bool_coerce, int_coerce, coalesce_fields, nested_parent_docs, json_sanitize, upsert_index, stats_rollup, role_weight_map, label_encode,
-        search_documents, lang_detect, role_classifier, stream_dedup_counts,
+        search_documents, lang_detect, role_classifier, stream_dedup_counts, marker_filter, search_index_documents, language_model, ocr_normalise, act_pdf_match, act_documents,
+        act_index_records, state_names, translation_gate, jurisdictions, iso_timestamps, similarity_range, role_accuracy, training_rows, json_nested, html_details, html_lists,
+        path_exclusions, valid_reads, role_chunks, top_chunks, index_documents,
     )
     length = "length(text) div 200"
     return {f.__name__: f for f in named} | {"weighted_topk": _weighted(WEIGHTS, length), "weighted_topk_zero_sim": _weighted(SOME_ZERO, "0")}

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -41,3 +41,10 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(root.rglob("*.py")):
             z.write(f, str(f.relative_to(root.parent)))
     spark.sparkContext.addPyFile(str(archive))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table over all cores, if its scan has fewer parts than there are: a small file is one row group and so one task. Scans of
+    large tables stay as they are."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table._jdf.queryExecution().toRdd().getNumPartitions() >= cores else table.repartition(cores)

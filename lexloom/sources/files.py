@@ -1,22 +1,63 @@
-"""Files as tables: listings, JSON records, JSON lines, PDF headers, progress logs."""
+"""Files as tables: listings, JSON records, JSON lines, PDF headers, progress logs, partitions, inventories, paged services."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 
-def listing(spark: SparkSession, path: str, suffix: str = "", recursive: bool = True) -> DataFrame:
+def listing(spark: SparkSession, path: str | list[str], suffix: str = "", recursive: bool = True) -> DataFrame:
     """(path, length, name) of files whose name ends in suffix; contents aren't read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", recursive).load(path)
     return files.select("path", "length", F.regexp_extract("path", "[^/]+$", 0).alias("name"))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of the folders in a folder; none if it is missing."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def file_names(spark: SparkSession, path: str, suffix: str, but: tuple[str, ...] = ("_inventory.json",)) -> DataFrame:
+    """(name) of the files under a path that end in suffix, without those of the given names."""
+    return listing(spark, path, suffix).where(~F.col("name").isin(*but)).select("name")
+
+
+def _json(spark: SparkSession, schema: StructType | str):
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED")
+
+
 def json_records(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
     """Records of files that hold an object or an array each, with _source_file; damaged files are left out."""
-    with_bad = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    rows = spark.read.schema(with_bad.add("_corrupt_record", "string") if "_corrupt_record" not in with_bad.names else with_bad).option("multiLine", True).json(paths)
-    return rows.where("_corrupt_record is null").drop("_corrupt_record").withColumn("_source_file", F.col("_metadata.file_path"))
+    return _json(spark, schema).json(paths).withColumn("_source_file", F.col("_metadata.file_path"))
+
+
+def fetch(spark: SparkSession, path: str, schema: StructType | str, suffix: str = ".json", max_files: int | None = None) -> DataFrame:
+    """Records of all files under a path, or of the first max_files of them by path, as json_records()."""
+    if max_files is None:
+        rows = _json(spark, schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").json(path)
+        return rows.withColumn("_source_file", F.col("_metadata.file_path"))
+    paths = [r.path for r in listing(spark, path, suffix).orderBy("path").limit(max_files).collect()]
+    return json_records(spark, paths, schema) if paths else spark.createDataFrame([], schema).withColumn("_source_file", F.lit(None).cast("string"))
+
+
+def one_by_one(records: DataFrame) -> Iterator[Row]:
+    """The records, a partition at a time on the driver: for a consumer that is no Spark job."""
+    return records.toLocalIterator(prefetchPartitions=True)
+
+
+def valid_chunk_files(files: DataFrame, chunks: str = "chunks") -> DataFrame:
+    """Files that hold a list of chunks with anything in it. Reads that fail are tried again by Spark's own tasks."""
+    return files.where(F.size(chunks) > 0)
+
+
+def valid_documents(records: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Records with an id that is not empty."""
+    return records.where(F.coalesce(F.col(doc_id).cast("string"), F.lit("")) != "")
 
 
 def json_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -25,20 +66,146 @@ def json_lines(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def progress(spark: SparkSession, *paths: str) -> DataFrame:
-    """Distinct ids of progress logs: a JSON string on each line, a JSON array, or bare text in quotes."""
-    lines = spark.read.text(list(paths)).select(F.trim("value").alias("v")).where("v <> ''")
+    """Distinct ids of progress logs: a JSON string on each line, a JSON array, or bare text in quotes. Paths that are missing have none."""
+    have = [p for p in paths if exists(spark, p)]
+    if not have:
+        return spark.createDataFrame([], "id string")
+    lines = spark.read.text(have).select(F.trim("value").alias("v")).where("v <> ''")
     ids = F.when(F.col("v").startswith("["), F.from_json("v", "array<string>")).otherwise(F.array(F.coalesce(F.get_json_object(F.concat(F.lit('{"x":'), "v", F.lit("}")), "$.x"), F.expr("trim(both '\"' from v)"))))
     return lines.select(F.explode(ids).alias("id")).distinct()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def valid_pdfs(spark: SparkSession, path: str, least: int = 1024) -> DataFrame:
     """(path, length) of files of more than `least` bytes that begin as PDF."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.where((F.col("length") > least) & F.expr("startswith(content, X'255044462D')")).select("path", "length")
 
 
+def pdf_texts(spark: SparkSession, path: str, pages: Callable[[bytes], list[str]], recognise: Callable[[bytes], list[str]] | None = None) -> DataFrame:
+    """(path, text, page_count, ocr_applied) of the valid PDF files under a path.
+
+    pages: a plug-in that gives the text of each page; texts that don't pass the gate of operators.pages.good_pages go to recognise, if
+    there is one, whose result must have 500 characters. A file that neither can read has a null text. One file at a time is in memory.
+    """
+    from lexloom.functions.text import clean_ocr
+    from lexloom.operators.pages import good_pages
+
+    def reader(plug_in: Callable[[bytes], list[str]]):
+        @F.udf("array<string>")
+        def read(content: bytes) -> list[str] | None:
+            try:
+                return plug_in(bytes(content))
+            except Exception:  # noqa: BLE001 - whatever a plug-in raises, the file counts as unreadable
+                return None
+
+        return read
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = files.where((F.col("length") > 1024) & F.expr("startswith(content, X'255044462D')"))
+    out = files.withColumn("_pages", reader(pages)("content"))
+    joined = lambda c: F.array_join(F.transform(c, clean_ocr), "\n\n")
+    good = F.coalesce(good_pages(F.col("_pages")), F.lit(False))
+    own = F.when(good, joined("_pages"))
+    count = F.coalesce(F.size("_pages"), F.lit(0))
+    if recognise is None:
+        return out.select("path", own.alias("text"), F.greatest(count, F.lit(0)).alias("page_count"), F.lit(False).alias("ocr_applied"))
+    out = out.withColumn("_ocr", F.when(~good, reader(recognise)("content")))
+    seen = F.when(F.length(joined("_ocr")) >= 500, joined("_ocr"))
+    return out.select("path", F.coalesce(own, seen).alias("text"), F.greatest(count, F.coalesce(F.size("_ocr"), F.lit(0)), F.lit(0)).alias("page_count"), (own.isNull() & seen.isNotNull()).alias("ocr_applied"))
+
+
 def partitioned(spark: SparkSession, path: str, years: list[int] | None = None, low: int = 1900, high: int = 2100) -> DataFrame:
     """A table partitioned by year, pruned to a list or a range of years (ends in either order)."""
     table = spark.read.parquet(path)
     year = F.col("year")
     return table.where(year.isin(years) if years is not None else year.between(min(low, high), max(low, high)))
+
+
+def year_files(spark: SparkSession, path: str, years: list[int], suffix: str = ".json") -> DataFrame:
+    """(path, length, name, year) of the files in folders `year=Y` or `Y` of the years under a path; only these folders are listed."""
+    have = set(folders(spark, path))
+    named = [f"{path}/{f}" for y in years for f in (f"year={y}", str(y)) if f in have]
+    if not named:
+        return spark.createDataFrame([], "path string, length long, name string, year int")
+    return listing(spark, named, suffix).withColumn("year", F.regexp_extract("path", r"/(?:year=)?(\d{4})/(?!.*/(?:year=)?\d{4}/)", 1).cast("int"))
+
+
+def states(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of the states that have a folder `state=S` under a path."""
+    return [f.removeprefix("state=") for f in folders(spark, path) if f.startswith("state=")]
+
+
+def of_state(spark: SparkSession, path: str, state: str, schema: StructType | str) -> DataFrame:
+    """Records of one state's folder alone."""
+    return fetch(spark, f"{path}/state={state}", schema)
+
+
+def inventory_names(spark: SparkSession, path: str, *where: Column) -> DataFrame:
+    """(name), distinct, of the files in an inventory table; none if there is no such table."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "name string")
+    table = spark.read.parquet(path)
+    for w in where:
+        table = table.where(w)
+    return table.select(F.explode("files").alias("name")).distinct()
+
+
+class _Pages(DataSourceReader):
+    def __init__(self, fetch_page: Callable[[int, int], list[tuple]], size: int, total: int) -> None:
+        self.fetch_page, self.size, self.total = fetch_page, size, total
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(at) for at in range(0, self.total, self.size)] or [InputPartition(0)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        yield from (tuple(r) for r in self.fetch_page(partition.value, self.size))
+
+
+def paged(spark: SparkSession, schema: str, fetch_page: Callable[[int, int], list[tuple]], total: int, size: int = 1000) -> DataFrame:
+    """The rows of a service that gives them by offset: fetch_page(offset, size), a task for each page of a known total."""
+
+    class Paged(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "lexloom_paged"
+
+        def schema(self) -> str:
+            return schema
+
+        def reader(self, schema: StructType) -> DataSourceReader:
+            return _Pages(fetch_page, size, total)
+
+    spark.dataSource.register(Paged)
+    return spark.read.format("lexloom_paged").load()
+
+
+def pages_until_short(fetch_page: Callable[[int, int], list[tuple]], size: int = 1000) -> Iterator[list[tuple]]:
+    """Pages of a service of unknown size, one after the other, until one is not full."""
+    at = 0
+    while page := fetch_page(at, size):
+        yield page
+        if len(page) < size:
+            return
+        at += size
+
+
+def export_files(files: DataFrame, target: str) -> int:
+    """Copy files (path) to a local folder under their names alone; of equal names the last by path stays. The number of paths.
+    For a driver's own disk: files come one at a time."""
+    from pathlib import Path
+
+    spark = files.sparkSession
+    Path(target).mkdir(parents=True, exist_ok=True)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    for row in files.select("path").orderBy("path").toLocalIterator():
+        source = hadoop.Path(row.path)
+        source.getFileSystem(conf).copyToLocalFile(False, source, hadoop.Path(f"file://{Path(target).resolve()}/{source.getName()}"), True)
+        n += 1
+    return n

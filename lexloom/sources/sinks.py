@@ -1,55 +1,265 @@
-"""Tables to files: JSON bundles, upserts that swap whole tables, progress and manifests."""
+"""Tables to files: JSON bundles, versioned upserts, progress logs, manifests, indexes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import json
+import time
+import uuid
+from collections.abc import Callable, Iterable
 
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
+
+from lexloom.functions.values import safe_rows
 from lexloom.operators.incremental import upsert
+from lexloom.sources.files import exists, progress
+
+#: Versions of a table that are kept beside the newest, for readers that still use them.
+OLD_VERSIONS = 1
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def safe_json(row: Column) -> Column:
-    """JSON of a struct; NaN and infinities must have been made 0 by functions.text.finite."""
+    """JSON of a struct; NaN and infinities must have been made 0 by functions.values.safe."""
     return F.to_json(row, {"ignoreNullFields": "false"})
 
 
 def write_json(df: DataFrame, path: str, *, one_file: bool = False) -> None:
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").json(path)
+    safe_rows(df.coalesce(1) if one_file else df).write.mode("overwrite").json(path)
+
+
+def write_chunks(chunks: DataFrame, path: str, id_: str = "chunk_id") -> Row:
+    """A folder of JSON for each chunk, named after its id (`unknown` without one); the row (total, uploaded, failed, success_rate).
+    For few chunks: a file for each is what a file system bears least. Names are counted from what was written."""
+    named = safe_rows(chunks).withColumn("_name", F.coalesce(F.col(id_).cast("string"), F.lit("unknown")))
+    total = named.count()
+    named.repartition("_name").write.mode("overwrite").partitionBy("_name").json(path)
+    written = chunks.sparkSession.read.json(path).count() if total else 0
+    return Row(total=total, uploaded=written, failed=total - written, success_rate=100.0 * written / total if total else 0.0)
 
 
-def write_bundle(base: str, **tables: DataFrame) -> None:
-    """Several results under one folder."""
+def write_bundle(base: str, timestamp: str | None = None, stats: dict | None = None, spark: SparkSession | None = None, **tables: DataFrame | None) -> dict[str, bool]:
+    """Several results under one folder, or one named after a time in it; which of them were written. None is left out."""
+    at = f"{base}/{timestamp}" if timestamp else base
+    done = {}
     for name, df in tables.items():
-        df.write.mode("overwrite").json(f"{base}/{name}")
+        if df is not None:
+            write_json(df, f"{at}/{name}")
+            done[name] = True
+    if stats is not None:
+        session = spark or next(df for df in tables.values() if df is not None).sparkSession
+        write_text(session, f"{at}/processing_stats.json", json.dumps(stats))
+        done["stats"] = True
+    return done
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, as a whole: written beside its place, and renamed to it when what stood there is gone."""
+    fs, p = _fs(spark, path)
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    fs.rename(part, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+
+
+def make_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.mkdirs(p)
+
+
+def write_marker(spark: SparkSession, path: str, facts: dict | None = None) -> None:
+    """A file that says that something is done."""
+    write_text(spark, path, json.dumps(facts or {}))
 
 
 def append_progress(ids: DataFrame, path: str) -> None:
-    ids.select("id").distinct().write.mode("append").parquet(path)
+    """Add ids to a log that sources.files.progress reads: a JSON string on each line."""
+    ids.select(F.to_json(F.struct(F.col("id").cast("string").alias("x"))).alias("j")).distinct().select(F.regexp_extract("j", r'(?s)^\{"x":(.*)\}$', 1).alias("value")).where("value <> ''").write.mode("append").text(path)
+
+
+def append_lines(rows: DataFrame, path: str) -> None:
+    """Add rows to a folder of JSON lines."""
+    safe_rows(rows).write.mode("append").json(path)
+
+
+def seed_progress(spark: SparkSession, inventory: str, log: str, index_inventory: str) -> bool:
+    """Begin an index's progress from the inventory of chunk files: the inventory is copied as uploaded, and its documents' names
+    become the log, unless that already has as many ids. Whether it did."""
+    files = spark.read.parquet(inventory)
+    replace_table(files.withColumn("es_uploaded", F.lit(True)).withColumn("es_seeded_from", F.lit(inventory)), index_inventory)
+    ids = files.select(F.explode("files").alias("f")).select(F.regexp_replace("f", r"_all_chunks\.json$", "").alias("id"))
+    if progress(spark, log).count() >= ids.count():
+        return False
+    delete(spark, log)
+    append_progress(ids, log)
+    return True
+
+
+def _current(spark: SparkSession, path: str) -> str | None:
+    """The folder of a versioned table's newest version; a folder without versions is one itself."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    versions = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("v"))
+    done = [v for v in versions if exists(spark, f"{path}/{v}/_SUCCESS")]
+    if done:
+        return f"{path}/{done[-1]}"
+    return path if not versions and exists(spark, f"{path}/_SUCCESS") else None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a table that replace_table() or upsert_table() wrote."""
+    at = _current(spark, path)
+    if at is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(at)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """A new version of a table. It counts once Spark has marked it as written, so that a run that dies leaves the last one; versions
+    before the last are deleted after that."""
+    spark = df.sparkSession
+    last = _current(spark, path)
+    number = int(last.rsplit("/v", 1)[1]) + 1 if last and last != path else 0
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/v{number:012d}")
+    fs, p = _fs(spark, path)
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if not name.startswith("v") or int(name[1:]) < number - OLD_VERSIONS:
+            fs.delete(s.getPath(), True)
 
 
 def upsert_table(new: DataFrame, path: str, key: str) -> None:
-    """Merge rows into the Parquet table at a path: the merged table is written beside it and then takes its place, so that
-    a failed run leaves the old one."""
+    """Merge rows into a table as its next version; a run that dies leaves the last version whole, and the same rows again change nothing."""
     spark = new.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    old, fresh, gone = (jvm.org.apache.hadoop.fs.Path(path + s) for s in ("", ".new", ".old"))
-    fs = old.getFileSystem(conf)
-    table = upsert(spark.read.parquet(path), new, key) if fs.exists(old) else new
-    table.write.mode("overwrite").parquet(path + ".new")
-    fs.delete(gone, True)
-    if fs.exists(old):
-        fs.rename(old, gone)
-    fs.rename(fresh, old)
-    fs.delete(gone, True)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    at = _current(spark, path)
+    replace_table(upsert(spark.read.parquet(at), new, key) if at else new, path)
+
+
+def bulk(rows: DataFrame, put: Callable[[list[Row]], Iterable[object]], key: str, batch: int = 500, attempts: int = 3, delay: float = 2.0) -> DataFrame:
+    """(ok, failed, failed_keys): rows sent to a service in batches by the tasks. put gets a batch and gives the keys that failed; these are
+    sent again, after delay, 2 * delay, ... seconds. An exception fails the whole batch. What still fails is listed.
+
+    put must be idempotent, as a task that is run again sends its rows again. Lazy: an action runs it.
+    """
+
+    def send(frames):
+        import pandas as pd
+
+        ok, lost = 0, []
+        pending: list[Row] = []
+
+        def flush(some: list[Row]) -> None:
+            nonlocal ok
+            left = some
+            for attempt in range(attempts):
+                if attempt:
+                    time.sleep(delay * 2 ** (attempt - 1))
+                try:
+                    failed = set(put(left))
+                except Exception:  # noqa: BLE001 - whatever a client raises, the batch is tried again
+                    failed = {r[key] for r in left}
+                ok += sum(r[key] not in failed for r in left)
+                left = [r for r in left if r[key] in failed]
+                if not left:
+                    return
+            lost.extend(str(r[key]) for r in left)
+
+        for frame in frames:
+            for r in frame.to_dict("records"):
+                pending.append(Row(**r))
+                if len(pending) >= batch:
+                    flush(pending)
+                    pending = []
+        if pending:
+            flush(pending)
+        yield pd.DataFrame({"ok": [ok], "failed": [len(lost)], "failed_keys": [lost]})
+
+    return rows.mapInPandas(send, "ok long, failed long, failed_keys array<string>").agg(F.sum("ok").alias("ok"), F.sum("failed").alias("failed"), F.flatten(F.collect_list("failed_keys")).alias("failed_keys"))
+
+
+def upload_statistics(result: DataFrame) -> DataFrame:
+    """(total, uploaded, failed, success_rate) of bulk()."""
+    total = F.coalesce("ok", F.lit(0)) + F.coalesce("failed", F.lit(0))
+    return result.select(total.alias("total"), F.coalesce("ok", F.lit(0)).alias("uploaded"), F.coalesce("failed", F.lit(0)).alias("failed"), F.when(total > 0, F.col("ok") * 100.0 / total).otherwise(0.0).alias("success_rate"))
+
+
+# Column types of an index's field types.
+_TYPES: dict[str, DataType] = {"keyword": StringType(), "text": StringType(), "boolean": BooleanType(), "integer": IntegerType(), "long": LongType(), "float": FloatType(), "double": DoubleType(), "date": StringType(), "dense_vector": ArrayType(FloatType())}
+
+
+def index_schema(mapping: dict | str) -> StructType:
+    """The columns of an index from its JSON mapping; nested fields are arrays of structs, unknown types text."""
+    mapping = json.loads(mapping) if isinstance(mapping, str) else mapping
+    fields = mapping.get("mappings", mapping).get("properties", {})
+
+    def kind(f: dict) -> DataType:
+        if "properties" in f:
+            inner = index_schema({"properties": f["properties"]})
+            return ArrayType(inner) if f.get("type") == "nested" else inner
+        return _TYPES.get(f.get("type", ""), StringType())
+
+    return StructType([StructField(name, kind(f)) for name, f in fields.items()])
+
+
+def ensure_index(spark: SparkSession, path: str, mapping: dict | str, *, recreate: bool = False, shards: int | None = None, replicas: int | None = None) -> bool:
+    """An empty table of an index's columns at a path, if there is none or it is to be made anew; whether it was made. Its settings
+    (shards 8 and replicas 1 unless the mapping or the arguments say otherwise) are kept beside it."""
+    mapping = json.loads(mapping) if isinstance(mapping, str) else mapping
+    if recreate:
+        delete(spark, path)
+        delete(spark, path + ".settings.json")
+    if _current(spark, path):
+        return False
+    own = mapping.get("settings", {})
+    settings = {"number_of_shards": shards or own.get("number_of_shards", 8), "number_of_replicas": own.get("number_of_replicas", 1) if replicas is None else replicas}
+    replace_table(spark.createDataFrame([], index_schema(mapping)), path)
+    write_text(spark, path + ".settings.json", json.dumps(settings))
+    return True
+
+
+# The columns of a flat search index, and what each kind of collection adds.
+SEARCH_FIELDS = "id string, doc_id string, jurisdiction string, date string, start_char int, end_char int, num_sentences int, avg_similarity double, doc_similarity double, role string, confidence double, title string, text string, embedding array<float>"
+SEARCH_MORE = {"sc": "source_file string, all_chunks_path string", "hc": "judge string, pdf_link string, cnr string, court string, all_chunks_path string"}
+
+
+def search_schema(collection: str) -> StructType:
+    return StructType.fromDDL(f"{SEARCH_FIELDS}, {SEARCH_MORE[collection]}")
+
+
+def ensure_search_index(spark: SparkSession, path: str, collection: str, *, recreate: bool = False) -> bool:
+    """An empty flat search index at a path, if there is none or it is to be made anew; whether it was made."""
+    if recreate:
+        delete(spark, path)
+    if _current(spark, path):
+        return False
+    replace_table(spark.createDataFrame([], search_schema(collection)), path)
+    return True
 
 
 def delete(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _fs(spark, path)
+    return fs.delete(p, True)
+
+
+def purge(spark: SparkSession, indexes: list[str], folders: list[str]) -> dict[str, bool]:
+    """Delete indexes, their settings, and processed files, for a run from the beginning; what was there."""
+    done = {path: delete(spark, path) for path in (*indexes, *folders)}
+    for path in indexes:
+        delete(spark, path + ".settings.json")
+    return done
 
 
 def manifest(files: DataFrame, by: str, key: str) -> DataFrame:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import time
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from lexloom.operators.incremental import first_seen
 from lexloom.sources.sinks import upsert_table
 
 
@@ -13,20 +18,57 @@ def arriving(spark: SparkSession, path: str, schema: str, fmt: str = "json", fil
 
 
 def once(stream: DataFrame, key: str, time: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Each key once; with a time column, keys are forgotten after the delay, else kept for ever."""
+    """Each key once. With a time column, keys are forgotten after the delay, so that the state is bounded; without one they are kept for
+    ever: for keys of which there are only so many."""
     if time:
         return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
     return stream.dropDuplicates([key])
 
 
-def into_table(stream: DataFrame, path: str, checkpoint: str, key: str):
-    """Upsert every batch into a table; stops when all that has arrived is done. A batch that is repeated changes nothing."""
+def into_table(stream: DataFrame, path: str, checkpoint: str, key: str, order: str | None = None):
+    """Upsert every batch into a table; stops when all that has arrived is done. Of a batch's rows of one key the last by order stays, or
+    without one the greatest row. A batch that is repeated changes nothing."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.dropDuplicates([key]), path, key)
+        names = [F.col(c) for c in batch.columns]
+        last = F.max_by(F.struct(*names), F.struct(*([F.col(order)] if order else []), *names))
+        upsert_table(batch.groupBy(F.col(key).alias("_k")).agg(last.alias("_r")).select("_r.*"), path, key)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def processed(stream: DataFrame, checkpoint: str, key: str, done: Callable[[], DataFrame], work: Callable[[DataFrame], DataFrame], harvest: Callable[[int, Row], None]) -> StreamingQuery:
+    """Work on what arrives: done() gives the keys (in a column of the key's name) that are skipped, work(batch) rows of (key, ok), and
+    harvest gets each batch's number and (processed, skipped, failed). Keys that a batch repeats are worked on once."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        have = done().select(key).distinct().withColumn("_done", F.lit(True))
+        rows = first_seen(batch, key, *batch.columns).join(have, key, "left").persist()
+        try:
+            skipped = rows.where("_done").count()
+            result = work(rows.where("_done is null").drop("_done")).agg(F.count(F.when(F.col("ok"), 1)).alias("p"), F.count(F.when(~F.coalesce("ok", F.lit(False)), 1)).alias("f")).first()
+        finally:
+            rows.unpersist()
+        harvest(number, Row(processed=result.p, skipped=skipped, failed=result.f))
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stop_when_idle(query: StreamingQuery, seconds: float = 300, poll: float = 5) -> None:
+    """Stop a running query when nothing has arrived for so long; return when it has ended. An error of the query is raised."""
+    last, since = -1, time.time()
+    while query.isActive:
+        progress = query.lastProgress
+        now = (progress["batchId"] if progress["numInputRows"] else last) if progress else last
+        if now != last or query.status["isTriggerActive"] and query.status["isDataAvailable"]:
+            last, since = now, time.time()
+        if time.time() - since >= seconds:
+            query.stop()
+            break
+        query.awaitTermination(poll)
+    if query.exception():
+        raise query.exception()
+
+
 def counts(stream: DataFrame, by: str) -> DataFrame:
     return stream.groupBy(by).agg(F.count("*").alias("n"))
