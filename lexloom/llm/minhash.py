@@ -128,8 +128,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = keep(some.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "minima")).alias("r")).select("digest", "r.*"), "classes")
     minima = classes.select("doc_id", "minima")
     member = classes.select(F.explode("bands").alias("key"), "doc_id")
-    buckets = member.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead")).where("n > 1")
-    met = keep(member.join(buckets, "key"), "met")
+    # A written table, so that both sides of the join come from a shuffle and Spark can split the rows of a hot bucket.
+    buckets = keep(member.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead")).where("n > 1"), "buckets")
+    met = keep(member.join(buckets.hint("merge"), "key"), "met")
     together = met.where(F.col("n") <= CAP).groupBy("key").agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).select("ids").distinct()
     pairs = together.select(F.explode(F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")).alias("p")).select("p.*")
     stars = met.where((F.col("n") > CAP) & (F.col("doc_id") > F.col("lead"))).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
