@@ -86,6 +86,10 @@ class Tokenizer:
         return [self._encode(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, own, strict=True)]
 
 
+#: A worker's tokenizers by file: the words that one task learned serve the next.
+_made: dict[str, Tokenizer] = {}
+
+
 def _pieces(path: str | None, name: str):
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -94,7 +98,9 @@ def _pieces(path: str | None, name: str):
             import public_tokenizers
 
             at = public_tokenizers.path(name)
-        tokenizer = Tokenizer(at)
+        if at not in _made:
+            _made[at] = Tokenizer(at)
+        tokenizer = _made[at]
         for frame in frames:
             ids, texts = frame.column("doc_id").to_pylist(), frame.column("text")
             start = 0
