@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -14,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from lexloom.llm import textcore as tc
 from lexloom.llm.store import keep
 
 #: Tokens of a sequence.
@@ -22,24 +22,62 @@ ROOM = 2048
 SLACK = 16
 #: Bins that one task of a merging round takes.
 FAN_IN = 60_000
-#: Words in each of two generations, and pieces of words, whose ids a worker remembers.
-REMEMBERED = 500_000
+#: Units of words whose ids a worker remembers, at some 60 bytes each.
+REMEMBERED = 2_000_000
 #: Characters that are tokenized at once, and pieces that are packed at once.
-CHARS, ITEMS = 1 << 20, 100_000
-
-#: The tokenizer's own pattern of pieces over the letters and digits up to U+024F, in lower-cased text.
-_WIDE = 0x250
-_letters = "".join(chr(c) for c in range(_WIDE) if unicodedata.category(chr(c))[0] == "L")
-_digits = "".join(chr(c) for c in range(_WIDE) if unicodedata.category(chr(c))[0] == "N")
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_letters}]+|[{_digits}]|[^\t-\r\x20{_letters}{_digits}]+")
-#: Characters for which Python and the tokenizer might not agree: the tokenizer gets such texts whole.
-_ODD = re.compile("[^\x00-\x7f\xa1-\u012f\u0131-\u024f]")
+CHARS, ITEMS = 1 << 21, 100_000
+
+#: Characters for which Python and the tokenizer might not agree, or that are neither letters, ASCII digits nor marks of two bytes: the
+#: tokenizer gets such texts whole.
+_ODD = re.compile("[^\x01-\x7f\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]")
+#: Bytes by what they are in the tokenizer's own pattern: 0 white space, 1 letters, 2 digits, 3 others; those from 0x80 to 0xBF are what their first byte is.
+_KIND = np.array([0 if c in (0, 32) or 9 <= c <= 13 else 1 if 97 <= c <= 122 or 65 <= c <= 90 or c >= 0xC3 else 2 if 48 <= c <= 57 else 3 for c in range(256)], dtype=np.int8)
+_WORD = _KIND > 0
+
+
+def units(texts: list[str]) -> tc.Words:
+    """The parts of texts that the tokenizer takes one by one: runs of letters, digits, runs of others, and whole words that hold an apostrophe,
+    as some endings after one are parts of their own."""
+    words = tc.split([t.lower().encode() for t in texts], _WORD)
+    kind = _KIND[words.data]
+    more = np.flatnonzero((words.data & 0xC0) == 0x80)
+    kind[more] = kind[more - 1]
+    if len(quote := np.flatnonzero(words.data == 39)):
+        of = np.unique(np.searchsorted(words.start, quote, side="right") - 1)
+        whole = np.zeros(len(kind) + 1, dtype=np.int8)
+        whole[words.start[of]] += 1
+        whole[words.end[of]] -= 1
+        kind[np.cumsum(whole[:-1], dtype=np.int8) > 0] = 4
+    edge = np.r_[0, np.flatnonzero((kind[1:] != kind[:-1]) | (kind[1:] == 2)) + 1, len(kind)]
+    real = kind[edge[:-1]] > 0
+    start = edge[:-1][real]
+    return tc.Words(words.data, start, edge[1:][real], np.searchsorted(start, words.at), words.at, b"")
+
+
+class _Pool:
+    """Arrays one after the other in one that grows: where each begins, and then the end."""
+
+    def __init__(self, kind: str) -> None:
+        self.data, self.at = np.empty(1 << 16, dtype=kind), np.zeros(1, dtype=np.int64)
+
+    def add(self, data: np.ndarray, sizes: np.ndarray) -> None:
+        end = int(self.at[-1]) + len(data)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data, np.empty(max(end, len(self.data)) - len(self.data) // 2, dtype=self.data.dtype)])
+        self.data[self.at[-1] : end] = data
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Arrays by number, one after the other, and where each ends."""
+        begin = self.at[which]
+        size = self.at[which + 1] - begin
+        end = np.cumsum(size)
+        return self.data[np.arange(end[-1] if len(end) else 0) + np.repeat(begin - end + size, size)], end
 
 
 class Tokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit integers. No piece of the tokenizer's pattern spans a space, so
-    that words are tokenized once, by their pieces, and remembered; a text with characters beyond U+024F, or with the
-    string of a special token, is tokenized as it is."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers. Units are tokenized once and remembered, by their hash and, so
+    that equal hashes do no harm, by their bytes; a text with odd characters, or with the string of a special token, is tokenized as it is."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer as Whole
@@ -47,43 +85,63 @@ class Tokenizer:
         self.whole = Whole.from_file(path)
         self.ends = np.zeros(self.whole.get_vocab_size(), dtype=bool)
         self.ends[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.last: dict[str, bytes] = {}
-        self.ids: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.number = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        self.ids, self.bytes = _Pool("<u4"), _Pool("u1")
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece: they are tokenized as one text, in which just the last token of a piece ends a word."""
-        out: list[bytes] = []
-        for at in range(0, len(pieces), 5000):
-            ids = self._encode("\n".join(pieces[at : at + 5000]))
-            end = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip([0, *end[:-1]], end, strict=True)]
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        """Ids of new words: from the last generation, from their pieces, or from the tokenizer."""
-        known = words.intersection(self.last)
-        self.words.update((w, self.last[w]) for w in known)
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        pieces = {w: _PIECE.findall(w) for w in words.difference(known)}
-        new = list(set().union(*pieces.values()).difference(self.ids))
-        self.ids.update(zip(new, self._encode_pieces(new), strict=True))
-        get = self.ids.__getitem__
-        self.words.update((w, b"".join(map(get, own))) for w, own in pieces.items())
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of new units: of many as one text, in which just the last token of a unit ends a word; those with an apostrophe alone."""
+        for at in range(0, len(new), 5000):
+            some = new[at : at + 5000]
+            odd = [i for i, w in enumerate(some) if b"'" in w]
+            ids = self._encode(b" ".join([w for w in some if b"'" not in w] if odd else some).decode())
+            size = np.diff(np.r_[-1, np.flatnonzero(self.ends[ids])])
+            if odd:
+                own = [self._encode(some[i].decode()) for i in odd]
+                place = np.array(odd) - np.arange(len(odd))
+                before = np.r_[0, np.cumsum(size)][place]
+                ids = np.insert(ids, np.repeat(before, [len(x) for x in own]), np.concatenate(own))
+                size = np.insert(size, place, [len(x) for x in own])
+            self.ids.add(ids, size)
+            self.bytes.add(np.frombuffer(b"".join(some), dtype=np.uint8), np.array([len(w) for w in some], dtype=np.int64))
+
+    def _numbers(self, words: tc.Words) -> np.ndarray | None:
+        """The number of each unit; None if units of one hash differ."""
+        h, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if len(self.known) + len(h) > REMEMBERED:
+            self._forget()
+        at = np.searchsorted(self.known, h)
+        new = np.ones(len(h), dtype=bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != h
+        if new.any():
+            n = len(self.ids.at) - 1
+            raw = words.data.tobytes()
+            self._learn([raw[a:b] for a, b in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)])
+            self.known = np.insert(self.known, at[new], h[new])
+            self.number = np.insert(self.number, at[new], np.arange(n, n + int(new.sum())))
+            at = np.searchsorted(self.known, h)
+        number = self.number[at][which]
+        held, end = self.bytes.take(number)
+        same = np.array_equal(np.diff(np.r_[0, end]), words.end - words.start) and np.array_equal(held, words.data[_WORD[words.data]])
+        return number if same else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        own = [None if "<|" in t or not t.isascii() and _ODD.search(t) else t.lower().replace("\n", " ").split(" ") for t in texts]
-        if len(self.words) > REMEMBERED:
-            self.last, self.words = self.words, {}
-        if new := set().union(*(w for w in own if w is not None)).difference(self.words):
-            self._learn(new)
-        get = self.words.__getitem__
-        return [self._encode(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, own, strict=True)]
+        plain = [i for i, t in enumerate(texts) if "<|" not in t and not _ODD.search(t)]
+        out: list[bytes | None] = [None] * len(texts)
+        words = units([texts[i] for i in plain]) if plain else None
+        number = self._numbers(words) if plain else None
+        if number is not None:
+            ids, end = self.ids.take(number)
+            border = np.r_[0, end][words.first]
+            for i, a, b in zip(plain, border[:-1].tolist(), border[1:].tolist(), strict=True):
+                out[i] = ids[a:b].tobytes()
+        return [self._encode(t).tobytes() if o is None else o for t, o in zip(texts, out, strict=True)]
 
 
 #: A worker's tokenizers by file: the words that one task learned serve the next.

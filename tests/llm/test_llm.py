@@ -252,7 +252,9 @@ def test_tokenizer_odd_texts():
     import public_tokenizers
 
     t = packing.Tokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    odd = ["İstanbul's ''s don't 12¼ ß  naïve_x\x0b　漢字 <|endoftext|> A'LL", " ", "", "x" * 5000, "áb é", "a\x0bb\x1cc\x0cd\x85e\x1f f\xa0g\te\rq", "a\x00b \x7f"]
+    odd = ["İstanbul's ''s don't 12¼ ß  naïve_x\x0b　漢字 <|endoftext|> A'LL", " ", "", "x" * 5000, "áb é", "a\x0bb\x1cc\x0cd\x85e\x1f f\xa0g\te\rq", "a\x00b \x7f", "l'eau d'une c'est 'stuff ''ll !'s a's's'm x're-'ve '", "¿qué? ¡sí! «a» 12ab3 ×÷ ª²¼µ a1é2ß3", "a|b || | x|'s", "ÀÉÎ ñandú ŁÓDŹ ǅ ȿ"]
+    rnd = random.Random(5)
+    odd += ["".join(rnd.choice("ab'sreltmdv019 .,!-|éñ¿ß\n\tA") for _ in range(rnd.randint(0, 80))) for _ in range(3000)]
     assert [np.array(e.ids, "<u4").tobytes() for e in t.whole.encode_batch(odd, add_special_tokens=False)] == t.encode(odd)
 
 
