@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from heapq import heappop, heappush
 
 import numpy as np
@@ -13,29 +14,27 @@ from lexloom.llm.store import keep
 
 #: Neighbours of a query.
 K = 20
-#: Hash tables, and projections of each.
-TABLES, BITS = 4, 4
-#: Width of a projection's cells in standard deviations of the projections, and cells that are visited in a table.
-WIDTH, PROBES = 1.5, 36
-#: Vectors of a bucket that are ranked in one task at once; larger buckets are split, and every part is visited.
-PART = 4096
-#: Rows of a bounded sample, by order of a hash of the id, on which the spread of projections is measured.
+#: Hash tables, and the width of a projection's cells in standard deviations of the projections.
+TABLES, WIDTH = 16, 1.6
+#: Projections of a table for each doubling of the vectors, at most so many, so that cells don't fill up as the vectors grow.
+BITS_PER_DOUBLING, MOST_BITS = 0.6, 16
+#: Cells that are visited in a table, at most; how many, and how many projections, is fitted on a sample: as few cells as find TARGET of
+#: the sample's own neighbours of ASKED of its vectors.
+MOST_PROBES, TARGET, ASKED = 256, 0.93, 40
+#: Rows of that bounded sample, by order of a hash of the id. Neighbours in all vectors are nearer than in a sample of them.
 SAMPLE = 20_000
+#: Vectors of a bucket that are ranked at once; larger buckets are split, and every part is visited. Rows that a task gets, as a rule.
+PART, ROWS = 4096, 50_000
 
 
-def _directions(dim: int) -> np.ndarray:
-    """Projections of all tables: p-stable for p = 2."""
-    return np.random.default_rng(20250103).standard_normal((TABLES, dim, BITS))
-
-
-def probes(x: np.ndarray) -> list[tuple[int, ...]]:
+def probes(x: np.ndarray, most: int = MOST_PROBES) -> list[tuple[int, ...]]:
     """Moves (-1, 0, 1 for each projection) from a query's own cell in the order of estimated success: by the sum of the
     squared distances to the borders that are crossed. x: the query's places within its cells, from 0 to 1."""
     m = len(x)
     steps = sorted([(x[j] ** 2, j, -1) for j in range(m)] + [((1 - x[j]) ** 2, j, 1) for j in range(m)])
     out = [(0,) * m]
     heap: list[tuple[float, tuple[int, ...]]] = [(steps[0][0], (0,))]
-    while heap and len(out) < PROBES:
+    while heap and len(out) < most:
         cost, chosen = heappop(heap)
         last = chosen[-1]
         if last + 1 < len(steps):
@@ -50,14 +49,50 @@ def probes(x: np.ndarray) -> list[tuple[int, ...]]:
     return out
 
 
-def _cells(vectors: np.ndarray, norm: float, spread: float, offset: np.ndarray, query: bool) -> np.ndarray:
-    """(tables, rows, projections): cells as real numbers. Vectors are brought to one length by one more coordinate, so
-    that the nearest by distance are those of the largest inner product; a query's is 0."""
-    last = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(0, norm**2 - (vectors**2).sum(axis=1)))
-    if query:
-        vectors = vectors * (norm / np.linalg.norm(vectors, axis=1, keepdims=True))
-    full = np.column_stack([vectors, last])
-    return np.einsum("nd,tdb->tnb", full, _directions(full.shape[1])) / (WIDTH * spread) + offset[:, None, :]
+@dataclass
+class Hashing:
+    """Tables of p-stable projections (p = 2) for vectors of at most the length norm. spread: what WIDTH is a multiple of."""
+
+    norm: float
+    bits: int
+    spread: float
+    probes: int = MOST_PROBES
+
+    def cells(self, vectors: np.ndarray, query: bool) -> np.ndarray:
+        """(tables, rows, projections): cells as real numbers. Vectors are brought to one length by one more coordinate, so
+        that the nearest by distance are those of the largest inner product; a query's is 0."""
+        last = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(0, self.norm**2 - (vectors**2).sum(axis=1)))
+        if query:
+            vectors = vectors * (self.norm / np.linalg.norm(vectors, axis=1, keepdims=True))
+        full = np.column_stack([vectors, last])
+        drawn = np.random.default_rng(20250103)
+        directions, offset = drawn.standard_normal((TABLES, full.shape[1], self.bits)), drawn.random((TABLES, 1, self.bits))
+        return (full @ directions) / (WIDTH * self.spread) + offset
+
+
+def fit(sample: np.ndarray, norm: float, count: int) -> Hashing:
+    """The hashing of count vectors, of which the sample is some: fewer projections where too many probes would be needed."""
+    start = min(MOST_BITS, max(3, round(BITS_PER_DOUBLING * np.log2(max(count, 2)))))
+    asked = sample[: min(ASKED, len(sample))]
+    score = asked @ sample.T
+    score[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+    near = np.argsort(-score, axis=1)[:, : min(K, max(1, len(sample) - 1))]
+    for bits in range(start, 0, -1):
+        h = Hashing(norm, bits, 1.0 / WIDTH)
+        h.spread = float(np.std(h.cells(sample, query=False))) or 1.0
+        held, real = np.floor(h.cells(sample, query=False)).astype(np.int64), h.cells(asked, query=True)
+        own = np.floor(real).astype(np.int64)
+        needed = np.full(near.shape, MOST_PROBES + 1)
+        for t in range(TABLES):
+            for i in range(len(asked)):
+                order = {m: n for n, m in enumerate(probes(real[t, i] - own[t, i]), 1)}
+                moves = held[t, near[i]] - own[t, i]
+                needed[i] = np.minimum(needed[i], [order.get(tuple(m), MOST_PROBES + 1) for m in moves.tolist()])
+        most = int(np.sort(needed.ravel())[min(needed.size - 1, int(np.ceil(TARGET * needed.size)) - 1)])
+        if most <= MOST_PROBES or bits == 1:
+            h.probes = min(most, MOST_PROBES)
+            return h
+    raise AssertionError
 
 
 def _key(table: int, cells: np.ndarray) -> np.ndarray:
@@ -74,29 +109,29 @@ def _matrix(frame: pa.RecordBatch, column: str = "v") -> np.ndarray:
     return flat.reshape(frame.num_rows, -1) if frame.num_rows else flat.reshape(0, 1)
 
 
-def _index(norm: float, spread: float, offset: np.ndarray):
+def _index(h: Hashing):
     def index(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             if frame.num_rows:
-                cells = np.floor(_cells(_matrix(frame), norm, spread, offset, query=False))
+                cells = np.floor(h.cells(_matrix(frame), query=False))
                 for t in range(TABLES):
                     yield pa.record_batch([pa.array(_key(t, cells[t])), frame.column("c")], ["key", "c"])
 
     return index
 
 
-def _ask(norm: float, spread: float, offset: np.ndarray):
+def _ask(h: Hashing):
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             if not frame.num_rows:
                 continue
-            real = _cells(_matrix(frame), norm, spread, offset, query=True)
+            real = h.cells(_matrix(frame), query=True)
             own = np.floor(real)
             ids = frame.column("query_id").to_numpy()
             for t in range(TABLES):
                 cells, who = [], []
                 for i in range(len(ids)):
-                    moves = np.array(probes(real[t, i] - own[t, i]))
+                    moves = np.array(probes(real[t, i] - own[t, i], h.probes))
                     cells.append(own[t, i] + moves)
                     who.append(np.full(len(moves), ids[i]))
                 yield pa.record_batch([pa.array(_key(t, np.concatenate(cells))), pa.array(np.concatenate(who))], ["key", "query_id"])
@@ -104,22 +139,61 @@ def _ask(norm: float, spread: float, offset: np.ndarray):
     return ask
 
 
-def _rank(key: tuple, queries: pa.Table, bucket: pa.Table) -> pa.Table:
-    """The K + 1 nearest classes of a part of a bucket for each query that visits it."""
-    out: list[list] = [[], [], []]
-    if queries.num_rows and bucket.num_rows:
-        q, b = _matrix(queries.combine_chunks().to_batches()[0]), _matrix(bucket.combine_chunks().to_batches()[0])
-        ids, classes = queries["query_id"].to_numpy(), bucket["c"].to_numpy()
-        for at in range(0, len(q), 256):
-            score = q[at : at + 256] @ b.T
-            n = min(K + 1, score.shape[1])
+def _rank(group: tuple, queries: pa.Table, held: pa.Table) -> pa.Table:
+    """Of parts of buckets (key, part), the K + 1 nearest classes of all parts for each query that visits them."""
+    none = pa.table({"query_id": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+    if not queries.num_rows or not held.num_rows:
+        return none
+    queries, held = (t.sort_by([("key", "ascending"), ("part", "ascending")]).combine_chunks() for t in (queries, held))
+    names = [np.rec.fromarrays([t["key"].to_numpy(), t["part"].to_numpy()]) for t in (queries, held)]
+    v = _matrix(held.to_batches()[0])
+    who, first = np.unique(queries["query_id"].to_numpy(), return_index=True)
+    x = _matrix(queries.take(pa.array(first)).combine_chunks().to_batches()[0])
+    of, classes = np.searchsorted(who, queries["query_id"].to_numpy()), held["c"].to_numpy()
+    units, begin = np.unique(names[1], return_index=True)
+    end = np.r_[begin[1:], len(v)]
+    low, high = np.searchsorted(names[0], units, "left"), np.searchsorted(names[0], units, "right")
+    found: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def best() -> None:
+        """Keeps, of all that was found, the K + 1 nearest different classes of each query."""
+        nonlocal size
+        q, c, score = (np.concatenate(z) for z in zip(*found, strict=True))
+        order = np.lexsort((c, q))
+        new = np.r_[True, (np.diff(q[order]) != 0) | (np.diff(c[order]) != 0)]
+        q, c, score = (z[order][new] for z in (q, c, score))
+        order = np.lexsort((c, -score, q))
+        q, c, score = (z[order] for z in (q, c, score))
+        some = np.arange(len(q)) - np.searchsorted(q, q) <= K
+        found[:] = [(q[some], c[some], score[some])]
+        size = int(some.sum())
+
+    for a, b, i, j in zip(low.tolist(), high.tolist(), begin.tolist(), end.tolist(), strict=True):
+        for at in range(a, b, 256):
+            asked = of[at : min(b, at + 256)]
+            score = x[asked] @ v[i:j].T
+            n = min(K + 1, j - i)
             # Ties at the border go to the smaller class.
-            top = np.lexsort((np.broadcast_to(classes, score.shape), -score), axis=1)[:, :n]
-            out[0].append(np.repeat(ids[at : at + 256], n))
-            out[1].append(classes[top].ravel())
-            out[2].append(np.take_along_axis(score, top, axis=1).ravel())
-    c = [np.concatenate(x) if x else np.empty(0) for x in out]
-    return pa.table({"query_id": pa.array(c[0].astype(np.int64)), "c": pa.array(c[1].astype(np.int64)), "score": pa.array(c[2].astype(np.float64))})
+            top = np.lexsort((np.broadcast_to(classes[i:j], score.shape), -score), axis=1)[:, :n] if n < j - i else np.broadcast_to(np.arange(n), score.shape)
+            found.append((np.repeat(asked, n), classes[i:j][top].ravel(), np.take_along_axis(score, top, axis=1).ravel()))
+            size += len(found[-1][0])
+            if size > 1_000_000:
+                best()
+    if not found:
+        return none
+    best()
+    q, c, score = found[0]
+    return pa.table({"query_id": pa.array(who[q].astype(np.int64)), "c": pa.array(c.astype(np.int64)), "score": pa.array(score.astype(np.float64))})
+
+
+def _met(asked: DataFrame, held: DataFrame, rows: int) -> DataFrame:
+    """(query_id, c, score) of queries and classes that meet in a part of a bucket; parts are dealt to groups of some ROWS rows each."""
+    groups = max(2 * held.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS))
+    g = F.pmod(F.xxhash64("key", "part"), F.lit(groups)).cast("int").alias("g")
+    left, right = asked.select(g, "key", "part", "query_id", "v"), held.select(g, "key", "part", "c", "v")
+    right = right.select(*(F.col(x).alias(x) for x in right.columns))
+    return left.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(_rank, "query_id long, c long, score double")
 
 
 def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 20) -> DataFrame:
@@ -127,12 +201,14 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
 
     Queries are the rows whose id is divisible by `every`; every other row is a candidate. All rows are indexed: equal vectors
     are one class, of which the K + 1 smallest ids can be neighbours of a query, so that copies fill no bucket. TABLES
-    tables of BITS projections each deal classes to cells; a query visits PROBES cells of a table in the order of
-    estimated success. Classes of a cell are ranked in parts of PART at most by one product of matrices, and only K + 1
-    leave a part for a query. Queries for which this finds fewer than K are ranked against all classes, in such parts. The scores that are returned are sums over the original vectors in double precision.
+    tables deal classes to cells; their projections grow with the vectors, and a query visits as many cells of a table, in the order of
+    estimated success, as the sample needs. Classes of a cell are ranked in parts of PART at most by one product of matrices,
+    and only K + 1 leave a task for a query. Queries for which this finds fewer than K are ranked against all classes, in such
+    parts. The scores that are returned are sums over the original vectors in double precision.
 
     Null vectors, vectors of another length than the most frequent one, zero vectors and those with null or non-finite components
-    take no part, nor do rows without an id. Rows that repeat an id count once, with one of its vectors.
+    take no part, nor do rows without an id. Rows that repeat an id count once, with the least of its vectors. Other columns are left out,
+    whatever their names. Without vectors the result is empty.
     """
     v = F.col(embedding).cast("array<double>")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -150,29 +226,26 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     some = some.withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("vec_id"))).where(F.col("r") <= K + 1)
     members = keep(some.select("h", "v", "vec_id", "r").withColumn("c", F.min("vec_id").over(Window.partitionBy("h", "v"))), "members")
     classes = members.where("r = 1").select("c", "v")
-    facts = classes.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
-    norm = float(np.sqrt(facts[0]))
+    facts = classes.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)), F.count("*")).first()
     sample = classes.orderBy(F.xxhash64("c"), "c").limit(SAMPLE).select("v").toArrow().combine_chunks().to_batches()[0]
-    zero = np.zeros((TABLES, BITS))
-    spread = float(np.std(_cells(_matrix(sample), norm, 1.0 / WIDTH, zero, query=False))) or 1.0
-    offset = np.random.default_rng(20250104).random((TABLES, BITS))
-    bucket = keep(classes.mapInArrow(_index(norm, spread, offset), "key long, c long"), "index")
+    hashing = fit(_matrix(sample), float(np.sqrt(facts[0])), facts[1])
+    bucket = keep(classes.mapInArrow(_index(hashing), "key long, c long"), "index")
     parts = bucket.groupBy("key").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v")
-    visits = queries.mapInArrow(_ask(norm, spread, offset), "key long, query_id long").distinct().join(parts, "key").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-    asked = visits.join(queries, "query_id").select("key", "part", "query_id", "v")
-    held = bucket.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")).join(classes, "c").select("key", "part", "c", "v")
-    found = asked.groupBy("key", "part").cogroup(held.select(*(F.col(x).alias(x) for x in held.columns)).groupBy("key", "part")).applyInArrow(_rank, "query_id long, c long, score double")
+    visits = queries.mapInArrow(_ask(hashing), "key long, query_id long").distinct().join(parts, "key").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    asked = visits.join(queries, "query_id")
+    held = bucket.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")).join(classes, "c")
+    found = _met(asked, held, TABLES * facts[1])
     ranked = keep(_ranked(found, members, queries), "ranked")
     full = ranked.where(F.col("rank") == K).select("query_id")
     short = keep(queries.join(full, "query_id", "left_anti"), "short")
     n_short = short.count()
     if not n_short:
         return ranked
-    shares, blocks = -(-n_short // PART), max(1, -(-classes.count() // PART))
+    shares, blocks = -(-n_short // PART), max(1, -(-facts[1] // PART))
     asked = short.withColumn("key", F.pmod(F.xxhash64("query_id"), F.lit(shares))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     held = classes.withColumn("part", F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int")).withColumn("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
-    every_one = asked.select("key", "part", "query_id", "v").groupBy("key", "part").cogroup(held.select("key", "part", "c", "v").groupBy("key", "part")).applyInArrow(_rank, "query_id long, c long, score double")
+    every_one = _met(asked, held, shares * facts[1])
     return ranked.join(full, "query_id", "left_semi").unionByName(_ranked(every_one, members, short))
 
 

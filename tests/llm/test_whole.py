@@ -194,3 +194,22 @@ def test_spans_and_replacements_of_many_matches(spark):
     assert [(s.start, s.end) for s in found if s.kind == 0] == [m.span() for m in re.finditer(r"\S+@\S+", text)]
     plain = spark.createDataFrame([(text, [(s.start, s.kind, s.end) for s in found if s.kind == 0]), ("abcdef", [(1, 0, 3), (2, 1, 5)])], "text string, found array<struct<start:int,kind:int,end:int>>")
     assert [r.t for r in plain.select(pii.sanitised().alias("t")).collect()] == [re.sub(r"\S+@\S+", "[EMAIL]", text), "a[EMAIL]f"]
+
+
+def test_near_neighbours_are_found_among_few_vectors():
+    rnd = np.random.default_rng(5)
+    centers = rnd.standard_normal((300, 32))
+    x = centers[rnd.integers(0, 300, 12_000)] + 0.4 * rnd.standard_normal((12_000, 32))
+    h = neighbours.fit(x[:4000], float(np.linalg.norm(x, axis=1).max()), len(x))
+    asked = x[::200]
+    score = asked @ x.T
+    score[np.arange(len(asked)), np.arange(0, len(x), 200)] = -np.inf
+    best = np.argsort(-score, axis=1)[:, :20]
+    cells, real = np.floor(h.cells(x, query=False)).astype(np.int64), h.cells(asked, query=True)
+    hit = np.zeros((len(asked), len(x)), dtype=bool)
+    for t in range(neighbours.TABLES):
+        keys = neighbours._key(t, cells[t])
+        for i in range(len(asked)):
+            own = np.floor(real[t, i])
+            hit[i] |= np.isin(keys, neighbours._key(t, own + np.array(neighbours.probes(real[t, i] - own, h.probes))))
+    assert np.take_along_axis(hit, best, axis=1).mean() >= 0.9 and hit.mean() <= 0.1
