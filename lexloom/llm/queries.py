@@ -15,53 +15,93 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents."""
     hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that a repeated string of 400 bytes covers."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in all documents."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
     return htmltext.main_text(table(spark, sf_dir, "pages"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
     records = warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a model of the trusted ones."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours, among all vectors, of those whose id is divisible by 20."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near duplicates among all documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP1 = f"""with b as (select item_id::varchar as item, {_WORDS} as l from benchmark where text is not null and item_id is not null),
+    i as (select distinct item, array_to_string(l[a : a + 12], ' ') as win, least(13, len(l)) as n from (select item, l, unnest(range(1, greatest(len(l) - 12, 1) + 1)) as a from b where len(l) > 0)),
+    w as (select distinct win, n from i), sizes as (select distinct n from w),
+    d as (select doc_id, row_number() over () as r, coalesce({_WORDS}, []::varchar[]) as l from documents),
+    p as (select r, l, n, unnest(range(1, greatest(len(l) - n + 1, 0) + 1)) as a from d, sizes),
+    h as (select r, a, p.n, win from (select r, a, n, array_to_string(l[a : a + n - 1], ' ') as win from p) p join w using (win, n)),
+    c as (select r, count(distinct x) as n_hit from (select r, unnest(range(a, a + n)) as x from h) group by r),
+    m as (select r, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct r, item from h join i using (win, n)) group by r)
+    select doc_id, len(l)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(l) as contaminated
+    from d left join c using (r) left join m using (r)"""
+_SOLID = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+_OP10 = f"""with recursive d as (select doc_id, coalesce({_SOLID}, []::varchar[]) as l from documents),
+    s as (select doc_id, unnest(list_distinct(case when len(l) >= 5 then list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i : i + 4], ' ')) when len(l) > 0 then [array_to_string(l, ' ')] else [] end)) as s from d),
+    z as (select doc_id, count(*) as n from s group by 1),
+    k as (select doc_id, md5(string_agg(s, chr(0) order by s)) as set_ from s group by 1),
+    f as (select set_, min(doc_id) as first from k group by 1), u as (select k.doc_id, first from k join f using (set_)),
+    o as (select s.* from s semi join f on s.doc_id = f.first),
+    q as (select a.doc_id as a, b.doc_id as b, count(*) as both_ from o a join o b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+    e as (select a, b from q join z x on x.doc_id = a join z y on y.doc_id = b where 100 * both_ >= 75 * (x.n + y.n - both_)),
+    g as (select a as x, b as y from e union all select b, a from e),
+    t as (select first as x, first as y from f union select t.x, g.y from t join g on t.y = g.x),
+    m as (select x, min(y) as component from t group by 1)
+    select d.doc_id, coalesce(z.n, 0) as n_shingles, coalesce(component, d.doc_id) as component_id, coalesce(component, d.doc_id) = d.doc_id as kept
+    from d left join z using (doc_id) left join u using (doc_id) left join m on m.x = u.first"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op4_html_main_text, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op9_nearest_neighbours, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_benchmark_decontamination": _OP1,
+        "op10_minhash_near_dedup": _OP10,
         "op6_warc": """
             with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
             f as (select payload_digest, min(page_id) as rep from p where payload_bytes >= 100 group by 1)
