@@ -6,10 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _own: list[str] = []
+#: Paths of tables that were written inside scratch(), the innermost last.
+_made: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,21 +34,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back, so that a lost executor costs no recomputation."""
+def keep(df: DataFrame, name: str, *, lasting: bool = False) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it back, so that a lost executor costs no recomputation. Inside scratch()
+    a table that is not lasting is deleted at its end."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _made and not lasting:
+        _made[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end all tables that keep() wrote in it, but the lasting ones: what is still to be read must have been kept as such."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, at: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table that keep() wrote and that nothing reads any more."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = hadoop.Path(at)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, at)
 
 
 def row_key(doc_id: str, text: str) -> Column:

@@ -8,7 +8,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lexloom.llm import decontaminate, htmltext, licenses, neighbours, packing, pii, quality
+from pyspark.sql import functions as F
+
+from lexloom.llm import decontaminate, htmltext, licenses, minhash, neighbours, packing, pii, quality, substrings, warc
 from lexloom.llm import textcore as tc
 
 
@@ -213,3 +215,73 @@ def test_near_neighbours_are_found_among_few_vectors():
             own = np.floor(real[t, i])
             hit[i] |= np.isin(keys, neighbours._key(t, own + np.array(neighbours.probes(real[t, i] - own, h.probes))))
     assert np.take_along_axis(hit, best, axis=1).mean() >= 0.9 and hit.mean() <= 0.1
+
+
+#: Names that operators use inside, as further columns.
+CLASHING = ("k", "key", "h", "s", "n", "c", "v", "word", "words", "block", "shard", "kind", "digest", "bands", "minima", "held", "use", "row", "copies", "piece", "start", "length", "bin", "offset", "found", "base", "entities", "spans", "record_id", "chunk", "data", "payload", "rep", "rank", "score", "query_id", "part", "anchors", "seg", "_k")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 6))) for _ in range(200)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    long_ = text(60_000)
+    rows = [(i, text(rnd.randint(1, 150))) for i in range(30)]
+    rows += [rows[3], rows[3], (None, rows[3][1]), (None, None), (None, ""), (40, None), (40, None), (41, ""), (42, long_), (43, "y" * 300_000), (3, "another text of one id here"), (44, "mail a.b@cc.org the mit license ip 1.2.3.4")]
+    docs = spark.createDataFrame([(i, t, "en", "src") for i, t in rows], "doc_id long, text string, lang string, source string")
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.lit("clash"))
+    return rows, docs
+
+
+def test_odd_rows_of_documents(spark, odd):
+    import corpus_pipeline
+
+    rows, docs = odd
+    ids = Counter(i for i, _ in rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, " ".join(rows[5][1].split()[:30]))], "item_id long, text string")
+    operators = {
+        "op1": lambda d: decontaminate.benchmark_hits(d, bench), "op2": substrings.remove_repeats, "op3": licenses.scan_licenses, "op5": lambda d: pii.digest(pii.personal_data(d)),
+        "op8": lambda d: quality.quality(d, labels), "op10": minhash.near_duplicates,
+    }
+    for name, f in operators.items():
+        got = f(docs).collect()
+        assert Counter(r.doc_id for r in got) == ids, name
+        assert len({str(r) for r in got if r.doc_id == 40}) == 1, name
+        assert f(docs.where("false")).count() == 0, name
+    pieces = packing.pack_documents(docs).collect()
+    assert Counter(p.doc_id for p in pieces if p.piece == 0) == ids and packing.pack_documents(docs.where("false")).count() == 0
+    for stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage[1](spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns and 0 < out.count() <= len(rows) and stage[1](spark, docs.where("false"), "/root/testdata/sf0.001").count() == 0
+    assert corpus_pipeline.packing_stage(spark, docs, "").count() == len(pieces)
+
+
+def test_ties_in_best_fit():
+    which, offset, n = packing.best_fit(np.array([1024] * 5 + [2048, 1, 1]))
+    assert n == 4 and which[:2].tolist() == [1, 1] and offset[:2].tolist() == [0, 1024] and which[5] == 0 and which[4] == which[6] == which[7]
+
+
+def test_odd_rows_of_pages_and_vectors(spark):
+    rows = [(1, "u", "<p>a text here.</p>"), (1, "u", "<p>a text here.</p>"), (None, None, None), (2, "u", ""), (3, "u", "<p>" + "long text. " * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    vectors = spark.createDataFrame([(i, [float(i % 7), 1.0, -float(i)]) for i in range(50)] + [(7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0, 1.0])], "vec_id long, embedding array<double>")
+    for c in CLASHING:
+        pages, vectors = pages.withColumn(c, F.lit("clash")), vectors.withColumn(c, F.lit("clash"))
+    text = htmltext.main_text(pages).collect()
+    assert sorted((r.page_id or -1, r.n_chars) for r in text) == [(-1, 0), (1, 12), (1, 12), (2, 0), (3, 1_099_999)]
+    archive = warc.read_archive(warc.write_archive(pages)).collect()
+    assert Counter(r.page_id for r in archive) == Counter(r[0] for r in rows)
+    got = neighbours.nearest(vectors).collect()
+    assert Counter(r.query_id for r in got) == {0: 20, 20: 20, 40: 20}
+    assert htmltext.main_text(pages.where("false")).count() == 0 == warc.read_archive(warc.write_archive(pages.where("false"))).count() and neighbours.nearest(vectors.where("false")).count() == 0
+
+
+def test_repeated_id_with_another_text(spark):
+    common = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, common + " one"), (1, "short"), (2, common + " two"), (None, common), (None, "x")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in substrings.remove_repeats(docs).collect()), key=str)
+    size = len(common.encode())
+    assert sorted(g[2] for g in got) == [0, 0, size, size, size] or sorted(g[2] for g in got)[:2] == [0, 0] and all(g[2] >= size for g in got if g[1] > 100)
