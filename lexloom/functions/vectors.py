@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections.abc import Callable
 from itertools import chain
 
@@ -44,12 +44,13 @@ _buckets: dict[str, int] = {}
 
 
 def hashed_embedding(texts: list[str], dim: int = 64) -> np.ndarray:
-    """A deterministic stand-in for a sentence model: words counted in buckets of their hash, brought to length 1."""
+    """A deterministic stand-in for a sentence model: words counted in buckets of their MD5 (its first four bytes as a number, modulo dim),
+    brought to length 1."""
     own = [_WORDS.findall(t.lower()) for t in texts]
     flat = list(chain.from_iterable(own))
     if len(_buckets) > 1_000_000:
         _buckets.clear()
-    _buckets.update((w, zlib.crc32(w.encode())) for w in set(flat).difference(_buckets))
+    _buckets.update((w, int.from_bytes(hashlib.md5(w.encode()).digest()[:4])) for w in set(flat).difference(_buckets))
     place = np.fromiter(map(_buckets.__getitem__, flat), dtype=np.int64, count=len(flat)) % dim
     of = np.repeat(np.arange(len(texts)), [len(w) for w in own])
     out = np.bincount(of * dim + place, minlength=len(texts) * dim).reshape(len(texts), dim).astype(np.float64)

@@ -5,19 +5,26 @@ from __future__ import annotations
 import argparse
 import json
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexloom.config import WEIGHTS
+from lexloom.functions.vectors import encoded
 from lexloom.operators import acts, incremental as I, records as R
 from lexloom.operators.select import same_role_ids, weighted_top_k
 from lexloom.sources import files, sinks
 
 
-def index_documents(chunks: DataFrame, top_k: int, weights: dict[str, float]) -> DataFrame:
-    """One record a document: its metadata and its best chunks in order, each with the ids of its siblings of the same role."""
-    best = same_role_ids(weighted_top_k(chunks, top_k, weights, "doc_id", "chunk_id", "role", "doc_similarity"), "doc_id", "role", "chunk_id", "chunk_id", "same_role_chunk_ids")
-    fields = [c for c in acts.CHUNK_FIELDS if c in best.columns]
+def index_documents(chunks: DataFrame, top_k: int, weights: dict[str, float], embed: str | Callable | None = None) -> DataFrame:
+    """One record a document: its metadata and its best chunks in order, each with the ids of all the document's other chunks of the same
+    role, and with the vector of its text if embed names a provider. Only chosen chunks are encoded."""
+    own = "same_role_chunk_ids"
+    known = chunks if own in chunks.columns else same_role_ids(chunks, "doc_id", "role", "chunk_id", "chunk_id", own)
+    best = weighted_top_k(known, top_k, weights, "doc_id", "chunk_id", "role", "doc_similarity")
+    if embed is not None:
+        best = encoded(best, "text", "embedding", embed)
+    fields = [c for c in (*acts.CHUNK_FIELDS, "embedding") if c in best.columns]
     return R.parents(best, "doc_id", "chunk_id", fields, [c for c in acts.JUDGMENT_FIELDS if c in best.columns and c != "doc_id"])
 
 

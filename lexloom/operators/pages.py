@@ -64,6 +64,22 @@ def english_pdf(url: Column) -> Column:
     return url.rlike(r"(?i)\.pdf$") & ~url.contains("/help/") & ~F.lower(url).contains("hindi") & ~url.rlike(r"/[Hh]\d*\.")
 
 
+def english_pdfs(files: DataFrame, url: str = "url", content: str = "content", least: int = 1024) -> DataFrame:
+    """Fetched files that are what they should be: larger than `least` bytes, beginning as PDF, at an address that is not of a Hindi version."""
+    address = F.col(url)
+    return files.where((F.octet_length(content) > least) & F.expr(f"startswith({content}, X'255044462D')")).where(~F.lower(address).contains("hindi") & ~address.rlike(r"/[Hh]\d*\."))
+
+
+def to_fetch(acts: DataFrame, files: DataFrame, name: str = "pdf_name", least: int = 1024) -> DataFrame:
+    """Acts whose file is missing, or not larger than `least` bytes. files: (name, length)."""
+    return acts.join(files.where(F.col("length") > least).select(F.col("name").alias(name)).distinct(), name, "left_anti")
+
+
+def alternates(handle_id: Column, base: str, slots: int = 5) -> Column:
+    """Addresses at which an item's files may be, by slot."""
+    return F.transform(F.sequence(F.lit(1), F.lit(slots)), lambda i: F.concat(F.lit(f"{base}/bitstream/"), handle_id, F.lit("/"), i, F.lit("/")))
+
+
 def handle(url: Column) -> Column:
     return F.regexp_replace(F.try_parse_url(url, F.lit("PATH")), "^/(handle/)?", "")
 

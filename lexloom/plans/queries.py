@@ -48,6 +48,29 @@ _LANG = rf"""with w as (select doc_id, string_split_regex(lower(text[:{language.
             case when coalesce({_BEST}, 0) = 0 then 0.0 else round({_BEST} / ({" + ".join(language.COMMON)}), 4) end as prob from s"""
 
 
+_WORDS_SQL = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}_]+')"
+_BUCKET = "(('0x' || substr(md5(w), 1, 8))::bigint % 64)"
+_CHUNKS = f"""with recursive d as (select doc_id, {_CLEAN} as c from documents where text is not null),
+    s as (select doc_id, generate_subscripts(s, 1) as i, unnest(s) as s from (select doc_id, {_SENTENCES} as s from d)),
+    v as (select doc_id, i, b, count(*) as n from (select doc_id, i, {_BUCKET} as b from (select doc_id, i, unnest({_WORDS_SQL.format("s")}) as w from s)) group by 1, 2, 3),
+    q as (select doc_id, i, sqrt(sum(n * n)) as norm from v group by 1, 2),
+    m as (select a.doc_id, b.i, sum(a.n * b.n) as p from v a join v b on a.doc_id = b.doc_id and a.i + 1 = b.i and a.b = b.b group by 1, 2),
+    x as (select s.doc_id, s.i, coalesce(p / (e.norm * f.norm), 0) as x from s left join m on m.doc_id = s.doc_id and m.i = s.i left join q e on e.doc_id = s.doc_id and e.i = s.i left join q f on f.doc_id = s.doc_id and f.i = s.i - 1 where s.i > 1),
+    f as (select doc_id, i, 1::bigint as g, 1::bigint as cur from s where i = 1
+        union all select f.doc_id, x.i, case when (x < 0.47 or cur >= 10) and cur >= 2 then g + 1 else g end, case when (x < 0.47 or cur >= 10) and cur >= 2 then 1 else cur + 1 end from f join x on x.doc_id = f.doc_id and x.i = f.i + 1),
+    l as (select doc_id, max(g) as last, max_by(cur, i) as cur from f group by 1),
+    g as (select f.doc_id, f.i, case when f.g = last and last > 1 and l.cur < 2 then last - 1 else f.g end as g from f join l using (doc_id)),
+    o as (select doc_id, i, sum(length(s) + 1) over (partition by doc_id order by i) - length(s) - 1 as pos from s),
+    c as (select g.doc_id, g.g, string_agg(s, ' ' order by g.i) as t, count(*) as n, min(pos) as pos, avg(case when g.i > h.first then x.x end) as near
+        from g join s on s.doc_id = g.doc_id and s.i = g.i join o on o.doc_id = g.doc_id and o.i = g.i join (select doc_id, g, min(i) as first from g group by 1, 2) h on h.doc_id = g.doc_id and h.g = g.g left join x on x.doc_id = g.doc_id and x.i = g.i group by 1, 2),
+    k as (select *, row_number() over (partition by doc_id order by g) as id from c where length(t) >= 100),
+    cv as (select doc_id, id, b, count(*) as n from (select doc_id, id, {_BUCKET} as b from (select doc_id, id, unnest({_WORDS_SQL.format("t")}) as w from k)) group by 1, 2, 3),
+    dv as (select doc_id, b, count(*) as n from (select doc_id, {_BUCKET} as b from (select doc_id, unnest({_WORDS_SQL.format("c")}) as w from d)) group by 1, 2),
+    r as (select cv.doc_id, id, sum(cv.n * dv.n) / (sqrt(sum(cv.n * cv.n)) * any_value(w.norm)) as sim from cv left join dv on dv.doc_id = cv.doc_id and dv.b = cv.b join (select doc_id, sqrt(sum(n * n)) as norm from dv group by 1) w on w.doc_id = cv.doc_id group by 1, 2)
+    select k.doc_id, k.id as chunk_id, md5(t) as chunk_md5, k.n as num_sentences, pos::bigint as start_char, (pos + length(t))::bigint as end_char, round(coalesce(near, 1.0), 4) as avg_similarity, round(coalesce(sim, 0), 4) as doc_similarity
+    from k left join r on r.doc_id = k.doc_id and r.id = k.id"""
+
+
 def clean_text(spark, d):
     c = T.clean(F.col("text"))
     return _headed(spark, d).select("doc_id", F.md5(c.cast("binary")).alias("cleaned_md5"), F.length(c).cast("long").alias("n"), F.round(T.reduction_percent(F.col("text"), c), 4).alias("reduction"))
@@ -157,7 +180,7 @@ def unit_vectors(spark, d):
 
 
 def semantic_chunks(spark, d):
-    return chunking.semantic_chunks(_t(spark, d, "documents")).select("doc_id", "chunk_id", F.md5(F.col("text").cast("binary")).alias("chunk_md5"), "num_sentences", "start_char", "end_char", "avg_similarity", "doc_similarity")
+    return chunking.semantic_chunks(_t(spark, d, "documents"), threshold=0.47).select("doc_id", "chunk_id", F.md5(F.col("text").cast("binary")).alias("chunk_md5"), "num_sentences", "start_char", "end_char", "avg_similarity", "doc_similarity")
 
 
 def translation_segments(spark, d):
@@ -533,6 +556,10 @@ ORACLE = {
         select p.offset_ as "offset", coalesce(links, '') as links, 7 > p.offset_ and links is not null as has_next from p left join o on o.offset_ = p.offset_""",
     "path_exclusions": """select p_partkey, p_partkey || '.json' as path from part where p_size <= 20""",
     "valid_reads": """select conv_id as doc_id, count(*) as n from conversations where role = 'system' and conv_id > 10 group by 1""",
+    "semantic_chunks": _CHUNKS,
+    "index_documents": f"""with s as ({_weighted_sql(WEIGHTS, "length(text)")}), c as (select distinct conv_id, turn, role from conversations),
+        o as (select a.conv_id, a.turn, coalesce(string_agg(b.turn::varchar, '/' order by b.turn), '') as others from c a left join c b on a.conv_id = b.conv_id and a.role = b.role and a.turn <> b.turn group by 1, 2)
+        select s.conv_id as doc_id, 't' as title, string_agg(s.turn || ':' || s.role || ':' || others, ',' order by s.turn) as chunks from s join o on o.conv_id = s.conv_id and o.turn = s.turn group by 1""",
     "stream_dedup_counts": "select user_id % 10 as bucket, count(distinct user_id) as n from events group by 1",
 }
 

@@ -349,6 +349,14 @@ def test_detail_records(spark):
     assert value(spark, P.table_value(F.col("h"), "year (a.b)"), h="<table>" + row("YEAR (A.B):", "1") + "</table>") == "1"
 
 
+def test_files_to_fetch(spark):
+    acts_ = spark.createDataFrame([("a.pdf",), ("b.pdf",), ("c.pdf",)], "pdf_name string")
+    assert sorted(r.pdf_name for r in P.to_fetch(acts_, spark.createDataFrame([("a.pdf", 5000), ("b.pdf", 10)], "name string, length long")).collect()) == ["b.pdf", "c.pdf"]
+    got = spark.createDataFrame([("x/eng.pdf", b"%PDF-" + b"x" * 2000), ("x/H2.pdf", b"%PDF-" + b"x" * 2000), ("x/y.pdf", b"<html" + b"x" * 2000), ("x/z.pdf", b"%PDF-")], "url string, content binary")
+    assert [r.url for r in P.english_pdfs(got).collect()] == ["x/eng.pdf"]
+    assert value(spark, P.alternates(F.col("h"), "https://h.org", 2), h="1/2") == ["https://h.org/bitstream/1/2/1/", "https://h.org/bitstream/1/2/2/"]
+
+
 def test_translation(spark):
     docs = spark.createDataFrame([(1, "a one\n\nb two\n\nc bad\n\nd four", "hi"), (2, None, "hi"), (3, "x", None), (4, "  \n ", "hi")], "i int, t string, lang string")
 
@@ -427,6 +435,8 @@ def test_index_job(spark, tmp_path, capsys):
     first = jobs.main([*args, "--year-range", "2021", "2020", "--reverse"], spark)
     assert [(x["year"], x["uploaded"], x["skipped"]) for x in first] == [(2021, 3, 0), (2020, 3, 0)]
     assert [x["uploaded"] for x in jobs.main([*args, "--years", "2020"], spark)] == [0]
+    withv = jobs.index_documents(spark.read.parquet(source), 2, {"user": 1.0}, embed="hashed").first()
+    assert len(withv.chunks[0].embedding) == 64
     table = sinks.read_table(spark, index)
     assert table.count() == 6 and all(len(r.chunks) == 3 and r.chunks[0].same_role_chunk_ids is not None for r in table.collect())
     sinks.replace_table(table.where("doc_id <> 'd1'"), index)
