@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm import textcore as tc
 from lexloom.llm.components import connected_components
+from lexloom.llm.filters import bit_filter
 from lexloom.llm.store import keep
 
 #: Consecutive words of a shingle.
@@ -23,6 +24,8 @@ BANDS, ROWS = 48, 4
 AGREE = 0.56
 #: Buckets of up to this many distinct sets are compared in pairs; larger ones by stars and then exactly, see near_duplicates().
 CAP = 48
+#: Members of a bucket from which they are dealt to shares, and the bits of the filter of such buckets.
+HOT, SHARES, FILTER_BITS = 200, 32, 1 << 20
 #: Signatures of a large bucket that are compared with as many others at once.
 SLAB = 1024
 #: What the stars left apart is compared in one of so many large buckets first, so that few rows are left for all of them.
@@ -128,9 +131,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = keep(some.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "minima")).alias("r")).select("digest", "r.*"), "classes")
     minima = classes.select("doc_id", "minima")
     member = classes.select(F.explode("bands").alias("key"), "doc_id")
-    # A written table, so that both sides of the join come from a shuffle and Spark can split the rows of a hot bucket.
     buckets = keep(member.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("lead")).where("n > 1"), "buckets")
-    met = keep(member.join(buckets.hint("merge"), "key"), "met")
+    # The members of hot buckets are dealt to shares, which all know the bucket; a filter of fixed size says which are.
+    hot = bit_filter(buckets.where(F.col("n") > HOT), "key", FILTER_BITS, "hot")
+    shares = F.when(hot("key"), F.sequence(F.lit(0), F.lit(SHARES - 1))).otherwise(F.array(F.lit(0)))
+    own = F.when(hot("key"), F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int")).otherwise(0)
+    met = member.withColumn("share", own).join(buckets.withColumn("share", F.explode(shares)).hint("merge"), ["key", "share"])
+    met = keep(met.drop("share"), "met")
     together = met.where(F.col("n") <= CAP).groupBy("key").agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).select("ids").distinct()
     pairs = together.select(F.explode(F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")).alias("p")).select("p.*")
     stars = met.where((F.col("n") > CAP) & (F.col("doc_id") > F.col("lead"))).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))

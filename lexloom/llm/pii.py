@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexloom.llm.filters import bit_filter
 from lexloom.llm.store import keep, row_key
 
 #: Kinds in their order. The method's own are secrets, which carry much information in themselves, and terms, which
@@ -97,15 +98,11 @@ def _terms_of(base: DataFrame, source: DataFrame) -> DataFrame:
     together = base.select(_pairs("concat_ws('\u0001', n, t)").alias("met")).select(F.explode("met").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     pairs = together.join(contexts.select("pair"), "pair").select(F.substring_index("pair", "\u0001", 1).alias("entity"), F.substring_index("pair", "\u0001", -1).alias("term"), "n")
     pairs = keep(pairs, "terms")
-    place = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
-    some = pairs.select(place.alias("p")).distinct().groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
-    # An array of FILTER_BITS / 64 numbers: the only thing that goes to all tasks.
-    whole = source.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "i").join(some, "i", "left")
-    filter_ = keep(whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))), lambda x: x["w"]).alias("bits")), "filter")
+    # The only thing that goes to all tasks, of a fixed size.
+    passes = bit_filter(pairs, "term", FILTER_BITS, "filter")
     words = source.select(F.explode(F.array_distinct(F.expr(f"regexp_extract_all(lower_ascii, r'{WORD}+', 0)"))).alias("term"))
-    bit = F.element_at(filter_.scalar(), F.shiftright(place, 6).cast("int") + 1)
     # Each document has a word once, so that plain counts are summed up in each task before the shuffle.
-    docs_with = words.where(F.bit_get(bit, place.bitwiseAND(F.lit(63)).cast("int")) == 1).groupBy("term").agg(F.count("*").alias("df"))
+    docs_with = words.where(passes("term")).groupBy("term").agg(F.count("*").alias("df"))
     entity_docs = base.select(F.explode(F.expr("array_distinct(flatten(transform(entities, e -> array(e.entity, e.kind))))")).alias("entity")).groupBy("entity").agg(F.count("*").alias("ef"))
     total = source.agg(F.count("*").alias("total"))
     scored = pairs.join(docs_with, "term").join(entity_docs, "entity").withColumn("total", total.scalar())

@@ -426,10 +426,11 @@ def brute_near(rows):
     return {d: (len(sets[d]), find(d), find(d) == d) for d in sets}
 
 
-@pytest.mark.parametrize(("cap", "slab"), [(48, 256), (1, 2)])
-def test_near_duplicates(docs, empty, texts, monkeypatch, cap, slab):
+@pytest.mark.parametrize(("cap", "slab", "hot"), [(48, 256, 200), (1, 2, 2)])
+def test_near_duplicates(docs, empty, texts, monkeypatch, cap, slab, hot):
     monkeypatch.setattr(minhash, "CAP", cap)
     monkeypatch.setattr(minhash, "SLAB", slab)
+    monkeypatch.setattr(minhash, "HOT", hot)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
     assert got == brute_near(texts)
     assert minhash.near_duplicates(empty).count() == 0
