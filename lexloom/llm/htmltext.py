@@ -148,7 +148,7 @@ def blocks(page: str) -> list[Block]:
             parts.append(("<", stack[-1][2]))
             continue
         name = m[0].lower()
-        at, own, itself = scan.attributes(m.end())
+        at, own, itself = (m.end() + 1, {}, False) if page.startswith(">", m.end()) else scan.attributes(m.end())
         if at < 0:
             break  # the page ends in a tag
         if ending:
@@ -187,7 +187,7 @@ def blocks(page: str) -> list[Block]:
             continue
         number += 1
         _, _, link, article, path = stack[-1]
-        words = " ".join(own[x] for x in ("class", "id", "role") if x in own).lower()
+        words = " ".join(own[x] for x in ("class", "id", "role") if x in own).lower() if own else ""
         evidence = 0
         if name in ("article", "main", "body", "html") or own.get("role", "").lower() in ("main", "article"):
             if name in ("article", "main") or own.get("role"):
