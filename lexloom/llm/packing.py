@@ -35,10 +35,10 @@ _KIND = np.array([0 if c in (0, 32) or 9 <= c <= 13 else 1 if 97 <= c <= 122 or
 _WORD = _KIND > 0
 
 
-def units(texts: list[str]) -> tc.Words:
-    """The parts of texts that the tokenizer takes one by one: runs of letters, digits, runs of others, and whole words that hold an apostrophe,
+def units(texts: list[bytes]) -> tc.Words:
+    """The parts of texts in lower case that the tokenizer takes one by one: runs of letters, digits, runs of others, and whole words that hold an apostrophe,
     as some endings after one are parts of their own."""
-    words = tc.split([t.lower().encode() for t in texts], _WORD)
+    words = tc.split(texts, _WORD)
     kind = _KIND[words.data]
     more = np.flatnonzero((words.data & 0xC0) == 0x80)
     kind[more] = kind[more - 1]
@@ -132,16 +132,33 @@ class Tokenizer:
         return number if same else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [i for i, t in enumerate(texts) if "<|" not in t and not _ODD.search(t)]
-        out: list[bytes | None] = [None] * len(texts)
-        words = units([texts[i] for i in plain]) if plain else None
-        number = self._numbers(words) if plain else None
-        if number is not None:
-            ids, end = self.ids.take(number)
-            border = np.r_[0, end][words.first]
-            for i, a, b in zip(plain, border[:-1].tolist(), border[1:].tolist(), strict=True):
-                out[i] = ids[a:b].tobytes()
-        return [self._encode(t).tobytes() if o is None else o for t, o in zip(texts, out, strict=True)]
+        # Longer texts are cut at white space, which no unit holds.
+        parts: list[list[bytes]] = [[] if "<|" in t or _ODD.search(t) else tc.slices(t.lower().encode(), CHARS) for t in texts]
+        flat = [p for own in parts for p in own]
+        done: list[bytes] | None = []
+        at = 0
+        while done is not None and at < len(flat):
+            end, size = at + 1, len(flat[at])
+            while end < len(flat) and size + len(flat[end]) <= CHARS:
+                size += len(flat[end])
+                end += 1
+            some = self._encode_plain(flat[at:end])
+            done = None if some is None else done + some
+            at = end
+        out, at = [], 0
+        for t, own in zip(texts, parts, strict=True):
+            out.append(b"".join(done[at : at + len(own)]) if own and done is not None else self._encode(t).tobytes())
+            at += len(own)
+        return out
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes] | None:
+        words = units(texts)
+        number = self._numbers(words)
+        if number is None:
+            return None
+        ids, end = self.ids.take(number)
+        border = np.r_[0, end][words.first].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(border[:-1], border[1:], strict=True)]
 
 
 #: A worker's tokenizers by file: the words that one task learned serve the next.
@@ -183,7 +200,8 @@ def _pieces(path: str | None, name: str):
 def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, name: str = "word_bpe_49k.json") -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32) of documents: ids, then id 0, cut into ROOM tokens at most.
 
-    tokenizer: a file that executors can open; else that of the given name which each of them has installed.
+    tokenizer: a file that executors can open; else that of the given name which each of them has installed. Null and empty texts are
+    the one id 0; rows of null or repeated ids are cut like others; other columns are left out; an empty table gives an empty result.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return source.mapInArrow(_pieces(tokenizer, name), "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -276,7 +294,8 @@ def pack(pieces: DataFrame) -> DataFrame:
     Each task packs its own pieces best-fit decreasing. Bins that lack more than SLACK tokens go on as items (bin, fill) to
     a round of fewer tasks, FAN_IN bins for each, until one task's bins are left; the last round merges those. If a round
     leaves more bins than that and merged less than a tenth, bins don't fit each other and it is the last. A round
-    moves 16 bytes a bin, and bins that are full enough stay where they are.
+    moves 16 bytes a bin, and bins that are full enough stay where they are. Pieces need a length; other columns may be null or repeated.
+    Without pieces the result is empty.
     """
     spark = pieces.sparkSession
     packed = keep(pieces.mapInArrow(_pack_local, pieces.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ") + ", bin long, offset long, fill long"), "packed")

@@ -6,6 +6,7 @@ Texts are joined to one byte array, blocks of bounded size at a time. A word is
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -139,3 +140,15 @@ def batches(frames: Iterable[pa.RecordBatch], *columns: str, text: str = "text")
             size += len(value) + 1
     if texts:
         yield kept, texts
+
+
+_GAP = re.compile(rb"[\x20\t-\r]")
+
+
+def slices(text: bytes, size: int) -> list[bytes]:
+    """A text cut at white space, after so many bytes at least; what is cut at begins the next slice."""
+    cut, at = [0], size
+    while at < len(text) and (gap := _GAP.search(text, at)):
+        cut.append(gap.start())
+        at = gap.start() + size
+    return [text[a:b] for a, b in zip(cut, [*cut[1:], len(text)], strict=True)]

@@ -285,3 +285,25 @@ def test_repeated_id_with_another_text(spark):
     got = sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in substrings.remove_repeats(docs).collect()), key=str)
     size = len(common.encode())
     assert sorted(g[2] for g in got) == [0, 0, size, size, size] or sorted(g[2] for g in got)[:2] == [0, 0] and all(g[2] >= size for g in got if g[1] > 100)
+
+
+def test_long_texts_in_slices(monkeypatch):
+    import public_tokenizers
+
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice(["ab ", "ab\n", "Ab", "CD!! ", "é\t", "x", " ", "it's ", "12 "]) for _ in range(rnd.randint(1, 400))) for _ in range(200)]
+    whole = [quality.tokens([t.encode()]) for t in texts]
+    tokenizer = packing.Tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    ids, found, hashes = tokenizer.encode(texts), [substrings.sliced([(t * 9).encode()]) for t in texts[:40]], tc.split([t.encode() for t in texts]).hashes()
+    monkeypatch.setattr(tc, "BLOCK", 7)
+    monkeypatch.setattr(packing, "CHARS", 20)
+    monkeypatch.setattr(substrings, "SLICE", 50)
+    assert (tc.split([t.encode() for t in texts]).hashes() == hashes).all()
+    for t, (h, first, repeats) in zip(texts, whole, strict=True):
+        again = quality.tokens([t.encode()])
+        assert again[0].tolist() == h.tolist() and again[1].tolist() == first.tolist() and again[2].tolist() == repeats.tolist(), t
+    assert tokenizer.encode(texts) == ids
+    for t, (_, h, _, geo) in zip(texts[:40], found, strict=True):
+        starts = lambda h, geo: sorted((int(a), (g >> 20) - b) for a, g in zip(h, geo.tolist(), strict=True) for b in range(g & 1023, (g >> 10 & 1023) + 1))
+        again = substrings.sliced([(t * 9).encode()])
+        assert starts(again[1], again[3]) == starts(h, geo)
