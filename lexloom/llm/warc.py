@@ -134,7 +134,8 @@ def read_archive(chunks: DataFrame) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of the records of a table of chunks.
 
     A record's chunks come one after the other, and its digest is carried from one to the next: no record is ever held
-    whole. A record whose length or digest is not as its header says ends the read with an error.
+    whole. A record whose length or digest is not as its header says ends the read with an error. A page without an id has none
+    here, and a null url is an empty one; an empty archive gives an empty result.
     """
     dealt = chunks.repartition("record_id").sortWithinPartitions("record_id", "chunk")
     return dealt.mapInArrow(_read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
