@@ -45,6 +45,8 @@ def ship(spark: SparkSession) -> None:
 
 def spread(table: DataFrame) -> DataFrame:
     """A table over all cores, if its scan has fewer parts than there are: a small file is one row group and so one task. Scans of
-    large tables stay as they are."""
+    large tables stay as they are. Rows are sorted within the parts, so that a part that is made again has the same order."""
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table._jdf.queryExecution().toRdd().getNumPartitions() >= cores else table.repartition(cores)
+    if table._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores).sortWithinPartitions(*(f"`{c}`" for c, kind in table.dtypes if "map<" not in kind))
