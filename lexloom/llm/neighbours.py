@@ -8,6 +8,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexloom.llm.store import keep
@@ -19,9 +20,9 @@ TABLES, WIDTH = 16, 1.6
 #: Projections of a table for each doubling of the vectors, at most so many, so that cells don't fill up as the vectors grow.
 BITS_PER_DOUBLING, MOST_BITS = 0.6, 16
 #: Cells that are visited in a table, at most; how many, and how many projections, is fitted on a sample: as few cells as find TARGET of
-#: the sample's own neighbours of ASKED of its vectors.
-MOST_PROBES, TARGET, ASKED = 256, 0.93, 40
-#: Rows of that bounded sample, by order of a hash of the id. Neighbours in all vectors are nearer than in a sample of them.
+#: the sample's own nearest to ASKED of its vectors, as many as it should hold of the K nearest.
+MOST_PROBES, TARGET, ASKED = 256, 0.94, 80
+#: Rows of that bounded sample, by order of a hash of the id.
 SAMPLE = 20_000
 #: Vectors of a bucket that are ranked at once; larger buckets are split, and every part is visited. Rows that a task gets, as a rule.
 PART, ROWS = 4096, 50_000
@@ -76,7 +77,9 @@ def fit(sample: np.ndarray, norm: float, count: int) -> Hashing:
     asked = sample[: min(ASKED, len(sample))]
     score = asked @ sample.T
     score[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    near = np.argsort(-score, axis=1)[:, : min(K, max(1, len(sample) - 1))]
+    # One and a half times the share of the K nearest that a sample holds; eight at least.
+    share = min(K, max(8, -(-3 * K * len(sample) // (2 * max(count, 1)))))
+    near = np.argsort(-score, axis=1)[:, : min(share, max(1, len(sample) - 1))]
     for bits in range(start, 0, -1):
         h = Hashing(norm, bits, 1.0 / WIDTH)
         h.spread = float(np.std(h.cells(sample, query=False))) or 1.0
@@ -140,16 +143,16 @@ def _ask(h: Hashing):
 
 
 def _rank(group: tuple, queries: pa.Table, held: pa.Table) -> pa.Table:
-    """Of parts of buckets (key, part), the K + 1 nearest classes of all parts for each query that visits them."""
+    """Of parts of buckets (key, part), the K + 1 nearest classes of all parts for each query that visits them. queries: visits, and for
+    each query that makes some a row with its vector and no key."""
     none = pa.table({"query_id": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
     if not queries.num_rows or not held.num_rows:
         return none
-    queries, held = (t.sort_by([("key", "ascending"), ("part", "ascending")]).combine_chunks() for t in (queries, held))
-    names = [np.rec.fromarrays([t["key"].to_numpy(), t["part"].to_numpy()]) for t in (queries, held)]
-    v = _matrix(held.to_batches()[0])
-    who, first = np.unique(queries["query_id"].to_numpy(), return_index=True)
-    x = _matrix(queries.take(pa.array(first)).combine_chunks().to_batches()[0])
-    of, classes = np.searchsorted(who, queries["query_id"].to_numpy()), held["c"].to_numpy()
+    vectors, visits = queries.filter(pc.is_null(queries["key"])), queries.filter(pc.is_valid(queries["key"])).drop_columns(["v"])
+    vectors, (visits, held) = vectors.sort_by("query_id").combine_chunks(), (t.sort_by([("key", "ascending"), ("part", "ascending")]).combine_chunks() for t in (visits, held))
+    names = [np.rec.fromarrays([t["key"].to_numpy(), t["part"].to_numpy()]) for t in (visits, held)]
+    who, x, v = vectors["query_id"].to_numpy(), _matrix(vectors.to_batches()[0]), _matrix(held.to_batches()[0])
+    of, classes = np.searchsorted(who, visits["query_id"].to_numpy()), held["c"].to_numpy()
     units, begin = np.unique(names[1], return_index=True)
     end = np.r_[begin[1:], len(v)]
     low, high = np.searchsorted(names[0], units, "left"), np.searchsorted(names[0], units, "right")
@@ -187,11 +190,15 @@ def _rank(group: tuple, queries: pa.Table, held: pa.Table) -> pa.Table:
     return pa.table({"query_id": pa.array(who[q].astype(np.int64)), "c": pa.array(c.astype(np.int64)), "score": pa.array(score.astype(np.float64))})
 
 
-def _met(asked: DataFrame, held: DataFrame, rows: int) -> DataFrame:
-    """(query_id, c, score) of queries and classes that meet in a part of a bucket; parts are dealt to groups of some ROWS rows each."""
+def _met(asked: DataFrame, queries: DataFrame, held: DataFrame, rows: int) -> DataFrame:
+    """(query_id, c, score) of queries and classes that meet in a part of a bucket; parts are dealt to groups of some ROWS rows each, and a
+    query's vector goes to a group once."""
     groups = max(2 * held.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS))
     g = F.pmod(F.xxhash64("key", "part"), F.lit(groups)).cast("int").alias("g")
-    left, right = asked.select(g, "key", "part", "query_id", "v"), held.select(g, "key", "part", "c", "v")
+    visits = keep(asked.select(g, "key", "part", "query_id"), "visits")
+    vectors = visits.select("g", "query_id").distinct().join(queries, "query_id").select("g", F.lit(None).cast("long").alias("key"), F.lit(None).cast("int").alias("part"), "query_id", "v")
+    left = visits.withColumn("v", F.lit(None).cast("array<double>")).unionByName(vectors)
+    right = held.select(g, "key", "part", "c", "v")
     right = right.select(*(F.col(x).alias(x) for x in right.columns))
     return left.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(_rank, "query_id long, c long, score double")
 
@@ -233,9 +240,8 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     parts = bucket.groupBy("key").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v")
     visits = queries.mapInArrow(_ask(hashing), "key long, query_id long").distinct().join(parts, "key").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-    asked = visits.join(queries, "query_id")
     held = bucket.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")).join(classes, "c")
-    found = _met(asked, held, TABLES * facts[1])
+    found = _met(visits, queries, held, TABLES * facts[1])
     ranked = keep(_ranked(found, members, queries), "ranked")
     full = ranked.where(F.col("rank") == K).select("query_id")
     short = keep(queries.join(full, "query_id", "left_anti"), "short")
@@ -245,7 +251,7 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     shares, blocks = -(-n_short // PART), max(1, -(-facts[1] // PART))
     asked = short.withColumn("key", F.pmod(F.xxhash64("query_id"), F.lit(shares))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     held = classes.withColumn("part", F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int")).withColumn("key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
-    every_one = _met(asked, held, shares * facts[1])
+    every_one = _met(asked, short, held, shares * facts[1])
     return ranked.join(full, "query_id", "left_semi").unionByName(_ranked(every_one, members, short))
 
 
