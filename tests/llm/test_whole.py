@@ -308,3 +308,25 @@ def test_long_texts_in_slices(monkeypatch):
         starts = lambda h, geo: sorted((int(a), (g >> 20) - b) for a, g in zip(h, geo.tolist(), strict=True) for b in range(g & 1023, (g >> 10 & 1023) + 1))
         again = substrings.sliced([(t * 9).encode()])
         assert starts(again[1], again[3]) == starts(h, geo)
+
+
+def test_bit_filter(spark):
+    from lexloom.llm.filters import bit_filter
+
+    holds = bit_filter(spark.range(0, 300, 3).withColumnRenamed("id", "x"), "x", 64 * 64, "bits")
+    got = {r.y: r.h for r in spark.range(300).selectExpr("id as y").withColumn("h", holds("y")).collect()}
+    assert all(got[i] for i in range(0, 300, 3)) and sum(got.values()) < 130
+
+
+def test_tables_of_a_stage_are_deleted(spark):
+    from pathlib import Path
+
+    from lexloom.llm import store
+
+    root = Path(store.shared_dir(spark).removeprefix("file://")) / "lexloom"
+    before = set(root.iterdir()) if root.exists() else set()
+    with store.scratch(spark):
+        first = store.keep(spark.range(5), "a")
+        last = store.keep(first.selectExpr("id + 1 as id"), "b", lasting=True)
+    left = {p.name.split("-")[0] for p in set(root.iterdir()) - before}
+    assert left == {"b"} and last.count() == 5
