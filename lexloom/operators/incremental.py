@@ -34,6 +34,16 @@ def difference(items: DataFrame, done: DataFrame) -> DataFrame:
     return items.subtract(done)
 
 
+def per_partition(rows: DataFrame, by: str, most: int = 100) -> DataFrame:
+    """Rows of each partition, in its order; at most so many partitions. The total is that of all rows: rows.count()."""
+    return rows.groupBy(by).agg(F.count("*").alias("docs")).orderBy(by).limit(most)
+
+
+def first_of_each(rows: DataFrame, by: str, most: int, *order: str) -> DataFrame:
+    """The first rows of each partition, with their place."""
+    return in_order(rows, by, *order).where(F.col("place") <= most)
+
+
 def summary(inventories: DataFrame, by: str = "year", files: str = "file_count") -> DataFrame:
     """How many partitions there are, how many files, and which partitions, in their order."""
     return inventories.agg(F.count("*").alias("years"), F.sum(files).alias("files"), F.sort_array(F.collect_set(by)).alias("listed"))

@@ -264,12 +264,12 @@ def dedup_first_seen(spark, d):
 
 
 def count_per_year(spark, d):
-    return _years(spark, d).groupBy("year").agg(F.count("*").alias("docs")).orderBy("year").limit(100)
+    return I.per_partition(_years(spark, d), "year")
 
 
 def year_filter_limit(spark, d):
     y = _years(spark, d).where(F.col("year").between(1996, 1998))
-    return I.in_order(y, "year", "o_orderkey").where("place <= 10").select("year", "o_orderkey", F.col("place").cast("long").alias("place"))
+    return I.first_of_each(y, "year", 10, "o_orderkey").select("year", "o_orderkey", F.col("place").cast("long").alias("place"))
 
 
 def bool_coerce(spark, d):
