@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _own: list[str] = []
+_folders: set[str] = set()
 #: Paths of tables that were written inside scratch(), the innermost last.
 _made: list[list[str]] = []
 
@@ -30,8 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path for one table that nothing else uses."""
-    return f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
+    """A path for one table that nothing else uses, in a folder of this application, which is deleted when the driver ends."""
+    folder = f"{shared_dir(spark)}/lexloom/{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_clean, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _clean(spark: SparkSession, folder: str) -> None:
+    """What can still be deleted: with a session that was stopped, only folders of this machine's file system."""
+    try:
+        _delete(spark, folder)
+    except Exception:  # noqa: BLE001 - the session, or its JVM, may be gone
+        if folder.startswith("file:"):
+            shutil.rmtree(folder.removeprefix("file:"), ignore_errors=True)
 
 
 def keep(df: DataFrame, name: str, *, lasting: bool = False) -> DataFrame:

@@ -324,9 +324,9 @@ def test_tables_of_a_stage_are_deleted(spark):
     from lexloom.llm import store
 
     root = Path(store.shared_dir(spark).removeprefix("file://")) / "lexloom"
-    before = set(root.iterdir()) if root.exists() else set()
+    before = set(root.glob("*/*"))
     with store.scratch(spark):
         first = store.keep(spark.range(5), "a")
         last = store.keep(first.selectExpr("id + 1 as id"), "b", lasting=True)
-    left = {p.name.split("-")[0] for p in set(root.iterdir()) - before}
+    left = {p.name.split("-")[0] for p in set(root.glob("*/*")) - before}
     assert left == {"b"} and last.count() == 5
