@@ -185,7 +185,7 @@ def semantic_chunks(spark, d):
 
 def translation_segments(spark, d):
     s = _t(spark, d, "documents").select("doc_id", F.posexplode(chunking.translation_segments("text")).alias("place", "segment"))
-    return s.select("doc_id", "place", F.md5(F.col("segment").cast("binary")).alias("segment_md5"))
+    return s.select("doc_id", F.col("place").cast("long").alias("place"), F.md5(F.col("segment").cast("binary")).alias("segment_md5"))
 
 
 def _raw_names(spark, d):
