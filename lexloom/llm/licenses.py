@@ -67,6 +67,46 @@ LICENSES = (
     ("odbl-1.0", "odbl-1.0", "open database", r"open database licen[sc]e", r"opendatacommons\.org/licenses/odbl"),
     ("odc-by-1.0", "odc-by-1.0", "open data commons", r"open data commons attribution licen[sc]e", r"opendatacommons\.org/licenses/by"),
     ("pddl-1.0", "pddl-1.0", "public domain dedication", r"public domain dedication (?:and|&) licen[sc]e", r"opendatacommons\.org/licenses/pddl"),
+    ("apache-1.0", "apache-1.0", "apache", r"apache(?: software)? licen[sc]e,? (?:version |v)?1\.0", r"apache\.org/licenses/license-1\.0"),
+    ("apsl-2.0", "apsl-2.0", "apple public", r"apple public source licen[sc]e,? (?:version |v)?2", r"opensource\.apple\.com/license/apsl"),
+    ("bsd-3-clause-clear", "bsd-3-clause-clear", "clear bsd", r"clear bsd licen[sc]e", r"spdx\.org/licenses/bsd-3-clause-clear"),
+    ("blueoak-1.0.0", "blueoak-1.0.0", "blue oak", r"blue oak model licen[sc]e", r"blueoakcouncil\.org/license/1\.0\.0"),
+    ("cecill-2.1", "cecill-2.1", "cecill", r"cecill(?: free software)?(?: licen[sc]e)?(?: agreement)?,? (?:version |v)?2\.1", r"cecill\.info/licences/licence_cecill_v2\.1"),
+    ("cecill-b", "cecill-b", "cecill-b", r"cecill-b(?: licen[sc]e)?", r"cecill\.info/licences/licence_cecill-b"),
+    ("cecill-c", "cecill-c", "cecill-c", r"cecill-c(?: licen[sc]e)?", r"cecill\.info/licences/licence_cecill-c"),
+    ("cpal-1.0", "cpal-1.0", "common public attribution", r"common public attribution licen[sc]e", r"opensource\.org/licenses/cpal_1\.0"),
+    ("curl", "curl", "curl", r"curl licen[sc]e", r"curl\.se/docs/copyright"),
+    ("ecl-2.0", "ecl-2.0", "educational community", r"educational community licen[sc]e", r"opensource\.org/licenses/ecl-2\.0"),
+    ("efl-2.0", "efl-2.0", "eiffel forum", r"eiffel forum licen[sc]e", r"opensource\.org/licenses/efl-2\.0"),
+    ("fair", "fair", "fair licen", r"the fair licen[sc]e", r"opensource\.org/licenses/fair"),
+    ("ftl", "ftl", "freetype", r"freetype(?: project)? licen[sc]e", r"freetype\.org/license"),
+    ("gfdl-1.2", "gfdl-1.2-only", "free documentation", r"free documentation licen[sc]e,? (?:version |v)1\.2", r"gnu\.org/licenses/(?:old-licenses/)?fdl-1\.2"),
+    ("hippocratic-2.1", "hippocratic-2.1", "hippocratic", r"hippocratic licen[sc]e", r"firstdonoharm\.dev"),
+    ("icu", "icu", "icu", r"icu licen[sc]e", r"unicode\.org/repos/icu/\S*license"),
+    ("ijg", "ijg", "independent jpeg", r"independent jpeg group(?:'s)? licen[sc]e", r"ijg\.org"),
+    ("imagemagick", "imagemagick", "imagemagick", r"imagemagick licen[sc]e", r"imagemagick\.org/script/license"),
+    ("json", "json", "json", r"json licen[sc]e", r"json\.org/license"),
+    ("latex", "lppl-1.3c", "latex project", r"latex project public licen[sc]e", r"latex-project\.org/lppl"),
+    ("libpng", "libpng-2.0", "libpng", r"(?<!zlib/)libpng licen[sc]e", r"libpng\.org/pub/png/src/libpng-license"),
+    ("lpl-1.02", "lpl-1.02", "lucent", r"lucent public licen[sc]e", r"opensource\.org/licenses/lpl-1\.02"),
+    ("miros", "miros", "miros", r"miros licen[sc]e", r"opensource\.org/licenses/miros"),
+    ("mulan-2.0", "mulanpsl-2.0", "mulan", r"mulan permissive software licen[sc]e", r"license\.coscl\.org\.cn/mulanpsl2"),
+    ("nasa-1.3", "nasa-1.3", "nasa open", r"nasa open source agreement", r"opensource\.org/licenses/nasa1\.3"),
+    ("npl-1.1", "npl-1.1", "netscape", r"netscape public licen[sc]e", r"mozilla\.org/mpl/npl/1\.1"),
+    ("ntp", "ntp", "ntp", r"ntp licen[sc]e", r"opensource\.org/licenses/ntp"),
+    ("ogl-uk-3.0", "ogl-uk-3.0", "open government", r"open government licen[sc]e,? (?:version |v)?3", r"nationalarchives\.gov\.uk/doc/open-government-licence/version/3"),
+    ("oldap-2.8", "oldap-2.8", "openldap", r"openldap public licen[sc]e", r"openldap\.org/software/release/license"),
+    ("qpl-1.0", "qpl-1.0", "q public", r"q public licen[sc]e", r"opensource\.org/licenses/qpl-1\.0"),
+    ("rpl-1.5", "rpl-1.5", "reciprocal public", r"reciprocal public licen[sc]e", r"opensource\.org/licenses/rpl-1\.5"),
+    ("simpl-2.0", "simpl-2.0", "simple public", r"simple public licen[sc]e", r"opensource\.org/licenses/simpl-2\.0"),
+    ("sleepycat", "sleepycat", "sleepycat", r"sleepycat licen[sc]e", r"opensource\.org/licenses/sleepycat"),
+    ("spl-1.0", "spl-1.0", "sun public", r"sun public licen[sc]e", r"opensource\.org/licenses/spl-1\.0"),
+    ("tcl", "tcl", "tcl/tk", r"tcl/tk licen[sc]e", r"tcl-lang\.org/software/tcltk/license"),
+    ("unicode-3.0", "unicode-3.0", "unicode", r"unicode licen[sc]e(?: v3)?", r"unicode\.org/license"),
+    ("vim", "vim", "vim", r"vim licen[sc]e", r"vimhelp\.org/uganda"),
+    ("w3c", "w3c", "w3c", r"w3c software(?: notice and)? licen[sc]e", r"w3\.org/consortium/legal/\S*software"),
+    ("wxwindows", "wxwindows", "wxwindows", r"wxwindows(?: library)? licen[sc]e", r"opensource\.org/licenses/wxwindows"),
+    ("zpl-2.1", "zpl-2.1", "zope", r"zope public licen[sc]e", r"opensource\.org/licenses/zpl-2\.1"),
     ("cc0-1.0", "cc0-1.0", "cc0", r"cc0(?: 1\.0)?(?: universal)?", r"creativecommons\.org/publicdomain/zero/1\.0"),
 )
 _PARTS = {"by": "attribution", "nc": "non-?commercial", "nd": "no-?deriv(?:ative)?s?", "sa": "share-?alike"}

@@ -39,6 +39,8 @@ def test_toxic_features_with_copied_labels(spark):
 def test_licences_need_no_unrelated_word():
     rules = licenses.rules()
     named = {"distributed under apache 2.0 terms": "apache-2", "terms: https://mozilla.org/mpl/2.0/": "mpl-2.0", "see eclipse.org/legal/epl-v20": "epl-2.0", "eupl-1.2": "eupl-1.2", "scripts.sil.org/ofl": "ofl-1.1", "mariadb.com/bsl11": "busl-1.1", "mit no attribution": "mit-0", "the psf license": "python-2.0", "do what the fxxx you want to public license": "wtfpl", "open\nfont\nlicense": "ofl-1.1", "a creative\n commons attribution 4.0": "cc-by-4.0"}
+    named |= {"the zope\npublic license": "zpl-2.1", "under cecill-b license": "cecill-b", "blue oak model license 1.0.0": "blueoak-1.0.0", "zlib/libpng license": "zlib", "latex-project.org/lppl": "latex", "spdx-license-identifier: mulanpsl-2.0": "mulan-2.0"}
+    assert len(rules) > 500 and "libpng" not in {x[2] for x in licenses.detect("zlib/libpng license", rules)}
     for text, label in named.items():
         assert label in {x[2] for x in licenses.detect(text, rules)}, text
         assert all(licenses.detect(m[0], [r]) for r in rules for m in r.pattern.finditer(text))
