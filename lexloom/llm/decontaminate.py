@@ -51,8 +51,7 @@ def compile_windows(rows: list[tuple[int, str]]) -> Windows | None:
     number = {x: k for k, x in enumerate(names)}
     item = np.array([number[str(i)] for i, _ in rows], dtype=np.int64)
     size = np.diff(words.first)
-    patterns, items, pairs = {}, {}, []
-    base = len(vocabulary) + 1
+    patterns, items = {}, {}
     for n in np.unique(np.minimum(size[size > 0], WINDOW)).tolist():
         # Where windows of n words start, and the item of each.
         count = np.where(size >= WINDOW, size - WINDOW + 1, 0) if n == WINDOW else (size == n).astype(np.int64)
@@ -63,10 +62,13 @@ def compile_windows(rows: list[tuple[int, str]]) -> Windows | None:
         held = np.unique(which.ravel() * len(names) + item[owner])
         first = np.searchsorted(held, np.arange(len(patterns[n]) + 1) * len(names))
         items[n] = (first, (held % len(names)).astype(np.int32))
-        pairs += [np.unique(patterns[n][:, k].astype(np.int64) * base + patterns[n][:, k + 1]) for k in range(n - 1)]
     bitmap = np.zeros(1 << 22, dtype=bool)
     bitmap[(vocabulary & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-    bigrams = np.unique(np.concatenate(pairs)) if pairs else np.zeros(1, dtype=np.int64)
+    # Neighbours in an item are neighbours in a window of it.
+    inside = np.ones(max(0, len(symbol) - 1), dtype=bool)
+    inside[words.first[1:-1][(words.first[1:-1] > 0) & (words.first[1:-1] < len(symbol))] - 1] = False
+    bigrams = np.unique((symbol[:-1].astype(np.int64) * (len(vocabulary) + 1) + symbol[1:])[inside])
+    bigrams = bigrams if len(bigrams) else np.zeros(1, dtype=np.int64)
     return Windows(vocabulary, bitmap, bigrams, patterns, items, names, min(patterns))
 
 

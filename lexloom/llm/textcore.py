@@ -49,7 +49,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base of the word hash and of its inverse, modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
-        n = max(n, BLOCK + (BLOCK >> 1))
+        n = max(n, min(2 * len(_powers[0]) if _powers else 1 << 16, BLOCK + (BLOCK >> 1)))
         _powers[:] = [np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, dtype=np.uint64)]) for b in (_BASE, _UNBASE)]
     return _powers[0], _powers[1]
 
