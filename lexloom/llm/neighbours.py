@@ -16,9 +16,9 @@ from lexloom.llm.store import keep
 #: Neighbours of a query.
 K = 20
 #: Hash tables, and the width of a projection's cells in standard deviations of the projections.
-TABLES, WIDTH = 16, 1.6
+TABLES, WIDTH = 10, 1.6
 #: Projections of a table for each doubling of the vectors, at most so many, so that cells don't fill up as the vectors grow.
-BITS_PER_DOUBLING, MOST_BITS = 0.6, 16
+BITS_PER_DOUBLING, MOST_BITS = 0.5, 16
 #: Cells that are visited in a table, at most; how many, and how many projections, is fitted on a sample: as few cells as find TARGET of
 #: the sample's own nearest to ASKED of its vectors, as many as it should hold of the K nearest.
 MOST_PROBES, TARGET, ASKED = 256, 0.94, 80
