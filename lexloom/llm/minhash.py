@@ -174,7 +174,10 @@ def _outside(met: DataFrame, found: DataFrame, minima: DataFrame) -> DataFrame:
     named = met.join(found, met.doc_id == found.node, "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     parts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
     most = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"), F.sum("n").alias("all")).where("parts > 1").select("key", F.col("m.component").alias("main"), "all")
-    here = keep(named.join(most, "key").join(minima, "doc_id"), "outside")
+    # All of these buckets are large: their members are dealt to shares, which all know the bucket.
+    share, every = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
+    dealt = named.withColumn("share", share).join(most.withColumn("share", every).hint("merge"), ["key", "share"]).drop("share")
+    here = keep(dealt.join(minima, "doc_id"), "outside")
     slabs = F.ceil(F.col("all") / SLAB).cast("int")
     slab = F.pmod(F.xxhash64("doc_id"), slabs)
     right = here.select("key", slab.alias("right"), "doc_id", "component", "minima")
