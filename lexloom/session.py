@@ -8,6 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes, by Spark's statistics, up to which a table is dealt to all cores.
+SMALL = 64 << 20
 _shipped: set[str] = set()
 
 
@@ -44,9 +46,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """A table over all cores, if its scan has fewer parts than there are: a small file is one row group and so one task. Scans of
-    large tables stay as they are. Rows are sorted within the parts, so that a part that is made again has the same order."""
+    """A table of at most SMALL bytes over all cores, if its scan has fewer parts than there are: a small file is one row group and so one
+    task. Scans of larger tables stay as they are. Rows are sorted within the parts, so that a part that is made again has the same order."""
     cores = table.sparkSession.sparkContext.defaultParallelism
-    if table._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+    plan = table._jdf.queryExecution()
+    if int(plan.optimizedPlan().stats().sizeInBytes().toString()) > SMALL or plan.toRdd().getNumPartitions() >= cores:
         return table
     return table.repartition(cores).sortWithinPartitions(*(f"`{c}`" for c, kind in table.dtypes if "map<" not in kind))
