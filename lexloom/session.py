@@ -50,6 +50,6 @@ def spread(table: DataFrame) -> DataFrame:
     task. Scans of larger tables stay as they are. Rows are sorted within the parts, so that a part that is made again has the same order."""
     cores = table.sparkSession.sparkContext.defaultParallelism
     plan = table._jdf.queryExecution()
-    if int(plan.optimizedPlan().stats().sizeInBytes().toString()) > SMALL or plan.toRdd().getNumPartitions() >= cores:
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) > SMALL or plan.toRdd().getNumPartitions() >= cores:
         return table
     return table.repartition(cores).sortWithinPartitions(*(f"`{c}`" for c, kind in table.dtypes if "map<" not in kind))
