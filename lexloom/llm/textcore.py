@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; one longer text makes a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 _mix = np.random.default_rng(20250101)
 _CODE = _mix.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
