@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import decontaminate, htmltext, licenses, minhash, neighbours, packing, pii, quality, substrings, warc
+from lexloom.llm import decontaminate, htmltext, licenses, minhash, neighbours, packing, pii, prefixtrie, quality, substrings, warc, whitening
 from lexloom.session import spread
 
 
@@ -66,6 +66,16 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefixes of all conversations."""
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all vectors."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _OP1 = f"""with b as (select item_id::varchar as item, {_WORDS} as l from benchmark where text is not null and item_id is not null),
     i as (select distinct item, array_to_string(l[a : a + 12], ' ') as win, least(13, len(l)) as n from (select item, l, unnest(range(1, greatest(len(l) - 12, 1) + 1)) as a from b where len(l) > 0)),
@@ -93,15 +103,35 @@ _OP10 = f"""with recursive d as (select doc_id, coalesce({_SOLID}, []::varchar[]
     select d.doc_id, coalesce(z.n, 0) as n_shingles, coalesce(component, d.doc_id) as component_id, coalesce(component, d.doc_id) = d.doc_id as kept
     from d left join z using (doc_id) left join u using (doc_id) left join m on m.x = u.first"""
 
+_CRC = "xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)), lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"
+_OP11 = f"""with t as (select conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as m, length(coalesce(text, '')) as chars,
+        row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i from conversations where conv_id is not null),
+    l as (select conv_id, list(struct_pack(m := m, c := chars) order by i) as own from t group by 1),
+    h as (select conv_id, own, {_CRC} % 6 as h from l),
+    r as (select a.conv_id, list_concat(coalesce(b.own, [])[: a.h], a.own[a.h + 1 :]) as path from h a left join l b on b.conv_id = a.conv_id - a.conv_id % 100),
+    p as (select conv_id, len(path) as len, d as depth, md5(array_to_string(list_transform(path[: d], lambda x: x.m), ',')) || d as k,
+        case when d > 0 then md5(array_to_string(list_transform(path[: d - 1], lambda x: x.m), ',')) || (d - 1) end as up, case when d > 0 then path[d].c else 0 end as chars
+        from (select conv_id, path, unnest(range(0, len(path) + 1)) as d from r)),
+    n as (select k, any_value(depth) as depth, any_value(up) as up, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs from p group by 1),
+    c as (select up as k, count(*) as n from n where up is not null group by 1),
+    w as (select n.*, coalesce(c.n, 0) as n_children from n left join c using (k)),
+    s as (select v.k, sum(case when w.n_children = 0 then 1 else 0 end) as n_leaves, sum((w.n_convs - 1) * w.chars) as saved
+        from w join p v on v.conv_id = w.conv_id and v.depth <= w.depth group by 1),
+    e as (select k, string_agg(conv_id::varchar, ',' order by conv_id) as ends from p where depth = len group by 1)
+    select w.conv_id, w.depth::bigint as depth, u.conv_id as parent_conv_id, w.n_convs, w.n_children::bigint as n_children, s.n_leaves::bigint as n_leaves, s.saved::bigint as saved_tokens,
+        sha256(coalesce(ends, '')) as ends_sha256
+    from w left join n u on u.k = w.up join s on s.k = w.k left join e on e.k = w.k"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op4_html_main_text, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op9_nearest_neighbours, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op4_html_main_text, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op9_nearest_neighbours, op10_minhash_near_dedup, op11_prefix_trie, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_benchmark_decontamination": _OP1,
         "op10_minhash_near_dedup": _OP10,
+        "op11_prefix_trie": _OP11,
         "op6_warc": """
             with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
             f as (select payload_digest, min(page_id) as rep from p where payload_bytes >= 100 group by 1)
