@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import decontaminate, htmltext, licenses, minhash, neighbours, packing, pii, prefixtrie, quality, substrings, warc, whitening
+from lexloom.llm import decontaminate, htmltext, licenses, minhash, neighbours, packing, pii, ppm, prefixtrie, quality, substrings, warc, whitening
 from lexloom.session import spread
 
 
@@ -71,6 +71,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of all vectors."""
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
@@ -124,7 +129,7 @@ _OP11 = f"""with t as (select conv_id, md5(length(coalesce(role, '')) || ':' ||
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op4_html_main_text, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op9_nearest_neighbours, op10_minhash_near_dedup, op11_prefix_trie, op13_whitening)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_suffix_array_dedup, op3_license_scan, op4_html_main_text, op5_pii, op6_warc, op7_best_fit_packing, op8_kneser_ney_quality, op9_nearest_neighbours, op10_minhash_near_dedup, op11_prefix_trie, op12_ppm_scores, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:

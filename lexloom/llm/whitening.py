@@ -101,30 +101,29 @@ def product(rows: DataFrame, directions: np.ndarray, n: int, sums: list[int]) ->
     return out / n
 
 
-def _orthonormal(block: np.ndarray, basis: np.ndarray, random: np.random.Generator, small: float) -> tuple[np.ndarray, np.ndarray]:
-    """(q, fresh): the block made orthonormal, and to the basis, twice over; fresh says which columns broke down and were replaced by
-    random ones. No more columns than there is room for."""
+def _orthonormal(block: np.ndarray, basis: np.ndarray, random: np.random.Generator, small: float) -> np.ndarray:
+    """The block made orthonormal, and to the basis, twice over. Columns that break down are replaced by random ones; there are no more
+    columns than there is room for."""
     d = len(block)
-    columns, fresh = [], []
+    columns = []
     have = basis
     for v in block.T:
         if have.shape[1] == d:
             break
-        size, replaced = np.linalg.norm(v), False
+        least = max(small, 1e-10 * np.linalg.norm(v))
         while True:
             for _ in range(2):
                 v = v - have @ (have.T @ v)
-            if (left := np.linalg.norm(v)) > max(small, 1e-10 * size):
+            if (left := np.linalg.norm(v)) > least:
                 break
-            v, replaced = random.standard_normal(d), True
-            size = np.linalg.norm(v)
+            v = random.standard_normal(d)
+            least = 1e-10 * np.linalg.norm(v)
         v = v / left
         v = v - have @ (have.T @ v)
         v /= np.linalg.norm(v)
         columns.append(v)
-        fresh.append(replaced)
         have = np.column_stack([have, v])
-    return np.array(columns).T.reshape(d, len(columns)), np.array(fresh, dtype=bool)
+    return np.array(columns).T.reshape(d, len(columns))
 
 
 def block_lanczos(multiply: Callable[[np.ndarray], np.ndarray], d: int, trace: float, wanted: int, block: int = BLOCK, blocks: int = BLOCKS, passes: int = PASSES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +134,7 @@ def block_lanczos(multiply: Callable[[np.ndarray], np.ndarray], d: int, trace: f
     room = min(d, max(blocks * block, 2 * wanted + block))
     small = 1e-13 * max(trace, 1e-300)
     basis = images = np.zeros((d, 0))
-    q, _ = _orthonormal(random.standard_normal((d, block)), basis, random, small)
+    q = _orthonormal(random.standard_normal((d, block)), basis, random, 0.0)
     for _ in range(passes):
         image = multiply(q)
         basis, images = np.column_stack([basis, q]), np.column_stack([images, image])
@@ -153,7 +152,7 @@ def block_lanczos(multiply: Callable[[np.ndarray], np.ndarray], d: int, trace: f
             keep_ = min(room - block, wanted + block)
             basis, images = ritz[:, :keep_], ritz_images[:, :keep_]
             image = residual[:, :block]
-        q, _ = _orthonormal(image, basis, random, small)
+        q = _orthonormal(image, basis, random, small)
     real = values[:k] > NOTHING * trace
     return values[:k][real], ritz[:, :k][:, real]
 
