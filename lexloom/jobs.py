@@ -35,7 +35,7 @@ def index_year(spark: SparkSession, source: str, index: str, log: str, year: int
     total = chunks.select("doc_id").distinct().count()
     if resume:
         chunks = I.pending(chunks, files.progress(spark, log).select(F.col("id").alias("doc_id")), "doc_id")
-        if sinks._current(spark, index):
+        if sinks.has_table(spark, index):
             chunks = I.pending(chunks, sinks.read_table(spark, index), "doc_id")
     docs = index_documents(chunks, top_k, WEIGHTS[weights])
     n = docs.count()

@@ -107,9 +107,19 @@ def lookup_path(wanted: DataFrame, first: DataFrame, second: DataFrame, name: st
     return wanted.join(a, name, "left").join(b, name, "left").withColumn(path, F.coalesce("_a", "_b")).drop("_a", "_b")
 
 
-def upsert(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of `new` replace those of their key."""
-    return existing.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+def last_of_each(rows: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """One row of each key, a null key too: the last by order, then the greatest row."""
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    last = F.max_by(F.struct(*names), F.struct(*(F.col(o) for o in order or []), *names))
+    return rows.groupBy(F.col(key).alias("_k")).agg(last.alias("_r")).select("_r.*")
+
+
+def upsert(existing: DataFrame, new: DataFrame, key: str, order: list[str] | None = None, repeated: bool = True) -> DataFrame:
+    """Rows of `new` replace those of their key, also of a null one. Of new rows with one key the last by order stays, or the greatest; repeated says that
+    there may be such."""
+    one = last_of_each(new, key, order) if repeated else new
+    have = one.select(F.col(key).alias("_upserted"))
+    return existing.join(have, F.col(key).eqNullSafe(F.col("_upserted")), "left_anti").unionByName(one, allowMissingColumns=True)
 
 
 def success_rate(ok: str, total: str):

@@ -4,25 +4,20 @@ from __future__ import annotations
 
 import json
 import time
-import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from lexloom.functions.values import safe_rows
-from lexloom.operators.incremental import upsert
+from lexloom.sources import keyed
 from lexloom.sources.files import exists, progress
+from lexloom.sources.paths import delete, file_system, files_in, make_folder, read_text, write_text  # noqa: F401 - part of this module's interface
 
 #: Versions of a table that are kept beside the newest, for readers that still use them.
 OLD_VERSIONS = 1
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def safe_json(row: Column) -> Column:
     """JSON of a struct; NaN and infinities must have been made 0 by functions.values.safe."""
     return F.to_json(row, {"ignoreNullFields": "false"})
@@ -57,28 +52,6 @@ def write_bundle(base: str, timestamp: str | None = None, stats: dict | None = N
     return done
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, as a whole: written beside its place, and renamed to it when what stood there is gone."""
-    fs, p = _fs(spark, path)
-    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}.part")
-    out = fs.create(part, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    fs.delete(p, False)
-    fs.rename(part, p)
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
-
-
-def make_folder(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.mkdirs(p)
-
-
 def write_marker(spark: SparkSession, path: str, facts: dict | None = None) -> None:
     """A file that says that something is done."""
     write_text(spark, path, json.dumps(facts or {}))
@@ -109,7 +82,7 @@ def seed_progress(spark: SparkSession, inventory: str, log: str, index_inventory
 
 def _current(spark: SparkSession, path: str) -> str | None:
     """The folder of a versioned table's newest version; a folder without versions is one itself."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return None
     versions = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("v"))
@@ -120,7 +93,9 @@ def _current(spark: SparkSession, path: str) -> str | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest whole version of a table that replace_table() or upsert_table() wrote."""
+    """The rows of a table that upsert_table() wrote, or the newest whole version of one that replace_table() wrote."""
+    if keyed.is_keyed(spark, path):
+        return keyed.read(spark, path)
     at = _current(spark, path)
     if at is None:
         raise FileNotFoundError(f"no table at {path}")
@@ -134,18 +109,38 @@ def replace_table(df: DataFrame, path: str) -> None:
     last = _current(spark, path)
     number = int(last.rsplit("/v", 1)[1]) + 1 if last and last != path else 0
     df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/v{number:012d}")
-    fs, p = _fs(spark, path)
+    for more in ("keyed.json", "pending", "rows"):
+        delete(spark, f"{path}/{more}")
+    fs, p = file_system(spark, path)
     for s in fs.listStatus(p):
         name = s.getPath().getName()
         if not name.startswith("v") or int(name[1:]) < number - OLD_VERSIONS:
             fs.delete(s.getPath(), True)
 
 
-def upsert_table(new: DataFrame, path: str, key: str) -> None:
-    """Merge rows into a table as its next version; a run that dies leaves the last version whole, and the same rows again change nothing."""
+def has_table(spark: SparkSession, path: str) -> bool:
+    return keyed.is_keyed(spark, path) or _current(spark, path) is not None
+
+
+def upsert_table(new: DataFrame, path: str, key: str, order: list[str] | None = None, buckets: int = keyed.BUCKETS) -> list[int]:
+    """Merge rows into a table by key (keyed.upsert_rows); the folders that were rewritten. A version that replace_table() wrote becomes the
+    table's first rows. A run that dies leaves a whole state, and the same rows again change nothing."""
     spark = new.sparkSession
-    at = _current(spark, path)
-    replace_table(upsert(spark.read.parquet(at), new, key) if at else new, path)
+    if not keyed.is_keyed(spark, path) and (at := _current(spark, path)):
+        old = spark.read.parquet(at)
+        delete(spark, f"{path}/rows")
+        delete(spark, f"{path}/moving")
+        keyed.upsert_rows(old, f"{path}/moving", key, buckets=buckets)
+        fs, p = file_system(spark, f"{path}/moving/rows")
+        fs.rename(p, file_system(spark, f"{path}/rows")[1])
+        # The table is keyed from here on; its versions aren't read any more.
+        write_text(spark, f"{path}/keyed.json", read_text(spark, f"{path}/moving/keyed.json"))
+        delete(spark, f"{path}/moving")
+        if at != path:
+            for version in files_in(spark, path):
+                if version.startswith("v"):
+                    delete(spark, f"{path}/{version}")
+    return keyed.upsert_rows(new, path, key, order, buckets)
 
 
 def bulk(rows: DataFrame, put: Callable[[list[Row]], Iterable[object]], key: str, batch: int = 500, attempts: int = 3, delay: float = 2.0) -> DataFrame:
@@ -221,7 +216,7 @@ def ensure_index(spark: SparkSession, path: str, mapping: dict | str, *, recreat
     if recreate:
         delete(spark, path)
         delete(spark, path + ".settings.json")
-    if _current(spark, path):
+    if has_table(spark, path):
         return False
     own = mapping.get("settings", {})
     settings = {"number_of_shards": shards or own.get("number_of_shards", 8), "number_of_replicas": own.get("number_of_replicas", 1) if replicas is None else replicas}
@@ -243,17 +238,12 @@ def ensure_search_index(spark: SparkSession, path: str, collection: str, *, recr
     """An empty flat search index at a path, if there is none or it is to be made anew; whether it was made."""
     if recreate:
         delete(spark, path)
-    if _current(spark, path):
+    if has_table(spark, path):
         return False
     replace_table(spark.createDataFrame([], search_schema(collection)), path)
     return True
 
 
-def delete(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.delete(p, True)
-
-
 def purge(spark: SparkSession, indexes: list[str], folders: list[str]) -> dict[str, bool]:
     """Delete indexes, their settings, and processed files, for a run from the beginning; what was there."""
     done = {path: delete(spark, path) for path in (*indexes, *folders)}

@@ -26,13 +26,11 @@ def once(stream: DataFrame, key: str, time: str | None = None, delay: str = "1 h
 
 
 def into_table(stream: DataFrame, path: str, checkpoint: str, key: str, order: str | None = None):
-    """Upsert every batch into a table; stops when all that has arrived is done. Of a batch's rows of one key the last by order stays, or
-    without one the greatest row. A batch that is repeated changes nothing."""
+    """Upsert every batch into a table, whose touched folders alone are rewritten; stops when all that has arrived is done. Of a batch's
+    rows of one key the last by order stays, or without one the greatest row. A batch that is repeated changes nothing."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        names = [F.col(c) for c in batch.columns]
-        last = F.max_by(F.struct(*names), F.struct(*([F.col(order)] if order else []), *names))
-        upsert_table(batch.groupBy(F.col(key).alias("_k")).agg(last.alias("_r")).select("_r.*"), path, key)
+        upsert_table(batch, path, key, [order] if order else None)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
