@@ -332,3 +332,26 @@ def test_tables_of_a_stage_are_deleted(spark):
         last = store.keep(first.selectExpr("id + 1 as id"), "b", lasting=True)
     left = {p.name.split("-")[0] for p in set(root.glob("*/*")) - before}
     assert left == {"b"} and last.count() == 5
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    """An id that repeats with another text: each row stays or goes by itself, in every stage."""
+    import corpus_pipeline
+
+    data = "/root/testdata/sf0.001"
+    item = next(r.text for r in spark.read.parquet(f"{data}/benchmark.parquet").collect() if len(r.text.split()) > 15)
+    clean = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").where("length(text) between 400 and 900").orderBy("doc_id").limit(6).collect()]
+    rows = [(0, clean[0]), (1, clean[1]), (2, clean[2]), (3, clean[3]), (3, item), (4, clean[4]), (None, item), (3, clean[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit(1))
+    got = corpus_pipeline.decontamination_stage(spark, docs, data)
+    assert got.columns == docs.columns
+    kept = Counter((r.doc_id, r.text == item) for r in got.collect())
+    assert kept[3, True] == 0 and kept[3, False] == 2 and kept[None, True] == 1
+    copies = spark.createDataFrame([(1, clean[0]), (2, clean[0]), (2, clean[1]), (3, clean[1]), (3, clean[2])], "doc_id long, text string")
+    assert {r.text for r in corpus_pipeline.near_duplicates_stage(spark, copies, data).collect()} == set(clean[:3]) and corpus_pipeline.near_duplicates_stage(spark, copies, data).count() == 3
+    mixed = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang")
+    good = corpus_pipeline.quality_stage(spark, mixed, data)
+    some = good.orderBy("doc_id").first()
+    empty = spark.createDataFrame([(some.doc_id, "  ", some.lang)], mixed.schema)
+    again = corpus_pipeline.quality_stage(spark, mixed.unionByName(empty), data).where(F.col("doc_id") == some.doc_id).collect()
+    assert [r.text for r in again] == [some.text]
