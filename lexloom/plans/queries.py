@@ -6,12 +6,13 @@ import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from lexloom import jobs
 from lexloom.functions import text as T, values, vectors as V
 from lexloom.operators import acts, chunking, incremental as I, language, pages as P, records as R, roles, select as S
 from lexloom.session import spread
-from lexloom.sources import files
+from lexloom.sources import checked, files, services
 from lexloom.streaming import events as E
 
 WEIGHTS = {"user": 3.0, "assistant": 0.4, "system": 2.5}
@@ -300,9 +301,33 @@ def json_sanitize(spark, d):
 
 
 def upsert_index(spark, d):
-    c = _t(spark, d, "customer").select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("bal"))
-    new = c.where("c_custkey % 10 = 0").select("c_custkey", F.concat(F.lit("new "), F.col("c_name")).alias("c_name"), "bal")
-    return I.upsert(c, new.unionByName(new.withColumn("c_custkey", F.col("c_custkey") + 10_000_000)), "c_custkey")
+    """All customers, with what their latest order says."""
+    c = _t(spark, d, "customer").select("c_custkey", F.col("c_name").alias("said"), F.round("c_acctbal", 2).alias("amount"), F.lit(None).cast("long").alias("of_order"))
+    o = _t(spark, d, "orders").select((F.col("o_custkey") + F.when(F.col("o_orderstatus") == "O", 0).otherwise(10_000_000)).alias("c_custkey"), F.col("o_orderpriority").alias("said"), F.round("o_totalprice", 2).alias("amount"), F.col("o_orderkey").alias("of_order"))
+    return I.upsert(c, o, "c_custkey", ["of_order"])
+
+
+def _known_to_service(index, keys):
+    """A stand-in for a search service: it knows most of each year's orders, all of some years', and is down for one year."""
+    if index == 1995:
+        raise OSError("no such index")
+    return {k for k in keys if index % 2 or k % 400}
+
+
+def probe_coverage(spark, d):
+    found = services.probed(_years(spark, d), _known_to_service, "o_orderkey", "year", attempts=2, delay=0.0)
+    return services.probed_coverage(found, by="year").withColumn("ratio", F.round("ratio", 6))
+
+
+_DAMAGE = ("'{\"id\": \"' || doc_id || '\", \"chunks\": [1, 2]}'", "'{\"id\": \"' || doc_id", "'[]'", "'{\"id\": \"\", \"chunks\": [1]}'", "'[{\"id\": \"' || doc_id || '\", \"chunks\": []}, {\"id\": \"x' || doc_id || '\", \"chunks\": [3]}]'", "cast(null as string)")
+
+
+def read_rejects(spark, d):
+    """Files of six kinds, one for each document: how many records are good, and why others aren't."""
+    content = F.expr(f"case doc_id % {len(_DAMAGE)} " + " ".join(f"when {i} then {x}" for i, x in enumerate(_DAMAGE)) + " end")
+    read = _t(spark, d, "documents").select(F.col("source").alias("path"), content.alias("content"), F.when(content.isNull(), "OSError: gone").alias("error"))
+    rows = checked.checked(read, StructType.fromDDL("id string, chunks array<int>"), "id", "chunks")
+    return rows.groupBy("path", F.coalesce("reason", F.lit("good")).alias("reason")).agg(F.count("*").alias("n"), F.sum(F.length("record.id")).alias("id_chars"))
 
 
 def stats_rollup(spark, d):
@@ -511,7 +536,15 @@ ORACLE = {
     "coalesce_fields": "with l as (select doc_id, min(quality) as quality from labels group by 1) select d.doc_id, coalesce(nullif(case when d.doc_id % 2 = 0 then '' else source end, ''), nullif(quality::varchar, ''), lang) as date, coalesce(nullif(case when d.doc_id % 3 = 0 then '' else lang end, ''), source) as court from documents d left join l on l.doc_id = d.doc_id",
     "nested_parent_docs": "with c as (select distinct conv_id, turn, role, length(text) n from conversations) select conv_id, min_by(role, turn) as first_role, string_agg(role || ':' || n, ',' order by turn) as chunks from c group by 1",
     "json_sanitize": "select vec_id, round(case when vec_id % 7 = 0 or vec_id % 11 = 0 then 0.0 else embedding[1]::double end, 6) as x from embeddings",
-    "upsert_index": "select c_custkey, case when c_custkey % 10 = 0 then 'new ' || c_name else c_name end as c_name, round(c_acctbal, 2) as bal from customer union all select c_custkey + 10000000, 'new ' || c_name, round(c_acctbal, 2) from customer where c_custkey % 10 = 0",
+    "upsert_index": """with n as (select o_custkey + case when o_orderstatus = 'O' then 0 else 10000000 end as k, max(o_orderkey) as of_order from orders group by 1)
+        select c_custkey, c_name as said, round(c_acctbal, 2) as amount, null::bigint as of_order from customer where c_custkey not in (select k from n)
+        union all select k, o_orderpriority, round(o_totalprice, 2), of_order from n join orders on o_orderkey = of_order""",
+    "probe_coverage": """with y as (select year(o_orderdate)::bigint as year, o_orderkey as k from orders),
+        c as (select year, count(*) as total, case when year <> 1995 then count(*) filter (where year % 2 = 1 or k % 400 <> 0) end as found from y group by 1)
+        select year, total, found, round(found / total, 6) as ratio, found / total >= 0.99 as uploaded from c""",
+    "read_rejects": """with k as (select source as path, unnest(case doc_id % 6 when 0 then ['good'] when 1 then ['damaged'] when 2 then ['empty'] when 3 then ['no id'] when 4 then ['no chunks', 'good'] else ['unreadable'] end) as reason,
+            doc_id % 6 as kind, length(doc_id::varchar) as n from documents)
+        select path, reason, count(*) as n, sum(case when reason = 'good' then n + (kind = 4)::int end)::bigint as id_chars from k group by 1, 2""",
     "stats_rollup": "select event_type, count(*) as total, count(*) filter (where value > 5) as ok, round(count(*) filter (where value > 5) * 100.0::double / count(*), 4) as rate from events group by 1",
     "role_weight_map": "select conv_id, turn, (case role when 'user' then 3.0 when 'assistant' then 0.4 when 'system' then 2.5 else 1.0 end)::double as weight from conversations",
     "label_encode": "select (row_number() over (order by lang) - 1)::bigint as code, lang from (select distinct lang from documents where lang is not null)",
@@ -572,7 +605,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         count_per_year, year_filter_limit, bool_coerce, int_coerce, coalesce_fields, nested_parent_docs, json_sanitize, upsert_index, stats_rollup, role_weight_map, label_encode,
         search_documents, lang_detect, role_classifier, stream_dedup_counts, marker_filter, search_index_documents, language_model, ocr_normalise, act_pdf_match, act_documents,
         act_index_records, state_names, translation_gate, jurisdictions, iso_timestamps, similarity_range, role_accuracy, training_rows, json_nested, html_details, html_lists,
-        path_exclusions, valid_reads, role_chunks, top_chunks, index_documents,
+        path_exclusions, valid_reads, probe_coverage, read_rejects, role_chunks, top_chunks, index_documents,
     )
     length = "length(text) div 200"
     return {f.__name__: f for f in named} | {"weighted_topk": _weighted(WEIGHTS, length), "weighted_topk_zero_sim": _weighted(SOME_ZERO, "0")}

@@ -1,13 +1,14 @@
-"""Files as tables: listings, JSON records, JSON lines, PDF headers, progress logs, partitions, inventories, paged services."""
+"""Files as tables: listings, JSON records, JSON lines, PDF headers, progress logs, partitions, inventories."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from lexloom.sources.paths import exists
+
 
 def listing(spark: SparkSession, path: str | list[str], suffix: str = "", recursive: bool = True) -> DataFrame:
     """(path, length, name) of files whose name ends in suffix; contents aren't read."""
@@ -51,7 +52,7 @@ def one_by_one(records: DataFrame) -> Iterator[Row]:
 
 
 def valid_chunk_files(files: DataFrame, chunks: str = "chunks") -> DataFrame:
-    """Files that hold a list of chunks with anything in it. Reads that fail are tried again by Spark's own tasks."""
+    """Files that hold a list of chunks with anything in it (sources.checked says why others don't)."""
     return files.where(F.size(chunks) > 0)
 
 
@@ -75,11 +76,6 @@ def progress(spark: SparkSession, *paths: str) -> DataFrame:
     return lines.select(F.explode(ids).alias("id")).distinct()
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def valid_pdfs(spark: SparkSession, path: str, least: int = 1024) -> DataFrame:
     """(path, length) of files of more than `least` bytes that begin as PDF."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
@@ -155,45 +151,6 @@ def inventory_names(spark: SparkSession, path: str, *where: Column) -> DataFrame
     return table.select(F.explode("files").alias("name")).distinct()
 
 
-class _Pages(DataSourceReader):
-    def __init__(self, fetch_page: Callable[[int, int], list[tuple]], size: int, total: int) -> None:
-        self.fetch_page, self.size, self.total = fetch_page, size, total
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(at) for at in range(0, self.total, self.size)] or [InputPartition(0)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        yield from (tuple(r) for r in self.fetch_page(partition.value, self.size))
-
-
-def paged(spark: SparkSession, schema: str, fetch_page: Callable[[int, int], list[tuple]], total: int, size: int = 1000) -> DataFrame:
-    """The rows of a service that gives them by offset: fetch_page(offset, size), a task for each page of a known total."""
-
-    class Paged(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return "lexloom_paged"
-
-        def schema(self) -> str:
-            return schema
-
-        def reader(self, schema: StructType) -> DataSourceReader:
-            return _Pages(fetch_page, size, total)
-
-    spark.dataSource.register(Paged)
-    return spark.read.format("lexloom_paged").load()
-
-
-def pages_until_short(fetch_page: Callable[[int, int], list[tuple]], size: int = 1000) -> Iterator[list[tuple]]:
-    """Pages of a service of unknown size, one after the other, until one is not full."""
-    at = 0
-    while page := fetch_page(at, size):
-        yield page
-        if len(page) < size:
-            return
-        at += size
-
-
 def export_files(files: DataFrame, target: str) -> int:
     """Copy files (path) to a local folder under their names alone; of equal names the last by path stays. The number of paths.
     For a driver's own disk: files come one at a time."""

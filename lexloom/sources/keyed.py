@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from lexloom.operators.incremental import last_of_each, upsert
-from lexloom.sources.files import exists, folders
-from lexloom.sources.paths import delete, make_folder, read_text, write_text
+from lexloom.sources.files import folders
+from lexloom.sources.paths import delete, exists, make_folder, read_text, write_text
 
 #: Folders of a new table. A touched folder is rewritten as a whole, so that large tables need more of them.
 BUCKETS = 64

@@ -4,9 +4,20 @@ from __future__ import annotations
 
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
+def place(path: str) -> tuple[fs.FileSystem, str]:
+    """For tasks, which have no JVM: the file system of a path or an address, and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, p = file_system(spark, path)
+    return hadoop.exists(p)
+
+
 def file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -14,15 +25,15 @@ def file_system(spark: SparkSession, path: str):
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, as a whole: written beside its place, and renamed to it when what stood there is gone."""
-    fs, p = file_system(spark, path)
+    hadoop, p = file_system(spark, path)
     _, part = file_system(spark, f"{path}.{uuid.uuid4().hex}.part")
-    out = fs.create(part, True)
+    out = hadoop.create(part, True)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.delete(p, False)
-    fs.rename(part, p)
+    hadoop.delete(p, False)
+    hadoop.rename(part, p)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -30,15 +41,15 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def make_folder(spark: SparkSession, path: str) -> bool:
-    fs, p = file_system(spark, path)
-    return fs.mkdirs(p)
+    hadoop, p = file_system(spark, path)
+    return hadoop.mkdirs(p)
 
 
 def delete(spark: SparkSession, path: str) -> bool:
-    fs, p = file_system(spark, path)
-    return fs.delete(p, True)
+    hadoop, p = file_system(spark, path)
+    return hadoop.delete(p, True)
 
 
 def files_in(spark: SparkSession, path: str) -> list[str]:
-    fs, p = file_system(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(p)]
+    hadoop, p = file_system(spark, path)
+    return [s.getPath().getName() for s in hadoop.listStatus(p)]

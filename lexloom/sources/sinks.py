@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import json
-import time
-from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from lexloom.functions.values import safe_rows
 from lexloom.sources import keyed
-from lexloom.sources.files import exists, progress
-from lexloom.sources.paths import delete, file_system, files_in, make_folder, read_text, write_text  # noqa: F401 - part of this module's interface
+from lexloom.sources.files import progress
+from lexloom.sources.paths import delete, exists, file_system, files_in, make_folder, read_text, write_text  # noqa: F401 - part of this module's interface
 
 #: Versions of a table that are kept beside the newest, for readers that still use them.
 OLD_VERSIONS = 1
@@ -143,54 +141,6 @@ def upsert_table(new: DataFrame, path: str, key: str, order: list[str] | None =
     return keyed.upsert_rows(new, path, key, order, buckets)
 
 
-def bulk(rows: DataFrame, put: Callable[[list[Row]], Iterable[object]], key: str, batch: int = 500, attempts: int = 3, delay: float = 2.0) -> DataFrame:
-    """(ok, failed, failed_keys): rows sent to a service in batches by the tasks. put gets a batch and gives the keys that failed; these are
-    sent again, after delay, 2 * delay, ... seconds. An exception fails the whole batch. What still fails is listed.
-
-    put must be idempotent, as a task that is run again sends its rows again. Lazy: an action runs it.
-    """
-
-    def send(frames):
-        import pandas as pd
-
-        ok, lost = 0, []
-        pending: list[Row] = []
-
-        def flush(some: list[Row]) -> None:
-            nonlocal ok
-            left = some
-            for attempt in range(attempts):
-                if attempt:
-                    time.sleep(delay * 2 ** (attempt - 1))
-                try:
-                    failed = set(put(left))
-                except Exception:  # noqa: BLE001 - whatever a client raises, the batch is tried again
-                    failed = {r[key] for r in left}
-                ok += sum(r[key] not in failed for r in left)
-                left = [r for r in left if r[key] in failed]
-                if not left:
-                    return
-            lost.extend(str(r[key]) for r in left)
-
-        for frame in frames:
-            for r in frame.to_dict("records"):
-                pending.append(Row(**r))
-                if len(pending) >= batch:
-                    flush(pending)
-                    pending = []
-        if pending:
-            flush(pending)
-        yield pd.DataFrame({"ok": [ok], "failed": [len(lost)], "failed_keys": [lost]})
-
-    return rows.mapInPandas(send, "ok long, failed long, failed_keys array<string>").agg(F.sum("ok").alias("ok"), F.sum("failed").alias("failed"), F.flatten(F.collect_list("failed_keys")).alias("failed_keys"))
-
-
-def upload_statistics(result: DataFrame) -> DataFrame:
-    """(total, uploaded, failed, success_rate) of bulk()."""
-    total = F.coalesce("ok", F.lit(0)) + F.coalesce("failed", F.lit(0))
-    return result.select(total.alias("total"), F.coalesce("ok", F.lit(0)).alias("uploaded"), F.coalesce("failed", F.lit(0)).alias("failed"), F.when(total > 0, F.col("ok") * 100.0 / total).otherwise(0.0).alias("success_rate"))
-
-
 # Column types of an index's field types.
 _TYPES: dict[str, DataType] = {"keyword": StringType(), "text": StringType(), "boolean": BooleanType(), "integer": IntegerType(), "long": LongType(), "float": FloatType(), "double": DoubleType(), "date": StringType(), "dense_vector": ArrayType(FloatType())}
 

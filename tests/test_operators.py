@@ -255,32 +255,6 @@ def test_progress_round_trip_and_seeding(spark, tmp_path):
     assert files.inventory_names(spark, inventory, F.col("year") == 2021).first().name == "r_all_chunks.json" and files.inventory_names(spark, str(tmp_path / "no")).count() == 0
 
 
-def test_bulk_tries_the_failed_again(spark):
-    def put(rows):
-        import os
-
-        failed = []
-        for r in rows:
-            if r.k % 10 == 3:
-                failed.append(r.k)
-            elif r.k % 10 == 5:
-                mark = f"/tmp/lexloom-bulk-{os.getppid()}-{r.run}-{r.k}"
-                if not os.path.exists(mark):
-                    open(mark, "w").close()
-                    failed.append(r.k)
-                else:
-                    os.remove(mark)
-        return failed
-
-    run = random.randrange(10**9)
-    rows = spark.range(100).selectExpr("cast(id as int) as k", f"{run} as run").coalesce(2)
-    result = sinks.bulk(rows, put, "k", batch=7, delay=0.01).collect()[0]
-    assert (result.ok, result.failed) == (90, 10) and sorted(map(int, result.failed_keys)) == list(range(3, 100, 10))
-    again = spark.createDataFrame([result], "ok long, failed long, failed_keys array<string>")
-    assert tuple(sinks.upload_statistics(again).first()) == (100, 90, 10, 90.0)
-    assert tuple(sinks.upload_statistics(sinks.bulk(rows.where("false"), put, "k")).first()) == (0, 0, 0, 0.0)
-
-
 def test_indexes(spark, tmp_path):
     mapping = {"settings": {"number_of_shards": 4}, "mappings": {"properties": {"doc_id": {"type": "keyword"}, "pdf_exists": {"type": "boolean"}, "n": {"type": "integer"}, "chunks": {"type": "nested", "properties": {"text": {"type": "text"}, "embedding": {"type": "dense_vector", "dims": 3}}}}}}
     path = str(tmp_path / "index")
@@ -317,12 +291,6 @@ def test_bundles_and_files(spark, tmp_path):
     assert files.export_files(files.listing(spark, raw, ".json"), str(tmp_path / "flat")) == 5 and sorted(p.name for p in (tmp_path / "flat").glob("?.json")) == list(map("{}.json".format, "abcde"))
 
 
-def test_paged_service(spark):
-    data = [(i, f"t{i}") for i in range(25)]
-    assert sorted(map(tuple, files.paged(spark, "id long, term string", lambda at, n: data[at : at + n], 25, 10).collect())) == data
-    assert [len(p) for p in files.pages_until_short(lambda at, n: data[at : at + n], 10)] == [10, 10, 5]
-
-
 def test_pdf_texts(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"%PDF-good" + b"x" * 2000)
     (tmp_path / "b.pdf").write_bytes(b"%PDF-scan" + b"x" * 2000)

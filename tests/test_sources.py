@@ -6,10 +6,12 @@ import random
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
+from pyspark.sql.types import StructType
 
 from lexloom.operators import incremental as I
-from lexloom.sources import keyed, sinks
+from lexloom.sources import bulk, checked, keyed, services, sinks
+from lexloom.streaming import tail
 
 
 def rows_of(spark, path):
@@ -90,3 +92,174 @@ def test_upsert_into_a_replaced_table(spark, tmp_path):
     assert rows_of(spark, path) == [(2, "c")]
     sinks.upsert_table(spark.createDataFrame([(3, "d")], "k int, v string"), path, "k")
     assert rows_of(spark, path) == [(2, "c"), (3, "d")]
+
+
+# --- growing files
+
+
+def run_tail(spark, src, out, checkpoint, **how):
+    q = tail.growing_records(spark, str(src), "k int, v string").writeStream.format("json").option("checkpointLocation", str(checkpoint)).trigger(availableNow=True).start(str(out))
+    q.awaitTermination()
+    return sorted((r.k, r.v) for r in spark.read.schema("k int, v string").json(str(out)).collect())
+
+
+def test_lines_that_are_appended_arrive_once(spark, tmp_path):
+    src, out, checkpoint = (tmp_path / x for x in ("src", "out", "cp"))
+    src.mkdir()
+    f = src / "a.jsonl"
+    f.write_text('{"k": 1, "v": "é"}\n\n{"k": 2}\nnot json\n{"k": 3, "v": "ha')
+    assert run_tail(spark, src, out, checkpoint) == [(1, "é"), (2, None)]
+    with f.open("a") as g:
+        g.write('lf"}\n{"k": 4}\n')
+    (src / "b.jsonl").write_text('{"k": 5}\r\n')
+    (src / "c.txt").write_text('{"k": 6}\n')
+    # Another query with the same checkpoint: a restart.
+    assert run_tail(spark, src, out, checkpoint) == [(1, "é"), (2, None), (3, "half"), (4, None), (5, None)]
+    assert len(run_tail(spark, src, out, checkpoint)) == 5
+    (src / "b.jsonl").write_text("")
+    with f.open("a") as g:
+        g.write('{"k": 7}\n')
+    assert len(run_tail(spark, src, out, checkpoint)) == 6
+
+
+def test_a_running_tail(spark, tmp_path):
+    """Rows that are appended between batches of one running query."""
+    f = tmp_path / "a.jsonl"
+    f.write_text('{"k": 0}\n')
+    q = tail.growing_records(spark, str(f), "k int").writeStream.format("memory").queryName("tail_test").trigger(processingTime="200 milliseconds").start()
+    try:
+        for k in range(1, 4):
+            with f.open("a") as g:
+                g.write(f'{{"k": {k}}}\n{{"half')
+            q.processAllAvailable()
+            with f.open("a") as g:
+                g.write('": 1}\n')
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.k for r in spark.table("tail_test").where("k is not null").collect()) == [0, 1, 2, 3]
+
+
+def test_ranges_of_lines(tmp_path):
+    rnd = random.Random(1)
+    data = "\n".join("x" * rnd.randint(0, 9) for _ in range(200)).encode() + b"\nrest"
+    f = tmp_path / "f"
+    f.write_bytes(data)
+    with f.open("rb") as g:
+        end = tail.whole_lines_end(g, len(data))
+        assert end == len(data) - 4
+        want = list(tail.lines(g, 0, end))
+        for step in (1, 3, 7, 50):
+            assert [x for at in range(0, end, step) for x in tail.lines(g, at, min(at + step, end))] == want
+    assert [line for _, line in want] == data[:end].split(b"\n")[:-1]
+
+
+# --- services
+
+
+def test_bulk_sends_the_failed_again(spark, tmp_path):
+    marks, failed = tmp_path / "marks", str(tmp_path / "failed")
+    marks.mkdir()
+
+    def put(rows, token):
+        out = {}
+        for r in rows:
+            mark = marks / str(r.k)
+            if r.k % 10 == 3:
+                out[r.k] = "never"
+            elif r.k % 10 == 5 and not mark.exists():
+                mark.write_text(token)
+                out[r.k] = "once"
+        if any(r.k == 77 for r in rows):
+            raise OSError("down")
+        return out
+
+    rows = spark.range(100).selectExpr("cast(id as int) as k").coalesce(2)
+    got = bulk.bulk(rows, put, "k", failed, batch=7, attempts=2, delay=0.01)
+    lost = {r.key: r.error for r in bulk.failed_rows(spark, failed).collect()}
+    assert (got.total, got.failed) == (100, len(lost)) and {int(k) for k in lost} >= set(range(3, 100, 10)) and lost["3"] == "never" and lost["77"].startswith("OSError")
+    assert got.success_rate == 100.0 - len(lost)
+    assert tuple(bulk.bulk(rows.where("false"), put, "k", failed)) == (0, 0, 0, 0.0) and bulk.failed_rows(spark, failed).count() == len(lost)
+    assert bulk.failed_rows(spark, str(tmp_path / "none")).count() == 0 and not list((tmp_path / "failed").glob("_staging*"))
+
+
+def test_bulk_that_dies_adds_nothing(spark, tmp_path):
+    failed = str(tmp_path / "failed")
+    rows = spark.range(10).selectExpr("if(id = 9, raise_error('gone'), id) as k").coalesce(1)
+    with pytest.raises(Exception, match="gone"):
+        bulk.bulk(rows, lambda rows, token: [r.k for r in rows], "k", failed, batch=2, attempts=1)
+    assert bulk.failed_rows(spark, failed).count() == 0 and not list((tmp_path / "failed").iterdir())
+
+
+def test_bulk_of_very_many_failures(spark, tmp_path):
+    """Failed keys are written by the tasks: the driver gets counts."""
+    failed = str(tmp_path / "failed")
+    got = bulk.bulk(spark.range(0, 200_000, 1, 8), lambda rows, token: [r.id for r in rows], "id", failed, batch=5000, attempts=1)
+    assert got.failed == 200_000 == bulk.failed_rows(spark, failed).select("key").distinct().count() and len(list((tmp_path / "failed").glob("part-*"))) == 8
+
+
+def test_probed(spark):
+    def lookup(index, keys):
+        assert len(keys) <= 50
+        if index == "down":
+            raise OSError(index)
+        return {k for k in keys if k % 100 or index == "whole"}
+
+    items = spark.range(1000).selectExpr("id as k", "element_at(array('most', 'down', 'whole'), cast(id % 3 as int) + 1) as i").unionByName(spark.createDataFrame([(None, "whole")], "k long, i string"))
+    got = {r.i: tuple(r)[1:] for r in services.probed_coverage(services.probed(items, lookup, "k", "i", 50, 2, 0.01), by="i").collect()}
+    assert got["down"] == (333, None, None, None) and got["most"] == (334, 330, 330 / 334, False) and got["whole"] == (334, 333, 333 / 334, True)
+
+
+def test_paged(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def service(n, fail=()):
+        def page(at, size):
+            (calls / f"{at}-{time.time_ns()}").touch()
+            if at in fail and len(list(calls.glob(f"{at}-*"))) < 2:
+                raise OSError("busy")
+            return [(i, f"t{i}") for i in range(at, min(at + size, n))]
+
+        return page
+
+    for n in (0, 1, 9, 10, 11, 20, 1234):
+        assert services.length_of(lambda at, size, n=n: [None] * max(0, min(size, n - at)), first=10) == n
+        assert sorted(map(tuple, services.paged(spark, "id long, term string", service(n), size=10).collect())) == [(i, f"t{i}") for i in range(n)]
+    for f in calls.iterdir():
+        f.unlink()
+    assert services.paged(spark, "id long, term string", service(100, fail=(30,)), 100, 10, delay=0.01).count() == 100
+    seen = []
+    services.length_of(lambda at, size: seen.append(at) or at < 10**6, first=10)
+    assert len(seen) < 45
+
+
+def test_checked_files(spark, tmp_path):
+    bad = {"a": '{"id": "1", "chunks": [1]}', "b": '[{"id": "2", "chunks": [1]}, {"id": "", "chunks": [1]}, {"id": "4", "chunks": []}]', "c": "", "d": " [] ", "e": '{"id": ', "f": '{"chunks": [2]}', "g": "[3]", "h": '{"id": "8", "chunks": "x"}', "i": "null"}
+    for name, text in bad.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "er" / "k.json").write_text('{"id": "11", "chunks": [5]}')
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "l.json").write_text("x")
+    (tmp_path / "j.json").write_bytes(b'{"id": "\xff"}')
+    tries = tmp_path / "tries"
+    tries.mkdir()
+
+    def read(path):
+        name = os.path.basename(path)
+        (tries / f"{name}-{time.time_ns()}").touch()
+        if name == "a.json" and len(list(tries.glob("a.json*"))) < 3:
+            raise OSError("later")
+        if name == "f.json":
+            raise OSError("never")
+        return checked.read_file(path)
+
+    schema = StructType.fromDDL("id string, chunks array<int>")
+    seen = Observation()
+    rows = checked.counted(checked.read_json(spark, str(tmp_path), schema, "id", "chunks", read=read, delay=0.01), seen).persist()
+    got = sorted(((os.path.basename(r.path)[0], r.reason) for r in rows.collect()), key=str)
+    assert got == [("a", None), ("b", "no chunks"), ("b", "no id"), ("b", None), ("c", "empty"), ("d", "empty"), ("e", "damaged"), ("f", "unreadable"), ("g", "damaged"), ("h", "damaged"), ("i", "empty"), ("j", "unreadable"), ("k", None)]
+    assert sorted(r.id for r in checked.good(rows).collect()) == ["1", "11", "2"] and checked.rejects(rows).count() == 10
+    assert seen.get == {"good": 3, "unreadable": 2, "empty": 3, "damaged": 3, "no_id": 1, "no_chunks": 1}
+    assert len(list(tries.glob("f.json*"))) == 3
