@@ -236,7 +236,7 @@ def test_stream_harvest_and_idle_stop(spark, tmp_path):
     q.awaitTermination()
     assert seen == [(2, 1, 1)]
     running = E.counts(E.arriving(spark, str(src), "k int"), "k").writeStream.outputMode("complete").format("memory").queryName("idle_test").start()
-    E.stop_when_idle(running, seconds=3, poll=1)
+    E.stop_when_idle(running, seconds=3)
     assert not running.isActive and spark.table("idle_test").count() == 4
 
 
