@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 # Weights of roles for each use of an index.
 EVEN = dict.fromkeys(("Arguments", "Precedents", "Facts", "Issues", "Reasoning", "Decision", "Statute", "Preamble", "Others"), 1.0)
 PRECEDENTS = {"Decision": 3.0, "Precedents": 3.0, "Issues": 2.0, "Reasoning": 2.0, "Arguments": 1.0, "Facts": 0.5, "Statute": 0.5, "Preamble": 0.3, "Others": 0.2}
-WEIGHTS = {"even": EVEN, "precedents": PRECEDENTS}
+RETRIEVAL = {"Decision": 3.0, "Precedents": 3.0, "Issues": 2.5, "Preamble": 2.5, "Facts": 2.5, "Statute": 1.5, "Reasoning": 0.4, "Arguments": 0.3, "Others": 0.2}
+WEIGHTS = {"even": EVEN, "precedents": PRECEDENTS, "retrieval": RETRIEVAL}
 
 
 @dataclass

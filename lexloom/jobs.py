@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
-import time
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,24 +28,29 @@ def index_documents(chunks: DataFrame, top_k: int, weights: dict[str, float], em
     return R.parents(best, "doc_id", "chunk_id", fields, [c for c in acts.JUDGMENT_FIELDS if c in best.columns and c != "doc_id"])
 
 
-def index_year(spark: SparkSession, source: str, index: str, log: str, year: int, top_k: int = 12, weights: str = "even", resume: bool = True) -> dict:
-    """Index one year's documents that neither the log nor the index has; what was done."""
-    began = time.time()
+def index_year(spark: SparkSession, source: str, index: str, log: str, year: int, top_k: int = 12, weights: str = "retrieval", resume: bool = True) -> dict:
+    """Index one year's documents that neither the log nor the index has; what was done. The chunks are read once: documents are counted
+    as they are written, and which there are is asked of their ids alone."""
+    meter = I.Meter()
     chunks = files.partitioned(spark, source, [year])
-    total = chunks.select("doc_id").distinct().count()
-    if resume:
-        chunks = I.pending(chunks, files.progress(spark, log).select(F.col("id").alias("doc_id")), "doc_id")
-        if sinks.has_table(spark, index):
-            chunks = I.pending(chunks, sinks.read_table(spark, index), "doc_id")
-    docs = index_documents(chunks, top_k, WEIGHTS[weights])
-    n = docs.count()
-    if n:
-        sinks.upsert_table(docs, index, "doc_id")
+    logged = files.progress(spark, log).select(F.col("id").alias("doc_id"))
+    ids = chunks.select("doc_id").distinct().persist()
+    try:
+        left = ids
+        if resume:
+            left = I.pending(left, logged, "doc_id")
+            if sinks.has_table(spark, index):
+                left = I.pending(left, sinks.read_table(spark, index), "doc_id")
+        docs = index_documents(chunks.join(left, "doc_id", "left_semi"), top_k, WEIGHTS[weights])
+        sinks.upsert_table(meter.watch(docs), index, "doc_id")
+        sent = meter.result()
         # All of the year's, so that a run that died before this line is caught up.
-        done = I.present(files.partitioned(spark, source, [year]).select("doc_id").distinct(), sinks.read_table(spark, index), "doc_id")
-        sinks.append_progress(I.pending(done.select(F.col("doc_id").alias("id")), files.progress(spark, log), "id"), log)
-    took = time.time() - began
-    return {"year": year, "total": total, "uploaded": n, "skipped": total - n, "elapsed": took, "throughput_docs_s": n / max(took, 1.0)}
+        done = I.present(ids, sinks.read_table(spark, index), "doc_id")
+        sinks.append_progress(I.pending(done, logged, "doc_id").select(F.col("doc_id").alias("id")), log)
+        total = ids.count()
+    finally:
+        ids.unpersist()
+    return {"year": year, "total": total, "uploaded": sent["docs"], "skipped": total - sent["docs"], "docs_per_sec": sent["docs_per_sec"]}
 
 
 def index_years(spark: SparkSession, source: str, index: str, log: str, years: list[int], reverse: bool = False, recreate: bool = False, **options) -> list[dict]:
@@ -68,10 +73,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", required=True, help="table of chunks, partitioned by year")
     p.add_argument("--index", required=True)
     p.add_argument("--log", required=True, help="ids that are done")
-    p.add_argument("--years", nargs="+", type=int)
-    p.add_argument("--year-range", nargs=2, type=int, metavar=("FROM", "TO"))
+    which = p.add_mutually_exclusive_group()
+    which.add_argument("--years", nargs="+", type=int, help="these years; without any, all that the source has")
+    which.add_argument("--year-range", nargs=2, type=int, metavar=("FROM", "TO"), help="years of the source between these two, in either order")
     p.add_argument("--top-k", type=int, default=12)
-    p.add_argument("--weights", choices=sorted(WEIGHTS), default="even")
+    p.add_argument("--weights", choices=sorted(WEIGHTS), default="retrieval")
     p.add_argument("--no-resume", action="store_true", help="leave nothing out that is done already")
     p.add_argument("--recreate-index", action="store_true", help="delete the index and the log first")
     p.add_argument("--verify-resume", action="store_true", help="only say what the log has and the index hasn't")
@@ -79,11 +85,13 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def years_of(args: argparse.Namespace, default: tuple[int, int] = (2000, 2026)) -> list[int]:
+def chosen_years(spark: SparkSession, args: argparse.Namespace) -> list[int]:
+    """The years that the arguments name; a range, or nothing, is answered by the folders that the source has."""
     if args.years:
-        return args.years
-    a, b = args.year_range or default
-    return list(range(min(a, b), max(a, b) + 1))
+        return sorted(set(args.years))
+    have = sorted(int(f.removeprefix("year=")) for f in files.folders(spark, args.source) if re.fullmatch(r"year=\d+", f))
+    ends = args.year_range or have
+    return [y for y in have if min(ends) <= y <= max(ends)]
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[dict]:
@@ -95,7 +103,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     if args.verify_resume:
         out = [r.asDict() for r in missing(spark, args.source, args.index, args.log).orderBy("year").collect()]
     else:
-        out = index_years(spark, args.source, args.index, args.log, years_of(args), args.reverse, args.recreate_index, top_k=args.top_k, weights=args.weights, resume=not args.no_resume)
+        out = index_years(spark, args.source, args.index, args.log, chosen_years(spark, args), args.reverse, args.recreate_index, top_k=args.top_k, weights=args.weights, resume=not args.no_resume)
     for line in out:
         print(json.dumps(line))
     return out

@@ -79,6 +79,20 @@ def inventory(files: DataFrame, keys: list[str], file: str) -> DataFrame:
     return files.groupBy(*keys).agg(F.sort_array(F.collect_set(file)).alias("files")).withColumn("file_count", F.size("files").cast("long"))
 
 
+def name_digests(files: DataFrame, by: str, file: str) -> DataFrame:
+    """(by, file_count, digest): how many different names each partition has, and the sum of a hash of each, as text. Digests and counts of parts
+    without common names add up to those of the whole; partitions that agree in both have the same names. A row for each name goes to
+    the task of its own hash: no task or row holds a partition."""
+    number = F.conv(F.substring(F.md5(F.col(file).cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+    return files.where(F.col(file).isNotNull()).select(by, file).distinct().groupBy(by).agg(F.count("*").alias("file_count"), F.sum(number).cast("string").alias("digest"))
+
+
+def changed_partitions(old: DataFrame, new: DataFrame, by: str) -> DataFrame:
+    """Partitions of name_digests() that differ, or that only one of the two has."""
+    same = old.join(new, [by, "file_count", "digest"], "left_semi")
+    return old.select(by).unionByName(new.select(by)).distinct().join(same.select(by), by, "left_anti")
+
+
 def merged(*inventories: DataFrame) -> DataFrame:
     """The union of sets."""
     out = inventories[0]

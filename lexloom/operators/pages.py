@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.functions.text import act_year, normalise_ocr
+from lexloom.operators.tables import table_values
 
 # Character references that short HTML fragments hold.
 REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
@@ -18,9 +19,9 @@ def plain(html: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"\s+", " "))
 
 
-def title(html: Column) -> Column:
-    """The title by id, else from a table row, else the first heading; null if there is none."""
-    found = (F.regexp_extract(html, r'(?is)id="short_title"[^>]*>(.*?)<', 1), table_value(html, "short title"), F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
+def title(html: Column, in_table: Column | None = None) -> Column:
+    """The title by id, else from a table row (in_table, if that is known), else the first heading; null if there is none."""
+    found = (F.regexp_extract(html, r'(?is)id="short_title"[^>]*>(.*?)<', 1), table_value(html, "short title") if in_table is None else in_table, F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
     return F.coalesce(*(F.nullif(F.trim(F.regexp_replace(f, "<[^>]*>", "")), F.lit("")) for f in found))
 
 
@@ -54,7 +55,8 @@ def list_pages(pages: DataFrame, base: str, html: str = "html", offset: str = "o
 
 
 def table_value(html: Column, label: str) -> Column:
-    """The second cell of the first row whose first holds the label, in any case."""
+    """The second cell of the first row whose first holds the label, in any case, by a pattern: for one label of flat tables
+    (tables.table_values reads nested ones, and several labels in one pass)."""
     quoted = "\\Q" + label.replace("\\E", "\\E\\\\E\\Q") + "\\E"
     return F.trim(F.regexp_extract(html, rf"(?is)<tr[^>]*>\s*<t[dh][^>]*>(?:(?!</t[dh]>).)*?{quoted}(?:(?!</t[dh]>).)*</t[dh]>\s*<t[dh][^>]*>(.*?)</t[dh]>", 1))
 
@@ -91,9 +93,10 @@ def detail_records(pages: DataFrame, base: str, html: str = "html", url: str = "
     link is the first to an English document.
     """
     h = F.col(html)
-    value = lambda label: plain(table_value(h, label))
-    pdf = F.try_element_at(F.filter(links(h), english_pdf), F.lit(1))
-    d = pages.select(title(h).alias("act_name"), handle(F.col(url)).alias("handle_id"), value("act number").alias("act_number"), value("act year").alias("_y1"), value("enacted year").alias("_y2"), value("year").alias("_y3"), absolute(pdf, base).alias("_pdf"), F.col(url).alias("source_url")).where("act_name is not null")
+    labels = {"title": "short title", "number": "act number", "y1": "act year", "y2": "enacted year", "y3": "year"}
+    read = pages.select(h.alias("_h"), F.col(url).alias("source_url"), table_values(h, labels).alias("_v"))
+    h, pdf, value = F.col("_h"), F.try_element_at(F.filter(links(F.col("_h")), english_pdf), F.lit(1)), lambda name: plain(F.col(f"_v.{name}"))
+    d = read.select(title(h, F.col("_v.title")).alias("act_name"), handle(F.col("source_url")).alias("handle_id"), value("number").alias("act_number"), value("y1").alias("_y1"), value("y2").alias("_y2"), value("y3").alias("_y3"), absolute(pdf, base).alias("_pdf"), "source_url").where("act_name is not null")
     year = act_year(F.col("_y1"), F.col("_y2"), F.col("_y3"), number=F.col("act_number"), title=F.col("act_name"))
     return d.select("act_name", "handle_id", "act_number", year.alias("year"), F.coalesce("_pdf", F.lit("")).alias("pdf_url"), F.col("_pdf").isNotNull().alias("pdf_exists"), "source_url")
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
-from lexloom.functions.vectors import cosine
+from lexloom.functions.vectors import argmax, cosine, softmax
 
 
 def nearest_centroid(rows: DataFrame, centroids: dict[str, list[float]], vector: str = "v", role: str = "role") -> DataFrame:
@@ -27,12 +32,14 @@ def train(rows: DataFrame, features: int = 1 << 14) -> PipelineModel:
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """With predicted_role and confidence."""
+    """With predicted_role, its confidence, and the probabilities of all roles."""
     for stage in model.stages[1:]:
         rows = stage.transform(rows)
     named = IndexToString(inputCol="prediction", outputCol="predicted_role", labels=model.stages[0].labels).transform(rows)
-    top = F.array_max(_to_array("probability"))
-    return named.withColumn("confidence", F.round(top, 4)).drop("_words", "_tf", "rawPrediction", "probability", "prediction")
+    each = _to_array("probability")
+    top = F.array_max(each)
+    names = F.array(*(F.lit(x) for x in model.stages[0].labels))
+    return named.withColumn("probabilities", F.map_from_arrays(names, F.transform(each, lambda p: F.round(p, 6)))).withColumn("confidence", F.round(top, 4)).drop("_words", "_tf", "rawPrediction", "probability", "prediction")
 
 
 def _to_array(column: str):
@@ -41,6 +48,25 @@ def _to_array(column: str):
     return vector_to_array(column)
 
 
+def classified(rows: DataFrame, make_model: Callable[[], Callable[[list[str]], np.ndarray]], names: list[str], text: str = "text", limit: int = 512, batch: int = 32) -> DataFrame:
+    """rows with predicted_role, confidence and probabilities by a model from outside.
+
+    make_model() is called once in each Python worker and gives a function from a list of texts to a matrix of scores, a column for each
+    name; scores become probabilities by softmax. Texts are cut to `limit` words (of anything but white space), and come sorted by
+    their length within a task, so that those of a batch are alike. A null text is empty. Equal scores give the first name.
+    """
+    cut = F.regexp_extract(F.coalesce(F.col(text), F.lit("")), rf"^(?:\s*\S+){{0,{limit}}}", 0)
+
+    def make() -> Callable[[np.ndarray], np.ndarray]:
+        model = make_model()
+        return lambda texts: np.asarray(model([str(t) for t in texts.ravel()]), dtype=np.float64)
+
+    score = predict_batch_udf(make, return_type=ArrayType(DoubleType()), batch_size=batch)
+    scored = rows.withColumn("_cut", cut).sortWithinPartitions(F.length("_cut")).withColumn("_p", score("_cut")).withColumn("_p", softmax(F.col("_p")))
+    all_ = F.array(*(F.lit(n) for n in names))
+    return scored.withColumns({"predicted_role": F.element_at(all_, argmax("_p") + 1), "confidence": F.round(F.array_max("_p"), 4), "probabilities": F.map_from_arrays(all_, F.transform("_p", lambda p: F.round(p, 6)))}).drop("_cut", "_p")
+
+
 def distribution(rows: DataFrame, role: str = "role") -> DataFrame:
     return rows.groupBy(role).agg(F.count("*").alias("n"))
 
@@ -60,7 +86,7 @@ def accuracy(rows: DataFrame, truth: str = "role", predicted: str = "predicted_r
 def classify_chunks(model: PipelineModel, chunks: DataFrame, name: str = "role_prediction") -> DataFrame:
     """chunks with a struct of their role and its confidence."""
     out = predict(model, chunks)
-    return out.withColumn(name, F.struct(F.col("predicted_role").alias("role"), "confidence")).drop("predicted_role", "confidence")
+    return out.withColumn(name, F.struct(F.col("predicted_role").alias("role"), "confidence")).drop("predicted_role", "confidence", "probabilities")
 
 
 def training_rows(chunks: DataFrame, text: str = "text", role: str = "role", names: list[str] | None = None) -> DataFrame:

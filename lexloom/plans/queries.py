@@ -322,6 +322,27 @@ def probe_coverage(spark, d):
 _DAMAGE = ("'{\"id\": \"' || doc_id || '\", \"chunks\": [1, 2]}'", "'{\"id\": \"' || doc_id", "'[]'", "'{\"id\": \"\", \"chunks\": [1]}'", "'[{\"id\": \"' || doc_id || '\", \"chunks\": []}, {\"id\": \"x' || doc_id || '\", \"chunks\": [3]}]'", "cast(null as string)")
 
 
+def inventory_digests(spark, d):
+    """What the years of two inventories say of their names, and which years differ."""
+    o = I.name_digests(_t(spark, d, "orders").select(F.year("o_orderdate").cast("long").alias("year"), F.concat("o_orderkey", F.lit(".json")).alias("name")), "year", "name")
+    line = _t(spark, d, "lineitem").select("l_orderkey").distinct().withColumnRenamed("l_orderkey", "o_orderkey").join(_years(spark, d), "o_orderkey")
+    n = I.name_digests(line.select("year", F.concat("o_orderkey", F.lit(".json")).alias("name")), "year", "name")
+    changed = I.changed_partitions(o, n, "year").withColumn("changed", F.lit(True))
+    return o.join(changed, "year", "left").withColumn("changed", F.coalesce("changed", F.lit(False)))
+
+
+def _word_scores():
+    """A stand-in for a classifier: its scores are counts in the text."""
+    return lambda texts: [[t.count(" ") / 4.0, t.count("e") / 8.0, 1.0] for t in texts]
+
+
+def role_probabilities(spark, d):
+    c = _t(spark, d, "conversations").select("conv_id", "turn", "text")
+    got = roles.classified(c, _word_scores, ["words", "letters", "none"])
+    each = [F.round(F.col("probabilities")[n], 5).alias(f"p_{n}") for n in ("words", "letters", "none")]
+    return got.select("conv_id", "turn", "predicted_role", *each)
+
+
 def read_rejects(spark, d):
     """Files of six kinds, one for each document: how many records are good, and why others aren't."""
     content = F.expr(f"case doc_id % {len(_DAMAGE)} " + " ".join(f"when {i} then {x}" for i, x in enumerate(_DAMAGE)) + " end")
@@ -542,6 +563,13 @@ ORACLE = {
     "probe_coverage": """with y as (select year(o_orderdate)::bigint as year, o_orderkey as k from orders),
         c as (select year, count(*) as total, case when year <> 1995 then count(*) filter (where year % 2 = 1 or k % 400 <> 0) end as found from y group by 1)
         select year, total, found, round(found / total, 6) as ratio, found / total >= 0.99 as uploaded from c""",
+    "inventory_digests": """with n as (select year(o_orderdate)::bigint as year, o_orderkey, exists (select 1 from lineitem where l_orderkey = o_orderkey) as also, ('0x' || substr(md5(o_orderkey || '.json'), 1, 15))::bigint as h from (select distinct o_orderdate, o_orderkey from orders))
+        select year, count(*) as file_count, sum(h)::varchar as digest, count(*) filter (where not also) > 0 as changed from n group by 1""",
+    "role_probabilities": r"""with c as (select conv_id, turn, regexp_extract(coalesce(text, ''), '^(?:\s*\S+){0,512}') as t from conversations),
+        l as (select conv_id, turn, (length(t) - length(replace(t, ' ', ''))) / 4.0::double as a, (length(t) - length(replace(t, 'e', ''))) / 8.0::double as b, 1.0::double as c from c),
+        e as (select *, exp(a - greatest(a, b, c)) as x, exp(b - greatest(a, b, c)) as y, exp(c - greatest(a, b, c)) as z from l)
+        select conv_id, turn, case when a >= b and a >= c then 'words' when b >= c then 'letters' else 'none' end as predicted_role,
+            round(round(x / (x + y + z), 6), 5) as p_words, round(round(y / (x + y + z), 6), 5) as p_letters, round(round(z / (x + y + z), 6), 5) as p_none from e""",
     "read_rejects": """with k as (select source as path, unnest(case doc_id % 6 when 0 then ['good'] when 1 then ['damaged'] when 2 then ['empty'] when 3 then ['no id'] when 4 then ['no chunks', 'good'] else ['unreadable'] end) as reason,
             doc_id % 6 as kind, length(doc_id::varchar) as n from documents)
         select path, reason, count(*) as n, sum(case when reason = 'good' then n + (kind = 4)::int end)::bigint as id_chars from k group by 1, 2""",
@@ -605,7 +633,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         count_per_year, year_filter_limit, bool_coerce, int_coerce, coalesce_fields, nested_parent_docs, json_sanitize, upsert_index, stats_rollup, role_weight_map, label_encode,
         search_documents, lang_detect, role_classifier, stream_dedup_counts, marker_filter, search_index_documents, language_model, ocr_normalise, act_pdf_match, act_documents,
         act_index_records, state_names, translation_gate, jurisdictions, iso_timestamps, similarity_range, role_accuracy, training_rows, json_nested, html_details, html_lists,
-        path_exclusions, valid_reads, probe_coverage, read_rejects, role_chunks, top_chunks, index_documents,
+        path_exclusions, valid_reads, probe_coverage, read_rejects, inventory_digests, role_probabilities, role_chunks, top_chunks, index_documents,
     )
     length = "length(text) div 200"
     return {f.__name__: f for f in named} | {"weighted_topk": _weighted(WEIGHTS, length), "weighted_topk_zero_sim": _weighted(SOME_ZERO, "0")}

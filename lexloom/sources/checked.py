@@ -9,7 +9,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from lexloom.sources.files import folders
+from lexloom.sources.files import file_bytes, folders
 from lexloom.sources.paths import place
 from lexloom.sources.services import retried
 
@@ -35,13 +35,7 @@ def file_paths(spark: SparkSession, path: str, suffix: str = ".json") -> DataFra
     return spark.createDataFrame(tops, "top string, deep boolean").repartition(len(tops)).mapInArrow(each, "path string")
 
 
-def read_file(path: str) -> bytes:
-    where, at = place(path)
-    with where.open_input_file(at) as f:
-        return f.read()
-
-
-def contents(files: DataFrame, read: Callable[[str], bytes] = read_file, attempts: int = 3, delay: float = 2.0) -> DataFrame:
+def contents(files: DataFrame, read: Callable[[str], bytes] = file_bytes, attempts: int = 3, delay: float = 2.0) -> DataFrame:
     """(path, content, error) of files (path): read by the tasks, one file at a time, again after delay, 2 * delay, ... seconds. What can't be
     read has its error, what isn't UTF-8 too."""
 

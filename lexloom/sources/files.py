@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lexloom.sources.paths import exists
+from lexloom.sources.paths import exists, place
 
 
 def listing(spark: SparkSession, path: str | list[str], suffix: str = "", recursive: bool = True) -> DataFrame:
@@ -82,39 +83,103 @@ def valid_pdfs(spark: SparkSession, path: str, least: int = 1024) -> DataFrame:
     return files.where((F.col("length") > least) & F.expr("startswith(content, X'255044462D')")).select("path", "length")
 
 
+#: Pages of one file that a task reads at a time.
+PAGES = 8
+
+
+def _valid_pdf_paths(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.where((F.col("length") > 1024) & F.expr("startswith(content, X'255044462D')")).select("path")
+
+
 def pdf_texts(spark: SparkSession, path: str, pages: Callable[[bytes], list[str]], recognise: Callable[[bytes], list[str]] | None = None) -> DataFrame:
     """(path, text, page_count, ocr_applied) of the valid PDF files under a path.
 
     pages: a plug-in that gives the text of each page; texts that don't pass the gate of operators.pages.good_pages go to recognise, if
-    there is one, whose result must have 500 characters. A file that neither can read has a null text. One file at a time is in memory.
+    there is one, whose result must have 500 characters. A file that neither can read has a null text. Tasks read their files themselves,
+    so that one file at a time is in a task's memory.
     """
     from lexloom.functions.text import clean_ocr
     from lexloom.operators.pages import good_pages
 
-    def reader(plug_in: Callable[[bytes], list[str]]):
-        @F.udf("array<string>")
-        def read(content: bytes) -> list[str] | None:
-            try:
-                return plug_in(bytes(content))
-            except Exception:  # noqa: BLE001 - whatever a plug-in raises, the file counts as unreadable
-                return None
+    def read(paths: DataFrame, plug_in: Callable[[bytes], list[str]], name: str) -> DataFrame:
+        def each(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for frame in frames:
+                for one in frame.column("path").to_pylist():
+                    try:
+                        found = list(plug_in(file_bytes(one)))
+                    except Exception:  # noqa: BLE001 - whatever a plug-in raises, the file counts as unreadable
+                        found = None
+                    yield pa.RecordBatch.from_arrays([pa.array([one]), pa.array([found], pa.list_(pa.string()))], names=["path", name])
 
-        return read
+        return paths.mapInArrow(each, f"path string, {name} array<string>")
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    files = files.where((F.col("length") > 1024) & F.expr("startswith(content, X'255044462D')"))
-    out = files.withColumn("_pages", reader(pages)("content"))
+    out = read(_valid_pdf_paths(spark, path), pages, "_pages")
     joined = lambda c: F.array_join(F.transform(c, clean_ocr), "\n\n")
     good = F.coalesce(good_pages(F.col("_pages")), F.lit(False))
-    own = F.when(good, joined("_pages"))
-    count = F.coalesce(F.size("_pages"), F.lit(0))
+    own, count = F.when(good, joined("_pages")), F.coalesce(F.size("_pages"), F.lit(0))
     if recognise is None:
         return out.select("path", own.alias("text"), F.greatest(count, F.lit(0)).alias("page_count"), F.lit(False).alias("ocr_applied"))
-    out = out.withColumn("_ocr", F.when(~good, reader(recognise)("content")))
+    out = out.join(read(out.where(~good).select("path"), recognise, "_ocr"), "path", "left")
     seen = F.when(F.length(joined("_ocr")) >= 500, joined("_ocr"))
     return out.select("path", F.coalesce(own, seen).alias("text"), F.greatest(count, F.coalesce(F.size("_ocr"), F.lit(0)), F.lit(0)).alias("page_count"), (own.isNull() & seen.isNotNull()).alias("ocr_applied"))
 
 
+def file_bytes(path: str) -> bytes:
+    """A whole file, for tasks."""
+    where, at = place(path)
+    with where.open_input_file(at) as f:
+        return f.read()
+
+
+def pdf_page_texts(spark: SparkSession, path: str, count: Callable[[bytes], int], recognise: Callable[[bytes, int], str]) -> DataFrame:
+    """(path, page, text) of each page, from 0, of the valid PDF files under a path: for recognition, which takes seconds a page.
+
+    count gives a file's pages, recognise the text of one. Pages are rows of their own and dealt to all tasks PAGES at a time, so that a file of a
+    thousand pages uses all cores; each task opens the file for its pages. A page that fails has a null text; a file whose pages
+    can't be counted has one row without a page.
+    """
+
+    def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for one in frame.column("path").to_pylist():
+                try:
+                    n = int(count(file_bytes(one)))
+                except Exception:  # noqa: BLE001 - whatever a plug-in raises
+                    n = None
+                yield pa.RecordBatch.from_arrays([pa.array([one]), pa.array([n], pa.int32())], names=["path", "n"])
+
+    def read(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for one, first, n in zip(*(frame.column(c).to_pylist() for c in ("path", "first", "n")), strict=True):
+                content, places, texts = None, list(range(first, min(first + PAGES, n))), []
+                for i in places:
+                    try:
+                        content = file_bytes(one) if content is None else content
+                        texts.append(recognise(content, i))
+                    except Exception:  # noqa: BLE001 - whatever a plug-in raises, the page counts as unreadable
+                        texts.append(None)
+                yield pa.RecordBatch.from_arrays([pa.array([one] * len(places)), pa.array(places, pa.int32()), pa.array(texts, pa.string())], names=["path", "page", "text"])
+
+    files = _valid_pdf_paths(spark, path).mapInArrow(counted, "path string, n int")
+    parts = files.where("n > 0").select("path", "n", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {PAGES}").cast("int"))).alias("part"))
+    cores = spark.sparkContext.defaultParallelism
+    dealt = parts.select("path", "n", (F.col("part") * PAGES).alias("first")).repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    none = files.where("n is null").select("path", F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("text"))
+    return dealt.mapInArrow(read, "path string, page int, text string").unionByName(none)
+
+
+def assembled(page_texts: DataFrame, least: int = 500) -> DataFrame:
+    """(path, text, page_count) of pdf_page_texts(): cleaned pages in their order, parted by empty lines; null if there are fewer than `least`
+    characters. A group is one file's pages."""
+    from lexloom.functions.text import clean_ocr
+
+    ordered = F.sort_array(F.collect_list(F.when(F.col("page").isNotNull(), F.struct("page", F.coalesce("text", F.lit("")).alias("text")))))
+    text = F.array_join(F.filter(F.transform("_pages", lambda p: clean_ocr(p["text"])), lambda t: t != ""), "\n\n")
+    out = page_texts.groupBy("path").agg(ordered.alias("_pages"))
+    return out.select("path", F.when(F.length(text) >= least, text).alias("text"), F.size("_pages").alias("page_count"))
+
+
 def partitioned(spark: SparkSession, path: str, years: list[int] | None = None, low: int = 1900, high: int = 2100) -> DataFrame:
     """A table partitioned by year, pruned to a list or a range of years (ends in either order)."""
     table = spark.read.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from lexloom.functions.values import safe_rows
+from lexloom.operators.incremental import name_digests
 from lexloom.sources import keyed
 from lexloom.sources.files import progress
 from lexloom.sources.paths import delete, exists, file_system, files_in, make_folder, read_text, write_text  # noqa: F401 - part of this module's interface
@@ -203,9 +204,18 @@ def purge(spark: SparkSession, indexes: list[str], folders: list[str]) -> dict[s
 
 
 def manifest(files: DataFrame, by: str, key: str) -> DataFrame:
+    """(by, keys): the sorted different keys of each partition, for partitions that fit in a row; write_inventory() is for larger ones."""
     return files.groupBy(by).agg(F.sort_array(F.collect_set(key)).alias("keys"))
 
 
+def write_inventory(files: DataFrame, path: str, by: str, name: str) -> None:
+    """The different names of each partition as sorted rows, parted by range over the tasks, and beside them counts and digests of the partitions
+    (`names` and `digests` under the path)."""
+    names = files.where(F.col(name).isNotNull()).select(by, name).distinct().repartitionByRange(by, name).sortWithinPartitions(by, name)
+    names.write.mode("overwrite").partitionBy(by).parquet(f"{path}/names")
+    name_digests(files.sparkSession.read.parquet(f"{path}/names"), by, name).write.mode("overwrite").parquet(f"{path}/digests")
+
+
 def index_statistics(df: DataFrame) -> DataFrame:
     """Documents, bytes of their JSON, and KB a document."""
     size = F.sum(F.length(F.to_json(F.struct(*df.columns))))

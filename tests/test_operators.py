@@ -400,7 +400,9 @@ def test_index_job(spark, tmp_path, capsys):
     source, index, log = (str(tmp_path / x) for x in ("source", "index", "log"))
     spark.createDataFrame(rows, "doc_id string, year int, chunk_id int, role string, text string, doc_similarity double").write.partitionBy("year").parquet(source)
     args = ["--source", source, "--index", index, "--log", log, "--top-k", "3"]
-    first = jobs.main([*args, "--year-range", "2021", "2020", "--reverse"], spark)
+    with pytest.raises(SystemExit):
+        jobs.main([*args, "--years", "2020", "--year-range", "2020", "2021"], spark)
+    first = jobs.main([*args, "--year-range", "2031", "2020", "--reverse"], spark)
     assert [(x["year"], x["uploaded"], x["skipped"]) for x in first] == [(2021, 3, 0), (2020, 3, 0)]
     assert [x["uploaded"] for x in jobs.main([*args, "--years", "2020"], spark)] == [0]
     withv = jobs.index_documents(spark.read.parquet(source), 2, {"user": 1.0}, embed="hashed").first()

@@ -10,7 +10,9 @@ from pyspark.sql import Observation, functions as F
 from pyspark.sql.types import StructType
 
 from lexloom.operators import incremental as I
-from lexloom.sources import bulk, checked, keyed, services, sinks
+from lexloom.operators import roles
+from lexloom.operators.tables import first_cells, table_values
+from lexloom.sources import bulk, checked, files, keyed, services, sinks
 from lexloom.streaming import tail
 
 
@@ -253,7 +255,7 @@ def test_checked_files(spark, tmp_path):
             raise OSError("later")
         if name == "f.json":
             raise OSError("never")
-        return checked.read_file(path)
+        return files.file_bytes(path)
 
     schema = StructType.fromDDL("id string, chunks array<int>")
     seen = Observation()
@@ -263,3 +265,98 @@ def test_checked_files(spark, tmp_path):
     assert sorted(r.id for r in checked.good(rows).collect()) == ["1", "11", "2"] and checked.rejects(rows).count() == 10
     assert seen.get == {"good": 3, "unreadable": 2, "empty": 3, "damaged": 3, "no_id": 1, "no_chunks": 1}
     assert len(list(tries.glob("f.json*"))) == 3
+
+
+# --- pages, tables, inventories, models from outside
+
+
+def test_pages_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
+    """Each page carries the task that read it; order and failures are kept."""
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-" + b"x" * 2000)
+    (tmp_path / "b.pdf").write_bytes(b"%PDF-bad" + b"x" * 2000)
+    (tmp_path / "c.pdf").write_bytes(b"no pdf" * 1000)
+
+    def recognise(content, i):
+        from pyspark import TaskContext
+
+        if i == 7:
+            raise ValueError(i)
+        return f"page {i} in task {TaskContext.get().partitionId()}."
+
+    rows = files.pdf_page_texts(spark, str(tmp_path), lambda c: 1 / 0 if c.startswith(b"%PDF-bad") else 1000, recognise).persist()
+    a = [r for r in rows.collect() if r.path.endswith("a.pdf")]
+    assert sorted(r.page for r in a) == list(range(1000)) and [r.page for r in a if r.text is None] == [7]
+    assert len({r.text.split()[-1] for r in a if r.text}) == max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    got = {r.path[-5:]: r for r in files.assembled(rows).collect()}
+    assert set(got) == {"a.pdf", "b.pdf"} and got["b.pdf"].text is None and (got["a.pdf"].page_count, got["b.pdf"].page_count) == (1000, 0)
+    assert [int(t.split()[1]) for t in got["a.pdf"].text.split("\n\n")] == [i for i in range(1000) if i != 7]
+
+
+def test_cells_of_tables(spark):
+    row = lambda *c: "<tr>" + "".join(f"<td>{x}</td>" for x in c) + "</tr>"
+    assert first_cells("<table>" + row("a", "1", "x") + row("b", "2") + row("c") + "</table>") == [("a", "1"), ("b", "2")]
+    # Unclosed cells, rows and tables; head cells; tags in capitals; cells without a row.
+    assert first_cells("<TABLE><TR><TH id=x>a<TD>1<TR><td>b</td> <td>2 <table><tr><td>c<td>3") == [("a", "1"), ("b", "2 <table><tr><td>c<td>3"), ("c", "3")]
+    assert first_cells("<td>a</td><td>1</td>") == [("a", "1")] and first_cells("") == [] and first_cells("<table></table></table><tr><td>") == []
+    # An inner table is no part of the label, but of the value.
+    inner = "<table>" + row("number", "7") + "</table>"
+    assert first_cells("<table>" + row(f"x{inner}y", "menu") + row("z", inner) + "</table>") == [("xy", "menu"), ("number", "7"), ("z", inner), ("number", "7")]
+    pages = spark.createDataFrame([("<table>" + row(f"lay{inner}out", "wrong") + row("Act Year:", " 1950 ") + row("year", "1951") + "</table>",), (None,), ("<b>" * 1000,)], "h string")
+    got = [tuple(r.v) for r in pages.select(table_values(F.col("h"), {"n": "Number", "y": "year", "none": "(.*"}).alias("v")).collect()]
+    assert got == [("7", "1950", ""), ("", "", ""), ("", "", "")]
+    began = time.time()
+    first_cells("<td>" * 300_000 + "<table>" * 1000)
+    assert time.time() - began < 20
+
+
+def test_inventories_by_digest(spark, tmp_path):
+    rows = [(y, f"n{i}") for y in (2020, 2021, 2022) for i in range(50)]
+    old = spark.createDataFrame([*rows, (2020, "n1"), (2020, None)], "year int, name string")
+    new = spark.createDataFrame([(y, n) for y, n in rows if (y, n) != (2021, "n7")] + [(2023, "x")], "year int, name string")
+    for name, df in (("old", old), ("new", new)):
+        sinks.write_inventory(df, str(tmp_path / name), "year", "name")
+    a, b = (spark.read.parquet(str(tmp_path / n / "digests")) for n in ("old", "new"))
+    assert sorted(r.year for r in I.changed_partitions(a, b, "year").collect()) == [2021, 2023]
+    names = spark.read.parquet(str(tmp_path / "old" / "names"))
+    assert names.count() == 150 and names.where("year = 2021").count() == 50
+    one, two = (I.name_digests(old.where(f"name {c} 'n3'"), "year", "name").where("year = 2020").first() for c in ("<", ">="))
+    both = a.where("year = 2020").first()
+    assert int(one.digest) + int(two.digest) == int(both.digest) and one.file_count + two.file_count == both.file_count
+
+
+def test_model_from_outside(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def make():
+        def model(texts):
+            (log / f"{time.time_ns()}").write_text(",".join(str(len(t)) for t in texts))
+            return [[len(t.split()), t.count("a"), 2.0] for t in texts]
+
+        return model
+
+    rows = spark.createDataFrame([(i, "a b " * (i % 40)) for i in range(300)] + [(300, None), (301, "x " * 1000)], "i int, text string")
+    got = {r.i: r for r in roles.classified(rows, make, ["x", "y", "z"], limit=10, batch=16).collect()}
+    import numpy as np
+
+    for i, r in got.items():
+        words = 0 if i == 300 else 10 if i == 301 else min(10, 2 * (i % 40))
+        logits = np.array([words, 0 if i >= 300 else words / 2, 2.0])
+        p = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        assert r.predicted_role == "xyz"[int(np.argmax(p))] and r.confidence == round(p.max(), 4) and np.allclose([r.probabilities[k] for k in "xyz"], p, atol=1e-6)
+    assert len(got) == 302
+    for f in log.iterdir():
+        sizes = list(map(int, f.read_text().split(",")))
+        assert len(sizes) <= 16 and sizes == sorted(sizes)
+
+
+def test_manifest_lines_and_statistics(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None)], "year int, name string")
+    assert {r.year: r["keys"] for r in sinks.manifest(rows, "year", "name").collect()} == {1: ["a", "b"], 2: []}
+    path = str(tmp_path / "lines")
+    sinks.append_lines(rows, path)
+    sinks.append_lines(rows.where("year = 2"), path)
+    assert sorted(((r.year, r.name) for r in spark.read.schema(rows.schema).json(path).collect()), key=str) == sorted([(1, "b"), (1, "a"), (1, "b"), (2, None), (2, None)], key=str)
+    said = sinks.index_statistics(spark.createDataFrame([("x" * 2000,), ("y" * 2000,)], "t string")).first()
+    assert (said.docs, said.kb_per_doc) == (2, round(said.bytes / 2 / 1024, 2)) and said.bytes == 2 * len('{"t":"' + "x" * 2000 + '"}')
+    assert tuple(sinks.index_statistics(rows.where("false")).first())[0] == 0
