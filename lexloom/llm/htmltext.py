@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -17,10 +18,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 ASIDE = frozenset("nav footer aside form header menu dialog".split())
 PROSE = frozenset("h1 h2 h3 p blockquote pre".split())
-#: Words of class, id and role: names of parts that are hardly ever an article's, names that are also used inside one, and names of the article.
-_STRONG = re.compile(r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer\w*|masthead|comments?|commentlist|replies|disqus|cookies?|consent|gdpr|newsletter|subscribe\w*|signup|login|share|sharing|related|recommend\w*|popup|modal|widget\w*|pagination|pager|complementary|contentinfo|outbrain|taboola)(?:$|[\s_-])")
-_WEAK = re.compile(r"(?:^|[\s_-])(?:header|reply|respond|notice\w*|alert|social|toolbar|copyright|legal|disclaimer|search|skip|tags?|privacy|byline|meta)(?:$|[\s_-])")
+LISTED = frozenset("li dt dd td th".split())
+# Parts of the names in class, id and role. Names of parts beside the article, of what readers add, names that are also used
+# inside it, names that say nothing by themselves, and names of the article.
+_STRONG = re.compile(r"ads?|adv|advert\w*|banners?|sponsor\w*|promo(?:s|ted|tion|tions)?|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer\w*|masthead|cookies?|consent|gdpr|newsletters?|subscribe|subscription|signup|login|share|sharing|related|recommend(?:ed|ations?)?|popup|modal|widgets?|pagination|pager|complementary|contentinfo|outbrain|taboola")
+_READERS = re.compile(r"comments?|commentlist|commentary|responses?|replies|reactions?|discussion|disqus|respond|feedback")
+_WEAK = re.compile(r"header|reply|notices?|alerts?|social|toolbar|copyright|legal|disclaimer|search|skip|tags?|privacy|byline|meta")
+_NEUTRAL = re.compile(r"|site|page|global|primary|secondary|main|top|bottom|left|right|center|box|blocks?|container|wrap(?:per)?|area|section|list|items?|links?|bar|inner|outer|buttons?|icons?|posts?|articles?|entry|entries|contents?|form|unit|slot|panel|group|row|col(?:umn)?s?|title|heading|text|body|wp|js|fixed|sticky|mobile|desktop|small|large|user|readers?|thread|\d+")
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article\w*|main\w*|content|post|entry|body|story|text)(?:$|[\s_-])")
+_PART = re.compile(r"[_-]+")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"[^\s/>=][^\s/>=]*")
 _GAP = re.compile(r"[\s/]*")
@@ -30,8 +36,13 @@ _SPACE = re.compile(r"[\s\x00]+")
 
 #: Open elements that are told apart; deeper ones belong to the last of them.
 DEPTH = 400
-#: The classifier: log-odds of content, in whole numbers, by feature of a block. None of them settles a block alone.
+#: Shares of a page's prose: of its article for FAR, and of an element whose class words then say nothing, as it is no part beside the text;
+#: and the words of prose from which on a page has such shares.
+MOST, WHOLE, PROSE_WORDS = 0.5, 0.8, 30
+#: The classifier: log-odds of content, in whole numbers, by feature of a block.
 ARTICLE, OUTSIDE, GOOD, HEADING = 16, -24, 14, 8
+#: Instead of OUTSIDE where the article that a page marks holds most of its prose: then prose elsewhere needs more than its length.
+FAR = -40
 ELEMENT, STRONG, WEAK, HIDDEN = -64, -64, -12, -64
 WORDS, MARK, LINKED, FEW = 20, 6, -30, -6
 #: What it costs to part two blocks: NEAR for neighbours in page order and TREE for the next block of the same parent, divided
@@ -39,6 +50,25 @@ WORDS, MARK, LINKED, FEW = 20, 6, -30, -6
 NEAR, TREE = 48, 24
 
 
+@lru_cache(maxsize=4096)
+def class_words(words: str) -> tuple[int, bool]:
+    """(evidence, whether it is of what a page's author puts beside a text) of class, id and role. A name is strong if each of its parts is
+    known and one is strong; one with other parts is only weak: `related-posts` is a part beside the article, `related-work` may be its own."""
+    found, loose = set(), False
+    for name in words.split():
+        parts = _PART.split(name)
+        readers, strong = any(map(_READERS.fullmatch, parts)), any(map(_STRONG.fullmatch, parts))
+        if readers or strong:
+            known = all(_READERS.fullmatch(p) or _STRONG.fullmatch(p) or _WEAK.fullmatch(p) or _NEUTRAL.fullmatch(p) for p in parts)
+            found.add("strong" if known else "weak")
+            loose |= not readers
+        elif any(map(_WEAK.fullmatch, parts)):
+            found.add("weak")
+            loose = True
+    good = "strong" not in found and _GOOD.search(words)
+    return GOOD * bool(good) + STRONG * ("strong" in found) + WEAK * ("weak" in found), loose and not any(_READERS.fullmatch(p) for n in words.split() for p in _PART.split(n))
+
+
 class Block:
     """text; linked: characters of links; name of its element; path: numbers of its ancestors from the root; evidence: what its ancestors say."""
 
@@ -94,7 +124,7 @@ class Scanner:
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in its order, white space made one space, with what their ancestors say about them.
 
-    An element's class words say nothing if it holds an article, main or body element.
+    An element's class words say nothing if it holds an article, main or body element, or nearly all of the page's prose.
     """
     scan = Scanner(page)
     out: list[Block] = []
@@ -102,6 +132,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = [("", 0, False, False, (0,))]
     opened: Counter[str] = Counter()
     said: dict[int, int] = {}  # evidence by number of the element
+    loose: set[int] = set()  # elements against which only their class words speak
     parts: list[tuple[str, bool]] = []
     number = at = 0
     end = len(page)
@@ -196,31 +227,52 @@ def blocks(page: str) -> list[Block]:
                 article = True
         else:
             if words:
-                evidence += STRONG * bool(_STRONG.search(words)) + WEAK * bool(_WEAK.search(words)) + GOOD * bool(_GOOD.search(words))
+                evidence, beside = class_words(words)
+                if beside:
+                    loose.add(number)
             if name in ASIDE and not (name == "header" and article):
                 evidence += ELEMENT
+                loose.discard(number)
             if "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").lower().replace(" ", ""):
                 evidence += HIDDEN
+                loose.discard(number)
         if evidence:
             said[number] = evidence
         stack.append((name, number, link or name == "a", article, (*path, number)))
         opened[name] += 1
     close()
+    loose &= said.keys()
+    if loose and (total := sum(map(prose, out))) >= PROSE_WORDS:
+        held: Counter[int] = Counter()
+        for b in out:
+            if words := prose(b):
+                held.update({n: words for n in b.path if n in loose})
+        for n, words in held.items():
+            if words >= WHOLE * total:
+                del said[n]
     for b in out:
         all_ = [said[n] for n in b.path if n in said]
         b.evidence = min(0, *all_) + max(0, *all_) if all_ else 0
     return out
 
 
+def prose(b: Block) -> int:
+    """Words of a block that is no heap of links and no label."""
+    words = b.text.count(" ") + 1
+    return words if words >= 4 and 2 * b.linked < len(b.text) else 0
+
+
 def scores(own: list[Block]) -> list[int]:
     """Log-odds of content of each block from its features; those of an article's blocks only count where a page marks one."""
     marked = any(b.article for b in own)
+    inside, every = (sum(prose(b) for b in own if b.evidence > ELEMENT and b.article >= least) for least in (True, False))
+    outside = FAR if every >= PROSE_WORDS and inside >= MOST * every else OUTSIDE
     out = []
     for b in own:
         words = b.text.count(" ") + 1
-        s = b.evidence + min(2 * WORDS, words) // 2 + FEW * (words < 4) + MARK * (b.text[-1] in ".!?…:;\"»”") + HEADING * (b.name in PROSE)
+        s = b.evidence + min(2 * WORDS, words) // 2 + FEW * (words < 4 and (b.name not in LISTED or b.linked > 0)) + MARK * (b.text[-1] in ".!?…:;\"»”") + HEADING * (b.name in PROSE)
         s += int(LINKED * min(1.0, b.linked / len(b.text)))
-        out.append(s + (ARTICLE if b.article else OUTSIDE) * marked)
+        out.append(s + (ARTICLE if b.article else outside) * marked)
     return out
 
 
