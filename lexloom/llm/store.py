@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _own: list[str] = []
@@ -56,6 +57,7 @@ def keep(df: DataFrame, name: str, *, lasting: bool = False) -> DataFrame:
     if _made and not lasting:
         _made[-1].append(path)
     df.write.parquet(path)
+    pa.default_memory_pool().release_unused()  # what the driver has gathered before, and needs no more
     return spark.read.schema(df.schema).parquet(path)
 
 
