@@ -20,7 +20,7 @@ BASE = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by
 LICENSES = (
     ("mit", "mit", "mit", r"(?:the )?mit(?: |-)licen[sc]e|mit/x11", r"opensource\.org/licenses/mit"),
     ("mit-0", "mit-0", "attribution", r"mit no attribution", r"opensource\.org/licenses/mit-0"),
-    ("apache-2", "apache-2.0", "apache", r"apache(?: software)?(?: licen[sc]e)?,? ?(?:version |v)?2(?:\.0)?(?: licen[sc]e)?", r"apache\.org/licenses/license-2\.0"),
+    ("apache-2", "apache-2.0", "apache", r"apache(?: software)?(?: |-)licen[sc]e,? ?(?:version |v)?2(?:\.0)?(?!\.?\d)|apache(?: |-)(?:version |v)?2(?:\.0)? licen[sc]e", r"apache\.org/licenses/license-2\.0"),
     ("apache-1.1", "apache-1.1", "apache", r"apache(?: software)? licen[sc]e,? (?:version |v)?1\.1", r"apache\.org/licenses/license-1\.1"),
     ("gpl-1.0", "gpl-1.0-only", "general", r"(?<!lesser\s)(?<!affero\s)(?<!library\s)general public licen[sc]e,? (?:version |v)1", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1"),
     ("gpl-2.0", "gpl-2.0-only", "general", r"(?<!lesser\s)(?<!affero\s)(?<!library\s)general public licen[sc]e,? (?:as published by the free software foundation[;,] ?(?:either )?)?(?:version |v)2", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2"),
@@ -109,6 +109,8 @@ LICENSES = (
     ("zpl-2.1", "zpl-2.1", "zope", r"zope public licen[sc]e", r"opensource\.org/licenses/zpl-2\.1"),
     ("cc0-1.0", "cc0-1.0", "cc0", r"cc0(?: 1\.0)?(?: universal)?", r"creativecommons\.org/publicdomain/zero/1\.0"),
 )
+#: What names a licence in a notice of licence only: elsewhere it may be a program of that version.
+SHORT = {"apache-2": r"apache(?: software)?,?(?: |-)?(?:version |v)?2(?:\.0)?(?!\.?\d)"}
 _PARTS = {"by": "attribution", "nc": "non-?commercial", "nd": "no-?deriv(?:ative)?s?", "sa": "share-?alike"}
 #: Creative Commons: every licence of every version.
 CREATIVE = tuple(
@@ -147,7 +149,8 @@ def rules() -> list[Rule]:
     out: dict[tuple, Rule] = {}
     for kind, shape, priority, score in KINDS:
         for label, spdx, keyword, name, url in (*LICENSES, *CREATIVE):
-            text = shape.format(id=re.escape(spdx), url=url, name=name).replace("[- ]", "(?:-| )").replace("[ -]", "(?: |-)").replace(" ", r"[\s*#/]+")
+            known = f"{name}|{SHORT[label]}" if kind == "notice" and label in SHORT else name
+            text = shape.format(id=re.escape(spdx), url=url, name=known).replace("[- ]", "(?:-| )").replace("[ -]", "(?: |-)").replace(" ", r"[\s*#/]+")
             word = {"spdx": "spdx-license", "url": literal(url)}.get(kind, keyword)
             out.setdefault((label, kind, text), Rule(label, kind, priority, score, word, re.compile(text)))
     return list(out.values())
