@@ -51,16 +51,17 @@ _LANG = rf"""with w as (select doc_id, string_split_regex(lower(text[:{language.
 
 _WORDS_SQL = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}_]+')"
 _BUCKET = "(('0x' || substr(md5(w), 1, 8))::bigint % 64)"
-_CHUNKS = f"""with recursive d as (select doc_id, {_CLEAN} as c from documents where text is not null),
+def _chunks_sql(threshold: float, least: int, most: int) -> str:
+    return f"""with recursive d as (select doc_id, {_CLEAN} as c from documents where text is not null),
     s as (select doc_id, generate_subscripts(s, 1) as i, unnest(s) as s from (select doc_id, {_SENTENCES} as s from d)),
     v as (select doc_id, i, b, count(*) as n from (select doc_id, i, {_BUCKET} as b from (select doc_id, i, unnest({_WORDS_SQL.format("s")}) as w from s)) group by 1, 2, 3),
     q as (select doc_id, i, sqrt(sum(n * n)) as norm from v group by 1, 2),
     m as (select a.doc_id, b.i, sum(a.n * b.n) as p from v a join v b on a.doc_id = b.doc_id and a.i + 1 = b.i and a.b = b.b group by 1, 2),
     x as (select s.doc_id, s.i, coalesce(p / (e.norm * f.norm), 0) as x from s left join m on m.doc_id = s.doc_id and m.i = s.i left join q e on e.doc_id = s.doc_id and e.i = s.i left join q f on f.doc_id = s.doc_id and f.i = s.i - 1 where s.i > 1),
     f as (select doc_id, i, 1::bigint as g, 1::bigint as cur from s where i = 1
-        union all select f.doc_id, x.i, case when (x < 0.47 or cur >= 10) and cur >= 2 then g + 1 else g end, case when (x < 0.47 or cur >= 10) and cur >= 2 then 1 else cur + 1 end from f join x on x.doc_id = f.doc_id and x.i = f.i + 1),
+        union all select f.doc_id, x.i, case when (x < {threshold} or cur >= {most}) and cur >= {least} then g + 1 else g end, case when (x < {threshold} or cur >= {most}) and cur >= {least} then 1 else cur + 1 end from f join x on x.doc_id = f.doc_id and x.i = f.i + 1),
     l as (select doc_id, max(g) as last, max_by(cur, i) as cur from f group by 1),
-    g as (select f.doc_id, f.i, case when f.g = last and last > 1 and l.cur < 2 then last - 1 else f.g end as g from f join l using (doc_id)),
+    g as (select f.doc_id, f.i, case when f.g = last and last > 1 and l.cur < {least} then last - 1 else f.g end as g from f join l using (doc_id)),
     o as (select doc_id, i, sum(length(s) + 1) over (partition by doc_id order by i) - length(s) - 1 as pos from s),
     c as (select g.doc_id, g.g, string_agg(s, ' ' order by g.i) as t, count(*) as n, min(pos) as pos, avg(case when g.i > h.first then x.x end) as near
         from g join s on s.doc_id = g.doc_id and s.i = g.i join o on o.doc_id = g.doc_id and o.i = g.i join (select doc_id, g, min(i) as first from g group by 1, 2) h on h.doc_id = g.doc_id and h.g = g.g left join x on x.doc_id = g.doc_id and x.i = g.i group by 1, 2),
@@ -339,7 +340,7 @@ def _word_scores():
 def role_probabilities(spark, d):
     c = _t(spark, d, "conversations").select("conv_id", "turn", "text")
     got = roles.classified(c, _word_scores, ["words", "letters", "none"])
-    each = [F.round(F.col("probabilities")[n], 5).alias(f"p_{n}") for n in ("words", "letters", "none")]
+    each = [F.col("probabilities")[n].alias(f"p_{n}") for n in ("words", "letters", "none")]
     return got.select("conv_id", "turn", "predicted_role", *each)
 
 
@@ -451,7 +452,8 @@ def json_nested(spark, d):
 
 
 def html_details(spark, d):
-    out = P.detail_records(_t(spark, d, "pages"), "https://base.example/x/y")
+    row = F.expr("if(page_id % 3 = 0, concat('<table><tr><th>Act Number:<td>', page_id % 50, '&nbsp;of ', 1900 + page_id % 100, '</table><a href=\"/act/h/', page_id, '.PDF\">text</a>'), '')")
+    out = P.detail_records(_t(spark, d, "pages").withColumn("html", F.concat("html", row)), "https://base.example/x/y")
     return out.select("act_name", "handle_id", "act_number", F.col("year").cast("long").alias("year"), "pdf_url", "pdf_exists", "source_url")
 
 
@@ -482,7 +484,7 @@ def role_chunks(spark, d):
 
 
 def top_chunks(spark, d):
-    return chunking.best_chunks(_t(spark, d, "documents"), 3).select("doc_id", "chunk_id", "doc_similarity")
+    return chunking.best_chunks(_t(spark, d, "documents"), 3, threshold=0.77).select("doc_id", "chunk_id", "doc_similarity")
 
 
 def index_documents(spark, d):
@@ -569,7 +571,7 @@ ORACLE = {
         l as (select conv_id, turn, (length(t) - length(replace(t, ' ', ''))) / 4.0::double as a, (length(t) - length(replace(t, 'e', ''))) / 8.0::double as b, 1.0::double as c from c),
         e as (select *, exp(a - greatest(a, b, c)) as x, exp(b - greatest(a, b, c)) as y, exp(c - greatest(a, b, c)) as z from l)
         select conv_id, turn, case when a >= b and a >= c then 'words' when b >= c then 'letters' else 'none' end as predicted_role,
-            round(round(x / (x + y + z), 6), 5) as p_words, round(round(y / (x + y + z), 6), 5) as p_letters, round(round(z / (x + y + z), 6), 5) as p_none from e""",
+            round(x / (x + y + z), 6) as p_words, round(y / (x + y + z), 6) as p_letters, round(z / (x + y + z), 6) as p_none from e""",
     "read_rejects": """with k as (select source as path, unnest(case doc_id % 6 when 0 then ['good'] when 1 then ['damaged'] when 2 then ['empty'] when 3 then ['no id'] when 4 then ['no chunks', 'good'] else ['unreadable'] end) as reason,
             doc_id % 6 as kind, length(doc_id::varchar) as n from documents)
         select path, reason, count(*) as n, sum(case when reason = 'good' then n + (kind = 4)::int end)::bigint as id_chars from k group by 1, 2""",
@@ -609,15 +611,16 @@ ORACLE = {
     "role_accuracy": """select count(*) as n, round(avg((coalesce(role = case when length(text) < 300 then 'user' else 'assistant' end, false))::int), 6) as accuracy from conversations where role is not null""",
     "training_rows": """select role, dense_rank() over (order by role) - 1 as label, count(*) as n from conversations where role is not null and text is not null group by role""",
     "json_nested": """select vec_id, round(list_sum(list_transform(embedding::double[], lambda x: case when x > 0.2 or x < -0.2 then 0.0 else x end)), 4) as total, 'é' as text from embeddings""",
-    "html_details": r"""with p as (select url, nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), '') as t from pages)
-        select t as act_name, regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '^/(handle/)?', '') as handle_id, '' as act_number, try_cast(nullif(regexp_extract(t, '\b(1[89][0-9]{2}|20[0-2][0-9])\b', 1), '') as bigint) as year, '' as pdf_url, false as pdf_exists, url as source_url from p where t is not null""",
+    "html_details": r"""with p as (select page_id % 3 = 0 as more, page_id, url, nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), '') as t from pages)
+        select t as act_name, regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '^/(handle/)?', '') as handle_id, case when more then page_id % 50 || ' of ' || (1900 + page_id % 100) else '' end as act_number, case when more then 1900 + page_id % 100 else try_cast(nullif(regexp_extract(t, '\b(1[89][0-9]{2}|20[0-2][0-9])\b', 1), '') as bigint) end as year, case when more then 'https://base.example/act/h/' || page_id || '.PDF' else '' end as pdf_url, more as pdf_exists, url as source_url from p where t is not null""",
     "html_lists": r"""with p as (select page_id as offset_, regexp_extract_all(replace(html, 'href="/', 'href="/handle/1?view_type=browse&offset=7&'), '<a[^>]*href="([^"]*)"', 1) as l from pages),
         u as (select offset_, u, min(i) as i from (select offset_, unnest(l) as u, generate_subscripts(l, 1) as i from p) where contains(u, 'view_type=browse') group by 1, 2),
         o as (select offset_, string_agg('https://base.example' || u, '|' order by i) as links from u group by 1)
         select p.offset_ as "offset", coalesce(links, '') as links, 7 > p.offset_ and links is not null as has_next from p left join o on o.offset_ = p.offset_""",
     "path_exclusions": """select p_partkey, p_partkey || '.json' as path from part where p_size <= 20""",
     "valid_reads": """select conv_id as doc_id, count(*) as n from conversations where role = 'system' and conv_id > 10 group by 1""",
-    "semantic_chunks": _CHUNKS,
+    "semantic_chunks": _chunks_sql(0.47, 2, 10),
+    "top_chunks": f"select doc_id, chunk_id, doc_similarity from (select *, row_number() over (partition by doc_id order by doc_similarity desc, chunk_id) as r from ({_chunks_sql(0.77, 3, 11)})) where r <= 3",
     "index_documents": f"""with s as ({_weighted_sql(WEIGHTS, "length(text)")}), c as (select distinct conv_id, turn, role from conversations),
         o as (select a.conv_id, a.turn, coalesce(string_agg(b.turn::varchar, '/' order by b.turn), '') as others from c a left join c b on a.conv_id = b.conv_id and a.role = b.role and a.turn <> b.turn group by 1, 2)
         select s.conv_id as doc_id, 't' as title, string_agg(s.turn || ':' || s.role || ':' || others, ',' order by s.turn) as chunks from s join o on o.conv_id = s.conv_id and o.turn = s.turn group by 1""",
