@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import re
 from collections.abc import Callable
@@ -13,7 +14,7 @@ from lexloom.config import WEIGHTS
 from lexloom.functions.vectors import encoded
 from lexloom.operators import acts, incremental as I, records as R
 from lexloom.operators.select import same_role_ids, weighted_top_k
-from lexloom.sources import files, sinks
+from lexloom.sources import files, services, sinks
 
 
 def index_documents(chunks: DataFrame, top_k: int, weights: dict[str, float], embed: str | Callable | None = None) -> DataFrame:
@@ -68,11 +69,51 @@ def missing(spark: SparkSession, source: str, index: str, log: str) -> DataFrame
     return lost.join(of, "doc_id", "left").groupBy("year").agg(F.count("*").alias("missing"))
 
 
+def build_inventories(spark: SparkSession, source: str, out: str, years: list[int], suffix: str = "_all_chunks.json", index: str | None = None, least: float = 0.99) -> list[dict]:
+    """The names of the years' files as sorted rows with digests (sinks.write_inventory), and, with an index, how many of their documents it has; a
+    line for each year. Folders are `year=Y` or `Y` under the source. An inventory that is there already says which years have changed."""
+    listed = files.year_files(spark, source, years, suffix).where(~F.col("name").startswith("_")).select("year", "name")
+    old = [r.asDict() for r in spark.read.parquet(f"{out}/digests").collect()] if files.exists(spark, f"{out}/digests") else []  # a row for each year
+    sinks.write_inventory(listed, out, "year", "name")
+    now = {r.year: r.asDict() for r in spark.read.parquet(f"{out}/digests").collect()}
+    known = {r["year"]: (r["file_count"], r["digest"]) for r in old}
+    lines = {y: {"year": y, "files": r["file_count"], "changed": known.get(y) != (r["file_count"], r["digest"])} for y, r in now.items()}
+    if index is not None and sinks.has_table(spark, index):
+        ids = spark.read.parquet(f"{out}/names").select("year", F.regexp_replace("name", f"{re.escape(suffix)}$", "").alias("doc_id"))
+        covered = I.coverage(ids, sinks.read_table(spark, index), "doc_id", "year", least)
+        covered.write.mode("overwrite").parquet(f"{out}/coverage")
+        for r in spark.read.parquet(f"{out}/coverage").collect():
+            lines[r.year] |= {"indexed": r.found, "ratio": r.ratio, "uploaded": r.uploaded}
+    return [lines[y] for y in sorted(lines)]
+
+
+def index_dictionary(spark: SparkSession, schema: str, fetch_page: Callable[[int, int], list[tuple]], index: str, key: str = "id", text: str = "definition", embed: str | Callable | None = None, total: int | None = None, size: int = 1000, resume: bool = True) -> dict:
+    """Entries of a service that gives them by offset, those that the index has not yet, with the vector of their text if embed names a
+    provider; how many were written. An empty text has no vector and is left out, as is an entry without a key."""
+    entries = services.paged(spark, schema, fetch_page, total, size).where(F.col(key).isNotNull() & (F.trim(F.coalesce(F.col(text), F.lit(""))) != ""))
+    if resume and sinks.has_table(spark, index):
+        entries = I.pending(entries, sinks.read_table(spark, index), key)
+    meter = I.Meter()
+    rows = encoded(entries, text, "embedding", embed) if embed is not None else entries
+    touched = sinks.upsert_table(meter.watch(rows), index, key)
+    return {"uploaded": meter.result()["docs"], "folders": len(touched), "docs_per_sec": meter.result()["docs_per_sec"]}
+
+
+def plug_in(name: str) -> Callable:
+    """The function that `package.module:function` names."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="lexloom", description="Chunk tables to an index, year by year.")
-    p.add_argument("--source", required=True, help="table of chunks, partitioned by year")
-    p.add_argument("--index", required=True)
-    p.add_argument("--log", required=True, help="ids that are done")
+    p = argparse.ArgumentParser(prog="lexloom", description="Chunk tables to an index, year by year; inventories of files; dictionaries of services.")
+    p.add_argument("--job", choices=("index", "inventory", "dictionary"), default="index")
+    p.add_argument("--source", help="index: table of chunks, partitioned by year; inventory: folder of files by year")
+    p.add_argument("--index")
+    p.add_argument("--log", help="index: ids that are done")
+    p.add_argument("--out", help="inventory: where it is written")
+    p.add_argument("--service", help="dictionary: package.module:function of (offset, size) that gives rows")
+    p.add_argument("--schema", default="id string, term string, part_of_speech string, definition string", help="dictionary: columns of the service's rows")
     which = p.add_mutually_exclusive_group()
     which.add_argument("--years", nargs="+", type=int, help="these years; without any, all that the source has")
     which.add_argument("--year-range", nargs=2, type=int, metavar=("FROM", "TO"), help="years of the source between these two, in either order")
@@ -85,11 +126,15 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+#: What each job can't do without.
+NEEDS = {"index": ("source", "index", "log"), "inventory": ("source", "out"), "dictionary": ("service", "index")}
+
+
 def chosen_years(spark: SparkSession, args: argparse.Namespace) -> list[int]:
     """The years that the arguments name; a range, or nothing, is answered by the folders that the source has."""
     if args.years:
         return sorted(set(args.years))
-    have = sorted(int(f.removeprefix("year=")) for f in files.folders(spark, args.source) if re.fullmatch(r"year=\d+", f))
+    have = sorted({int(f.removeprefix("year=")) for f in files.folders(spark, args.source) if re.fullmatch(r"(year=)?\d{4}", f)})
     ends = args.year_range or have
     return [y for y in have if min(ends) <= y <= max(ends)]
 
@@ -99,8 +144,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     from lexloom.session import session
 
     args = parser().parse_args(argv)
+    if lacking := [f"--{n}" for n in NEEDS[args.job] if getattr(args, n) is None]:
+        parser().error(f"{args.job} needs {', '.join(lacking)}")
     spark = spark or session()
-    if args.verify_resume:
+    if args.job == "inventory":
+        out = build_inventories(spark, args.source, args.out, chosen_years(spark, args), index=args.index)
+    elif args.job == "dictionary":
+        if args.recreate_index:
+            sinks.purge(spark, [args.index], [])
+        out = [index_dictionary(spark, args.schema, plug_in(args.service), args.index, resume=not args.no_resume)]
+    elif args.verify_resume:
         out = [r.asDict() for r in missing(spark, args.source, args.index, args.log).orderBy("year").collect()]
     else:
         out = index_years(spark, args.source, args.index, args.log, chosen_years(spark, args), args.reverse, args.recreate_index, top_k=args.top_k, weights=args.weights, resume=not args.no_resume)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 from pyspark.sql.types import StructType
 
+from lexloom import jobs
 from lexloom.operators import incremental as I
 from lexloom.operators import roles
 from lexloom.operators.tables import first_cells, table_values
@@ -360,3 +361,32 @@ def test_manifest_lines_and_statistics(spark, tmp_path):
     said = sinks.index_statistics(spark.createDataFrame([("x" * 2000,), ("y" * 2000,)], "t string")).first()
     assert (said.docs, said.kb_per_doc) == (2, round(said.bytes / 2 / 1024, 2)) and said.bytes == 2 * len('{"t":"' + "x" * 2000 + '"}')
     assert tuple(sinks.index_statistics(rows.where("false")).first())[0] == 0
+
+
+def test_jobs_of_inventories_and_dictionaries(spark, tmp_path, capsys):
+    src, out, index = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "index")
+    for year, folder in ((2020, "year=2020"), (2021, "2021")):
+        (src / folder).mkdir(parents=True)
+        for i in range(4):
+            (src / folder / f"d{year}{i}_all_chunks.json").write_text("[]")
+    (src / "2021" / "other.json").write_text("[]")
+    sinks.upsert_table(spark.createDataFrame([(f"d2020{i}",) for i in range(4)] + [("d20210",)], "doc_id string"), index, "doc_id")
+    args = ["--job", "inventory", "--source", str(src), "--out", out]
+    assert jobs.main(args, spark) == [{"year": y, "files": 4, "changed": True} for y in (2020, 2021)]
+    (src / "2021" / "d20214_all_chunks.json").write_text("[]")
+    got = jobs.main([*args, "--index", index], spark)
+    assert got == [{"year": 2020, "files": 4, "changed": False, "indexed": 4, "ratio": 1.0, "uploaded": True}, {"year": 2021, "files": 5, "changed": True, "indexed": 1, "ratio": 0.2, "uploaded": False}]
+    assert spark.read.parquet(f"{out}/coverage").count() == 2
+    words = str(tmp_path / "words")
+
+    def dictionary_service(at, size):
+        return [(f"t{i}", f"term {i}", None, "" if i == 3 else f"what {i} means") for i in range(at, min(at + size, 25))]
+
+    made = jobs.index_dictionary(spark, "id string, term string, pos string, definition string", dictionary_service, words, embed="hashed", size=10)
+    rows = sinks.read_table(spark, words)
+    assert made["uploaded"] == 24 == rows.count() and all(len(r.embedding) == 64 for r in rows.collect())
+    assert jobs.index_dictionary(spark, "id string, term string, pos string, definition string", dictionary_service, words, embed="hashed", size=10)["uploaded"] == 0
+    assert jobs.plug_in("lexloom.jobs:parser") is jobs.parser
+    for wrong in (["--job", "dictionary"], ["--job", "index", "--source", "x"]):
+        with pytest.raises(SystemExit):
+            jobs.main(wrong, spark)
