@@ -21,7 +21,7 @@ OCR = ((NOISE, " "), (r"-\n(\w)", "$1"), (r"[ \t]{2,}", " "), (r"\n{3,}", "\n\n"
 YEAR = r"\b(1[89][0-9]{2}|20[0-2][0-9])\b"
 UNSAFE = r'[<>:"/\\|?*]'
 GENERIC_PARTS = ("raw", "newapp", "input", "data", "app")
-SENTENCE_END = r"(?<=[.!?])\s+(?=[A-Z])"
+SENTENCE_END = r"\s(?<=[.!?]\s)\s*+(?=[A-Z])"  # white space between an end mark and a capital: the mark is sought only where white space is
 
 
 def _replaced(text: Column, rules: tuple) -> Column:

@@ -81,7 +81,7 @@ def _assemble(embed: Callable, threshold: float, least: int, most: int, min_char
             best = None
             if names:
                 norms = np.linalg.norm(v, axis=1)[:, None] * np.linalg.norm(centers, axis=1)[None, :]
-                best = np.where(norms > 0, v @ centers.T / np.where(norms > 0, norms, 1), 0.0).argmax(axis=1)
+                best = np.round(np.where(norms > 0, v @ centers.T / np.where(norms > 0, norms, 1), 0.0), 9).argmax(axis=1)  # the first of those that differ by rounding alone
             rows: list[tuple] = []
             of: list[int] = []
             at = 0

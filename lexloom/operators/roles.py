@@ -95,7 +95,7 @@ def training_rows(chunks: DataFrame, text: str = "text", role: str = "role", nam
     rows = chunks.select(F.col(text).alias("text"), F.col(role).alias("role")).where("text is not null and role is not null")
     if names is not None:
         return rows.where(F.col("role").isin(*names)).withColumn("label", (F.array_position(F.array(*(F.lit(x) for x in names)), F.col("role")) - 1).cast("long"))
-    return rows.join(F.broadcast(label_codes(rows, "role")).select("role", F.col("code").cast("long").alias("label")), "role")  # a row for each role
+    return rows.join(label_codes(rows, "role").select("role", F.col("code").cast("long").alias("label")), "role")
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -51,21 +51,35 @@ _LANG = rf"""with w as (select doc_id, string_split_regex(lower(text[:{language.
 
 _WORDS_SQL = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}_]+')"
 _BUCKET = "(('0x' || substr(md5(w), 1, 8))::bigint % 64)"
-def _chunks_sql(threshold: float, least: int, most: int) -> str:
-    return f"""with recursive d as (select doc_id, {_CLEAN} as c from documents where text is not null),
+def _chunks_sql(threshold: float, least: int, most: int, roles: dict[str, list[str]] | None = None) -> str:
+    """Chunks of documents; with roles, those that a change of role closes too, and what roles their sentences have."""
+    names = list(roles or {"": []})
+    centers = V.hashed_embedding([" ".join(x) for x in (roles or {"": []}).values()])
+    known = ", ".join(f"({i}, {b}, {w!r}::double)" for i, c in enumerate(centers.tolist()) for b, w in enumerate(c) if w or not b)
+    named = "case role " + " ".join(f"when {i} then '{n}'" for i, n in enumerate(names)) + " end"
+    of_roles = f""", rr as (select g.doc_id, g.g, role, count(*) as n, min(g.i) as first from g join sr on sr.doc_id = g.doc_id and sr.i = g.i group by 1, 2, 3),
+    rc as (select doc_id, g, arg_min({named}, (-n, first)) as dominant_role, round(max(n) / sum(n), 4) as role_purity, string_agg({named} || ':' || n, ',' order by {named}) as counts from rr group by 1, 2)
+    select k.doc_id, k.id as chunk_id, k.n as num_sentences, pos::bigint as start_char, (pos + length(t))::bigint as end_char, dominant_role, role_purity, counts from k join rc on rc.doc_id = k.doc_id and rc.g = k.g"""
+    chunks = f"""with recursive d as (select doc_id, {_CLEAN} as c from documents where text is not null),
     s as (select doc_id, generate_subscripts(s, 1) as i, unnest(s) as s from (select doc_id, {_SENTENCES} as s from d)),
     v as (select doc_id, i, b, count(*) as n from (select doc_id, i, {_BUCKET} as b from (select doc_id, i, unnest({_WORDS_SQL.format("s")}) as w from s)) group by 1, 2, 3),
     q as (select doc_id, i, sqrt(sum(n * n)) as norm from v group by 1, 2),
     m as (select a.doc_id, b.i, sum(a.n * b.n) as p from v a join v b on a.doc_id = b.doc_id and a.i + 1 = b.i and a.b = b.b group by 1, 2),
     x as (select s.doc_id, s.i, coalesce(p / (e.norm * f.norm), 0) as x from s left join m on m.doc_id = s.doc_id and m.i = s.i left join q e on e.doc_id = s.doc_id and e.i = s.i left join q f on f.doc_id = s.doc_id and f.i = s.i - 1 where s.i > 1),
-    f as (select doc_id, i, 1::bigint as g, 1::bigint as cur from s where i = 1
-        union all select f.doc_id, x.i, case when (x < {threshold} or cur >= {most}) and cur >= {least} then g + 1 else g end, case when (x < {threshold} or cur >= {most}) and cur >= {least} then 1 else cur + 1 end from f join x on x.doc_id = f.doc_id and x.i = f.i + 1),
+    sr as (select s.doc_id, s.i, coalesce(min(role) filter (where p = best), 0) as role from s left join (select *, max(p) over (partition by doc_id, i) as best from (select v.doc_id, v.i, role, round(sum(v.n * w) / any_value(norm), 9) as p from v join (values {known}) c(role, b, w) on c.b = v.b join q on q.doc_id = v.doc_id and q.i = v.i group by 1, 2, 3)) p on p.doc_id = s.doc_id and p.i = s.i group by 1, 2),
+    z as (select x.*, role from x join sr on sr.doc_id = x.doc_id and sr.i = x.i),
+    f as (select doc_id, i, 1::bigint as g, 1::bigint as cur, role from sr where i = 1
+        union all select f.doc_id, z.i, case when (x < {threshold} or cur >= {most} or z.role <> f.role) and cur >= {least} then g + 1 else g end, case when (x < {threshold} or cur >= {most} or z.role <> f.role) and cur >= {least} then 1 else cur + 1 end,
+            case when (x < {threshold} or cur >= {most} or z.role <> f.role) and cur >= {least} then z.role else f.role end from f join z on z.doc_id = f.doc_id and z.i = f.i + 1),
     l as (select doc_id, max(g) as last, max_by(cur, i) as cur from f group by 1),
     g as (select f.doc_id, f.i, case when f.g = last and last > 1 and l.cur < {least} then last - 1 else f.g end as g from f join l using (doc_id)),
     o as (select doc_id, i, sum(length(s) + 1) over (partition by doc_id order by i) - length(s) - 1 as pos from s),
     c as (select g.doc_id, g.g, string_agg(s, ' ' order by g.i) as t, count(*) as n, min(pos) as pos, avg(case when g.i > h.first then x.x end) as near
         from g join s on s.doc_id = g.doc_id and s.i = g.i join o on o.doc_id = g.doc_id and o.i = g.i join (select doc_id, g, min(i) as first from g group by 1, 2) h on h.doc_id = g.doc_id and h.g = g.g left join x on x.doc_id = g.doc_id and x.i = g.i group by 1, 2),
-    k as (select *, row_number() over (partition by doc_id order by g) as id from c where length(t) >= 100),
+    k as (select *, row_number() over (partition by doc_id order by g) as id from c where length(t) >= 100)"""
+    if roles:
+        return chunks + of_roles
+    return chunks + f""",
     cv as (select doc_id, id, b, count(*) as n from (select doc_id, id, {_BUCKET} as b from (select doc_id, id, unnest({_WORDS_SQL.format("t")}) as w from k)) group by 1, 2, 3),
     dv as (select doc_id, b, count(*) as n from (select doc_id, {_BUCKET} as b from (select doc_id, unnest({_WORDS_SQL.format("c")}) as w from d)) group by 1, 2),
     r as (select cv.doc_id, id, sum(cv.n * dv.n) / (sqrt(sum(cv.n * cv.n)) * any_value(w.norm)) as sim from cv left join dv on dv.doc_id = cv.doc_id and dv.b = cv.b join (select doc_id, sqrt(sum(n * n)) as norm from dv group by 1) w on w.doc_id = cv.doc_id group by 1, 2)
@@ -478,7 +492,7 @@ ROLES = {"opening": ["the of and", "is to"], "middle": ["that with", "for by"],
 
 
 def role_chunks(spark, d):
-    out = chunking.semantic_chunks(_t(spark, d, "documents"), roles=ROLES)
+    out = chunking.semantic_chunks(_t(spark, d, "documents"), threshold=0.47, roles=ROLES)
     counts = F.array_join(F.transform(F.array_sort(F.map_entries("role_distribution")), lambda x: F.concat_ws(":", x["key"], x["value"])), ",")
     return out.select("doc_id", "chunk_id", "num_sentences", "start_char", "end_char", "dominant_role", "role_purity", counts.alias("counts"))
 
@@ -620,6 +634,7 @@ ORACLE = {
     "path_exclusions": """select p_partkey, p_partkey || '.json' as path from part where p_size <= 20""",
     "valid_reads": """select conv_id as doc_id, count(*) as n from conversations where role = 'system' and conv_id > 10 group by 1""",
     "semantic_chunks": _chunks_sql(0.47, 2, 10),
+    "role_chunks": _chunks_sql(0.47, 2, 10, ROLES),
     "top_chunks": f"select doc_id, chunk_id, doc_similarity from (select *, row_number() over (partition by doc_id order by doc_similarity desc, chunk_id) as r from ({_chunks_sql(0.77, 3, 11)})) where r <= 3",
     "index_documents": f"""with s as ({_weighted_sql(WEIGHTS, "length(text)")}), c as (select distinct conv_id, turn, role from conversations),
         o as (select a.conv_id, a.turn, coalesce(string_agg(b.turn::varchar, '/' order by b.turn), '') as others from c a left join c b on a.conv_id = b.conv_id and a.role = b.role and a.turn <> b.turn group by 1, 2)
