@@ -15,69 +15,82 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages in all documents."""
+    """Benchmark passages in all documents. A null text has no words; rows that share an id, or have none, have a result each; an empty
+    benchmark hits nothing, an empty table gives no rows."""
     hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of all documents that a repeated string of 400 bytes covers."""
+    """Bytes of all documents that a repeated string of 400 bytes covers. A null text is empty; repeated rows lose what they share; rows
+    keep their ids, also null ones; an empty table gives no rows."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licences named in all documents."""
+    """Licences named in all documents. A null text is empty and names none; a row has a result of its own, whatever its id; an empty
+    table gives no rows."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main text of all pages."""
+    """Main text of all pages. A null or empty page has an empty text; repeated rows and null ids are kept; an empty table gives no
+    rows."""
     return htmltext.main_text(table(spark, sf_dir, "pages"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in all documents."""
+    """Personal data in all documents. A null text is empty and has no spans; rows of null or repeated ids are kept as they are; an
+    empty table gives no rows."""
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as WARC records and read back."""
+    """All pages written as WARC records and read back. A null page is empty; pages of null id revisit one with an id, or are responses;
+    equal rows are responses each; an empty table gives no rows."""
     records = warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as token sequences."""
+    """All documents as token sequences. A null or empty text is the one id 0; repeated rows are packed each; an empty table gives no
+    rows."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of all documents by a model of the trusted ones."""
+    """Quality of all documents by a model of the trusted ones. Null texts and those without words are rejected; rows of null id are
+    never trusted; repeated rows come back repeated; without trusted texts only toxic and empty ones are rejected."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbours, among all vectors, of those whose id is divisible by 20."""
+    """Neighbours, among all vectors, of those whose id is divisible by 20. Vectors that are null, zero, or hold null or non-finite
+    entries take no part; of few candidates all are returned; ties go to the smaller id; an empty table gives no rows."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of near duplicates among all documents."""
+    """Groups of near duplicates among all documents. A text that is null or has no words has an empty set and is linked with nothing; a
+    null id is kept; rows of one id share a component; an empty table gives no rows."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes of the prefixes of all conversations."""
+    """Nodes of the prefixes of all conversations. Null turns come first, null roles and texts are empty, ties are ordered by role and
+    text, repeated rows are turns each; rows without a conv_id take no part; an empty table gives no rows."""
     return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
 def op12_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log probabilities of all documents."""
+    """Log probabilities of all documents. A null text is empty and has its end alone; rows of null id are trained on; repeated rows
+    count and come back each; an empty table gives no rows."""
     return ppm.score(table(spark, sf_dir, "documents"))
 
 
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whitened components of all vectors."""
+    """Whitened components of all vectors. Vectors that are null, empty, of an odd length, or hold null or non-finite entries are
+    dropped; repeated rows and null ids are kept; components without variance are left out; an empty table gives no rows."""
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
