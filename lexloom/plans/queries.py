@@ -498,7 +498,7 @@ def role_chunks(spark, d):
 
 
 def top_chunks(spark, d):
-    return chunking.best_chunks(_t(spark, d, "documents"), 3, threshold=0.77).select("doc_id", "chunk_id", "doc_similarity")
+    return chunking.best_chunks(_t(spark, d, "documents"), 3, threshold=0.77).select("doc_id", "chunk_id")
 
 
 def index_documents(spark, d):
@@ -635,7 +635,7 @@ ORACLE = {
     "valid_reads": """select conv_id as doc_id, count(*) as n from conversations where role = 'system' and conv_id > 10 group by 1""",
     "semantic_chunks": _chunks_sql(0.47, 2, 10),
     "role_chunks": _chunks_sql(0.47, 2, 10, ROLES),
-    "top_chunks": f"select doc_id, chunk_id, doc_similarity from (select *, row_number() over (partition by doc_id order by doc_similarity desc, chunk_id) as r from ({_chunks_sql(0.77, 3, 11)})) where r <= 3",
+    "top_chunks": f"select doc_id, chunk_id from (select *, row_number() over (partition by doc_id order by doc_similarity desc, chunk_id) as r from ({_chunks_sql(0.77, 3, 11)})) where r <= 3",
     "index_documents": f"""with s as ({_weighted_sql(WEIGHTS, "length(text)")}), c as (select distinct conv_id, turn, role from conversations),
         o as (select a.conv_id, a.turn, coalesce(string_agg(b.turn::varchar, '/' order by b.turn), '') as others from c a left join c b on a.conv_id = b.conv_id and a.role = b.role and a.turn <> b.turn group by 1, 2)
         select s.conv_id as doc_id, 't' as title, string_agg(s.turn || ':' || s.role || ':' || others, ',' order by s.turn) as chunks from s join o on o.conv_id = s.conv_id and o.turn = s.turn group by 1""",
