@@ -102,6 +102,13 @@ def test_clean_text_borders(spark):
     assert value(spark, T.finite(F.col("a")), a=float("-inf")) == 0.0
 
 
+def test_sentences_keep_digits(spark):
+    own = ["0 is first. ", "1 one 1. ", "Q. "] + [f"A{i} is {i}. " for i in range(3, 12)] + ["Ends in 12"]
+    own = [s if s[0].isupper() else "N" + s for s in own]
+    assert value(spark, T.sentences(F.col("t")), t="".join(own)) == [s.strip() for s in own]
+    assert value(spark, T.sentences(F.col("t")), t="whou. 4072374829496490") == ["whou. 4072374829496490"]
+
+
 def test_places():
     at, found = 0, []
     for chunk, first in (("b c", "b"), ("zz", "c"), ("q", "q")):
