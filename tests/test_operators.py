@@ -109,6 +109,18 @@ def test_sentences_keep_digits(spark):
     assert value(spark, T.sentences(F.col("t")), t="whou. 4072374829496490") == ["whou. 4072374829496490"]
 
 
+def test_halves_are_rounded_as_in_sql(spark):
+    assert V.rounded([0.28125, 0.21875, -0.28125, 0.28124, 1.0, 0.0]).tolist() == [0.2813, 0.2188, -0.2813, 0.2812, 1.0, 0.0]
+    # 9 of 4 * 8 common: the half of 0.28125 goes up, whatever length the vectors are brought to before.
+    texts = ["".join(f"{a} " * n for a, n in one) for one in ((("a", 3), ("b", 2), ("c", 1), ("d", 1), ("e", 1)), (("a", 3), ("f", 5), ("g", 4), ("h", 3), ("i", 2), ("j", 1)))]
+    counts = V.hashed_counts(texts)
+    assert len(set(np.flatnonzero(counts.any(axis=0)))) == 10
+    assert V.rounded(V.row_cosines(counts[:1], counts[1:])).tolist() == [0.2813]
+    docs = spark.createDataFrame([(1, "A" + texts[0][1:-1] + ". A" + texts[1][1:])], "doc_id int, text string")
+    (row,) = chunking.semantic_chunks(docs, threshold=0.1, least=2, min_chars=1).collect()
+    assert (row.num_sentences, row.avg_similarity) == (2, 0.2813)
+
+
 def test_places():
     at, found = 0, []
     for chunk, first in (("b c", "b"), ("zz", "c"), ("q", "q")):
