@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,26 @@ def test_clean_text_borders(spark):
     assert value(spark, T.finite(F.col("a")), a=float("-inf")) == 0.0
 
 
+def test_runs_of_three_characters_take_linear_time(spark):
+    texts = ["", None, "a", "ab", "ab1c", "Ünï \U00010428x", "x" * 5000]
+    runs = language._runs(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "text", 2000)
+    for r in runs.collect():
+        plain = " " + re.sub(r"[\d ]+", " ", (r.text or "")[:2000]).lower() + " "
+        assert r._grams == [plain[i : i + 3] for i in range(max(1, len(plain) - 2))], r.text
+    # A substring by place inside the loop over places would count from the text's beginning each time.
+    assert "substring(_plain" not in runs._jdf.queryExecution().analyzed().toString()
+
+
+def test_blocks_of_chunking_are_bounded():
+    rnd = random.Random(5)
+    rows = [(i, "x" * rnd.choice([0, 5, 90_000, 3_000_000]), ["s"] * rnd.choice([1, 3, 1500, 9000])) for i in range(300)]
+    frame = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], ["doc_id", "cleaned", "s"])
+    parts = [p.to_pylist() for p in chunking.blocks(frame)]
+    assert [r["doc_id"] for p in parts for r in p] == list(range(300))
+    assert all(len(p) == 1 or sum(len(r["s"]) for r in p) <= chunking.BATCH and sum(len(r["cleaned"]) for r in p) <= chunking.BATCH_BYTES for p in parts)
+    assert len(parts) < 300
+
+
 def test_sentences_keep_digits(spark):
     own = ["0 is first. ", "1 one 1. ", "Q. "] + [f"A{i} is {i}. " for i in range(3, 12)] + ["Ends in 12"]
     own = [s if s[0].isupper() else "N" + s for s in own]
