@@ -36,6 +36,19 @@ def test_toxic_features_with_copied_labels(spark):
     assert tc.split([b"vilezzz"]).hashes()[0] in bad
 
 
+def test_toxic_features_from_all_labels(spark):
+    rnd = random.Random(6)
+    text = lambda *more: " ".join(["".join(rnd.choice("bcdfghjk") for _ in range(7)) for _ in range(30)] + list(more))
+    order = [r.id for r in spark.range(25_000).orderBy(F.xxhash64("id"), "id").collect()]
+    toxic = set(order[-12:])
+    rows = [(i, text("vilezzz")) for i in toxic] + [(i, text()) for i in order[:600]]
+    labels = spark.createDataFrame([(i, i in toxic) for i in order], "doc_id long, toxic boolean")
+    # A row that repeats a text, under its own id or another's, counts once.
+    rows += rows[:1] * 3 + [(order[700], rows[-1][1])]
+    bad = quality.toxic_features(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert tc.split([b"vilezzz"]).hashes()[0] in bad
+
+
 def test_licences_need_no_unrelated_word():
     rules = licenses.rules()
     named = {"distributed under apache 2.0 terms": "apache-2", "terms: https://mozilla.org/mpl/2.0/": "mpl-2.0", "see eclipse.org/legal/epl-v20": "epl-2.0", "eupl-1.2": "eupl-1.2", "scripts.sil.org/ofl": "ofl-1.1", "mariadb.com/bsl11": "busl-1.1", "mit no attribution": "mit-0", "the psf license": "python-2.0", "do what the fxxx you want to public license": "wtfpl", "open\nfont\nlicense": "ofl-1.1", "a creative\n commons attribution 4.0": "cc-by-4.0"}
