@@ -6,53 +6,37 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm.store import drop, keep
 
-#: Shares of a node's links.
-SHARES = 32
-
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of a link reaches, by alternating large-star and small-star.
 
-    Each round's edges are written to the shared folder; the driver sees only their count and checksum. A node's links are
-    dealt to shares, so that a node with very many is no single task's work. Links with a
-    null end are left out, as are links of a node with itself; no links give an empty table.
+    Each link goes from its larger node u to its smaller v, and the least v of each u is a table of its own. Large-star ties u to the least
+    of v; small-star ties each v of u, and u, to the least of u. All are done once each u has one v and no v is a u. Tables are
+    written to the shared folder; the driver sees only counts. Edges are joined to written tables, so that Spark splits the edges of a
+    node with very many. Links with a null end are left out, as are links of a node with itself; no links give an empty table.
     """
+    spark = links.sparkSession
     ends = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     edges = keep(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _sum(edges)
-    while before[0]:
-        large = _star(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), large=True)
-        small = _star(large, large=False)
-        after_edges = keep(small, "edges")
-        after = _sum(after_edges)
-        drop(edges.sparkSession, edges)
-        edges = after_edges
-        if after == before:
+    while True:
+        first = _least(edges)
+        large = keep(edges.join(first.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("moved")), "large")
+        all_, moved = large.agg(F.count("*"), F.count_if("moved")).first()
+        ended = not moved and first.count() == all_
+        drop(spark, first)
+        if ended:
+            drop(spark, large)
             break
-        before = after
+        least = _least(large)
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
+        after = keep(small.distinct(), "edges")
+        for table in (edges, large, least):
+            drop(spark, table)
+        edges = after
     heads = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
-def _sum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def _star(edges: DataFrame, *, large: bool) -> DataFrame:
-    """edges: from u to v. large: each neighbour above u is tied to the least of u and all its neighbours; else, where v is
-    always below u, u and each v to the least v.
-
-    A node's edges are dealt to SHARES shares, which meet for their least alone, so that no task gets all edges of a hub.
-    """
-    shared = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SHARES)))
-    part = shared.groupBy("u", "s").agg(F.min("v").alias("m"))
-    least = part.groupBy("u").agg(F.min("m").alias("m"))
-    if large:
-        least = least.select("u", F.least("u", "m").alias("m"))
-    of = part.select("u", "s").join(least.hint("merge"), "u")
-    joined = shared.join(of.hint("merge"), ["u", "s"])
-    if large:
-        out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m): the least v of each u, summed up before it is dealt, so that a node with very many is no single task's work."""
+    return keep(edges.groupBy("u").agg(F.min("v").alias("m")), "least")

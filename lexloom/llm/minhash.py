@@ -147,8 +147,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         large = met.where((F.col("n") > CAP) & (F.pmod("key", F.lit(part)) == 0)).select("key", "doc_id")
         rest = keep(_outside(large, found, minima).distinct(), "rest")
         if not rest.isEmpty():
-            links = links.unionByName(_linked(rest, None, source))
-            found = keep(connected_components(links), "components")
+            more = _linked(rest, None, source)
+            if not more.isEmpty():
+                # What is known of components stands for the links before.
+                found = keep(connected_components(more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))), "components")
     of = classes.select("digest", F.col("doc_id").alias("node")).join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     out = some.select("doc_id", "n_shingles", "digest").join(of, "digest")
     none = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

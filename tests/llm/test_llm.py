@@ -451,6 +451,26 @@ def test_components(spark):
     assert got == {x: find(x) for x in head}
 
 
+def test_components_in_few_tasks(spark):
+    links = [(0, i) for i in range(1, 200)] + [(1000 + i, 1001 + i) for i in range(5)]
+    table = spark.createDataFrame(links, "a long, b long")
+    own = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in own}
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    sc.setJobGroup("components", "components")
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        got = {r.node: r.component for r in components.connected_components(table).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {x: 0 for x in range(200)} | {1000 + i: 1000 for i in range(6)}
+    stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+    assert sum(x.numCompletedTasks for s in stages if (x := tracker.getStageInfo(s))) < 500
+
+
 def test_words():
     w = tc.split([b"ab C1", b"", b"x-AB"], tc.ALNUM)
     assert [w.word(i) for i in range(4)] == [b"ab", b"c1", b"x", b"ab"] and w.first.tolist() == [0, 2, 2, 4]
