@@ -113,6 +113,43 @@ def test_repeats(docs, empty, texts, monkeypatch, cap):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def brute_passages(rows, n=50):
+    words = [(d, re.findall(r"[^\x20\x09-\x0D]+", low(t))) for d, t in rows]
+    seen = Counter(tuple(w[i : i + n]) for _, w in words for i in range(len(w) - n + 1))
+    return {d: len({j for i in range(len(w) - n + 1) if seen[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}) for d, w in words}
+
+
+@pytest.mark.parametrize("cap", [16_000, 1])
+def test_repeated_passages_of_words(docs, texts, spark, monkeypatch, cap):
+    monkeypatch.setattr(substrings, "CAP", cap)
+    rnd = random.Random(23)
+    make = lambda n: " ".join(rnd.choice(["ab", "the", "Fin", "ouéa", "x"]) for _ in range(n))
+    short = [make(n) for n in (49, 50, 51, 55, 59)]
+    rows = [(300 + 2 * i + j, f"{make(10 + j)} {p if j else p.upper().replace('É', 'é')}\n{make(20 - i)}") for i, p in enumerate(short) for j in range(2)] + [(320, make(60)), (321, short[4] + "x")]
+    assert max(len(p.encode()) for p in short) < 400
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.remove_repeats(docs.select("doc_id", "text").unionByName(more), with_words=True).collect()
+    assert {r.doc_id: r.n_repeated_words for r in got} == brute_passages([*texts, *rows])
+    planted = {r.doc_id: (r.n_repeated_words, r.n_removed) for r in got if r.doc_id >= 300}
+    assert [planted[300 + i][0] >= n for i, n in ((0, 1), (2, 50), (4, 51), (7, 55), (8, 59), (20, 1))] == [False, True, True, True, True, False]
+    assert {n for _, n in planted.values()} == {0}
+    plain = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got}
+    assert plain == brute_repeats([(d, (t or "").encode()) for d, t in [*texts, *rows]])
+
+
+def test_codes_of_words(texts, monkeypatch):
+    raw = [(t or "").encode() for _, t in texts] + [b"One\0two  THREE\n", b" x", b""]
+    whole = substrings.coded(raw)
+    assert [len(c) // substrings.WORD for c in whole] == [len(re.findall(rb"[^\x20\x09-\x0D]+", t)) for t in raw]
+    assert substrings.coded([b"\t a", b"A b"]) == [substrings.coded([b"a"])[0], b"".join(substrings.coded([b"a", b"B"]))]
+    starts = lambda c: sorted((int(h), (g >> 20) - b) for h, g in zip(*(x.tolist() for x in substrings.sliced([c], substrings.WORD)[1::2]), strict=True) for b in range(g & 1023, (g >> 10 & 1023) + 1, substrings.WORD))
+    want = [starts(c) for c in whole]
+    assert [len(w) for w in want] == [max(0, len(c) // substrings.WORD - 49) for c in whole]
+    monkeypatch.setattr(substrings, "SLICE", 80)
+    assert substrings.coded(raw) == whole and substrings.coded(raw[-4:-3]) == whole[-4:-3] and len(raw[-4]) > 80 and substrings.coded([]) == []
+    assert [starts(c) for c in whole] == want
+
+
 def test_repeats_keep_bytes_and_repeated_rows(docs, texts):
     twice = docs.where("doc_id = 208").unionByName(docs.where("doc_id = 208"))
     got = substrings.remove_repeats(twice, with_kept=True).collect()
