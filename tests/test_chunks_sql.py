@@ -29,7 +29,7 @@ def same_as_sql(spark, tmp_path, name, texts):
     assert sorted(tuple(r) for r in got) == sorted(result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["role_chunks"])
+@pytest.mark.parametrize("name", ["role_chunks", "semantic_chunks"])
 def test_cosines_at_the_threshold(spark, tmp_path, name):
     assert len(set(V.hashed_counts(WORDS).argmax(axis=1))) == len(WORDS)
     same_as_sql(spark, tmp_path, name, [" ".join(sentence(x) for x in (a, a, b, b)) for a, b in PAIRS])
