@@ -97,3 +97,13 @@ def test_every_context_without_texts(spark):
     assert sorted((r.doc_id, r.perplexity, r.kept) for r in none) == [(1, None, True), (2, None, False), (3, None, False)]
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     assert quality.quality(docs, labels, every_context=True).count() == 3 and quality.quality(docs.where("false"), labels, every_context=True).count() == 0
+
+
+def test_pipeline_takes_every_context(spark):
+    import corpus_pipeline
+
+    data = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    ids = lambda rows: {r.doc_id for r in rows.select("doc_id").collect()}
+    kept = ids(corpus_pipeline.quality_stage(spark, docs, data))
+    assert kept == ids(quality.quality(docs, labels, every_context=True).where("kept"))
